@@ -4,16 +4,18 @@ Every permutation gives two signature values, the smallest and the largest, so h
 hash evaluations are needed. Bands of four values (two permutations) are the buckets.
 
 1. Documents with equal shingle sets collapse into one vertex (grouped by a 128-bit digest).
-2. Every member of a bucket is linked to the bucket's smallest vertex if full sets confirm it.
-3. Pairs of a bucket whose members are then still in different components are confirmed too,
-   so nothing that shares a bucket stays untested, and a large group of copies costs one test
-   for each member instead of one for each pair.
+2. In each bucket the vertex that shares most bucket places becomes the hub; in a group of
+   copies that is one near its middle. Every member is compared with its hubs.
+3. Members that are then in another component than their hub are compared with all others of
+   that hub's buckets. The join itself compares, and gives out links only.
 4. Components by contraction: each vertex points to its smallest neighbour, pointers are
    followed, edges are rewritten and the rest repeats.
 
-Confirmation compares full sets; before that, pairs whose 128 signature values agree in fewer
-than ``threshold - 0.2`` go (five and a half standard deviations at 0.8). With 32 bands of
-four values a pair at 0.8 shares no bucket with probability below 1e-7.
+So a large group of copies costs a row for each member, and every two vertices of a bucket are
+linked, joined by others, or compared. A comparison looks at sizes, then at the lowest bits of the
+128 signature values (links fail with probability below 1e-8), then at full sets as 32-bit hashes
+with room for collisions; what passes is confirmed on the texts' full sets. With 32 bands of four
+values a pair at 0.8 shares no bucket with probability below 1e-7.
 
 Defined cases: texts without words (or null) are linked with nothing; rows that share an
 identifier are one vertex; a row without identifier keeps a null component and stays; an empty
@@ -28,7 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import row_batches, staged, text_bytes
@@ -65,38 +67,62 @@ def _bands(signature: np.ndarray) -> list[int]:
     return key.view(np.int64).tolist()
 
 
-_SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, signature binary"
+_SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>"
 
 
 def signed(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
-    """Each row's set size, digest of the set, band keys and signature (16 bits of each value)."""
+    """Each row's set size, digest of the set and band keys."""
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in row_batches(batches):
-            out: list[list] = [[], [], [], []]
+            out: list[list] = [[], [], []]
             for text in b.column(1).to_pylist():
                 s = shingle_set(text_bytes(text), shingle)
-                m = min_max(s) if len(s) else None
                 out[0].append(len(s))
                 out[1].append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
-                out[2].append(_bands(m) if len(s) else [])
-                out[3].append(m.astype(np.uint16).tobytes() if len(s) else None)
-            types = (pa.int64(), pa.binary(), pa.list_(pa.int64()), pa.binary())
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(out, types))], names=["doc_id", "n_shingles", "digest", "bands", "signature"])
+                out[2].append(_bands(min_max(s)) if len(s) else [])
+            types = (pa.int64(), pa.binary(), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(out, types))], names=["doc_id", "n_shingles", "digest", "bands"])
 
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(sign, _SIGNED)
 
 
-def _agreement(a: pd.Series, b: pd.Series) -> pd.Series:
-    if not len(a):
-        return pd.Series([], dtype="float64")
-    x, y = (np.frombuffer(b"".join(s), np.uint16).reshape(len(s), -1) for s in (a, b))
-    return pd.Series((x == y).mean(axis=1))
+_SETS = "rep long, n long, bits0 long, bits1 long, shingles array<int>"
+
+
+def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
+    """Size, lowest signature bits and 32-bit shingle hashes of each text (doc_id, text)."""
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in row_batches(batches, 4_000_000):
+            out: list[list] = [[], [], [], []]
+            for text in b.column(1).to_pylist():
+                s = shingle_set(text_bytes(text), shingle)
+                bits = np.packbits(min_max(s).reshape(-1) & 1).view(np.int64) if len(s) else (0, 0)
+                for column, v in zip(out, (len(s), int(bits[0]), int(bits[1]), s.astype(np.uint32).view(np.int32))):
+                    column.append(v)
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
+            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(out, types))], names=["rep", "n", "bits0", "bits1", "shingles"])
 
+    return texts.mapInArrow(make, _SETS)
 
-def confirmed(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: int, threshold: float, tag: str) -> DataFrame:
+
+#: Of 128 signature bits so many may differ: the mean at 0.8 is 12.8, and this is six deviations more.
+BITS_APART, ROOM = 33, 2
+
+
+def _near(x: str, y: str, threshold: float) -> Column:
+    """A join condition that all links of the aliases meet, evaluated from cheap to dear."""
+    c = lambda t, name: F.col(f"{t}.{name}")
+    t = round(100 * threshold)
+    sizes = 100 * F.least(c(x, "n"), c(y, "n")) >= t * F.greatest(c(x, "n"), c(y, "n"))
+    apart = sum(F.bit_count(c(x, b).bitwiseXOR(c(y, b))) for b in ("bits0", "bits1"))
+    both = F.size(F.array_intersect(c(x, "shingles"), c(y, "shingles"))) + ROOM
+    return sizes & (apart <= BITS_APART) & (100 * both >= t * (c(x, "n") + c(y, "n") - both))
+
+
+def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
     """Those of the pairs (a, b) whose full sets are at least ``threshold`` alike."""
-    agree = F.pandas_udf(_agreement, "double")
 
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
         sets: dict[str, np.ndarray] = {}
@@ -107,17 +133,7 @@ def confirmed(pairs: DataFrame, vertices: DataFrame, docs: DataFrame, shingle: i
             found.append(100 * both >= round(100 * threshold) * (len(s) + len(t) - both))
         return pd.Series(found, dtype=bool)
 
-    v = vertices.select("rep", "n_shingles", "signature")
-    near = (
-        pairs.join(v.toDF("a", "na", "sa"), "a")
-        .join(v.toDF("b", "nb", "sb"), "b")
-        .where(100 * F.least("na", "nb") >= round(100 * threshold) * F.greatest("na", "nb"))
-        .where(agree("sa", "sb") >= threshold - 0.2)
-    )
-    near = staged(near.select("a", "b").distinct(), f"near-{tag}")
-    wanted = near.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = staged(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(wanted, "doc_id", "left_semi"), f"texts-{tag}")
-    full = near.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
+    full = pairs.distinct().join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
     return full.where(F.pandas_udf(alike, "boolean")("ta", "tb")).select("a", "b")
 
 
@@ -150,37 +166,44 @@ def components(links: DataFrame, tag: str) -> DataFrame:
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """One row for each document: ``doc_id, n_shingles, component_id, kept``."""
     rows = staged(signed(docs, shingle), "signed")
-    grouped = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("bands").alias("bands"), F.first("signature").alias("signature")
-    )
+    grouped = rows.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
     vertices = staged(grouped, "vertices")
     buckets = vertices.select("rep", F.explode("bands").alias("key"))
-    hubs = buckets.groupBy("key").agg(F.min("rep").alias("hub"), F.count("*").alias("members")).where("members > 1")
-    shared = staged(buckets.join(hubs, "key"), "buckets")
-    pairs = shared.where("rep <> hub").select(F.col("hub").alias("a"), F.col("rep").alias("b")).distinct()
+    filled = buckets.groupBy("key").agg(F.count("*").alias("members")).where("members > 1")
+    shared = staged(buckets.join(filled, "key"), "buckets")
+    weights = shared.groupBy("rep").agg(F.sum("members").alias("weight"))
+    hubs = shared.join(weights, "rep").groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("best"))
+    places = shared.join(hubs.select("key", (-F.col("best.rep")).alias("hub")), "key").select("hub", "rep").distinct()
+
+    wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
+    # always by shuffle, so that a run's cost follows its input
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").hint("merge").join(wanted.hint("merge"), "doc_id", "left_semi")
+    texts = staged(texts, "texts")
+    sets = staged(shingle_sets(texts, shingle), "sets")
+    members = staged(places.join(sets, "rep").select("hub", *sets.columns), "members")
+
     # rows that share an identifier are one vertex: the representatives of their texts are linked
-    members = rows.select("doc_id", "n_shingles", "digest").join(vertices.select("digest", "rep"), "digest", "left")
-    twice = members.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("a"), F.collect_set("rep").alias("reps"))
+    of_row = rows.select("doc_id", "n_shingles", "digest").join(vertices.select("digest", "rep"), "digest", "left")
+    twice = of_row.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("a"), F.collect_set("rep").alias("reps"))
     twice = twice.where(F.size("reps") > 1).select("a", F.explode("reps").alias("b")).where("a <> b")
-    links = staged(confirmed(pairs, vertices, docs, shingle, threshold, "hub").union(twice), "links")
+    to_hub = members.alias("x").join(sets.alias("y"), (F.col("x.hub") == F.col("y.rep")) & _near("x", "y", threshold))
+    to_hub = to_hub.where("x.rep <> x.hub").select(F.col("x.hub").alias("a"), F.col("x.rep").alias("b"))
+    links = staged(confirmed(to_hub, texts, shingle, threshold).union(twice), "links")
     label = components(links, "hub")
 
-    # what shares a bucket but is in different components by now
-    open_keys = shared.where("members > 2").join(label.select(F.col("v").alias("rep"), "label"), "rep", "left")
-    open_keys = open_keys.select("key", "rep", "hub", F.coalesce("label", "rep").alias("part"))
-    parts = open_keys.groupBy("key", "part").agg(F.count("*").alias("n"))
-    mixed = parts.groupBy("key").agg(F.count("*").alias("parts")).where("parts > 1").select("key")
-    rest = staged(open_keys.join(mixed, "key", "left_semi"), "rest")
-    if rest.head(1):
-        parts = rest.select("key", "part").distinct()
-        two = parts.toDF("key", "x").join(parts.toDF("key", "y"), "key").where("x < y")
-        cross = two.join(rest.select("key", F.col("part").alias("x"), F.col("rep").alias("ra"), "hub"), ["key", "x"])
-        cross = cross.join(rest.select("key", F.col("part").alias("y"), F.col("rep").alias("rb")), ["key", "y"])
-        cross = cross.where("ra <> hub AND rb <> hub").select(F.least("ra", "rb").alias("a"), F.greatest("ra", "rb").alias("b"))
-        more = confirmed(cross.distinct(), vertices, docs, shingle, threshold, "rest")
-        links = staged(links.union(more), "links")
+    part = lambda c: label.select(F.col("v").alias(c), F.col("label").alias(f"{c}_label"))
+    parts = members.join(part("rep"), "rep", "left").join(part("hub"), "hub", "left")
+    parts = parts.select(*members.columns, F.coalesce("rep_label", "rep").alias("part"), F.coalesce("hub_label", "hub").alias("hub_part"))
+    loose = parts.where("part <> hub_part")
+    others = parts.join(loose.select("hub").distinct(), "hub", "left_semi")
+    apart = (F.col("x.part") != F.col("y.part")) & ((F.col("y.part") == F.col("y.hub_part")) | (F.col("x.rep") < F.col("y.rep")))
+    cross = loose.alias("x").join(others.alias("y"), (F.col("x.hub") == F.col("y.hub")) & apart & (F.col("y.rep") != F.col("y.hub")) & _near("x", "y", threshold))
+    cross = staged(cross.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")), "cross")
+    if cross.head(1):
+        links = staged(links.union(confirmed(cross, texts, shingle, threshold)), "links")
         label = components(links, "all")
 
+    members = of_row
     of = label.select(F.col("v").alias("rep"), "label")
     out = members.join(of, "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep", "doc_id"))
