@@ -5,15 +5,131 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from . import oracle
+from .operators import dedup
+from .plans import views
+from .sources import projection
+
+
+def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.spans_dedup(projection.spans(spark, sf_dir))
+
+
+def logs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.logs_dedup(projection.logs(spark, sf_dir))
+
+
+def metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup.metrics_dedup(projection.metrics(spark, sf_dir))
+
+
+def genai(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return views.gen_ai_spans(spans(spark, sf_dir))
+
+
+def flat_top(df: DataFrame) -> DataFrame:
+    """The top counts as text, ``value:count`` joined by commas."""
+    text = F.array_join(F.transform("top_error_types", lambda x: F.concat(x["value"], F.lit(":"), x["count"].cast("string"))), ",")
+    return df.withColumn("top_errors", text).drop("top_error_types")
+
+
+def w1_spans_dedup(spark, d):
+    return spans(spark, d).select("trace_id", "span_id", "service_name", "name", "start_time", "end_time", "duration_nano", "receive_time_unix_nano")
+
+
+def w2_logs_dedup(spark, d):
+    return logs(spark, d).select("trace_id", "span_id", "service_name", "timestamp", "receive_time_unix_nano", "severity_number", "event_name")
+
+
+def w3_metrics_dedup(spark, d):
+    return metrics(spark, d).select("point_fingerprint", "metric_name", "metric_type", "service_name", "timestamp", "value_double", "receive_time_unix_nano")
+
+
+def v1_all_spans(spark, d):
+    s = views.all_spans(spans(spark, d))
+    return s.select("trace_id", "span_id", "parent_span_id", "name", "kind", "start_time", F.col("status.code").alias("status_code"), F.col("status.message").alias("status_message"))
+
+
+def v2_gen_ai_spans(spark, d):
+    return genai(spark, d).select(
+        "start_time", "end_time", "duration_nano", "duration_ms", "trace_id", "span_id", "parent_span_id", "service_name", "span_name", "span_kind", "status_code", "status_message",
+        "gen_ai_operation_name", "gen_ai_system", "gen_ai_provider_name", "gen_ai_request_model", "gen_ai_response_model", "gen_ai_agent_name", "gen_ai_conversation_id", "adk_session_id",
+        "adk_invocation_id", "adk_user_id", "gen_ai_usage_input_tokens", "gen_ai_usage_output_tokens", "gen_ai_usage_reasoning_tokens", "gen_ai_usage_cache_read_input_tokens", "gen_ai_tool_name",
+        "gen_ai_tool_type", "error_type", "gen_ai_main_agent_name",
+    )
+
+
+def v3_mcp_spans(spark, d):
+    return views.mcp_spans(spans(spark, d)).select(
+        "trace_id", "span_id", "service_name", "start_time", "duration_ms", "mcp_method_name", "mcp_session_id", "mcp_resource_uri", "server_address", "server_port",
+        "gen_ai_tool_name", "gen_ai_agent_name", "is_tool_call", "also_in_gen_ai_view",
+    )
+
+
+def v4_gen_ai_metrics(spark, d):
+    return views.gen_ai_metrics(metrics(spark, d)).select(
+        "point_fingerprint", "metric_name", "metric_type", "service_name", "timestamp", "value_double", "gen_ai_system", "gen_ai_request_model", "gen_ai_token_type", "gen_ai_agent_name",
+        "error_type", "gen_ai_inference_usage_dimension",
+    )
+
+
+def v5_spans_redacted(spark, d):
+    s = views.spans_redacted(spans(spark, d))
+    return s.select("trace_id", "span_id", "name", "start_time", F.col("status.code").alias("status_code"), F.col("status.message").alias("status_message"), "attributes")
+
+
+def v5_logs_redacted(spark, d):
+    return views.logs_redacted(logs(spark, d)).select("trace_id", "span_id", "event_name", "timestamp", "body", "attributes")
+
+
+def j1_gen_ai_logs(spark, d):
+    return views.gen_ai_logs(logs(spark, d), spans(spark, d)).select(
+        "trace_id", "span_id", "service_name", "timestamp", "event_name", "severity_number", "gen_ai_operation_name", "gen_ai_system", "gen_ai_agent_name", "adk_session_id", "adk_user_id", "error_type"
+    )
+
+
+def j2_metric_exemplars(spark, d):
+    points = views.gen_ai_metrics(metrics(spark, d))
+    x = views.metric_exemplars(points.withColumn("metric_unit", F.regexp_replace("point_fingerprint", "^fp1:", "p")), spans(spark, d))
+    return x.select(
+        F.col("metric_unit").alias("point"), "metric_name", "service_name", "metric_timestamp", "trace_id", "span_id", "span_start_time", "span_duration_ms", "span_name", "span_gen_ai_agent_name",
+        "span_gen_ai_tool_name", "adk_session_id", "span_error_type",
+    )
+
+
+def a1_model_costs(spark, d):
+    c = flat_top(views.model_costs(genai(spark, d)))
+    return c.withColumnRenamed("gen_ai_agent_name", "agent_name").drop("total_cache_creation_input_tokens")
+
+
+def a2_sessions(spark, d):
+    return flat_top(views.sessions(genai(spark, d))).drop("total_cache_creation_input_tokens")
+
+
+def a3_tool_usage(spark, d):
+    return flat_top(views.tool_usage(genai(spark, d))).withColumnsRenamed({"gen_ai_agent_name": "agent_name", "gen_ai_tool_name": "tool_name", "gen_ai_tool_type": "tool_type"})
+
+
+def a4_mcp_tool_usage(spark, d):
+    m = flat_top(views.mcp_tool_usage(views.mcp_spans(spans(spark, d)))).withColumnRenamed("gen_ai_tool_name", "tool_name").drop("mcp_protocol_version")
+    return m.withColumn("span_kind", F.col("span_kind").cast("int"))
 
 
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    return a1_model_costs(spark, sf_dir)
+
+
+_QUERIES = [
+    w1_spans_dedup, w2_logs_dedup, w3_metrics_dedup, v1_all_spans, v2_gen_ai_spans, v3_mcp_spans, v4_gen_ai_metrics, v5_spans_redacted, v5_logs_redacted,
+    j1_gen_ai_logs, j2_metric_exemplars, a1_model_costs, a2_sessions, a3_tool_usage, a4_mcp_tool_usage,
+]
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {}
+    return {f.__name__: f for f in _QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(oracle.QUERIES)
