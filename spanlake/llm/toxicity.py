@@ -28,10 +28,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_batches, staged
+from .common import row_batches, staged, text_bytes
+from .shingles import shingle_set
 
-#: Labelled documents of each class that are fitted on, entries that are kept, and support an entry needs.
-SAMPLE, ENTRIES, SUPPORT = 3_000, 1_000, 3
+#: Labelled documents of each class that are fitted on, entries that are kept, and what an entry needs:
+#: toxic documents that have it, and these times its log odds (a few copies of one document are too little).
+#: From ``CLEAR`` log odds on an entry counts as one that clean documents don't have.
+SAMPLE, ENTRIES, SUPPORT, EVIDENCE, CLEAR = 3_000, 1_000, 3, 40.0, 4.0
 THRESHOLD = 0.3
 SHORTEST, LONGEST = 4, 11
 
@@ -105,14 +108,35 @@ def fold_of(doc_id: str | Column, of: int = 4) -> Column:
     return F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(of))
 
 
+def _labelled(labels: DataFrame, held_out: int) -> DataFrame:
+    """(doc_id, toxic 0 or 1) outside the held-out fold."""
+    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(fold_of("doc_id") != held_out)
+    return known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg((F.max("toxic") > 0).cast("int").alias("toxic"))
+
+
 def sample(docs: DataFrame, labels: DataFrame, held_out: int = 2, per_class: int = SAMPLE) -> DataFrame:
     """(text, toxic) of at most ``per_class`` labelled documents of each class outside the held-out fold."""
-    known = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").where(fold_of("doc_id") != held_out)
-    known = known.groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max("toxic").cast("int").alias("toxic"))
+    known = _labelled(labels, held_out)
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     picked = known.where("toxic = 1").orderBy(*order).limit(per_class).union(known.where("toxic = 0").orderBy(*order).limit(per_class))
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return staged(texts.join(F.broadcast(picked), "doc_id").select("text", "toxic"), "labelled")  # at most 2 * per_class rows are broadcast
+    rows = texts.join(F.broadcast(picked), "doc_id").select("text", "toxic")  # at most 2 * per_class rows are broadcast
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in row_batches(batches):
+            sets = [shingle_set(text_bytes(t), 5) for t in b.column(0).to_pylist()]
+            ends = [pa.array([int(s[i]) >> 1 if len(s) else None for s in sets], pa.int64()) for i in (0, -1)]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), *ends], names=["text", "toxic", "low", "high"])
+
+    # near copies mostly share the least or the greatest hash of their shingles: they count once as evidence
+    once = rows.mapInArrow(sketch, "text string, toxic int, low long, high long").dropDuplicates(["toxic", "low"]).dropDuplicates(["toxic", "high"])
+    return staged(once.select("text", "toxic"), "labelled")
+
+
+def _candidates(text: str | None) -> set[str]:
+    """The words of a text and their beginnings, as entries."""
+    ws = set(folded(text).split())
+    return {f" {w} " for w in ws} | {f" {w[:k]}" for w in ws for k in range(SHORTEST, min(len(w), LONGEST + 1))}
 
 
 def _counted(labelled: DataFrame) -> DataFrame:
@@ -122,10 +146,7 @@ def _counted(labelled: DataFrame) -> DataFrame:
         for b in row_batches(batches, 4_000_000):
             seen: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(*(c.to_pylist() for c in b.columns)):
-                ws = set(folded(text).split())
-                found = {f" {w} " for w in ws}
-                found.update(f" {w[:k]}" for w in ws for k in range(SHORTEST, min(len(w), LONGEST + 1)))
-                seen[1 - toxic].update(found)
+                seen[1 - toxic].update(_candidates(text))
             keys = list(seen[0] | seen[1])
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([seen[0][k] for k in keys], pa.int64()), pa.array([seen[1][k] for k in keys], pa.int64())], names=["entry", "toxic", "other"])
 
@@ -151,6 +172,30 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = 60, rid
 FALLBACK = (-3.0, 1.0, 1.5)
 
 
+def _chosen(ranked: list[tuple[str, float]], labelled: DataFrame) -> dict[str, float]:
+    """Of the entries, best first, those that aren't longer forms of a better one. An entry that clean
+    documents have as well must also bring its evidence from toxic documents that no better one is in."""
+    known = {e for e, _ in ranked}
+
+    def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in row_batches(batches, 4_000_000):
+            yield pa.RecordBatch.from_arrays([pa.array([sorted(_candidates(t) & known) for t in b.column(0).to_pylist()], pa.list_(pa.string()))], names=["entries"])
+
+    within: dict[str, set[int]] = {}
+    for i, r in enumerate(labelled.where("toxic = 1").select("text").mapInArrow(reach, "entries array<string>").collect()):  # at most per_class rows
+        for e in r["entries"]:
+            within.setdefault(e, set()).add(i)
+    entries: dict[str, float] = {}
+    reached: set[int] = set()
+    for e, w in ranked:
+        fresh = within.get(e, set()) - reached
+        if any(e.startswith(k) for k in entries) or (w < CLEAR and len(fresh) * w < EVIDENCE):
+            continue
+        entries[e] = w
+        reached |= fresh
+    return entries
+
+
 def fit(docs: DataFrame, labels: DataFrame, held_out: int = 2, per_class: int = SAMPLE) -> Model:
     """Learns entries and mapping from labelled documents outside the held-out fold."""
     built_in = {f" {w} ": v for w, v in BUILT_IN.items()}
@@ -159,18 +204,16 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 2, per_class: int =
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
     if not pos or not neg:
         return Model(built_in, FALLBACK)
+    # the sample holds equally many of each class; each counts for as many labelled documents as it stands for
+    whole = {r["toxic"]: r["count"] for r in _labelled(labels, held_out).groupBy("toxic").count().collect()}
+    share = {0: whole[0] / neg, 1: whole[1] / pos}
     odds = F.log((F.col("toxic") + 0.5) / (pos + 1)) - F.log((F.col("other") + 0.5) / (neg + 1))
     good = _counted(labelled).where(F.col("toxic") >= SUPPORT).withColumn("weight", odds).where("weight > 1.5")
     # entries that tell most come first; of equal ones the shorter, which covers more
-    good = good.withColumn("worth", F.col("weight") * F.sqrt("toxic")).orderBy(F.desc("worth"), F.length("entry"), "entry").limit(ENTRIES)
-    ranked = [(r["entry"], r["weight"], r["toxic"]) for r in good.collect()]  # at most ENTRIES rows
-    # an entry that only repeats a better, more general one adds nothing
-    entries: dict[str, float] = {}
-    strongest = max((w * math.sqrt(n) for _, w, n in ranked), default=0.0)
-    for e, w, n in ranked:
-        if any(e.startswith(k) for k in entries) or (w * math.sqrt(n) < 0.25 * strongest):
-            continue
-        entries[e] = w
+    good = good.withColumn("worth", F.col("weight") * F.col("toxic")).where(F.col("worth") >= EVIDENCE)
+    good = good.orderBy(F.desc("worth"), F.length("entry"), "entry").limit(ENTRIES)
+    ranked = [(r["entry"], r["weight"]) for r in good.select("entry", "weight").collect()]  # at most ENTRIES rows
+    entries = _chosen(ranked, labelled)
     entries = {e: w for e, w in built_in.items() if e not in entries and not any(e.startswith(k) for k in entries)} | entries
     model = Model(entries, FALLBACK)
 
@@ -183,7 +226,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 2, per_class: int =
     rows = labelled.mapInArrow(measure, "x double, y double, toxic int").collect()  # at most 2 * per_class rows of three numbers
     x = np.array([[1.0, r["x"], math.log1p(r["y"])] for r in rows])
     y = np.array([r["toxic"] for r in rows], dtype=float)
-    b = _logistic(x, y, np.ones(len(y)))
+    b = _logistic(x, y, np.where(y > 0, share[1], share[0]))
     return Model(entries, tuple(float(v) for v in b))
 
 
