@@ -39,7 +39,7 @@ def token_pieces(docs: DataFrame, capacity: int = CAPACITY, end_id: int = 1, tok
     tok = tokenizer or tokenizer_path()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in row_batches(batches, 4_000_000):
+        for b in row_batches(batches, 1_500_000):
             keys, texts = b.column(0).to_pylist(), [text_bytes(t) for t in b.column(1).to_pylist()]
             out: list[list] = [[], [], [], [], []]
             for key, ids in zip(keys, encoder(tok).encode(texts)):

@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from bisect import bisect_left
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -41,6 +41,8 @@ FOOTER = struct.Struct("<QQQQQQIII8s")
 BLOCK_BYTES = 64 << 10
 RESTART_EVERY = 16
 SHARD_BYTES = 16 << 20
+#: Bytes of ids in one batch that is read, and tasks that read at most.
+READ_BYTES, MAX_READ_TASKS = 2 << 20, 20_000
 BLOOM_BITS_PER_KEY, BLOOM_HASHES = 10, 7
 MANIFEST = "shard string, part int, seq int, docs long, tokens long, bytes long, first_key binary, last_key binary"
 
@@ -147,16 +149,17 @@ class ShardWriter:
 
 
 class ShardReader:
-    """Reads a shard: whole, or one key by filter, index and bisection."""
+    """Reads a shard block by block: whole, or one key by filter, index and bisection."""
 
-    def __init__(self, raw: bytes):
-        self.raw = raw
-        f = FOOTER.unpack(raw[-FOOTER.size :])
+    def __init__(self, file: pa.NativeFile):
+        self.file = file
+        end = file.size()
+        f = FOOTER.unpack(file.read_at(FOOTER.size, end - FOOTER.size))
         if f[-1] != MAGIC:
             raise ValueError("not a shard of this format")
-        index_at, _, bloom_at, bloom_size, self.docs, self.tokens, n_blocks, self.n_bits, self.width = f[:-1]
-        self.bloom = np.unpackbits(np.frombuffer(raw, np.uint8, bloom_size, bloom_at))
-        self.index, at = [], index_at
+        index_at, index_size, bloom_at, bloom_size, self.docs, self.tokens, n_blocks, self.n_bits, self.width = f[:-1]
+        self.bloom = np.unpackbits(np.frombuffer(file.read_at(bloom_size, bloom_at), np.uint8))
+        self.index, at, raw = [], 0, file.read_at(index_size, index_at)
         for _ in range(n_blocks):
             n, place, size = struct.unpack_from("<IQI", raw, at)
             self.index.append((raw[at + 16 : at + 16 + n], place, size))
@@ -165,7 +168,7 @@ class ShardReader:
 
     def _block(self, i: int) -> tuple[bytes, list[int]]:
         _, at, size = self.index[i]
-        raw = self._zstd.decompress(self.raw[at : at + size])
+        raw = self._zstd.decompress(self.file.read_at(size, at))
         n = struct.unpack_from("<I", raw, len(raw) - 4)[0]
         end = len(raw) - 4 * (n + 1)
         return raw[:end], list(struct.unpack_from(f"<{n}I", raw, end))
@@ -202,6 +205,13 @@ class ShardReader:
         return found
 
 
+def open_shard(uri: str, name: str) -> pa.NativeFile:
+    from pyarrow import fs
+
+    system, path = fs.FileSystem.from_uri(uri)
+    return system.open_input_file(f"{path}/{name}")
+
+
 def _store(uri: str, name: str, raw: bytes) -> None:
     from pyarrow import fs
 
@@ -233,7 +243,7 @@ def write_shards(
             row = {"shard": name, "part": part, "seq": seq, "docs": writer.docs, "tokens": writer.tokens, "bytes": len(raw), "first_key": first, "last_key": last}
             return pa.RecordBatch.from_pylist([row], schema=_MANIFEST_ARROW)
 
-        for b in row_batches(batches, 4_000_000):
+        for b in row_batches(batches, 1_500_000):
             keys, texts = b.column(0).to_pylist(), [text_bytes(t) for t in b.column(1).to_pylist()]
             for key, ids in zip(keys, enc.encode(texts)):
                 if writer is None:
@@ -254,69 +264,70 @@ _MANIFEST_ARROW = pa.schema(
 )
 
 
-def _shards(spark: SparkSession, path: str) -> DataFrame:
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.sst").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content")
-
-
 def read_shards(spark: SparkSession, path: str, manifest: DataFrame, key_type: str = "long") -> DataFrame:
     """One row for each stored document, from the files: key, place in the whole sequence, count and ids.
 
-    Places are sums over the manifest, which has a row for each shard of many megabytes.
+    Places are sums over the manifest, which has a row for each shard of many megabytes. Tasks get
+    shards by name and read them block by block.
     """
     w = Window.orderBy("part", "seq")
     starts = manifest.select("shard", (F.sum("tokens").over(w) - F.col("tokens")).alias("shard_start"))
-    if not manifest.head(1):
-        empty = f"doc_id {key_type}, start long, n_tokens long, ids binary, ids_crc32 long"
-        return spark.createDataFrame([], empty)
+    names = ["doc_id", "start", "n_tokens", "ids", "ids_crc32"]
+    types = (_key_type(key_type), pa.int64(), pa.int64(), pa.binary(), pa.int64())
 
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for name, raw in zip(b.column(0).to_pylist(), b.column(1)):
-                out, at = [], 0
-                for key, ids in ShardReader(raw.as_py()):
-                    packed = ids.astype("<u4").tobytes()
-                    out.append((name, decode_key(key), at, len(ids), packed, zlib.crc32(packed)))
-                    at += len(ids)
-                    if len(out) == 4_000:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _types(key_type))], names=_READ)
-                        out = []
+            for name, at in zip(*(c.to_pylist() for c in b.columns)):
+                out, size = [], 0
+                with open_shard(path, name) as file:
+                    for key, ids in ShardReader(file):
+                        packed = ids.astype("<u4").tobytes()
+                        out.append((decode_key(key), at, len(ids), packed, zlib.crc32(packed)))
+                        at, size = at + len(ids), size + len(packed)
+                        if size >= READ_BYTES:
+                            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+                            out, size = [], 0
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _types(key_type))], names=_READ)
+                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=names)
+
+    tasks = min(max(1, manifest.count()), MAX_READ_TASKS)
+    return starts.repartition(tasks).mapInArrow(decode, f"doc_id {key_type}, start long, n_tokens long, ids binary, ids_crc32 long")
 
-    rows = _shards(spark, path).mapInArrow(
-        decode, f"shard string, doc_id {key_type}, place long, n_tokens long, ids binary, ids_crc32 long"
-    )
-    return rows.join(starts, "shard").select(
-        "doc_id", (F.col("shard_start") + F.col("place")).alias("start"), "n_tokens", "ids", "ids_crc32"
-    )
 
+def _key_type(key_type: str) -> pa.DataType:
+    return pa.string() if key_type == "string" else pa.int64()
 
-_READ = ["shard", "doc_id", "place", "n_tokens", "ids", "ids_crc32"]
 
+def lookup(spark: SparkSession, path: str, manifest: DataFrame, keys: DataFrame, key_type: str = "long") -> DataFrame:
+    """Entries of the given keys (column ``doc_id``), found by filter, index and bisection in each shard that may hold them.
 
-def _types(key_type: str) -> list[pa.DataType]:
-    return [pa.string(), pa.string() if key_type == "string" else pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+    The driver holds the key range of each write task; within a task's shards keys are joined.
+    """
+    ranges = manifest.groupBy("part").agg(F.min("first_key").alias("low"), F.max("last_key").alias("high")).orderBy("part").collect()  # a row for each write task
+    lows, highs, parts = ([bytes(r["low"]) for r in ranges], [bytes(r["high"]) for r in ranges], [r["part"] for r in ranges])
 
+    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ks = [encode_key(k) for k in b.column(0).to_pylist()]
+            within = [parts[bisect_left(highs, k) : bisect_right(lows, k)] for k in ks]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(ks, pa.binary()), pa.array(within, pa.list_(pa.int32()))], names=["doc_id", "key", "parts"])
 
-def lookup(spark: SparkSession, path: str, manifest: DataFrame, keys: DataFrame, key_type: str = "long") -> DataFrame:
-    """Entries of the given keys (column ``doc_id``), found by filter, index and bisection in each shard that may hold them."""
-    encoded = F.udf(lambda k: encode_key(k), "binary")
-    wanted = keys.select("doc_id").distinct().select("doc_id", encoded("doc_id").alias("key"))
-    held = wanted.join(manifest, (F.col("key") >= F.col("first_key")) & (F.col("key") <= F.col("last_key")))
-    held = held.groupBy("shard").agg(F.collect_list("doc_id").alias("ids"))
+    wanted = keys.select(F.col("doc_id").cast(key_type)).distinct().mapInArrow(locate, f"doc_id {key_type}, key binary, parts array<int>")
+    wanted = wanted.select("doc_id", "key", F.explode("parts").alias("part"))
+    held = wanted.join(manifest.select("shard", "part", "first_key", "last_key"), "part").where("key >= first_key AND key <= last_key")
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema([("doc_id", _key_type(key_type)), ("n_tokens", pa.int64()), ("ids", pa.binary())])
+        opened, shard = None, None
         for b in batches:
-            for raw, ids in zip(b.column(0), b.column(1).to_pylist()):
-                shard = ShardReader(raw.as_py())
-                for k in ids:
-                    for found in shard.get(k):
-                        row = {"doc_id": k, "n_tokens": len(found), "ids": found.astype("<u4").tobytes()}
-                        yield pa.RecordBatch.from_pylist([row], schema=pa.schema([("doc_id", _types(key_type)[1]), ("n_tokens", pa.int64()), ("ids", pa.binary())]))
-
-    rows = _shards(spark, path).join(held, "shard").select("content", "ids")
-    return rows.mapInArrow(find, f"doc_id {key_type}, n_tokens long, ids binary")
+            for name, k in zip(*(c.to_pylist() for c in b.columns)):
+                if name != opened:
+                    opened, shard = name, ShardReader(open_shard(path, name))
+                rows = [{"doc_id": k, "n_tokens": len(ids), "ids": ids.astype("<u4").tobytes()} for ids in shard.get(k)]
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=schema)
+
+    return held.select("shard", "doc_id").repartition("shard").sortWithinPartitions("shard", "doc_id").mapInArrow(find, f"doc_id {key_type}, n_tokens long, ids binary")
 
 
 def write_and_read(docs: DataFrame, end_id: int = 2, tokenizer: str | None = None) -> DataFrame:

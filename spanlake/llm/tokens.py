@@ -12,7 +12,7 @@ from collections.abc import Iterable
 import numpy as np
 
 END_OF_WORD_TOKENIZER = "word_bpe_49k.json"
-MEMO_CHUNKS = 700_000
+MEMO_CHUNKS = 400_000
 _LOADED: dict[str, "ChunkEncoder"] = {}
 
 
