@@ -8,9 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
-from .operators import dedup
-from .plans import views
+from .functions import anyvalue
+from .operators import dedup, fingerprint, offload
+from .operators.stage import shared_path
+from .plans import dashboards, marts, trajectory, tvf, views
 from .sources import projection
+from .streaming import alerts
+
+#: Bounds of the time-bounded queries, and the days of the reports.
+START, END, CONTEXT_START, CONTEXT_END = "2024-01-05", "2024-01-12", "2024-01-04", "2024-01-13"
+FIRST_DAY, LAST_DAY = "20240105", "20240111"
 
 
 def spans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,13 +124,122 @@ def a4_mcp_tool_usage(spark, d):
     return m.withColumn("span_kind", F.col("span_kind").cast("int"))
 
 
+def _flat_trajectory(t: DataFrame) -> DataFrame:
+    return t.select(
+        "trace_id", "span_id", "service_name", "start_time", "depth", "root_span_id", "nearest_agent_name", F.array_join("agent_path", " > ").alias("agent_path"), "is_orphan", F.col("step_index").cast("long"),
+        "is_leaf", "is_token_leaf", "gen_ai_usage_input_tokens", "gen_ai_usage_output_tokens", "gen_ai_usage_reasoning_tokens",
+    )
+
+
+def q1_agent_trajectory(spark, d):
+    return _flat_trajectory(trajectory.trajectory(genai(spark, d)))
+
+
+def q2_tvf_agent_trajectory(spark, d):
+    return _flat_trajectory(tvf.agent_trajectory(genai(spark, d), START, END, CONTEXT_START, CONTEXT_END))
+
+
+def q4_tvf_logs(spark, d):
+    return tvf.gen_ai_logs(logs(spark, d), spans(spark, d), "2024-01-01 12:00:00", "2024-01-02 12:00:00").select("trace_id", "span_id", "service_name", "timestamp", "event_name", "gen_ai_agent_name", "adk_user_id")
+
+
+def q5_tvf_metric_exemplars(spark, d):
+    x = tvf.gen_ai_metric_exemplars(views.gen_ai_metrics(metrics(spark, d)), spans(spark, d), START, END)
+    return x.select("metric_name", "service_name", "metric_timestamp", "exemplar_value_double", "trace_id", "span_id", "span_start_time", "span_gen_ai_agent_name")
+
+
+def q7_unhandled_cycles(spark, d):
+    g = genai(spark, d)
+    return marts.unhandled_cycles(g, trajectory.trajectory(g))
+
+
+def q9_executive_summary(spark, d):
+    return dashboards.executive_summary(views.model_costs(genai(spark, d)), FIRST_DAY, LAST_DAY).drop("total_cache_creation_input_tokens")
+
+
+def q10_agent_sessions(spark, d):
+    s = dashboards.agent_sessions(views.sessions(genai(spark, d)), FIRST_DAY, LAST_DAY).withColumn("turn_count_bucket", dashboards.turn_count_bucket())
+    return s.select("session_start_date", "session_id", "service_name", "turn_count", "turn_count_bucket", "error_count", "total_input_tokens", "top_error_types")
+
+
+def q11_tool_and_mcp_usage(spark, d):
+    u = dashboards.tool_and_mcp_usage(views.mcp_tool_usage(views.mcp_spans(spans(spark, d))), views.tool_usage(genai(spark, d)), FIRST_DAY, LAST_DAY)
+    return u.select("source", "usage_hour", "usage_date", "service_name", "gen_ai_tool_name", "mcp_target_name", "gen_ai_agent_name", "server_address", "span_kind", "call_count", "mcp_only_call_count", "error_count", "p50_duration_ms", "top_error_types")
+
+
+def _alerts(spark, d):
+    s = spans(spark, d)
+    return alerts.tool_errors(s).unionByName(alerts.token_budget(s, 60, 120)).unionByName(alerts.agent_latency(s, 150.0))
+
+
+def r1_span_alerts(spark, d):
+    """Alerts delivered twice and read once, with their payloads as columns."""
+    a = _alerts(spark, d)
+    found = dashboards.alerts(a.unionByName(a), FIRST_DAY, LAST_DAY)
+    return found.select("alert_id", "alert_kind", "event_time", "service_name", "trace_id", "tool_name", "mcp_method_name", "error_type", "status_code", "session_id", "input_tokens", "output_tokens", "duration_ms")
+
+
+def r4_tool_error_windows(spark, d):
+    a = alerts.tool_error_windows(spans(spark, d), "6 hours", 2)
+    return a.select("alert_kind", "event_time", "service_name", F.get_json_object("payload", "$.tool_name").alias("tool_name"), F.get_json_object("payload", "$.error_spans").cast("long").alias("error_spans"))
+
+
+def q14_metric_exemplars(spark, d):
+    x = views.metric_exemplars(views.gen_ai_metrics(metrics(spark, d)), spans(spark, d))
+    x = dashboards.metric_exemplars(x, FIRST_DAY, LAST_DAY).withColumn("span_key", dashboards.exemplar_span_key())
+    return x.select("metric_name", "service_name", "metric_date", "exemplar_value", "span_key", "trace_url", "span_name", "span_duration_ms")
+
+
+def q15_report_fields(spark, d):
+    c = views.model_costs(genai(spark, d)).groupBy(F.to_date("usage_hour").alias("usage_date")).agg(dashboards.error_rate(), dashboards.estimated_cost(2.5, 10.0))
+    m = views.mcp_tool_usage(views.mcp_spans(spans(spark, d))).groupBy(F.to_date("usage_hour").alias("usage_date")).agg(dashboards.dual_tagged_share(), dashboards.weighted_avg_duration_ms())
+    s = views.sessions(genai(spark, d)).groupBy(F.col("session_start_date").alias("usage_date")).agg(dashboards.sessions_with_errors())
+    return c.join(m, "usage_date").join(s, "usage_date")
+
+
+def q16_model_costs_mart(spark, d):
+    """The hourly mart after a first run and a second one over part of it."""
+    root, g = shared_path(spark, "marts"), genai(spark, d)
+    for run in ("2024-01-10T05:30:00Z", "2024-01-10T09:10:00Z"):
+        _, start = marts.run_window(spark, root, run)
+        fresh = views.model_costs(g.where(F.col("start_time") >= F.lit(start).cast("timestamp")))
+        marts.replace_partitions(fresh, f"{root}/costs", "usage_hour", start)
+    c = flat_top(spark.read.parquet(f"{root}/costs")).withColumn("usage_hour", F.col("usage_hour").cast("timestamp"))
+    return c.withColumnRenamed("gen_ai_agent_name", "agent_name").drop("total_cache_creation_input_tokens")
+
+
+def t7_redaction(spark, d):
+    """Turns as attribute bags: a user's is under a key that is masked, numbers in others are."""
+    c = spark.read.parquet(f"{d}/conversations.parquet")
+    key = F.when(F.col("role") == "user", "session_token").otherwise("note")
+    raw = F.to_json(F.array(F.struct(key.alias("key"), F.struct(F.col("text").alias("stringValue")).alias("value"))))
+    rules = anyvalue.Redaction(patterns=("[0-9]{2,}",))
+    out = c.select("conv_id", "turn", anyvalue.encoded_bags([(raw, "attributes")], anyvalue.Limits(), rules)[0]["plain"].alias("bag"))
+    return out.select("conv_id", "turn", F.get_json_object("bag", "$.session_token").alias("session_token"), F.get_json_object("bag", "$.note").alias("note"))
+
+
+def t8_offload(spark, d):
+    """Documents of 2 to 64 kB put away once for each content, and the references to them."""
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    rows, objects = offload.offloaded(docs, "text", F.lit("2024-01-01").cast("date"), "store/payloads", "logs", 2_000, 64_000)
+    refs = rows.where(F.size("payload_refs") > 0).groupBy(F.col("payload_refs")[0]["sha256"].alias("sha256")).agg(F.count("*").alias("refs"), F.min("text").alias("text"))
+    return objects.drop("content").join(refs, "sha256")
+
+
+def t10_fingerprints(spark, d):
+    """Digests of turns by role and text; repeated ones in a conversation are numbered."""
+    c = spark.read.parquet(f"{d}/conversations.parquet").select("conv_id", "turn", "role", "text", F.col("conv_id").alias("batch"), F.col("turn").alias("place"), F.lit(None).cast("string").alias("reason"))
+    return fingerprint.with_fingerprint(c, {"role": F.col("role"), "text": F.col("text")}, "record_fingerprint").select("conv_id", "turn", "record_fingerprint")
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a1_model_costs(spark, sf_dir)
 
 
 _QUERIES = [
     w1_spans_dedup, w2_logs_dedup, w3_metrics_dedup, v1_all_spans, v2_gen_ai_spans, v3_mcp_spans, v4_gen_ai_metrics, v5_spans_redacted, v5_logs_redacted,
-    j1_gen_ai_logs, j2_metric_exemplars, a1_model_costs, a2_sessions, a3_tool_usage, a4_mcp_tool_usage,
+    j1_gen_ai_logs, j2_metric_exemplars, a1_model_costs, a2_sessions, a3_tool_usage, a4_mcp_tool_usage, q1_agent_trajectory, q2_tvf_agent_trajectory, q4_tvf_logs, q5_tvf_metric_exemplars, q7_unhandled_cycles,
+    q9_executive_summary, q10_agent_sessions, q11_tool_and_mcp_usage, r1_span_alerts, r4_tool_error_windows, q14_metric_exemplars, q15_report_fields, q16_model_costs_mart, t7_redaction, t8_offload, t10_fingerprints,
 ]
 
 

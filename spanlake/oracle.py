@@ -5,8 +5,7 @@ from __future__ import annotations
 from .sources import projection as P
 
 
-
-def _columns(table: dict[str, str], quote: bool = False) -> str:
+def _columns(table: dict[str, str]) -> str:
     return ", ".join(f'{e} AS "{k}"' for k, e in table.items())
 
 
@@ -106,9 +105,9 @@ s2 AS (SELECT *, coalesce({_CALL}, FALSE) AS is_call FROM s1),
 sessions AS ({_with_top('''
     SELECT session_id, service_name, session_start_date, min(adk_user) AS user_id, min(agent_name) AS agent_name, min(start_time) AS session_start_time, max(end_time) AS session_end_time,
            CAST(floor((epoch_us(max(end_time)) - epoch_us(min(start_time))) / 1000) AS BIGINT) AS session_duration_ms, count(DISTINCT trace_id) AS turn_count, count(DISTINCT invocation_id) AS invocation_count,
-           count_if(op = 'execute_tool' OR tool_name IS NOT NULL)::BIGINT AS tool_call_count, count_if(status_code = 2)::BIGINT AS error_count, sum(CASE WHEN leaf THEN coalesce(t_in, 0) ELSE 0 END)::BIGINT AS total_input_tokens,
+           count_if(coalesce(op = 'execute_tool', FALSE) OR tool_name IS NOT NULL)::BIGINT AS tool_call_count, count_if(status_code = 2)::BIGINT AS error_count, sum(CASE WHEN leaf THEN coalesce(t_in, 0) ELSE 0 END)::BIGINT AS total_input_tokens,
            sum(CASE WHEN leaf THEN coalesce(t_out, 0) ELSE 0 END)::BIGINT AS total_output_tokens, sum(CASE WHEN leaf THEN coalesce(t_read, 0) ELSE 0 END)::BIGINT AS total_cache_read_input_tokens,
-           sum(CASE WHEN leaf THEN coalesce(t_reason, 0) ELSE 0 END)::BIGINT AS total_reasoning_tokens, count_if(is_call)::BIGINT AS llm_call_count, count_if(op = 'invoke_agent')::BIGINT AS agent_invocation_count,
+           sum(CASE WHEN leaf THEN coalesce(t_reason, 0) ELSE 0 END)::BIGINT AS total_reasoning_tokens, count_if(is_call)::BIGINT AS llm_call_count, count_if(coalesce(op = 'invoke_agent', FALSE))::BIGINT AS agent_invocation_count,
            count(error_type) AS typed_error_count
     FROM s2 GROUP BY session_id, service_name, session_start_date''', "s2", "service_name, session_start_date, session_id")})
 """
@@ -131,6 +130,56 @@ mcp AS ({_with_top('''
     FROM mm GROUP BY ALL''', "mm", "usage_hour, service_name, mcp_method_name, tool_name, mcp_target_name, span_kind, server_address")})
 """
 
+
+
+def _trajectory(where: str = "TRUE", out: str = "TRUE") -> str:
+    """Trees over the spans of ``where``; rows of ``out``."""
+    same = "c.trace_id = t.trace_id AND c.service_name IS NOT DISTINCT FROM t.service_name"
+    starts = "(agent_op OR declared IS NOT NULL)"
+    below = "(c.agent_op OR (t.nearest_span IS NULL AND c.declared IS NOT NULL))"
+    return f"""WITH RECURSIVE {GENAI},
+    canon AS (
+        SELECT *, CASE WHEN agent_op THEN coalesce(declared, agent_name) ELSE declared END AS path_name
+        FROM (SELECT *, coalesce(op IN ('invoke_agent', 'create_agent'), FALSE) AS agent_op FROM g WHERE {where})
+        QUALIFY row_number() OVER (PARTITION BY trace_id, service_name, span_id ORDER BY start_time, end_time DESC, span_name, duration_nano DESC) = 1
+    ),
+    tree AS (
+        SELECT c.*, 0 AS depth, span_id AS root_span_id, CASE WHEN {starts} THEN span_id END AS nearest_span, CASE WHEN {starts} THEN coalesce(declared, agent_name) END AS nearest_name,
+               CASE WHEN path_name IS NULL THEN CAST([] AS VARCHAR[]) ELSE [path_name] END AS agent_path, coalesce(parent_span_id, '') <> '' AS is_orphan, [span_id] AS visited
+        FROM canon c WHERE coalesce(parent_span_id, '') = '' OR NOT EXISTS (
+            SELECT 1 FROM canon t WHERE {same} AND c.parent_span_id = t.span_id AND c.start_time BETWEEN t.start_time - INTERVAL 1 HOUR AND t.start_time + INTERVAL 24 HOUR)
+        UNION ALL
+        SELECT c.*, t.depth + 1, t.root_span_id, CASE WHEN {below} THEN c.span_id ELSE t.nearest_span END, CASE WHEN {below} THEN coalesce(c.declared, c.agent_name) ELSE t.nearest_name END,
+               CASE WHEN c.path_name IS NULL OR (len(t.agent_path) > 0 AND t.agent_path[-1] = c.path_name) THEN t.agent_path ELSE list_append(t.agent_path, c.path_name) END, t.is_orphan, list_append(t.visited, c.span_id)
+        FROM canon c JOIN tree t ON {same} AND c.parent_span_id = t.span_id AND c.start_time BETWEEN t.start_time - INTERVAL 1 HOUR AND t.start_time + INTERVAL 24 HOUR
+        WHERE t.depth < 16 AND NOT list_contains(t.visited, c.span_id)
+    ),
+    closure AS (
+        SELECT c.trace_id, c.service_name, c.span_id AS d, c.t_in, c.t_out, c.t_reason, t.span_id AS p, t.parent_span_id AS up, [c.span_id, t.span_id] AS path
+        FROM tree c JOIN tree t ON {same} AND c.parent_span_id = t.span_id AND c.span_id <> t.span_id
+        UNION ALL
+        SELECT c.trace_id, c.service_name, c.d, c.t_in, c.t_out, c.t_reason, t.span_id, t.parent_span_id, list_append(path, t.span_id)
+        FROM closure c JOIN tree t ON {same} AND c.up = t.span_id WHERE NOT list_contains(path, t.span_id) AND len(path) <= 32
+    ),
+    cover AS (SELECT trace_id, service_name, p, bool_or(t_in IS NOT NULL) AS c_in, bool_or(t_out IS NOT NULL) AS c_out, bool_or(t_reason IS NOT NULL) AS c_reason FROM closure GROUP BY ALL),
+    marked AS (
+        SELECT t.*, t_in IS NOT NULL AND NOT coalesce(c_in, FALSE) AS o_in, t_out IS NOT NULL AND NOT coalesce(c_out, FALSE) AS o_out, t_reason IS NOT NULL AND NOT coalesce(c_reason, FALSE) AS o_reason, c_in, c_out, c_reason,
+               row_number() OVER (PARTITION BY t.trace_id, t.service_name ORDER BY start_time, span_id) AS step_index,
+               NOT EXISTS (SELECT 1 FROM canon c WHERE {same} AND c.parent_span_id = t.span_id) AS is_leaf
+        FROM tree t LEFT JOIN cover v ON v.trace_id = t.trace_id AND v.service_name IS NOT DISTINCT FROM t.service_name AND v.p = t.span_id
+    )
+    SELECT trace_id, span_id, service_name, start_time, depth, root_span_id, nearest_name AS nearest_agent_name, array_to_string(agent_path, ' > ') AS agent_path, is_orphan, step_index, is_leaf, o_in OR o_out OR o_reason AS is_token_leaf,
+           CASE WHEN coalesce(c_in, FALSE) AND (o_out OR o_reason) THEN NULL ELSE t_in END AS gen_ai_usage_input_tokens, CASE WHEN coalesce(c_out, FALSE) AND (o_in OR o_reason) THEN NULL ELSE t_out END AS gen_ai_usage_output_tokens,
+           CASE WHEN coalesce(c_reason, FALSE) AND (o_in OR o_out) THEN NULL ELSE t_reason END AS gen_ai_usage_reasoning_tokens
+    FROM marked WHERE {out}"""
+
+
+_DAYS = "{0} >= TIMESTAMP '2024-01-05' AND {0} < TIMESTAMP '2024-01-12'"
+#: ``a:2,b:1`` as ``a (2), b (1)``; NULL for none.
+_TOP_TEXT = r"nullif(regexp_replace(regexp_replace({0}, ':([0-9]+)', ' (\1)', 'g'), '\),', '), ', 'g'), '')"
+_FAILED = """(status_code = 2 OR "error.type" IS NOT NULL) AND ("gen_ai.operation.name" = 'execute_tool' OR "gen_ai.tool.name" IS NOT NULL OR "mcp.method.name" IS NOT NULL)"""
+_ALERT = "service_name, trace_id, start_time AS event_time"
+
 QUERIES = {
     "w1_spans_dedup": f"WITH {SPANS} SELECT trace_id, span_id, service_name, name, start_time, end_time, duration_nano, receive_nano AS receive_time_unix_nano FROM spans",
     "w2_logs_dedup": f"WITH {LOGS} SELECT trace_id, span_id, service_name, log_time AS timestamp, log_receive AS receive_time_unix_nano, severity AS severity_number, event_name FROM logs",
@@ -160,4 +209,49 @@ QUERIES = {
     "a2_sessions": f"WITH {SESSIONS} SELECT * FROM sessions",
     "a3_tool_usage": f"WITH {TOOLS} SELECT * FROM tools",
     "a4_mcp_tool_usage": f"WITH {MCP_USAGE} SELECT * FROM mcp",
+    "q1_agent_trajectory": _trajectory(),
+    "q2_tvf_agent_trajectory": _trajectory("start_time >= TIMESTAMP '2024-01-04' AND start_time < TIMESTAMP '2024-01-13'", _DAYS.format("start_time")),
+    "q9_executive_summary": f"""WITH {COSTS} SELECT usage_hour, CAST(usage_hour AS DATE) AS usage_date, service_name, agent_name AS gen_ai_agent_name, provider, model, call_count, error_count, typed_error_count, total_input_tokens,
+        total_output_tokens, total_cache_read_input_tokens, total_reasoning_tokens, p50_duration_ms, p95_duration_ms, p99_duration_ms, {_TOP_TEXT.format("top_errors")} AS top_error_types FROM costs WHERE {_DAYS.format("usage_hour")}""",
+    "q10_agent_sessions": f"""WITH {SESSIONS} SELECT session_start_date, session_id, service_name, turn_count, CASE WHEN turn_count <= 1 THEN '01' WHEN turn_count <= 3 THEN '02-03' WHEN turn_count <= 6 THEN '04-06' WHEN turn_count <= 10 THEN '07-10' ELSE '11+' END AS turn_count_bucket,
+        error_count, total_input_tokens, {_TOP_TEXT.format("top_errors")} AS top_error_types FROM sessions WHERE {_DAYS.format("session_start_date")}""",
+    "q11_tool_and_mcp_usage": f"""WITH {MCP_USAGE}, g AS ({GENAI.rpartition("g AS (")[2].rstrip().removesuffix(")")}), {TOOLS.removeprefix(GENAI + ",")}
+        SELECT 'mcp' AS source, usage_hour, CAST(usage_hour AS DATE) AS usage_date, service_name, tool_name AS gen_ai_tool_name, mcp_target_name, NULL AS gen_ai_agent_name, server_address, CAST(span_kind AS BIGINT) AS span_kind, call_count,
+               call_count - gen_ai_tagged_call_count AS mcp_only_call_count, error_count, p50_duration_ms, {_TOP_TEXT.format("top_errors")} AS top_error_types FROM mcp WHERE {_DAYS.format("usage_hour")}
+        UNION ALL
+        SELECT 'gen_ai', usage_hour, CAST(usage_hour AS DATE), service_name, tool_name, NULL, agent_name, NULL, NULL, call_count, NULL, error_count, p50_duration_ms, {_TOP_TEXT.format("top_errors")} FROM tools WHERE {_DAYS.format("usage_hour")}""",
+    "q4_tvf_logs": "",
+    "q5_tvf_metric_exemplars": f"""WITH {METRICS}, x AS (SELECT p.*, u.ex_span FROM points p, (SELECT unnest([1, 3]) AS nth) n, LATERAL (SELECT CASE WHEN nth = 1 THEN p.span_id ELSE '0000000000none00' END AS ex_span) u WHERE metric_name LIKE 'gen_ai.%' AND {_DAYS.format("point_time")})
+        SELECT x.metric_name, x.service_name, x.point_time AS metric_timestamp, x.o_totalprice AS exemplar_value_double, x.trace_id, x.ex_span AS span_id, s.start_time AS span_start_time, coalesce(s."gen_ai.agent.name", s."gen_ai.main_agent.name") AS span_gen_ai_agent_name
+        FROM x LEFT JOIN spans s ON s.trace_id = x.trace_id AND s.span_id = x.ex_span AND s.service_name IS NOT DISTINCT FROM x.service_name""",
+    "q7_unhandled_cycles": f"""WITH t AS ({_trajectory()}), {GENAI}
+        SELECT g.trace_id, g.service_name, g.span_id, count(t.span_id) AS emitted_rows, CASE WHEN count(t.span_id) = 0 THEN 'span_missing_from_trajectory' ELSE 'span_in_trajectory_more_than_once' END AS violation
+        FROM (SELECT DISTINCT trace_id, service_name, span_id FROM g) g LEFT JOIN t ON g.trace_id = t.trace_id AND g.service_name IS NOT DISTINCT FROM t.service_name AND g.span_id = t.span_id GROUP BY ALL HAVING count(t.span_id) <> 1""",
+    "r1_span_alerts": f"""WITH {SPANS}, al AS (
+        SELECT 'TOOL_ERROR:' || trace_id || ':' || span_id AS alert_id, 'TOOL_ERROR' AS alert_kind, {_ALERT}, "gen_ai.tool.name" AS tool_name, "mcp.method.name" AS mcp_method_name, "error.type" AS error_type, CAST(status_code AS BIGINT) AS status_code,
+               CAST(NULL AS VARCHAR) AS session_id, CAST(NULL AS BIGINT) AS input_tokens, CAST(NULL AS BIGINT) AS output_tokens, CAST(NULL AS DOUBLE) AS duration_ms FROM spans WHERE {_FAILED}
+        UNION ALL
+        SELECT 'TOKEN_BUDGET_BURN:' || trace_id || ':' || span_id, 'TOKEN_BUDGET_BURN', {_ALERT}, NULL, NULL, NULL, NULL, coalesce("gen_ai.conversation.id", "gcp.vertex.agent.session_id"), CAST("gen_ai.usage.input_tokens" AS BIGINT), CAST("gen_ai.usage.output_tokens" AS BIGINT), NULL
+        FROM spans WHERE coalesce(CAST("gen_ai.usage.input_tokens" AS BIGINT), 0) > 60 OR coalesce(CAST("gen_ai.usage.output_tokens" AS BIGINT), 0) > 120
+        UNION ALL
+        SELECT 'AGENT_LATENCY_HIGH:' || trace_id || ':' || span_id, 'AGENT_LATENCY_HIGH', {_ALERT}, "gen_ai.tool.name", NULL, NULL, NULL, NULL, NULL, NULL, duration_ms
+        FROM spans WHERE duration_nano / 1e6 > 150 AND "gen_ai.operation.name" IN ('invoke_agent', 'chat', 'generate_content', 'execute_tool'))
+        SELECT * FROM al WHERE {_DAYS.format("event_time")}""",
+    "r4_tool_error_windows": f"""WITH {SPANS} SELECT 'TOOL_ERROR_WINDOW' AS alert_kind, time_bucket(INTERVAL 6 HOUR, make_timestamp(receive_nano // 1000), TIMESTAMP '2000-01-01') + INTERVAL 6 HOUR AS event_time, service_name, "gen_ai.tool.name" AS tool_name, count(*) AS error_spans
+        FROM spans WHERE {_FAILED} GROUP BY ALL HAVING count(*) >= 2""",
+    "q15_report_fields": f"""WITH {COSTS}, {MCP_USAGE.removeprefix(SPANS + ",")}, {SESSIONS.removeprefix(GENAI + ",")},
+        c AS (SELECT CAST(usage_hour AS DATE) AS usage_date, sum(error_count) / sum(call_count) AS error_rate, (sum(total_input_tokens) * 2.5 + sum(total_output_tokens) * 10.0) / 1000000 AS estimated_cost FROM costs GROUP BY 1),
+        u AS (SELECT CAST(usage_hour AS DATE) AS usage_date, sum(gen_ai_tagged_call_count) / sum(call_count) AS dual_tagged_share, sum(avg_duration_ms * call_count) / sum(call_count) AS weighted_avg_duration_ms FROM mcp GROUP BY 1),
+        z AS (SELECT session_start_date AS usage_date, count(DISTINCT CASE WHEN error_count > 0 THEN session_id END) AS sessions_with_errors FROM sessions GROUP BY 1)
+        SELECT * FROM c JOIN u USING (usage_date) JOIN z USING (usage_date)""",
+    "q16_model_costs_mart": f"WITH {COSTS} SELECT * FROM costs",
+    "t7_redaction": "SELECT conv_id, turn, CASE WHEN role = 'user' THEN '[REDACTED]' END AS session_token, CASE WHEN coalesce(role, '') <> 'user' THEN regexp_replace(text, '[0-9]{2,}', '[REDACTED]', 'g') END AS note FROM conversations",
+    "t8_offload": """WITH l AS (SELECT sha256(text) AS sha256, strlen(text) AS byte_size FROM documents WHERE strlen(text) BETWEEN 2000 AND 64000)
+        SELECT 'store/payloads/logs/2024-01-01/' || sha256 AS uri, sha256, byte_size, count(*) AS refs, '<offloaded:store/payloads/logs/2024-01-01/' || sha256 || '>' AS text FROM l GROUP BY ALL""",
+    "t10_fingerprints": """WITH f AS (SELECT conv_id, turn, 'role=' || strlen(coalesce(role, '')) || ':' || coalesce(role, '') || chr(10) || 'text=' || strlen(coalesce(text, '')) || ':' || coalesce(text, '') || chr(10) AS frame FROM conversations),
+        n AS (SELECT *, CAST(row_number() OVER (PARTITION BY conv_id, frame ORDER BY turn) - 1 AS VARCHAR) AS nth FROM f)
+        SELECT conv_id, turn, 'fp1:' || sha256(frame || 'intra_batch_ordinal=' || strlen(nth) || ':' || nth || chr(10)) AS record_fingerprint FROM n""",
 }
+QUERIES["q4_tvf_logs"] = f"SELECT trace_id, span_id, service_name, timestamp, event_name, gen_ai_agent_name, adk_user_id FROM ({QUERIES['j1_gen_ai_logs']}) WHERE timestamp >= TIMESTAMP '2024-01-01 12:00:00' AND timestamp < TIMESTAMP '2024-01-02 12:00:00'"
+QUERIES["q14_metric_exemplars"] = f"""SELECT metric_name, service_name, CAST(metric_timestamp AS DATE) AS metric_date, exemplar_value_double AS exemplar_value, trace_id || ':' || span_id AS span_key,
+    'https://console.cloud.google.com/traces/explorer;traceId=' || trace_id || '?project=project' AS trace_url, span_name, span_duration_ms FROM ({QUERIES["q5_tvf_metric_exemplars"].replace("AS span_start_time,", "AS span_start_time, s.name AS span_name, s.duration_ms AS span_duration_ms,")})"""
