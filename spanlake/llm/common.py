@@ -50,6 +50,14 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def unused(name: str, df: DataFrame) -> str:
+    """``name``, or a longer one if ``df`` has a column of that name."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 def text_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 

@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import unused
+
 N = 10
 MAX_BROADCAST = 1_000_000
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -99,21 +101,26 @@ def decontaminate(
     lose the words of hits and what stands between them (``spans``)."""
     if remove not in ("documents", "spans"):
         raise ValueError("remove is 'documents' or 'spans'")
-    bad = contamination(docs, benchmark, n, max_broadcast).where("contaminated")
-    bad = bad.groupBy("doc_id", "text_hash").agg(F.first("hits").alias("hit_spans"))
-    bad = bad.select(F.col("doc_id").alias("b_id"), F.col("text_hash").alias("b_text"), "hit_spans")
-    same = docs["doc_id"].eqNullSafe(F.col("b_id")) & (F.xxhash64(docs["text"]) == F.col("b_text"))
+    found = contamination(docs, benchmark, n, max_broadcast).where("contaminated").groupBy("doc_id", "text_hash").agg(F.first("hits").alias("hits"))
+    own, text_hash, hits = (unused(c, docs) for c in ("bad_id", "bad_text", "hit_spans"))
+    bad = found.select(F.col("doc_id").alias(own), F.col("text_hash").alias(text_hash), F.col("hits").alias(hits))
+    same = docs["doc_id"].eqNullSafe(F.col(own)) & (F.xxhash64(docs["text"]) == F.col(text_hash))
     if remove == "documents":
         return docs.join(bad, same, "left_anti")
-    joined = docs.join(bad, same, "left")
-    # words stand at odd places of this array, what is between them at even ones
-    pieces = F.expr(r"regexp_extract_all(text, '([^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+)|([\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+)', 0)")
-    first_is_word = F.expr(r"text rlike '^[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]'")
-    joined = joined.withColumns({"b_pieces": pieces, "b_odd": F.when(first_is_word, 0).otherwise(1)})
-    # the word of piece i (from 0) is (i - odd) / 2 + 1; a gap goes if the words on both its sides are in one hit
-    kept = F.expr("""
-        array_join(filter(b_pieces, (p, i) -> NOT exists(hit_spans, h ->
-            CASE WHEN (i - b_odd) % 2 = 0 THEN (i - b_odd) div 2 + 1 BETWEEN h.at AND h.at + h.size - 1
-                 ELSE i >= b_odd AND (i - b_odd - 1) div 2 + 1 >= h.at AND (i - b_odd + 1) div 2 + 1 <= h.at + h.size - 1 END)), '')""")
-    text = F.when(F.col("hit_spans").isNull(), F.col("text")).otherwise(kept)
-    return joined.select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+    text = F.when(F.col(hits).isNull(), F.col("text")).otherwise(_without(F.col("text"), F.col(hits)))
+    return docs.join(bad, same, "left").select(*[text.alias("text") if c == "text" else docs[c] for c in docs.columns])
+
+
+def _without(text: Column, hits: Column) -> Column:
+    """The text without the words of the hits and what stands between two words of one hit."""
+    word, gap = r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)", r"([\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"
+    # words and gaps take turns; place i is that of word (i - odd) / 2 + 1 or of the gap behind it
+    pieces = F.regexp_extract_all(text, F.lit(f"{word}|{gap}"), 0)
+    odd = F.when(text.rlike(f"^{word}"), 0).otherwise(1)
+
+    def stays(_: Column, i: Column) -> Column:
+        nth = F.floor((i - odd) / 2) + 1
+        last = F.when(F.pmod(i - odd, F.lit(2)) == 0, nth).otherwise(nth + 1)
+        return ~F.exists(hits, lambda h: (nth >= h["at"]) & (last <= h["at"] + h["size"] - 1))
+
+    return F.array_join(F.filter(pieces, stays), "")

@@ -31,8 +31,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import row_batches, row_key, staged
+from .common import row_batches, row_key, staged, unused
 
 MIN_WORDS = 50
 _SPACES = re.compile(r"\s+")
@@ -143,15 +144,15 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents without later repeated runs, and ``lines_removed``; all other columns as they are."""
-    runs = repeated_runs(docs, min_words).select(F.col("doc_id").alias("r_id"), F.col("doc_key").alias("r_key"), "runs")
-
-    names = docs.columns
+    """The documents without later repeated runs, and ``lines_removed`` (in place of a column of that name); all other columns as they are."""
+    docs = docs.drop("lines_removed")
+    names, key, runs = docs.columns, unused("run_key", docs), unused("runs", docs)
+    found = repeated_runs(docs, min_words).select(F.col("doc_key").alias(key), F.col("runs").alias(runs))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts, counts = [], []
-            for text, spans in zip(b.column("text").to_pylist(), b.column("runs").to_pylist()):
+            for text, spans in zip(b.column("text").to_pylist(), b.column(runs).to_pylist()):
                 gone = {k for s in spans or () for k in range(s["first"], s["last"] + 1)}
                 if gone:
                     text = "\n".join(line for k, line in enumerate(text.split("\n")) if k not in gone)
@@ -160,8 +161,6 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
             columns = [pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in names]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int32())], names=[*names, "lines_removed"])
 
-    from pyspark.sql import types as T
-
-    same = row_key(docs["doc_id"], docs["text"]) == F.col("r_key")
+    same = row_key(docs["doc_id"], docs["text"]) == F.col(key)
     schema = T.StructType([*docs.schema.fields, T.StructField("lines_removed", T.IntegerType())])
-    return docs.join(runs.select("r_key", "runs"), same, "left").drop("r_key").mapInArrow(cut, schema)
+    return docs.join(found, same, "left").drop(key).mapInArrow(cut, schema)

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_batches, staged, text_bytes
+from .common import row_batches, staged, text_bytes, unused
 from .shingles import shingle_set
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -216,5 +216,6 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float =
 def drop_near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each group, the one with the smallest identifier."""
     found = near_duplicates(docs, shingle, threshold)
-    gone = found.where("NOT kept").select(F.col("doc_id").alias("gone_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == F.col("gone_id"), "left_anti")
+    name = unused("gone_id", docs)
+    gone = found.where("NOT kept").select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(gone, docs["doc_id"].cast("long") == F.col(name), "left_anti")
