@@ -114,13 +114,10 @@ def decontaminate(
 def _without(text: Column, hits: Column) -> Column:
     """The text without the words of the hits and what stands between two words of one hit."""
     word, gap = r"([^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)", r"([\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+)"
-    # words and gaps take turns; place i is that of word (i - odd) / 2 + 1 or of the gap behind it
-    pieces = F.regexp_extract_all(text, F.lit(f"{word}|{gap}"), 0)
-    odd = F.when(text.rlike(f"^{word}"), 0).otherwise(1)
+    # behind a space put before the text, gaps stand at even places and word n at place 2n - 1
+    pieces = F.regexp_extract_all(F.concat(F.lit(" "), text), F.lit(f"{word}|{gap}"), 0)
 
     def stays(_: Column, i: Column) -> Column:
-        nth = F.floor((i - odd) / 2) + 1
-        last = F.when(F.pmod(i - odd, F.lit(2)) == 0, nth).otherwise(nth + 1)
-        return ~F.exists(hits, lambda h: (nth >= h["at"]) & (last <= h["at"] + h["size"] - 1))
+        return ~F.exists(hits, lambda h: (F.shiftright(i + 1, 1) >= h["at"]) & (F.shiftright(i, 1) + 1 <= h["at"] + h["size"] - 1))
 
-    return F.array_join(F.filter(pieces, stays), "")
+    return F.substr(F.array_join(F.filter(pieces, stays), ""), F.lit(2))
