@@ -26,7 +26,7 @@ def test_memo_gives_the_tokenizers_ids(text):
 
 def test_shards_hold_all_documents(spark, docs, texts, no_docs):
     path = shared_dir(spark, "shards")
-    manifest = sstable.write_shards(docs, path, shard_bytes=20_000)
+    manifest = sstable.write_shards(docs, path, shard_bytes=1_500)
     assert manifest.count() > 3
     rows = sstable.read_shards(spark, path, manifest).orderBy("start").collect()
     want = sorted(((r.doc_id, r.text) for r in docs.collect()), key=lambda r: (r[0] is not None, r[0] or 0, r[1] or ""))
