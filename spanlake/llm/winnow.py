@@ -4,7 +4,8 @@ Rolling hashes of all k-grams of code points; in every window of ``w`` hashes th
 selected, the rightmost of ties; hashes and positions are kept. Two texts that share a passage
 of ``k + w - 1`` code points share a fingerprint. Short texts use smaller windows (powers of
 two); a smaller window selects whatever a larger one does, so the guarantee stays that of the
-largest. A text shorter than ``k`` has one fingerprint, that of the whole text.
+largest. Texts of different windows are compared at the larger one, to which the other's
+fingerprints are thinned. A text shorter than ``k`` has one fingerprint, that of the whole text.
 
 Defined cases: a null text counts as empty, an empty text has no fingerprints (alike 1 to
 another empty text, else 0); equal texts have equal fingerprints; a null identifier sorts
@@ -52,41 +53,73 @@ def _gram_hashes(c: np.ndarray, k: int) -> np.ndarray:
     return mix(h)
 
 
-def winnow(text: str, k: int = K) -> tuple[np.ndarray, np.ndarray]:
+class Selected(np.ndarray):
+    """Hashes of a text's fingerprints, with their positions and the number of its k-grams."""
+
+    positions, n_grams = np.empty(0, np.int64), 0
+
+
+def _selected(hashes: np.ndarray, positions: np.ndarray, n_grams: int) -> tuple[Selected, np.ndarray]:
+    found = hashes.view(Selected)
+    found.positions, found.n_grams = positions, n_grams
+    return found, positions
+
+
+def _keys(hashes: np.ndarray, positions: np.ndarray) -> np.ndarray:
+    """Keys in the order of the hashes, and rightmost first among equal ones."""
+    return hashes.astype(np.uint64) << np.uint64(32) | (np.uint64(0xFFFFFFFF) - positions.astype(np.uint64))
+
+
+def _minima(keys: np.ndarray, w: int) -> np.ndarray:
+    """The places that windows of ``w`` keys select."""
+    low, size = keys, 1
+    while size < w:
+        step = min(size, w - size)
+        low = np.minimum(low[:-step], low[step:])
+        size += step
+    return np.unique((np.uint64(0xFFFFFFFF) - (low & np.uint64(0xFFFFFFFF))).astype(np.int64))
+
+
+def winnow(text: str, k: int = K) -> tuple[Selected, np.ndarray]:
     """(hashes, positions) of the selected k-grams; 32-bit hashes, positions in code points."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     if not len(c):
-        return np.empty(0, np.uint32), np.empty(0, np.int64)
+        return _selected(np.empty(0, np.uint32), np.empty(0, np.int64), 0)
     if len(c) < k:
         whole = hashlib.blake2b(c.tobytes(), digest_size=4).digest()
-        return np.frombuffer(whole, np.uint32), np.zeros(1, np.int64)
+        return _selected(np.frombuffer(whole, np.uint32), np.zeros(1, np.int64), 0)
     n = len(c) - k + 1
     w = min(window_size(n), n)
     kept = []
     for at in range(0, max(1, n - w + 1), _STEP):  # blocks of windows; those of a block need w - 1 more hashes
         h = _gram_hashes(c[at : at + _STEP + w + k - 2], k) >> np.uint64(32)
         m = len(h)
-        # the order of these keys is that of the hashes, and rightmost first among equal ones
-        key = h << np.uint64(32) | (np.uint64(0xFFFFFFFF) - np.arange(m, dtype=np.uint64))
-        low, size = key, 1
-        while size < w:
-            step = min(size, w - size)
-            low = np.minimum(low[:-step], low[step:])
-            size += step
-        at_block = np.unique((np.uint64(0xFFFFFFFF) - (low & np.uint64(0xFFFFFFFF))).astype(np.int64))
+        at_block = _minima(_keys(h, np.arange(m)), w)
         kept.append((h[at_block].astype(np.uint32), at_block + at))
     hashes, positions = (np.concatenate(x) for x in zip(*kept))
     positions, first = np.unique(positions, return_index=True)
-    return hashes[first], positions
+    return _selected(hashes[first], positions, n)
 
 
 def fingerprint_text(hashes: np.ndarray) -> str:
     return base64.b64encode(hashes.astype("<u4").tobytes()).decode()
 
 
-def likeness(a: np.ndarray, b: np.ndarray) -> float:
-    """Distinct fingerprints that both have, of those that either has; 1 if neither has any."""
-    a, b = np.unique(a), np.unique(b)
+def thinned(found: Selected, w: int) -> np.ndarray:
+    """The hashes that windows of ``w`` select, from what a text's own windows selected: the minimum
+    of a larger window is one of its smaller windows' minima, so nothing else is needed."""
+    if found.n_grams < 1 or w <= window_size(found.n_grams):
+        return found
+    keys = np.full(found.n_grams, np.iinfo(np.uint64).max)  # what isn't selected is never a minimum
+    keys[found.positions] = _keys(found, found.positions)
+    return found[np.searchsorted(found.positions, _minima(keys, min(w, found.n_grams)))]
+
+
+def likeness(a: Selected, b: Selected) -> float:
+    """Distinct fingerprints that both texts have at the larger of their windows, of those that
+    either has; 1 if neither has any."""
+    w = max(window_size(a.n_grams), window_size(b.n_grams))
+    a, b = np.unique(thinned(a, w)), np.unique(thinned(b, w))
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
 
@@ -151,7 +184,7 @@ def compare_with_edited(docs: DataFrame, k: int = K) -> DataFrame:
         last = None  # group, identifier, text and hashes of the row before
         out: list[tuple] = []
 
-        def close(text: str, hashes: np.ndarray) -> None:
+        def close(text: str, hashes: Selected) -> None:
             _, doc, own, mine = last
             n = len(own) // 4
             edited = own[: len(own) - n] + text[:n]

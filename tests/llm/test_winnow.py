@@ -71,3 +71,32 @@ def test_groups_of_few_rows_join(spark):
     follows = sorted(d for g in groups.values() for f, d in g if f)
     heads = sorted(min(d for f, d in g if not f) for g in groups.values())
     assert len(groups) > 10 and follows == heads
+
+
+def test_texts_of_different_windows(spark):
+    """On either side of each step two almost equal texts are alike, as with one window."""
+    rng, least = random.Random(8), 0.9
+    for step in (512, 1024, 2048, 4096):
+        text = "".join(rng.choice("abcdefghij ") for _ in range(step + w.K + 2))
+        shorter = text[: step + w.K - 7]
+        n, m = len(text) - w.K + 1, len(shorter) - w.K + 1
+        assert w.window_size(n) == 2 * w.window_size(m)
+        assert w.likeness(w.winnow(text)[0], w.winnow(shorter)[0]) > least
+        # an edit that moves the text to a smaller window: only its last characters go
+        rows = spark.createDataFrame([(1, text), (2, text[-(len(text) // 4) :][:-9])], "doc_id long, text string")
+        assert w.compare_with_edited(rows).where("doc_id = 1").first().near_edited > least
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.text(alphabet="ab", min_size=8, max_size=700), st.sampled_from([8, 16, 32, 64]))
+def test_thinned_by_definition(text, size):
+    n = len(text) - w.K + 1
+    if size <= w.window_size(n):
+        return
+    own = w.window_size
+    thin = w.thinned(w.winnow(text)[0], size)
+    try:
+        w.window_size = lambda _: size
+        assert thin.tolist() == slow(text)[1]
+    finally:
+        w.window_size = own
