@@ -114,3 +114,51 @@ def test_contained_detections_go():
     norm, _ = licenses.normalised(b"Licensed under the Apache License, Version 2.0 and more")
     kept = licenses.detect(norm, licenses.build_rules())
     assert [(d.label, d.kind) for d in kept] == [("apache-2", "grant")]
+
+
+def expansions(tree):
+    """What a pattern can match, with each optional part left out and taken; the shortest of other repeats."""
+    found = [""]
+    for op, arg in tree:
+        op = str(op)
+        if op == "LITERAL":
+            parts = [chr(arg)]
+        elif op == "IN":
+            first = str(arg[0][0])
+            parts = ["x"] if first == "NEGATE" else [chr(c) for o, v in arg for c in ([v] if str(o) == "LITERAL" else range(v[0], v[1] + 1))]
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            low, high, inner = arg
+            parts = ["", *expansions(inner)] if low == 0 else [x * low for x in expansions(inner)]
+        elif op == "SUBPATTERN":
+            parts = expansions(arg[3])
+        elif op == "BRANCH":
+            parts = [x for branch in arg[1] for x in expansions(branch)]
+        elif op == "NOT_LITERAL":
+            parts = ["x"]
+        else:
+            assert op in ("ASSERT", "ASSERT_NOT"), op
+            parts = [""]
+        found = [a + b for a in found for b in parts]
+    return found
+
+
+def test_every_rule_fires_alone():
+    """A text that holds nothing but a rule's match has a detection there, whatever alternative it is."""
+    rules = licenses.build_rules()
+    for r in rules:
+        samples = sorted(set(expansions(re._parser.parse(r.pattern.pattern.decode()))))
+        assert samples
+        for x in samples:
+            assert any(k in f" {x} ".encode() for k in r.keyword.split(b"|")), (r.label, r.kind, x)
+        for x in {samples[0], samples[-1], min(samples, key=len), max(samples, key=len)}:
+            norm = f" {x} ".encode()
+            m = r.pattern.search(norm)
+            assert m and any(d.start <= m.start() and m.end() <= d.end for d in licenses.detect(norm, rules)), (r.label, r.kind, x)
+
+
+def test_licenses_without_common_words(spark):
+    texts = ["Released under the MPL 2.0", "https://www.mozilla.org/MPL/2.0/", "distributed under LGPLv3", "under agplv3", "Lesser General Public License 3", "license: CPL-1.0"]
+    rows = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: r for r in licenses.scan_licenses(rows).collect()}
+    assert [found[i].labels for i in range(len(texts))] == ["mpl-2", "mpl-2", "lgpl-3", "agpl-3", "lgpl-3", "cpl-1"]
+    assert all(r.score >= 0.6 for r in found.values())
