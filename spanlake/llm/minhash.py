@@ -14,8 +14,8 @@ hash evaluations are needed. Bands of four values (two permutations) are the buc
 So a large group of copies costs a row for each member, and every two vertices of a bucket are
 linked, joined by others, or compared. A comparison looks at sizes, then at the lowest bits of the
 128 signature values (links fail with probability below 1e-8), then at full sets as 32-bit hashes
-with room for collisions; what passes is confirmed on the texts' full sets. With 32 bands of four
-values a pair at 0.8 shares no bucket with probability below 1e-7.
+with room for as many as collide in either set; what passes is confirmed on the texts' full sets.
+With 32 bands of four values a pair at 0.8 shares no bucket with probability below 1e-7.
 
 Defined cases: texts without words (or null) are linked with nothing; rows that share an
 identifier are one vertex; a row without identifier keeps a null component and stays; an empty
@@ -90,16 +90,20 @@ def signed(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
 _SETS = "rep long, n long, bits0 long, bits1 long, shingles array<int>"
 
 
+def set_row(s: np.ndarray) -> tuple[int, int, int, np.ndarray]:
+    """Size, lowest signature bits and distinct 32-bit hashes of a set of shingles."""
+    bits = np.packbits(min_max(s).reshape(-1) & 1).view(np.int64) if len(s) else (0, 0)
+    return len(s), int(bits[0]), int(bits[1]), np.unique(s.astype(np.uint32)).view(np.int32)
+
+
 def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
-    """Size, lowest signature bits and 32-bit shingle hashes of each text (doc_id, text)."""
+    """The ``set_row`` of each text (doc_id, text)."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in row_batches(batches, 4_000_000):
             out: list[list] = [[], [], [], []]
             for text in b.column(1).to_pylist():
-                s = shingle_set(text_bytes(text), shingle)
-                bits = np.packbits(min_max(s).reshape(-1) & 1).view(np.int64) if len(s) else (0, 0)
-                for column, v in zip(out, (len(s), int(bits[0]), int(bits[1]), s.astype(np.uint32).view(np.int32))):
+                for column, v in zip(out, set_row(shingle_set(text_bytes(text), shingle))):
                     column.append(v)
             types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(c, t) for c, t in zip(out, types))], names=["rep", "n", "bits0", "bits1", "shingles"])
@@ -108,7 +112,7 @@ def shingle_sets(texts: DataFrame, shingle: int) -> DataFrame:
 
 
 #: Of 128 signature bits so many may differ: the mean at 0.8 is 12.8, and this is six deviations more.
-BITS_APART, ROOM = 33, 2
+BITS_APART = 33
 
 
 def _near(x: str, y: str, threshold: float) -> Column:
@@ -117,7 +121,9 @@ def _near(x: str, y: str, threshold: float) -> Column:
     t = round(100 * threshold)
     sizes = 100 * F.least(c(x, "n"), c(y, "n")) >= t * F.greatest(c(x, "n"), c(y, "n"))
     apart = sum(F.bit_count(c(x, b).bitwiseXOR(c(y, b))) for b in ("bits0", "bits1"))
-    both = F.size(F.array_intersect(c(x, "shingles"), c(y, "shingles"))) + ROOM
+    # shingles that both have and that share a 32-bit hash are lost in either set
+    lost = F.least(*(c(a, "n") - F.size(c(a, "shingles")) for a in (x, y)))
+    both = F.size(F.array_intersect(c(x, "shingles"), c(y, "shingles"))) + lost
     return sizes & (apart <= BITS_APART) & (100 * both >= t * (c(x, "n") + c(y, "n") - both))
 
 

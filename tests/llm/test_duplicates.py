@@ -89,6 +89,22 @@ def test_estimate_is_unbiased():
     assert abs((a == b).mean() - 0.8) < 0.12
 
 
+def test_links_of_sets_with_colliding_hashes(spark):
+    """Sets just 0.8 alike meet the join condition however many of their 32-bit hashes collide."""
+    rng = np.random.default_rng(6)
+    draw = lambda n: rng.integers(0, 1 << 63, n).astype(np.uint64)
+    both = draw(800)
+    low = np.uint64(0xFFFFFFFF)
+    both[:300] = both[:300] & ~low | both[300:600] & low
+    for own, near in ((100, True), (130, False)):
+        sets = [np.unique(np.concatenate([both, draw(own)])) for _ in range(2)]
+        assert all(len(s) - len(minhash.set_row(s)[3]) >= 300 for s in sets)
+        rows = [(i, *minhash.set_row(s)[:3], minhash.set_row(s)[3].tolist()) for i, s in enumerate(sets)]
+        df = spark.createDataFrame(rows, minhash._SETS)
+        links = df.alias("x").join(df.alias("y"), minhash._near("x", "y", 0.8)).where("x.rep < y.rep").count()
+        assert links == int(near)
+
+
 def slow_windows(words, least):
     n, found = len(words), set()
     for i in range(n):
