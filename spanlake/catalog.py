@@ -201,9 +201,10 @@ def q16_model_costs_mart(spark, d):
     """The hourly mart after a first run and a second one over part of it."""
     root, g = shared_path(spark, "marts"), genai(spark, d)
     for run in ("2024-01-10T05:30:00Z", "2024-01-10T09:10:00Z"):
-        _, start = marts.run_window(spark, root, run)
+        now, start = marts.run_window(spark, root, run)
         fresh = views.model_costs(g.where(F.col("start_time") >= F.lit(start).cast("timestamp")))
         marts.replace_partitions(fresh, f"{root}/costs", "usage_hour", start)
+        marts._book(spark, root, now, start, True)
     c = flat_top(spark.read.parquet(f"{root}/costs")).withColumn("usage_hour", F.col("usage_hour").cast("timestamp"))
     return c.withColumnRenamed("gen_ai_agent_name", "agent_name").drop("total_cache_creation_input_tokens")
 

@@ -38,6 +38,19 @@ def test_window_goes_back_to_a_run_that_broke_off(spark, tmp_path):
         marts.run_window(spark, root, "10 January")
 
 
+def test_second_run_of_the_query_rewrites_its_window_only(spark, sf_dir, monkeypatch):
+    swap, starts, hours = marts.replace_partitions, [], []
+
+    def noted(fresh, path, column, start):
+        starts.append(start)
+        hours.append(fresh.agg(F.min(column).cast("string")).first()[0])
+        swap(fresh, path, column, start)
+
+    monkeypatch.setattr(marts, "replace_partitions", noted)
+    assert catalog.q16_model_costs_mart(spark, sf_dir).count() == views.model_costs(catalog.genai(spark, sf_dir)).count()
+    assert starts == [marts.EPOCH, datetime(2024, 1, 10, 6)] and hours[0] < "2024-01-10 06:00:00" <= hours[1]
+
+
 def test_stream_of_files(spark, sf_dir, tmp_path):
     s = catalog.spans(spark, sf_dir)
     spans, out = f"{tmp_path}/spans", f"{tmp_path}/alerts"
