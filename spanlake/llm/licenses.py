@@ -17,6 +17,7 @@ import re
 from collections.abc import Iterator
 from typing import NamedTuple
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -114,6 +115,54 @@ SENTENCES: list[tuple[str, str, str]] = [
     ("unlicense", "unencumbered", r"this is free and unencumbered software released into the public domain"),
     ("cc0-1", "waived", r"to the extent possible under law [^\n]{1,80}? has waived all copyright"),
     ("ofl-1.1", "font software", r"this font software is licensed under the sil open font license"),
+    ("mit", "substantial portions", r"this permission notice shall be included in all copies or substantial portions of the software"),
+    ("mit", "warranty of any kind", r"the software is provided as is without warranty of any kind express or implied"),
+    ("mit-0", "permission is hereby granted", r"permission is hereby granted free of charge to any person obtaining a copy of this software [^\n]{1,400}? to permit persons to whom the software is furnished to do so the software is provided"),
+    ("isc", "isc", r"the above copyright notice and this permission notice appear in all copies the software is provided as is and isc disclaims"),
+    ("isc", "author disclaims", r"the software is provided as is and the author disclaims all warranties"),
+    ("bsd", "above copyright notice", r"redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd", "above copyright notice", r"redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer"),
+    ("bsd-3-clause", "endorse or promote", r"may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("apache-2", "limitations under", r"see the license for the specific language governing permissions and limitations under the license"),
+    ("apache-2", "copyright license", r"each contributor hereby grants to you a perpetual worldwide non exclusive no charge royalty free irrevocable copyright license"),
+    ("apache-1.1", "apache software foundation", r"this product includes software developed by the apache software foundation"),
+    ("gpl", "merchantability", r"this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability"),
+    ("gpl", "gnu", r"you should have received a copy of the gnu general public license along with this program"),
+    ("gpl", "freedom to share", r"the licenses for most software are designed to take away your freedom to share and change it"),
+    ("gpl-3", "copyleft", r"the gnu general public license is a free copyleft license for software and other kinds of works"),
+    ("lgpl", "gnu", r"you should have received a copy of the gnu (?:library|lesser) general public license along with this library"),
+    ("lgpl", "in isolation", r"such a work in isolation is not a derivative work of the library"),
+    ("agpl-3", "network server", r"specifically designed to ensure cooperation with the community in the case of network server software"),
+    ("gfdl", "invariant sections", r"with no invariant sections no front cover texts and no back cover texts"),
+    ("mpl-2", "mpl", r"if a copy of the mpl was not distributed with this file you can obtain one at"),
+    ("mpl-1.1", "mozilla", r"the contents of this file are subject to the mozilla public license version 1 1"),
+    ("epl-1", "eclipse", r"the accompanying program is provided under the terms of this eclipse public license"),
+    ("cddl-1", "common development", r"the contents of this file are subject to the terms of the common development and distribution license"),
+    ("cpl-1", "common public", r"the accompanying program is provided under the terms of this common public license"),
+    ("artistic-2", "free software package", r"this license establishes the terms under which a given free software package may be copied modified distributed"),
+    ("zlib", "altered source", r"altered source versions must be plainly marked as such and must not be misrepresented as being the original software"),
+    ("zlib", "origin of this software", r"the origin of this software must not be misrepresented you must not claim that you wrote the original software"),
+    ("boost-1", "executable object code", r"unless such copies or derivative works are solely in the form of machine executable object code generated by a source language processor"),
+    ("unlicense", "anyone is free", r"anyone is free to copy modify publish use compile sell or distribute this software"),
+    ("wtfpl", "fuck", r"you just do what the fuck you want to"),
+    ("cc0-1", "dedicated to the public domain", r"has dedicated to the public domain to the extent possible under law"),
+    ("cc-by-sa", "share alike", r"you may distribute your adaptation only under the same share alike license"),
+    ("cc-by", "appropriate credit", r"you must give appropriate credit provide a link to the license and indicate if changes were made"),
+    ("cc-by-nc", "commercial purposes", r"you may not use the material for commercial purposes"),
+    ("cc-by-nd", "transform or build", r"if you remix transform or build upon the material you may not distribute the modified material"),
+    ("odbl-1", "database", r"this database is made available under the open database license"),
+    ("ofl-1.1", "reserved font name", r"with reserved font name"),
+    ("psf-2", "psf", r"psf hereby grants licensee a nonexclusive royalty free world wide license"),
+    ("openssl", "openssl", r"this product includes software developed by the openssl project"),
+    ("postgresql", "without fee", r"permission to use copy modify and distribute this software and its documentation for any purpose without fee and without a written agreement"),
+    ("busl-1.1", "change date", r"on the change date or the fourth anniversary of the first publicly available distribution"),
+    ("sspl-1", "service source code", r"you must make the service source code available via network download to everyone at no charge"),
+    ("elastic-2", "managed service", r"you may not provide the software to third parties as a hosted or managed service"),
+    ("eupl-1.2", "eupl", r"licensed under the eupl"),
+    ("ncsa", "with the software without restriction", r"to deal with the software without restriction including without limitation the rights to use"),
+    ("public-domain", "public domain", r"this (?:file|work|code|software) is in the public domain"),
+    ("proprietary", "unauthorized", r"unauthorized copying of this file via any medium is strictly prohibited"),
+    ("proprietary", "confidential", r"this (?:document|file) contains confidential (?:and proprietary )?information"),
     ("proprietary", "reserved", r"all rights reserved"),
 ]
 
@@ -178,13 +227,27 @@ def detect(norm: bytes, rules: list[Rule]) -> list[Detection]:
             has[r.keyword] = any(k in norm for k in r.keyword.split(b"|"))
         if has[r.keyword]:
             found += [Detection(m.start(), m.end(), r.priority, r.confidence, r.label, r.kind) for m in r.pattern.finditer(norm)]
-    # of equal priority the longer one counts, then the earlier; sorted by end, a detection is
-    # contained if one accepted before begins no later and ends no earlier
-    found.sort(key=lambda d: (-d.priority, d.start - d.end, d.start, d.label))
+    return outermost(found)
+
+
+def outermost(found: list[Detection]) -> list[Detection]:
+    """The detections that no equal or higher one contains, by place; of equal priority the longer
+    counts, then the earlier. One pass by rank over a tree of the largest end up to each start."""
+    starts = {at: i for i, at in enumerate(sorted({d.start for d in found}), 1)}
+    reach = [0] * (len(starts) + 1)
     kept: list[Detection] = []
-    for d in found:
-        if not any(k.start <= d.start and d.end <= k.end for k in kept):
-            kept.append(d)
+    for d in sorted(found, key=lambda d: (-d.priority, d.start - d.end, d.start, d.label)):
+        i = own = starts[d.start]
+        end = 0
+        while i:
+            end = max(end, reach[i])
+            i &= i - 1
+        if end >= d.end:
+            continue
+        kept.append(d)
+        while own < len(reach):
+            reach[own] = max(reach[own], d.end)
+            own += own & -own
     return sorted(kept)
 
 
@@ -203,12 +266,14 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
             for doc, text in zip(*(c.to_pylist() for c in b.columns)):
                 norm, n = normalised(text_bytes(text))
                 base = base_places(norm)
-                word = lambda at: norm.count(b" ", 0, at)
                 more = detect(norm, rules)
+                # spaces stand before each word and behind the last, so word k begins behind space k
+                spaces = np.flatnonzero(np.frombuffer(norm, np.uint8) == 32) if base or more else ()
+                word = lambda at: int(np.searchsorted(spaces, at))
                 labels = {x for _, x in base}
                 every = sorted(labels | {d.label for d in more})
                 score = max([1.0 if base else 0.0, *(d.confidence for d in more)])
-                spans = [(d.label, d.kind, word(d.start) - 1, norm.count(b" ", d.start, d.end) + 1, d.confidence) for d in more]
+                spans = [(d.label, d.kind, word(d.start) - 1, word(d.end) - word(d.start) + 1, d.confidence) for d in more]
                 out.append((
                     doc, n, len(base), word(base[0][0]) if base else None, word(base[-1][0]) if base else None,
                     ",".join(sorted(labels)), ",".join(every), score,

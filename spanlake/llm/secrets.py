@@ -1,13 +1,19 @@
 """Secret scans: base patterns, and spans that a linear-chain conditional random field adds.
 
-Tokens of a line are tagged begin, inside or outside of a secret, from their shape, the words
-near them and features of the file, and decoded by Viterbi. A secret can only begin at a token
-of at least six ASCII characters with a digit, or behind a key word, so runs of other tokens are
-outside for certain: only lines with such tokens are decoded.
-
-The weights are trained here: on at most ``SAMPLE_LINES`` lines of the corpus, which the base
-patterns label, and on lines made from fixed templates. The base spans always stay; the field
-adds spans that don't meet them.
+Tokens are tagged begin, inside or outside of a secret, from their shape, the words near them
+and features of the file, and decoded by Viterbi; each line is a chain. Shape and entropy are those
+of the whole token, and neighbours are the tokens before and behind it, also on other lines. A
+secret begins at a token of at least six ASCII characters and goes on through ASCII tokens; all
+else is up to the weights. What a distinct token adds to the scores is kept in a bounded memo. A
+bound on what any span could gain tells lines for which "all outside" is the best path; only
+the others are decoded.
+
+The weights are trained here, on at most ``SAMPLE_SEGMENTS`` runs of up to ``SEGMENT`` tokens and
+``SEGMENT_CHARS`` characters of a line, a third each with base spans, with digits or key words, and
+with neither; chosen by a hash of their content, so neither the order nor the number of partitions
+matters. Tokens that look like a secret which no base pattern knows are no example of what isn't one:
+such runs are left out. Lines made from fixed templates are added. The base spans always stay;
+the field adds spans that don't meet them.
 
 Defined cases: null and empty texts have no spans; repeated rows and null identifiers keep a
 row each; without lines to learn from, the templates alone are used; an empty table gives an
@@ -21,25 +27,30 @@ import math
 import re
 import string
 import zlib
-from collections.abc import Iterator
+from bisect import bisect_right
+from collections import Counter
+from collections.abc import Iterator, Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_batches
+from .common import row_batches, staged
 
 KINDS = ("assign", "access", "hex", "crf")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
 _ACCESS, _HEX = re.compile(r"AKIA[A-Z0-9]+"), re.compile(r"[0-9a-f]{24,}")
 
-SAMPLE_LINES, LINE_CHARS, TOKENS_SEEN, FEATURES, ROUNDS = 1_500, 2_000, 40, 1 << 13, 60
+SAMPLE_SEGMENTS, SEGMENT, SEGMENT_CHARS, FEATURES, ROUNDS = 1_500, 40, 2_000, 1 << 13, 60
+#: Tokens before that count as near, distinct tokens and their characters that a worker keeps, characters of a text tagged at once.
+NEAR, MEMO_TOKENS, MEMO_CHARS, BLOCK_CHARS = 4, 300_000, 16_000_000, 1_000_000
 B_TAG, I_TAG, O_TAG = 0, 1, 2
-_TOKEN = re.compile(r"[A-Za-z0-9+/_.\-]+=*|[=:\"'`]|[^\sA-Za-z0-9+/_.\-=:\"'`]+")
+_TOKEN = re.compile(r"\n|[A-Za-z0-9+/_.\-]+=*|[=:\"'`]|[^\sA-Za-z0-9+/_.\-=:\"'`]+")
 _KEY = re.compile(r"passw|passwd|pwd|secret|token|api.?key|credential|bearer|authorization|private|access.?key", re.I | re.A)
 _KEYS_LOW = ("passw", "pwd", "secret", "token", "api", "credential", "bearer", "authorization", "private", "access")
-_DIGIT = re.compile(r"[0-9]")
+_DIGIT, _HEX_ONLY = re.compile(r"[0-9]"), re.compile(r"[0-9a-f]{16,}", re.I | re.A)
 
 
 def base_spans(text: str) -> list[tuple[str, int, int]]:
@@ -54,52 +65,67 @@ def base_spans(text: str) -> list[tuple[str, int, int]]:
     return sorted(found, key=lambda s: (s[1], KINDS.index(s[0])))
 
 
+_CLASSES = str.maketrans(string.digits + string.ascii_lowercase + string.ascii_uppercase, "d" * 10 + "x" * 26 + "X" * 26)
+_WIDE = re.compile(r"[^\x00-\x7f]")
+
+
 def shape(token: str) -> str:
-    """Classes of characters, runs cut to one: ``Ab12`` is ``Xxd``."""
-    classes = (("d" if c.isdigit() else "X" if c.isupper() else "x" if c.isalpha() else c) for c in token[:48])
-    out = ""
-    for c in classes:
-        if not out.endswith(c):
-            out += c
-    return out[:12]
+    """Classes of the first and the last character, all classes, and how often they change (as a power of two)."""
+    if token.isascii() and token.isalpha() and token.islower():
+        return "xxx0"
+    kinds = _WIDE.sub("u", token).translate(_CLASSES)
+    changes = sum(a != b for a, b in zip(kinds, kinds[1:]))
+    return f"{kinds[:1]}{kinds[-1:]}{''.join(sorted(set(kinds)))}{changes.bit_length()}"
 
 
-def _entropy(token: str) -> int:
+def _entropy(token: str) -> float:
+    """Bits of a character, from how often each occurs."""
     n = len(token)
-    return round(2 * -sum(c / n * math.log2(c / n) for c in (token.count(x) for x in set(token))))
-
-
-def can_begin(token: str, near_key: bool) -> bool:
-    if len(token) < 6 or not token.isascii() or not token[0].isalnum() and token[0] not in "+/_":
-        return False
-    return any(c.isdigit() for c in token) and any(c.isalpha() for c in token) or near_key
-
-
-def token_features(tokens: list[str], i: int, file: list[str]) -> list[str]:
-    t = tokens[i]
-    low = t.lower()
-    near = [x.lower() for x in tokens[max(0, i - 4) : i]]
-    n = len(t)
-    found = [
-        "bias", f"shape={shape(t)}", f"length={min(n // 4, 12)}", f"entropy={_entropy(t[:64])}",
-        f"digits={round(4 * sum(c.isdigit() for c in t) / n)}", f"dots={t.count('.') > 0}",
-        f"mixed={t != low and t != t.upper()}", f"hex={n >= 16 and all(c in '0123456789abcdef' for c in low)}",
-        f"head={low[:3]}", f"before={near[-1] if near else ''}", f"before2={near[-2] if len(near) > 1 else ''}",
-        f"after={tokens[i + 1].lower() if i + 1 < len(tokens) else ''}",
-        f"key={any(_KEY.search(x) for x in near)}", f"iskey={bool(_KEY.search(t))}",
-        f"sign={any(x in ('=', ':') for x in near[-2:])}",
+    counts = [token.count(c) for c in set(token)] if n < 64 else Counter(token).values()
+    return math.log2(n) - sum(c * math.log2(c) for c in counts if c > 1) / n if n else 0.0
+
+
+def can_begin(token: str) -> bool:
+    """Whether a secret may begin at a token."""
+    return len(token) >= 6 and token.isascii() and (token[0].isalnum() or token[0] in "+/_")
+
+
+def secret_like(token: str) -> bool:
+    """A token of a form that secrets have: long, of letters and digits mixed, and no words or addresses."""
+    return len(token) >= 16 and not re.search(r"[./].*[./]|[^\x00-\x7f]", token) and any(c.isdigit() for c in token) and any(c.isalpha() for c in token) and _entropy(token) >= 3.2
+
+
+def own_features(t: str) -> list[str]:
+    """What a token is itself."""
+    low, n = t.lower(), max(1, len(t))
+    return [
+        "bias", f"shape={shape(t)}", f"length={min(n // 4, 12)}", f"entropy={round(2 * _entropy(t))}",
+        f"digits={round(4 * len(_DIGIT.findall(t)) / n)}", f"dots={'.' in t}",
+        f"mixed={t != low and t != t.upper()}", f"hex={bool(_HEX_ONLY.fullmatch(t))}",
+        f"head={low[:3]}", f"iskey={bool(_KEY.search(t))}",
+    ]
+
+
+def token_features(tokens: Sequence[str], i: int, file: list[str], before: Sequence[str] = (), after: str = "") -> list[str]:
+    """All features of token ``i``, between tokens ``before`` and ``after`` of other lines."""
+    around = [*[""] * NEAR, *before][-NEAR:] + [*tokens, after]
+    at = i + NEAR
+    key = any(_KEY.search(x) for x in around[i:at])
+    sign = any(x in ("=", ":") for x in around[at - 2 : at])
+    return [
+        *own_features(tokens[i]), f"before={around[at - 1].lower()}", f"before2={around[at - 2].lower()}", f"after={around[at + 1].lower()}",
+        f"key={key}", f"sign={sign}", *[f"{f}&key={key}" for f in file],
     ]
-    return found + [f"{f}&key={any(_KEY.search(x) for x in near)}" for f in file]
 
 
 def file_features(text: str) -> list[str]:
-    """How dense digits and assignments are, and how long the file is."""
+    """How dense assignments and addresses are, and how long the file is."""
     n = max(1, len(text))
     return [f"eq={min(3, 2000 * text.count('=') // n)}", f"size={min(6, int(math.log10(n)))}", f"at={min(3, 2000 * text.count('@') // n)}"]
 
 
 def _ids(features: list[str]) -> list[int]:
-    return [1 + zlib.crc32(f.encode()) % (FEATURES - 1) for f in features]
+    return [1 + zlib.crc32(f.encode("utf-8", "surrogatepass")) % (FEATURES - 1) for f in features]
 
 
 class Field:
@@ -107,47 +133,110 @@ class Field:
 
     def __init__(self, weights: np.ndarray, moves: np.ndarray):
         self.weights, self.moves = weights, moves
-
-    def tag(self, tokens: list[str], near_key: list[bool], file: list[str]) -> list[int]:
-        """Viterbi. A token that can't begin a secret isn't tagged so; inside follows begin or inside only."""
-        best, back = np.array([-np.inf, -np.inf, 0.0]), []
-        for i, t in enumerate(tokens):
-            able = can_begin(t, near_key[i])
-            # a token that can neither begin nor continue a secret is outside in every path
-            if not able and not np.isfinite(best[:2]).any():
-                best = np.array([-np.inf, -np.inf, best.max()])
-                back.append((O_TAG,) * 3)
-                continue
-            e = self.weights[_ids(token_features(tokens, i, file))].sum(axis=0)
-            step = best[:, None] + self.moves
-            step[O_TAG, I_TAG] = -np.inf
-            score = step.max(axis=0) + e
-            if not able:
-                score[B_TAG] = -np.inf
-            if not t.isascii():
-                score[I_TAG] = -np.inf
-            back.append(tuple(step.argmax(axis=0)))
-            best = score
-        tags = [int(best.argmax())] if tokens else []
+        self._forget()
+
+    def _forget(self) -> None:
+        self.known: dict[str, int] = {}
+        self.chars = 0
+        # of each distinct token: what it adds itself, as the one before, as the second before, as the one behind
+        self.parts, self.flags = np.zeros((4, 1024, 3)), np.zeros((4, 1024), bool)
+
+    def _sum(self, features: list[str]) -> np.ndarray:
+        return self.weights[_ids(features)].sum(axis=0)
+
+    def _rows(self, tokens: list[str]) -> np.ndarray:
+        new = set(tokens).difference(self.known)
+        if len(self.known) + len(new) > MEMO_TOKENS or self.chars > MEMO_CHARS:
+            self._forget()
+            new = set(tokens)
+        while len(self.known) + len(new) > self.parts.shape[1]:
+            self.parts, self.flags = np.concatenate([self.parts, np.zeros_like(self.parts)], axis=1), np.concatenate([self.flags, np.zeros_like(self.flags)], axis=1)
+        added = list(new)
+        for i in range(0, len(added), 4_096):
+            part = added[i : i + 4_096]
+            at = slice(len(self.known), len(self.known) + len(part))
+            own, around, flags = [], [], []
+            for t in part:
+                low = t.lower()
+                own.append(_ids(own_features(t)))
+                around.append(_ids([f"before={low}", f"before2={low}", f"after={low}"]))
+                flags.append((can_begin(t), t.isascii(), bool(_KEY.search(t)), t in ("=", ":")))
+                self.chars += len(t)
+            self.parts[0, at] = self.weights[np.array(own)].sum(axis=1)
+            self.parts[1:, at] = self.weights[np.array(around)].swapaxes(0, 1)
+            self.flags[:, at] = np.array(flags).T
+            self.known.update(zip(part, range(at.start, at.stop)))
+        return np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+
+    def scores(self, tokens: list[str], file: list[str], before: Sequence[str] = (), after: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The score of each tag of each token, and which tokens can begin and continue a secret."""
+        n, at = len(tokens), NEAR
+        rows = self._rows([*[*[""] * NEAR, *before][-NEAR:], *tokens, after])
+        begins, inside, key, sign = self.flags
+        own, first, second, behind = self.parts
+        near = key[rows[0:n]] | key[rows[1 : n + 1]] | key[rows[2 : n + 2]] | key[rows[3 : n + 3]]
+        signed = sign[rows[at - 1 : at - 1 + n]] | sign[rows[at - 2 : at - 2 + n]]
+        of_key = np.stack([self._sum([f"key={k}", *[f"{f}&key={k}" for f in file]]) for k in (False, True)])
+        of_sign = np.stack([self._sum([f"sign={k}"]) for k in (False, True)])
+        here = rows[at : at + n]
+        e = own[here] + first[rows[at - 1 : at - 1 + n]] + second[rows[at - 2 : at - 2 + n]] + behind[rows[at + 1 : at + 1 + n]] + of_key[near.astype(int)] + of_sign[signed.astype(int)]
+        return e, begins[here], inside[here]
+
+    def path(self, e: np.ndarray, begins: np.ndarray, inside: np.ndarray) -> list[int]:
+        """Viterbi over one line. Inside follows begin or inside only; of equal paths the one outside."""
+        m, back = self.moves.tolist(), []
+        best = [-math.inf, -math.inf, 0.0]
+        for (b, i, o), can, may in zip(e.tolist(), begins.tolist(), inside.tolist()):
+            from_b, from_i, from_o = best
+            to = []
+            for tag, gain, able in ((B_TAG, b, can), (I_TAG, i, may), (O_TAG, o, True)):
+                ways = [(from_o + m[O_TAG][tag], O_TAG)] if tag != I_TAG else []
+                ways += [(from_i + m[I_TAG][tag], I_TAG), (from_b + m[B_TAG][tag], B_TAG)]
+                v, p = max(ways, key=lambda w: w[0])
+                to.append((v + gain if able else -math.inf, p))
+            best = [v for v, _ in to]
+            back.append([p for _, p in to])
+        tags = [max((O_TAG, I_TAG, B_TAG), key=lambda t: best[t])] if back else []
         for pointers in reversed(back[1:]):
-            tags.append(int(pointers[tags[-1]]))
+            tags.append(pointers[tags[-1]])
         return tags[::-1]
 
+    def tag(self, tokens: list[str], file: list[str], before: Sequence[str] = (), after: str = "") -> list[int]:
+        """The tags of one line."""
+        return self.path(*self.scores(tokens, file, before, after))
+
+    def open_tokens(self, e: np.ndarray, begins: np.ndarray, inside: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        """Tokens at which a span might begin: no path gains by one elsewhere. ``heads`` are the first tokens of lines.
+
+        A span gains at most the best way in, its own scores, and the best way out."""
+        r = self.moves - self.moves[O_TAG, O_TAG]
+        d = e - e[:, O_TAG :]
+        step = np.where(inside & ~heads, max(r[B_TAG, I_TAG], r[I_TAG, I_TAG]) + d[:, I_TAG], -1e4)
+        total = np.cumsum(step)
+        further = np.maximum.accumulate(total[::-1])[::-1] - total
+        way_in, way_out = r[:, B_TAG].max(), max(r[B_TAG, O_TAG], r[I_TAG, O_TAG], 0.0)
+        return begins & (way_in + d[:, B_TAG] + further + way_out > -1e-6)
 
-def _near_key(tokens: list[str]) -> list[bool]:
-    keys = [bool(_KEY.search(t)) for t in tokens]
-    return [any(keys[max(0, i - 4) : i]) for i in range(len(tokens))]
 
+class Example(NamedTuple):
+    """Tokens of a line with their tags, what stands before and behind them, and features of the file."""
 
-def train(examples: list[tuple[list[str], list[int], list[str]]], rounds: int = ROUNDS, decay: float = 1e-3) -> Field:
+    tokens: list[str]
+    tags: list[int]
+    file: list[str]
+    before: Sequence[str] = ()
+    after: str = ""
+
+
+def train(examples: list[Example], rounds: int = ROUNDS, decay: float = 1e-3) -> Field:
     """Maximum likelihood with shrinkage by adaptive gradient steps on all examples at once."""
-    examples = [(t[:TOKENS_SEEN], y[:TOKENS_SEEN], f) for t, y, f in examples if t]
-    n, width = len(examples), max(len(t) for t, _, _ in examples)
-    per = len(token_features(["a"], 0, examples[0][2]))
+    examples = [x for x in examples if x.tokens]
+    n, width = len(examples), max(len(x.tokens) for x in examples)
+    per = len(token_features(["a"], 0, examples[0].file))
     x, y, live = np.zeros((n, width, per), np.int32), np.full((n, width), O_TAG), np.zeros((n, width), bool)
-    for k, (tokens, tags, file) in enumerate(examples):
+    for k, (tokens, tags, file, before, after) in enumerate(examples):
         for i in range(len(tokens)):
-            x[k, i] = _ids(token_features(tokens, i, file))
+            x[k, i] = _ids(token_features(tokens, i, file, before, after))
         y[k, : len(tags)], live[k, : len(tags)] = tags, True
     w, m = np.zeros((FEATURES, 3)), np.zeros((3, 3))
     sw, sm = np.full_like(w, 1e-8), np.full_like(m, 1e-8)
@@ -181,138 +270,211 @@ def train(examples: list[tuple[list[str], list[int], list[str]]], rounds: int =
     return Field(w, m)
 
 
-def templates() -> list[tuple[list[str], list[int], list[str]]]:
-    """Lines with secrets of common forms and lines with what only looks like one; always the same."""
-    def draw(seed: str, alphabet: str, n: int) -> str:
-        stream = hashlib.shake_256(seed.encode()).digest(2 * n)
-        return "".join(alphabet[b % len(alphabet)] for b in stream[:n])
+_ALNUM, _LOW = string.ascii_letters + string.digits, string.ascii_lowercase + string.digits
+_FRAMES = ['password is "{}"', "secret key {} here", "Authorization: Bearer {}", "export ACCESS_KEY={}", "credential : {} ."]
+_PLAIN = (
+    "the secret of the token is a password policy", "a private garden behind the house", "tokens are counted before they are sent", "the password must be changed every second month", "bearer of good news today",
+    "credentials were checked at the entrance", "access to the archive is limited", "reset your password yesterday evening please",
+)
+
+
+def drawn(seed: str, alphabet: str, n: int) -> str:
+    """A text of ``n`` letters that follows from the seed."""
+    stream = hashlib.shake_256(seed.encode()).digest(2 * n)
+    return "".join(alphabet[b % len(alphabet)] for b in stream[:n])
+
 
-    alnum, low = string.ascii_letters + string.digits, string.ascii_lowercase + string.digits
+def template_lines(first: int, last: int, frames: Sequence[str] = tuple(_FRAMES)) -> list[tuple[str, str]]:
+    """(line, secret) of common forms, and lines (with an empty secret) of what only looks like one. A secret
+    may stand on the line below its key."""
     out = []
-    for k in range(20):
+    for k in range(first, last):
         secrets = [
-            "ghp_" + draw(f"g{k}", alnum, 36), "sk_live_" + draw(f"s{k}", alnum, 24), "AKIA" + draw(f"a{k}", string.ascii_uppercase + string.digits, 16),
-            "xoxb-" + draw(f"x{k}", string.digits, 12) + "-" + draw(f"y{k}", alnum, 24), "eyJ" + draw(f"e{k}", alnum, 30) + "." + draw(f"f{k}", alnum, 40),
-            draw(f"h{k}", "0123456789abcdef", 40), draw(f"b{k}", alnum + "+/", 42) + "==", draw(f"p{k}", low, 10) + str(k),
+            "ghp_" + drawn(f"g{k}", _ALNUM, 36), "sk_live_" + drawn(f"s{k}", _ALNUM, 24), "AKIA" + drawn(f"a{k}", string.ascii_uppercase + string.digits, 16),
+            "xoxb-" + drawn(f"x{k}", string.digits, 12) + "-" + drawn(f"y{k}", _ALNUM, 24), "eyJ" + drawn(f"e{k}", _ALNUM, 30) + "." + drawn(f"f{k}", _ALNUM, 40),
+            drawn(f"h{k}", "0123456789abcdef", 40), drawn(f"b{k}", _ALNUM + "+/", 42) + "==", drawn(f"p{k}", _LOW, 10) + str(k),
         ]
         for s in secrets:
             strong = len(s) >= 16
-            frames = ['password is "{}"', "secret key {} here", "Authorization: Bearer {}", "export ACCESS_KEY={}", "credential : {} ."] + (["see {} for it", "key {}"] if strong else [])
-            frame = frames[zlib.crc32(f"{k}{s}".encode()) % len(frames)]
-            out.append((frame.format(s), s))
-        mail = f"{draw(f'm{k}', string.ascii_lowercase, 5)}.{k}@mail{k % 9}.example.com"
+            ways = [*frames, "password:\n{}"] + (["see {} for it", "key {}"] if strong else [])
+            out.append((ways[zlib.crc32(f"{k}{s}".encode()) % len(ways)].format(s), s))
+        weak = (drawn(f"l{k}", string.ascii_letters, 14), drawn(f"n{k}", string.digits, 12))
+        out += [(("password:\n{}", "secret key {} here", "access token = {}")[k % 3].format(s), s) for s in weak]
+        mail = f"{drawn(f'm{k}', string.ascii_lowercase, 5)}.{k}@mail{k % 9}.example.com"
         for plain in (
             f"write to {mail} today", f"on 2024-0{k % 9 + 1}-1{k % 9} at 1{k % 9}:30", f"host 10.2.{k}.1{k} was down", f"call 555-01{k:02d}-{k + 1000}",
-            f"see http://www.example{k}.org/a/page{k}.html now", f"version v{k}.2.1-rc{k} of lib{k}", "the secret of the token is a password policy", f"chapter{k} part2b of item{k}x",
+            f"see http://www.example{k}.org/a/page{k}.html now", f"version v{k}.2.1-rc{k} of lib{k}", f"chapter{k} part2b of item{k}x", f"order {drawn(f'o{k}', string.digits, 9)} was sent", _PLAIN[k % len(_PLAIN)],
         ):
             out.append((plain, ""))
+    return out
+
+
+def templates() -> list[Example]:
+    """Examples from the template lines; always the same."""
     made = []
-    for line, secret in out:
-        tokens = [m for m in _TOKEN.finditer(line)]
-        at = line.find(secret) if secret else -1
-        made.append(([m[0] for m in tokens], _tags(tokens, [(at, at + len(secret))] if secret else []), file_features(line)))
+    for text, secret in template_lines(0, 20):
+        head, _, line = text.rpartition("\n")
+        marks = list(_TOKEN.finditer(line))
+        at = line.find(secret)
+        made.append(Example([m[0] for m in marks], _tags(marks, [(at, at + len(secret))] if secret else []), file_features(text), _TOKEN.findall(head)))
     return made
 
 
-def _tags(tokens: list[re.Match], spans: list[tuple[int, int]]) -> list[int]:
-    tags, last = [], None
-    for m in tokens:
-        inside = next((s for s in spans if s[0] < m.end() and m.start() < s[1]), None)
+def _tags(marks: list[re.Match], spans: list[tuple[int, int]]) -> list[int]:
+    """Tags of tokens in order, from sorted spans that don't overlap."""
+    tags, last, k = [], None, 0
+    for m in marks:
+        while k < len(spans) and spans[k][1] <= m.start():
+            k += 1
+        inside = spans[k] if k < len(spans) and spans[k][0] < m.end() else None
         tags.append(O_TAG if inside is None else I_TAG if inside == last else B_TAG)
         last = inside
     return tags
 
 
-def open_lines(text: str) -> list[tuple[int, str]]:
-    """(place, line) of the lines in which a secret can begin: with a digit or a key word."""
-    found, last = [], -1
-    low = text.lower()
-    places = [m.start() for m in _DIGIT.finditer(text)]
-    if any(k in low for k in _KEYS_LOW):
-        places += [m.start() for m in _KEY.finditer(text)]
-        places.sort()
-    for p in places:
-        if p <= last:
-            continue
-        at = text.rfind("\n", 0, p) + 1
-        last = text.find("\n", p)
-        last = len(text) if last < 0 else last
-        found.append((at, text[at:last]))
-    return found
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The union of spans, as sorted spans that don't overlap."""
+    out: list[tuple[int, int]] = []
+    for i, j in sorted(spans):
+        if out and i < out[-1][1]:
+            out[-1] = (out[-1][0], max(j, out[-1][1]))
+        else:
+            out.append((i, j))
+    return out
+
+
+def _blocks(text: str) -> Iterator[tuple[int, int]]:
+    """(begin, end) of parts of whole lines."""
+    at = 0
+    while at < len(text):
+        end = text.find("\n", at + BLOCK_CHARS)
+        end = len(text) if end < 0 else end + 1
+        yield at, end
+        at = end
 
 
 def field_spans(text: str, field: Field) -> list[tuple[int, int]]:
     """Spans of the secrets that the field tags."""
-    spans, file = [], None
-    for at, line in open_lines(text):
-        marks = list(_TOKEN.finditer(line))
-        tokens = [m[0] for m in marks]
-        near = _near_key(tokens)
-        if not any(map(can_begin, tokens, near)):
+    spans, before = [], [""] * NEAR
+    file = file_features(text)
+    for begin, end in _blocks(text):
+        found = _TOKEN.findall(text, begin, end)
+        breaks = np.array([i for i, t in enumerate(found) if t == "\n"], np.int64)
+        tokens = [t for t in found if t != "\n"] if len(breaks) else found
+        if not tokens:
             continue
-        file = file or file_features(text)
-        begin = end = None
-        for m, tag in zip(marks, field.tag(tokens, near, file)):
-            if tag != I_TAG and begin is not None:
-                spans.append((begin, end))
-                begin = None
-            if tag == B_TAG:
-                begin = at + m.start()
-            end = at + m.end()
-        if begin is not None:
-            spans.append((begin, end))
+        # a break is as many tokens in as there are others before it
+        line = np.searchsorted(breaks - np.arange(len(breaks)), np.arange(len(tokens)), side="right")
+        behind = next((m[0] for m in _TOKEN.finditer(text, end) if m[0] != "\n"), "")
+        e, begins, inside = field.scores(tokens, file, before, behind)
+        heads = np.diff(line, prepend=-1) > 0
+        before = [*before, *tokens[-NEAR:]][-NEAR:]
+        lines = np.unique(line[field.open_tokens(e, begins, inside, heads)])
+        if not len(lines):
+            continue
+        marks = [m.span() for m in _TOKEN.finditer(text, begin, end) if m[0] != "\n"]
+        for lo, hi in zip(np.searchsorted(line, lines).tolist(), np.searchsorted(line, lines, side="right").tolist()):
+            for at, tag in zip(marks[lo:hi], field.path(e[lo:hi], begins[lo:hi], inside[lo:hi])):
+                if tag == B_TAG:
+                    spans.append(at)
+                elif tag == I_TAG:
+                    spans[-1] = (spans[-1][0], at[1])
     return spans
 
 
-def fit(docs: DataFrame, lines: int = SAMPLE_LINES) -> Field:
-    """Trains on ``lines`` lines of the corpus at most (their first tokens, ``LINE_CHARS`` at most),
-    chosen by a hash of their content, and the templates."""
+def _segments(text: str) -> Iterator[tuple[list[str], list[int] | None, list[str], str]]:
+    """Runs of up to ``SEGMENT`` tokens of a line: tokens, tags (None: all outside), tokens before, token behind."""
+    spans = []
+    for kind, i, j in base_spans(text):
+        spans.append((_ASSIGN.match(text, i).start(2) if kind == "assign" else i, j))
+    found = list(_TOKEN.finditer(text)) if spans else _TOKEN.findall(text)
+    tags = _tags(found, merged(spans)) if spans else None
+    words = [m[0] for m in found] if spans else found
+    tokens = [t for t in words if t != "\n"]
+    if tags:
+        tags = [y for y, t in zip(tags, words) if t != "\n"]
+    at, k = 0, 0
+    breaks = [i for i, t in enumerate(words) if t == "\n"]
+    for stop in [i - n for n, i in enumerate(breaks)] + [len(tokens)]:
+        for k in range(at, stop, SEGMENT):
+            end = min(k + SEGMENT, stop)
+            yield tokens[k:end], tags[k:end] if tags else None, tokens[max(0, k - NEAR) : k], tokens[end] if end < len(tokens) else ""
+        at = stop
+
+
+_SAMPLED = "class int, place long, tokens array<string>, before array<string>, after string, tags array<int>, file array<string>"
+
+
+def sampled(docs: DataFrame, per_class: int) -> DataFrame:
+    """Of each task the ``per_class`` runs of each class whose content has the smallest hashes, each content once."""
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best: dict[bool, list[tuple[int, str, list[int], list[str]]]] = {True: [], False: []}
+        best: list[dict[tuple, tuple]] = [{}, {}, {}]
+        limit = [1 << 32] * 3
+
+        def prune(c: int) -> None:
+            kept = sorted(best[c])[:per_class]
+            best[c] = {k: best[c][k] for k in kept}
+            limit[c] = kept[-1][0] if len(kept) == per_class else 1 << 32
+
         for b in row_batches(batches):
             for text in b.column(0).to_pylist():
                 text = text or ""
-                opened = open_lines(text)
-                if not opened:
-                    continue
-                base, file = None, None
-                for at, line in opened:
-                    marks = list(_TOKEN.finditer(line))[:TOKENS_SEEN]
-                    tokens = [m[0] for m in marks]
-                    if not any(map(can_begin, tokens, _near_key(tokens))) or marks[-1].end() > LINE_CHARS:
+                low = text.lower()
+                keyed, file = any(k in low for k in _KEYS_LOW), None
+                for tokens, tags, before, after in _segments(text):
+                    content = " ".join(tokens)
+                    place = zlib.crc32(content.encode("utf-8", "surrogatepass"))
+                    has = tags is not None and min(tags) != O_TAG
+                    if place > (limit[0] if has else max(limit[1:])) or len(content) > SEGMENT_CHARS:
+                        continue
+                    c = 0 if has else 1 if _DIGIT.search(content) or (keyed and _KEY.search(content)) else 2
+                    if place > limit[c] or any(secret_like(t) for t, y in zip(tokens, tags or [O_TAG] * len(tokens)) if y == O_TAG):
                         continue
-                    base = base_spans(text) if base is None else base
                     file = file or file_features(text)
-                    spans = []
-                    for kind, i, j in base:
-                        if at <= i < at + len(line):
-                            if kind == "assign":
-                                i = at + _ASSIGN.match(line, i - at).start(2)
-                            spans.append((i - at, j - at))
-                    tags = _tags(marks, spans)
-                    order = zlib.crc32(line.encode("utf-8", "replace"))
-                    best[B_TAG in tags].append((order, line[: marks[-1].end()], tags, file))
-            for k, rows in best.items():
-                rows.sort(key=lambda r: r[:2])
-                del rows[lines // 2 :]
-        rows = best[True] + best[False]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string()), pa.array([r[2] for r in rows], pa.list_(pa.int32())), pa.array([r[3] for r in rows], pa.list_(pa.string()))],
-            names=["place", "line", "tags", "file"],
-        )
-
-    rows = docs.select("text").mapInArrow(pick, "place long, line string, tags array<int>, file array<string>")
-    rows = rows.withColumn("has", F.array_contains("tags", B_TAG))
+                    tags = [B_TAG if y == I_TAG and not i else y for i, y in enumerate(tags)] if tags else [O_TAG] * len(tokens)
+                    row = (before, after, tags, file)
+                    key = (place, tuple(tokens))
+                    best[c][key] = min(best[c].get(key, row), row)
+                    if len(best[c]) > 4 * per_class:
+                        prune(c)
+        rows = []
+        for c in range(3):
+            prune(c)
+            rows += [(c, place, list(tokens), *rest) for (place, tokens), rest in best[c].items()]
+        kinds = (pa.int32(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.string()), pa.string(), pa.list_(pa.int32()), pa.list_(pa.string()))
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(kinds)], names=[c.split()[0] for c in _SAMPLED.split(", ")])
+
+    return docs.select("text").mapInArrow(pick, _SAMPLED)
+
+
+def fit(docs: DataFrame, segments: int = SAMPLE_SEGMENTS) -> Field:
+    """Trains on at most ``segments`` runs of tokens of the corpus and the templates."""
+    per_class = max(1, segments // 3)
+    rows = staged(sampled(docs, per_class), "segments")
+    rest = ["before", "after", "tags", "file"]
+    rows = rows.groupBy("class", "place", "tokens").agg(F.min(F.struct(*rest)).alias("first")).select("class", "place", "tokens", *[f"first.{c}" for c in rest])
     chosen = []
-    for has in (True, False):
-        chosen += rows.where(F.col("has") == has).dropDuplicates(["line"]).orderBy("place", "line").limit(lines // 2).collect()
-    return train([([m[0] for m in _TOKEN.finditer(r["line"])][: len(r["tags"])], list(r["tags"]), list(r["file"])) for r in chosen] + templates())
+    for c in range(3):
+        chosen += rows.where(F.col("class") == c).orderBy("place", "tokens").limit(per_class).collect()
+    return train([Example(list(r["tokens"]), list(r["tags"]), list(r["file"]), list(r["before"]), r["after"]) for r in chosen] + templates())
 
 
 SCANNED = "doc_id long, n_assign long, n_access long, n_hex long, n_crf long, base_sha256 string, spans string"
 
 
+def added_spans(text: str, field: Field, base: list[tuple[str, int, int]]) -> list[tuple[str, int, int]]:
+    """The field's spans that meet no base span."""
+    taken = merged([(i, j) for _, i, j in base])
+    starts = [i for i, _ in taken]
+    out = []
+    for i, j in field_spans(text, field):
+        k = bisect_right(starts, j - 1)
+        if not (k and taken[k - 1][1] > i):
+            out.append(("crf", i, j))
+    return out
+
+
 def scan_secrets(docs: DataFrame, field: Field) -> DataFrame:
     """One row for each document: counts of each kind, a digest of the base spans, and all spans."""
     weights, moves = field.weights.astype(np.float32), field.moves
@@ -325,7 +487,7 @@ def scan_secrets(docs: DataFrame, field: Field) -> DataFrame:
             for doc, text in zip(*(c.to_pylist() for c in b.columns)):
                 text = text or ""
                 base = base_spans(text)
-                more = [("crf", i, j) for i, j in field_spans(text, own) if not any(s < j and i < e for _, s, e in base)]
+                more = added_spans(text, own, base)
                 joined = ",".join(f"{k}:{i}:{j}" for k, i, j in base)
                 every = ",".join(f"{k}:{i}:{j}" for k, i, j in sorted(base + more, key=lambda s: (s[1], KINDS.index(s[0]))))
                 n = [sum(s[0] == k for s in base) for k in KINDS[:3]]

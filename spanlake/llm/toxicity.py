@@ -1,14 +1,18 @@
 """Toxicity by a weighted lexicon.
 
-Text is folded (homoglyphs, digits and signs that stand for letters, A-Z), reduced to words,
-and searched once by Aho-Corasick for lexicon entries: words, and beginnings of words. Exception
-phrases cancel the entries inside them. The weights of what remains are summed, normalised by
-length, and mapped to a probability.
+Text is folded (homoglyphs, A-Z), reduced to words, and searched by Aho-Corasick for lexicon
+entries: words, and beginnings of words. Digits and signs that stand for letters are read
+as letters (``tr@sh``), as what ends a word (``idiot!``), and as either by their place (``tr@sh!``);
+an entry that several readings have at one place counts once. Exception phrases cancel the entries inside them. The weights of
+what remains are summed, normalised by length, and mapped to a probability.
 
 Weights are learned as log odds of an entry in toxic and other labelled documents; the mapping
 is a logistic regression on the weight sum and the weight per word. Both are fitted on a sample
 of at most ``SAMPLE`` labelled documents of each class, chosen by a hash of the identifier; all
 other steps see every document. Without labels, the built-in entries and a fixed mapping apply.
+At most ``ENTRIES`` entries are learned, the best ones. Beginnings of 4 to 11 letters can be
+entries, and whole words of any length. ``EVIDENCE`` is a sum of log odds, as a test for one word
+needs it, so it doesn't follow the number of labels.
 
 Defined cases: null and empty texts have no entries and so the lowest score; repeated rows are
 scored each; a null identifier is scored and not held out; a document with several labels counts
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import row_batches, staged, text_bytes
 from .shingles import shingle_set
 
-#: Labelled documents of each class that are fitted on, entries that are kept, and what an entry needs:
+#: Labelled documents of each class that are fitted on, entries that are learned at most, and what an entry needs:
 #: toxic documents that have it, and these times its log odds (a few copies of one document are too little).
 #: From ``CLEAR`` log odds on an entry counts as one that clean documents don't have.
 SAMPLE, ENTRIES, SUPPORT, EVIDENCE, CLEAR = 3_000, 1_000, 3, 40.0, 4.0
@@ -50,17 +54,38 @@ EXCEPTIONS = ("trash can", "trash bin", "trash collection", "clown fish", "pathe
 _FULL_WIDTH = {chr(c): chr(c - 0xFEE0) for c in range(0xFF01, 0xFF5F)}
 _FOLD = str.maketrans(HOMOGLYPHS | _FULL_WIDTH)
 _ODD = re.compile("[Ͱ-ӿԀ-ԯ！-～]")
-_DIGITS = {ord(k): ord(v) for k, v in SUBSTITUTES.items()}
-_WORDS = bytes(_DIGITS.get(b, b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32) for b in range(256))
+_LETTERS = {ord(k): ord(v) for k, v in SUBSTITUTES.items()}
+_WORDS = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
+_READ = bytes(_LETTERS.get(b, _WORDS[b]) for b in range(256))
+_STANDS_FOR = re.compile(f"[{re.escape(''.join(SUBSTITUTES))}]")
+_AT_END = re.compile(rb"[0134579@$!|]+(?![0134579@$!|a-z\x80-\xff])")
 
 
-def folded(text: str | None) -> str:
-    """Folded words with single spaces between and around them."""
+def readings(text: str | None) -> list[str]:
+    """The words with single spaces between and around them. A text with digits or signs that may
+    stand for letters has readings of equal length: all of them as letters, as spaces (which then
+    may follow each other), and as spaces at the ends of words only."""
     text = text or ""
     if _ODD.search(text):
         text = text.translate(_FOLD)
-    ws = text.lower().encode("utf-8", "replace").translate(_WORDS).split()
-    return (b" " + b" ".join(ws) + b" ").decode("utf-8", "replace")
+    raw = text.lower().encode("utf-8", "replace")
+    if not _STANDS_FOR.search(text):
+        return [(b" " + b" ".join(raw.translate(_WORDS).split()) + b" ").decode("utf-8", "replace")]
+    forms = [raw.translate(_READ), raw.translate(_WORDS)]
+    inner = _AT_END.sub(lambda m: b" " * len(m[0]), raw)
+    if inner != raw:
+        forms.append(inner.translate(_READ))
+    forms = [np.frombuffer(b" " + f + b" ", np.uint8) for f in forms]
+    space = forms[0] == 32
+    stays = ~space
+    stays[0] = True
+    stays[1:] |= ~space[:-1]
+    return [f[stays].tobytes().decode("utf-8", "replace") for f in forms]
+
+
+def folded(text: str | None) -> str:
+    """The reading in which digits and signs are letters."""
+    return readings(text)[0]
 
 
 class Model(NamedTuple):
@@ -83,17 +108,24 @@ class Matcher:
 
     def features(self, text: str | None) -> tuple[float, float]:
         """The weight sum, damped, and the weight per hundred words."""
-        norm = folded(text)
+        forms = readings(text)
         best: dict[int, float] = {}
         spared: list[tuple[int, int]] = []
-        for end, (size, weight) in self.automaton.iter(norm):
-            at = end - size + 1
-            if weight is None:
-                spared.append((at, end))
-            else:
-                best[at] = max(best.get(at, 0.0), weight)  # of entries at one word the heaviest
-        total = sum(w for at, w in best.items() if not any(i <= at < j for i, j in spared))
-        n = norm.count(" ") - 1
+        for norm in forms:
+            for end, (size, weight) in self.automaton.iter(norm):
+                at = end - size + 1
+                if weight is None:
+                    spared.append((at, end))
+                elif weight > best.get(at, 0.0):
+                    best[at] = weight  # of entries at one word the heaviest
+        total, reach, k = 0.0, -1, 0
+        spared.sort()
+        for at in sorted(best):  # one sweep over entries and exceptions
+            while k < len(spared) and spared[k][0] <= at:
+                reach = max(reach, spared[k][1])
+                k += 1
+            total += best[at] if at >= reach else 0.0
+        n = forms[0].count(" ") - 1
         return math.log1p(total), 100 * total / max(n, 20)
 
     def score(self, text: str | None) -> float:
@@ -139,7 +171,7 @@ def sample(docs: DataFrame, labels: DataFrame, held_out: int = 2, per_class: int
 
 def _candidates(text: str | None) -> set[str]:
     """The words of a text and their beginnings, as entries."""
-    ws = set(folded(text).split())
+    ws = {w for norm in readings(text) for w in norm.split()}
     return {f" {w} " for w in ws} | {f" {w[:k]}" for w in ws for k in range(SHORTEST, min(len(w), LONGEST + 1))}
 
 

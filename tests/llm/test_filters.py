@@ -89,12 +89,63 @@ def test_learned_words_and_held_out_rows(spark):
     assert toxicity.score(docs.limit(0), model).count() == 0
 
 
-def test_held_out_accuracy(spark):
-    from spanlake.llm.common import read_table
+def test_signs_are_read_both_ways():
+    m = toxicity.Matcher(toxicity.Model({f" {w} ": v for w, v in toxicity.BUILT_IN.items()} | {" zorga": 2.0}, toxicity.FALLBACK))
+    for plain, marked in (("You idiot", "You idiot!"), ("You moron idiot", "You moron! Idiot!"), ("scum", "$cum"), ("idiot you", "idiot!you"), ("moron", "moron1"), ("zorgax", "zorgax|"), ("you trash", "you tr@sh!")):
+        assert m.score(marked) >= m.score(plain) - 1e-9 > m.score("") + 0.1, marked
+    for harmless in ("trash can!", "the trash can! is", "class clown award|"):
+        assert m.features(harmless)[0] == 0
+
+
+def slow_features(text, model):
+    """Words and beginnings at every place, one by one; the heaviest at a place, none within an exception."""
+    best, spared = {}, []
+    forms = toxicity.readings(text)
+    for norm in forms:
+        for at in range(len(norm)):
+            for e, w in model.entries.items():
+                if norm.startswith(e, at):
+                    best[at] = max(best.get(at, 0.0), w)
+            spared += [(at, at + len(e) + 1) for e in toxicity.EXCEPTIONS if norm.startswith(f" {e} ", at)]
+    total = sum(w for at, w in best.items() if not any(i <= at < j for i, j in spared))
+    return total, forms[0].count(" ") - 1
+
+
+def test_features_by_definition():
+    import math
+    import random
+
+    rng = random.Random(6)
+    model = toxicity.Model({f" {w} ": v for w, v in toxicity.BUILT_IN.items()} | {" trash c": 0.5, " idio": 1.0, " stup": 3.0}, toxicity.FALLBACK)
+    m = toxicity.Matcher(model)
+    pieces = ["trash", "can", "idiot", "idiotic", "not", "stupid", "!", " ", " ", ", ", "@", "1", "word", "clown fish", "іdіоt", "ＩＤＩＯＴ", "\n", "7r45h", "$tup1d", "é"]
+    for _ in range(400):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randrange(25)))
+        total, n = slow_features(text, model)
+        x, y = m.features(text)
+        assert math.isclose(x, math.log1p(total), abs_tol=1e-9) and math.isclose(y, 100 * total / max(n, 20), abs_tol=1e-9), text
+
+
+def test_long_and_repeated_texts(spark):
+    import time
+
+    m = toxicity.Matcher(toxicity.Model({f" {w} ": v for w, v in toxicity.BUILT_IN.items()}, toxicity.FALLBACK))
+    start = time.perf_counter()
+    assert m.features("trash can " * 300_000)[0] == 0 < m.features("idiot! " * 400_000)[0]
+    assert time.perf_counter() - start < 20
+    rows = spark.createDataFrame([(1, "idiot " * 300_000), (2, "same idiot"), (2, "same idiot"), (2, "other")], "doc_id long, text string")
+    found = toxicity.score(rows, m.model).collect()
+    assert len(found) == 4 and len({r.score for r in found if r.doc_id == 2}) == 2
+
+
+def test_held_out_fold(spark):
+    """Of the fold that nothing was learned from: most toxic documents are found, few others rejected."""
     from pyspark.sql import functions as F
 
-    d = "/root/testdata/sf0.01"
+    from spanlake.llm.common import read_table
+
+    d = "/root/testdata/sf0.1"
     docs, labels = read_table(spark, d, "documents"), read_table(spark, d, "labels")
     scored = toxicity.score(docs, toxicity.fit(docs, labels)).where("held_out").join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id").collect()
-    right = sum(r.predicted == r.toxic for r in scored) / len(scored)
-    assert right > 0.9
+    hits = sum(r.predicted and r.toxic for r in scored)
+    assert hits >= 0.8 * sum(r.toxic for r in scored) and hits >= 0.9 * sum(r.predicted for r in scored)
