@@ -39,20 +39,24 @@ MIN_WORDS = 50
 _SPACES = re.compile(r"\s+")
 
 
-def line_hash(line: str) -> int:
-    """A signed 64-bit hash of the line as it is compared."""
+#: A line's digest: 128 bits, of which the first 64 are the hash that windows select by.
+_DIGEST = np.dtype([("hash", "<i8"), ("rest", "<i8")])
+
+
+def line_digest(line: str) -> bytes:
+    """A 128-bit digest of the line as it is compared."""
     raw = _SPACES.sub(" ", line.strip()).encode("utf-8", "surrogatepass")
-    return int.from_bytes(hashlib.blake2b(raw, digest_size=8).digest(), "little", signed=True)
+    return hashlib.blake2b(raw, digest_size=_DIGEST.itemsize).digest()
 
 
-def document_lines(text: str) -> tuple[list[int], list[int], list[int]]:
-    """Of the lines that aren't blank: place in the text, hash, words."""
+def document_lines(text: str) -> tuple[list[int], list[bytes], list[int]]:
+    """Of the lines that aren't blank: place in the text, digest, words."""
     places, hashes, words = [], [], []
     for i, line in enumerate(text.split("\n")):
         n = len(line.split())
         if n:
             places.append(i)
-            hashes.append(line_hash(line))
+            hashes.append(line_digest(line))
             words.append(n)
     return places, hashes, words
 
@@ -78,7 +82,7 @@ _FOUND = "fingerprint long, doc_id long, doc_key long, at int, lines binary, wor
 
 
 def fingerprints(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """A row for each fingerprint: the line's hash and place, and hashes, words and places of the
+    """A row for each fingerprint: the line's hash and place, and digests, words and places of the
     lines of all windows that selected it (from line ``first``)."""
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,14 +92,15 @@ def fingerprints(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
                 places, hashes, words = document_lines(text or "")
                 if sum(words) < min_words:
                     continue
-                h, w, pl = np.array(hashes, np.int64), np.array(words, np.int32), np.array(places, np.int32)
+                lines, w, pl = np.frombuffer(b"".join(hashes), _DIGEST), np.array(words, np.int32), np.array(places, np.int32)
+                h = lines["hash"]
                 around: dict[int, list[int]] = {}
                 for i, j in windows(words, min_words):
                     p = selected(h, i, j)
                     span = around.setdefault(p, [i, j])
                     span[0], span[1] = min(span[0], i), max(span[1], j)
                 for p, (i, j) in around.items():
-                    row = (hashes[p], doc, key, p, h[i : j + 1].tobytes(), w[i : j + 1].tobytes(), i, pl[i : j + 1].tobytes())
+                    row = (int(h[p]), doc, key, p, lines[i : j + 1].tobytes(), w[i : j + 1].tobytes(), i, pl[i : j + 1].tobytes())
                     for column, v in zip(out, row):
                         column.append(v)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _FOUND_TYPES)], names=_FOUND_NAMES)
@@ -115,11 +120,12 @@ def extended(repeated: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
         for b in batches:
             out: list[list] = [[] for _ in range(6)]
             for _, doc, key, at, lines, words, first, places in zip(*(c.to_pylist() for c in b.columns)):
-                h, pl = np.frombuffer(lines, np.int64), np.frombuffer(places, np.int32)
+                full, pl = np.frombuffer(lines, _DIGEST), np.frombuffer(places, np.int32)
+                h = full["hash"]
                 for i, j in windows(np.frombuffer(words, np.int32).tolist(), min_words):
                     if selected(h, i, j) + first != at:
                         continue
-                    digest = hashlib.blake2b(h[i : j + 1].tobytes(), digest_size=16).digest()
+                    digest = hashlib.blake2b(full[i : j + 1].tobytes(), digest_size=16).digest()
                     row = (int.from_bytes(digest[:8], "little", signed=True), int.from_bytes(digest[8:], "little", signed=True), doc, key, int(pl[i]), int(pl[j]))
                     for column, v in zip(out, row):
                         column.append(v)
@@ -132,10 +138,12 @@ def extended(repeated: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """A row for each document with repeated runs: ``doc_id, doc_key`` and ``runs`` (first and last line)."""
     found = staged(fingerprints(docs, min_words), "fingerprints")
-    often = found.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint")
+    # counts and first places are partial sums before the shuffle; as staged tables they leave joins between
+    # plain shuffles, so that a very common line or window is split over tasks
+    often = staged(found.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint"), "often")
     places = staged(extended(found.join(often, "fingerprint").select(*found.columns), min_words), "windows")
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "doc_key", "first", "last")
-    firsts = places.groupBy("content", "content2").agg(F.min(place).alias("origin"), F.count("*").alias("n")).where("n > 1")
+    firsts = staged(places.groupBy("content", "content2").agg(F.min(place).alias("origin"), F.count("*").alias("n")).where("n > 1"), "firsts")
     later = places.join(firsts, ["content", "content2"]).where(place != F.col("origin"))
     inside = F.col("doc_id").eqNullSafe(F.col("origin.doc_id")) & (F.col("doc_key") == F.col("origin.doc_key"))
     begin = F.when(inside, F.greatest("first", F.col("origin.last") + 1)).otherwise(F.col("first"))
@@ -144,10 +152,11 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """The documents without later repeated runs, and ``lines_removed`` (in place of a column of that name); all other columns as they are."""
-    docs = docs.drop("lines_removed")
-    names, key, runs = docs.columns, unused("run_key", docs), unused("runs", docs)
-    found = repeated_runs(docs, min_words).select(F.col("doc_key").alias(key), F.col("runs").alias(runs))
+    """The documents without later repeated runs, all other columns as they are, and behind them how many lines
+    went: ``lines_removed``, or a longer name if there is a column of that name."""
+    names, counted = docs.columns, unused("lines_removed", docs)
+    own, key, runs = unused("run_id", docs), unused("run_key", docs), unused("runs", docs)
+    found = repeated_runs(docs, min_words).select(F.col("doc_id").alias(own), F.col("doc_key").alias(key), F.col("runs").alias(runs))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -159,8 +168,8 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
                 texts.append(text)
                 counts.append(len(gone))
             columns = [pa.array(texts, pa.string()) if c == "text" else b.column(c) for c in names]
-            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int32())], names=[*names, "lines_removed"])
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(counts, pa.int32())], names=[*names, counted])
 
-    same = row_key(docs["doc_id"], docs["text"]) == F.col(key)
-    schema = T.StructType([*docs.schema.fields, T.StructField("lines_removed", T.IntegerType())])
-    return docs.join(found, same, "left").drop(key).mapInArrow(cut, schema)
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(own)) & (row_key(docs["doc_id"], docs["text"]) == F.col(key))
+    schema = T.StructType([*docs.schema.fields, T.StructField(counted, T.IntegerType())])
+    return docs.join(found, same, "left").drop(own, key).mapInArrow(cut, schema)

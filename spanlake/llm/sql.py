@@ -58,8 +58,81 @@ JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) c USING
 """
 
 
+_GRAM = " + ".join(f"CASE WHEN k > {j} THEN lead(x, {j}) OVER w * powers[k - {j}] ELSE 0::UHUGEINT END" for j in range(8))
+_POWERS = ", ".join(f"{pow(0x9E3779B97F4A7C15, j, 1 << 64)}::UHUGEINT" for j in range(8))
+_MOD = "18446744073709551616::UHUGEINT"
+
+#: Fingerprints: polynomials of k-grams modulo 2**64, their bits spread, the minima of windows (rightmost of ties by the place in the key).
+OP6 = f"""
+WITH d AS (
+    SELECT doc_id, coalesce(text, '') AS t, row_number() OVER (ORDER BY doc_id, coalesce(text, '')) AS r, count(*) OVER () AS docs FROM documents
+), e AS (
+    SELECT d.*, n.t AS nt, n.r AS nr, left(d.t, length(d.t) - length(d.t) // 4) || left(n.t, length(d.t) // 4) AS edited FROM d JOIN d n ON n.r = d.r % d.docs + 1
+), texts AS (
+    SELECT r, 0 AS v, t AS s FROM e WHERE t <> '' UNION ALL SELECT r, 1, edited FROM e WHERE edited <> ''
+), chars AS (
+    SELECT r, v, least(length(s), 8) AS k, greatest(length(s) - 7, 1) AS n, unnest(regexp_extract_all(s, '(?s).')) AS c, unnest(range(1, length(s) + 1)) AS i FROM texts
+), grams AS (
+    SELECT r, v, n, i, {_GRAM} AS g
+    FROM (SELECT r, v, k, n, i, (unicode(c) + 1)::UHUGEINT AS x, [{_POWERS}] AS powers FROM chars) WINDOW w AS (PARTITION BY r, v ORDER BY i)
+), h0 AS (SELECT r, v, n, i, (g % {_MOD})::UBIGINT AS h FROM grams WHERE i <= n
+), h1 AS (SELECT r, v, n, i, (xor(h, h >> 30)::UHUGEINT * {0xBF58476D1CE4E5B9}::UHUGEINT % {_MOD})::UBIGINT AS h FROM h0
+), h2 AS (SELECT r, v, n, i, (xor(h, h >> 27)::UHUGEINT * {0x94D049BB133111EB}::UHUGEINT % {_MOD})::UBIGINT AS h FROM h1
+), keys AS (
+    SELECT r, v, n, i, (xor(h, h >> 31) >> 32) * 4294967296::UBIGINT + (4294967296 - i)::UBIGINT AS key FROM h2
+), minima AS (
+    SELECT r, v, min(key) OVER (PARTITION BY r, v ORDER BY i ROWS BETWEEN CURRENT ROW AND 31 FOLLOWING) AS key FROM keys QUALIFY i <= greatest(n - 31, 1)
+), selected AS (SELECT DISTINCT r, v, key // 4294967296 AS h, 4294967295 - key % 4294967296 AS place FROM minima
+), written AS (
+    SELECT r, v, to_base64(unhex(string_agg(x[7:8] || x[5:6] || x[3:4] || x[1:2], '' ORDER BY place))) AS fingerprint
+    FROM (SELECT *, lpad(lower(hex(h)), 8, '0') AS x FROM selected) GROUP BY r, v
+), sets AS (SELECT DISTINCT r, v, h FROM selected
+), sizes AS (SELECT r, v, count(*) AS n FROM sets GROUP BY r, v
+), pairs AS (
+    SELECT r, 'edited' AS what, r AS r2, 1 AS v2 FROM e UNION ALL SELECT r, 'next', nr, 0 FROM e
+), alike AS (
+    SELECT p.r, p.what, coalesce(any_value(a.n), 0) AS na, coalesce(any_value(b.n), 0) AS nb, count(y.h) AS both_have
+    FROM pairs p LEFT JOIN sizes a ON a.r = p.r AND a.v = 0 LEFT JOIN sizes b ON b.r = p.r2 AND b.v = p.v2
+    LEFT JOIN sets x ON x.r = p.r AND x.v = 0 LEFT JOIN sets y ON y.r = p.r2 AND y.v = p.v2 AND y.h = x.h GROUP BY p.r, p.what
+), near AS (SELECT r, what, CASE WHEN na + nb = 0 THEN 1.0::DOUBLE ELSE both_have::DOUBLE / (na + nb - both_have) END AS near FROM alike)
+SELECT e.doc_id, length(e.t)::BIGINT AS n_chars, sha256(e.edited) AS edited_sha256, coalesce(f.fingerprint, '') AS fingerprint, coalesce(g.fingerprint, '') AS edited_fingerprint, n1.near AS near_edited, n2.near AS near_next
+FROM e LEFT JOIN written f ON f.r = e.r AND f.v = 0 LEFT JOIN written g ON g.r = e.r AND g.v = 1
+JOIN near n1 ON n1.r = e.r AND n1.what = 'edited' JOIN near n2 ON n2.r = e.r AND n2.what = 'next'
+"""
+
+_WHITE = r"[\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]+"
+
+#: Repeated runs of lines: of each window's content (as text) the first place stays.
+OP10 = f"""
+WITH d AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id, text) AS r FROM documents
+), lines AS (
+    SELECT r, raw, place, trim(regexp_replace(raw, '{_WHITE}', ' ', 'g'), ' ') AS line
+    FROM (SELECT r, unnest(string_split(text, chr(10))) AS raw, unnest(range(0, len(string_split(text, chr(10))))) AS place FROM d WHERE text IS NOT NULL)
+), filled AS (
+    SELECT r, place, line, length(line) - length(replace(line, ' ', '')) + 1 AS words FROM lines WHERE line <> ''
+), counted AS (
+    SELECT *, row_number() OVER w AS i, sum(words) OVER w AS until, sum(words) OVER w - words AS before FROM filled WINDOW w AS (PARTITION BY r ORDER BY place ROWS UNBOUNDED PRECEDING)
+), whole AS (SELECT r, list(line ORDER BY i) AS content FROM counted GROUP BY r
+), windows AS (
+    SELECT a.r, a.i, a.place AS first, b.i AS j, b.place AS last FROM (SELECT *, before + 50 AS least FROM counted) a ASOF JOIN counted b ON a.r = b.r AND a.least <= b.until
+    UNION
+    SELECT a.r, b.i, b.place, a.i, a.place FROM (SELECT *, until - 50 AS most FROM counted) a ASOF JOIN counted b ON a.r = b.r AND a.most >= b.before
+), held AS (
+    SELECT r, first, last, array_to_string(content[i:j], chr(10)) AS content FROM windows JOIN whole USING (r)
+), placed AS (
+    SELECT r, first, last, row_number() OVER w AS nth, first_value(r) OVER w AS r0, first_value(last) OVER w AS last0 FROM held WINDOW w AS (PARTITION BY content ORDER BY r, first, last)
+), gone AS (
+    SELECT DISTINCT r, unnest(range(CASE WHEN r = r0 THEN greatest(first, last0 + 1) ELSE first END, last + 1)) AS place FROM placed WHERE nth > 1
+), kept AS (
+    SELECT r, count(gone.place)::INTEGER AS removed, coalesce(string_agg(raw, chr(10) ORDER BY place) FILTER (WHERE gone.place IS NULL), '') AS text
+    FROM lines LEFT JOIN gone USING (r, place) GROUP BY r
+)
+SELECT doc_id, coalesce(removed, 0)::INTEGER AS lines_removed, length(kept.text)::BIGINT AS n_chars, kept.text AS text FROM d LEFT JOIN kept USING (r)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
-    found = {"op1_chat_format": OP1, "op4_decontaminate": OP4, "op7_minmax_near_dup": OP7}
+    found = {"op1_chat_format": OP1, "op4_decontaminate": OP4, "op6_winnowing": OP6, "op7_minmax_near_dup": OP7, "op10_line_dedup": OP10}
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})

@@ -1,11 +1,9 @@
 """Document fingerprints by winnowing.
 
-Rolling hashes of all k-grams of code points; in every window of ``w`` hashes the smallest is
-selected, the rightmost of ties; hashes and positions are kept. Two texts that share a passage
-of ``k + w - 1`` code points share a fingerprint. Short texts use smaller windows (powers of
-two); a smaller window selects whatever a larger one does, so the guarantee stays that of the
-largest. Texts of different windows are compared at the larger one, to which the other's
-fingerprints are thinned. A text shorter than ``k`` has one fingerprint, that of the whole text.
+Rolling hashes of all k-grams of code points; in every window of ``WINDOW`` hashes the smallest is
+selected, the rightmost of ties; hashes and positions are kept. The window is the same for every
+text; one with fewer k-grams is a single window. Two texts that share a passage of
+``k + WINDOW - 1`` code points share a fingerprint. A text shorter than ``k`` is one k-gram.
 
 Defined cases: a null text counts as empty, an empty text has no fingerprints (alike 1 to
 another empty text, else 0); equal texts have equal fingerprints; a null identifier sorts
@@ -17,7 +15,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,40 +26,26 @@ from pyspark.sql import functions as F
 from .common import row_batches
 from .shingles import mix
 
-K, LARGEST, SMALLEST, PER_TEXT = 8, 64, 4, 64
+K, WINDOW = 8, 32
 _FACTOR = np.uint64(0x9E3779B97F4A7C15)
 _STEP = 1 << 20
 
 
-def window_size(n_grams: int) -> int:
-    """The largest power of two that leaves ``PER_TEXT`` windows side by side, between the bounds."""
-    w = LARGEST
-    while w > SMALLEST and w * PER_TEXT > n_grams:
-        w //= 2
-    return w
-
-
 def _gram_hashes(c: np.ndarray, k: int) -> np.ndarray:
-    """Hashes of all k-grams: doubled from 1 to k code points (k is a power of two)."""
-    h, n = c.astype(np.uint64) + np.uint64(1), 1
-    factor = _FACTOR
-    while n < k:
-        h = h[:-n] * factor + h[n:]
-        factor = np.uint64(int(factor) * int(factor) % (1 << 64))
-        n *= 2
-    return mix(h)
-
-
-class Selected(np.ndarray):
-    """Hashes of a text's fingerprints, with their positions and the number of its k-grams."""
-
-    positions, n_grams = np.empty(0, np.int64), 0
-
-
-def _selected(hashes: np.ndarray, positions: np.ndarray, n_grams: int) -> tuple[Selected, np.ndarray]:
-    found = hashes.view(Selected)
-    found.positions, found.n_grams = positions, n_grams
-    return found, positions
+    """Hashes of all k-grams: a polynomial over the code points, each plus one, from the power k - 1
+    down to 0, whose bits are then spread. Built by joining runs of powers of two."""
+    x = c.astype(np.uint64) + np.uint64(1)
+    m = len(x) - k + 1
+    total, done, n, run, factor = np.zeros(m, np.uint64), 0, 1, x, int(_FACTOR)
+    while True:
+        if k & n:  # the binary digits of k tell which runs make up a k-gram
+            total = total * np.uint64(factor) + run[done : done + m]
+            done += n
+            if done == k:
+                break
+        run = run[:-n] * np.uint64(factor) + run[n:]
+        factor, n = factor * factor % (1 << 64), 2 * n
+    return mix(total)
 
 
 def _keys(hashes: np.ndarray, positions: np.ndarray) -> np.ndarray:
@@ -80,46 +63,31 @@ def _minima(keys: np.ndarray, w: int) -> np.ndarray:
     return np.unique((np.uint64(0xFFFFFFFF) - (low & np.uint64(0xFFFFFFFF))).astype(np.int64))
 
 
-def winnow(text: str, k: int = K) -> tuple[Selected, np.ndarray]:
+def winnow(text: str, k: int = K, window: int = WINDOW) -> tuple[np.ndarray, np.ndarray]:
     """(hashes, positions) of the selected k-grams; 32-bit hashes, positions in code points."""
     c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32)
     if not len(c):
-        return _selected(np.empty(0, np.uint32), np.empty(0, np.int64), 0)
-    if len(c) < k:
-        whole = hashlib.blake2b(c.tobytes(), digest_size=4).digest()
-        return _selected(np.frombuffer(whole, np.uint32), np.zeros(1, np.int64), 0)
+        return np.empty(0, np.uint32), np.empty(0, np.int64)
+    k = min(k, len(c))
     n = len(c) - k + 1
-    w = min(window_size(n), n)
+    w = min(window, n)
     kept = []
-    for at in range(0, max(1, n - w + 1), _STEP):  # blocks of windows; those of a block need w - 1 more hashes
+    for at in range(0, n - w + 1, _STEP):  # blocks of windows; those of a block need w - 1 more hashes
         h = _gram_hashes(c[at : at + _STEP + w + k - 2], k) >> np.uint64(32)
-        m = len(h)
-        at_block = _minima(_keys(h, np.arange(m)), w)
+        at_block = _minima(_keys(h, np.arange(len(h))), w)
         kept.append((h[at_block].astype(np.uint32), at_block + at))
     hashes, positions = (np.concatenate(x) for x in zip(*kept))
     positions, first = np.unique(positions, return_index=True)
-    return _selected(hashes[first], positions, n)
+    return hashes[first], positions
 
 
 def fingerprint_text(hashes: np.ndarray) -> str:
     return base64.b64encode(hashes.astype("<u4").tobytes()).decode()
 
 
-def thinned(found: Selected, w: int) -> np.ndarray:
-    """The hashes that windows of ``w`` select, from what a text's own windows selected: the minimum
-    of a larger window is one of its smaller windows' minima, so nothing else is needed."""
-    if found.n_grams < 1 or w <= window_size(found.n_grams):
-        return found
-    keys = np.full(found.n_grams, np.iinfo(np.uint64).max)  # what isn't selected is never a minimum
-    keys[found.positions] = _keys(found, found.positions)
-    return found[np.searchsorted(found.positions, _minima(keys, min(w, found.n_grams)))]
-
-
-def likeness(a: Selected, b: Selected) -> float:
-    """Distinct fingerprints that both texts have at the larger of their windows, of those that
-    either has; 1 if neither has any."""
-    w = max(window_size(a.n_grams), window_size(b.n_grams))
-    a, b = np.unique(thinned(a, w)), np.unique(thinned(b, w))
+def likeness(a: np.ndarray, b: np.ndarray) -> float:
+    """Distinct fingerprints that both texts have, of those that either has; 1 if neither has any."""
+    a, b = np.unique(a), np.unique(b)
     both = len(np.intersect1d(a, b, assume_unique=True))
     return both / (len(a) + len(b) - both) if len(a) + len(b) else 1.0
 
@@ -184,7 +152,7 @@ def compare_with_edited(docs: DataFrame, k: int = K) -> DataFrame:
         last = None  # group, identifier, text and hashes of the row before
         out: list[tuple] = []
 
-        def close(text: str, hashes: Selected) -> None:
+        def close(text: str, hashes: np.ndarray) -> None:
             _, doc, own, mine = last
             n = len(own) // 4
             edited = own[: len(own) - n] + text[:n]

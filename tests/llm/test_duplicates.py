@@ -156,6 +156,22 @@ def test_repeated_lines(spark, docs, no_docs):
     assert linededup.drop_repeated_lines(no_docs).count() == 0
 
 
+def test_columns_of_the_same_name_stay(spark):
+    text = "\n".join(f"line {i} of a passage that has more than fifty words in all" for i in range(6))
+    rows = spark.createDataFrame([(1, text, 7), (2, text, 8)], "doc_id long, text string, lines_removed int")
+    found = {r.doc_id: r for r in linededup.drop_repeated_lines(rows).collect()}
+    assert [(found[i].lines_removed, found[i]["_lines_removed"]) for i in (1, 2)] == [(7, 0), (8, 6)]
+
+
+def test_lines_of_equal_hash_differ(spark):
+    """Windows are told apart by 128 bits of each line, also where the 64 that select them collide."""
+    digests = [b"\x01" * 8 + bytes([i]) * 8 for i in range(3)]
+    words = np.array([60], np.int32).tobytes()
+    rows = [(1, i, i, 0, digests[i % 3], words, 0, np.array([0], np.int32).tobytes()) for i in range(6)]
+    found = linededup.extended(spark.createDataFrame(rows, linededup._FOUND), 50).collect()
+    assert len({(r.content, r.content2) for r in found}) == 3 and len(found) == 6
+
+
 def test_passage_across_lines_goes(spark):
     rng = random.Random(9)
     lines = [" ".join(f"p{rng.randrange(9999)}" for _ in range(9)) for _ in range(8)]

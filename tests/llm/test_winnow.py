@@ -1,3 +1,4 @@
+import base64
 import hashlib
 import random
 
@@ -8,11 +9,24 @@ from hypothesis import strategies as st
 from spanlake.llm import winnow as w
 
 
-def slow(text, k=w.K):
-    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-    n = len(c) - k + 1
-    size = min(w.window_size(n), n)
-    h = [int(w._gram_hashes(c[i : i + k], k)[0] >> np.uint64(32)) for i in range(n)]
+FACTOR, MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+
+def slow_hash(gram):
+    """A polynomial over the code points, its bits spread, in plain integers."""
+    x = sum((ord(c) + 1) * FACTOR ** (len(gram) - 1 - j) for j, c in enumerate(gram)) & MASK
+    x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & MASK
+    x = (x ^ x >> 27) * 0x94D049BB133111EB & MASK
+    return (x ^ x >> 31) >> 32
+
+
+def slow(text, k=8, window=32):
+    if not text:
+        return [], []
+    k = min(k, len(text))
+    n = len(text) - k + 1
+    size = min(window, n)
+    h = [slow_hash(text[i : i + k]) for i in range(n)]
     picked = set()
     for i in range(n - size + 1):
         low = min(h[i : i + size])
@@ -20,8 +34,17 @@ def slow(text, k=w.K):
     return sorted(picked), [h[p] for p in sorted(picked)]
 
 
+def slow_likeness(a, b):
+    a, b = set(slow(a)[1]), set(slow(b)[1])
+    return len(a & b) / len(a | b) if a | b else 1.0
+
+
+def slow_text(text):
+    return base64.b64encode(b"".join(h.to_bytes(4, "little") for h in slow(text)[1])).decode()
+
+
 @settings(max_examples=60, deadline=None)
-@given(st.one_of(st.text(alphabet="ab", min_size=8, max_size=400), st.text(min_size=8, max_size=200)))
+@given(st.one_of(st.text(alphabet="ab", max_size=400), st.text(max_size=200)))
 def test_selection_by_definition(text):
     hashes, positions = w.winnow(text)
     places, values = slow(text)
@@ -32,7 +55,7 @@ def test_shared_passage_shares_a_fingerprint():
     rng = random.Random(3)
     letters = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
     for _ in range(30):
-        a, b, shared = letters(3000), letters(5000), letters(w.K + w.LARGEST - 1)
+        a, b, shared = letters(3000), letters(5000), letters(w.K + w.WINDOW - 1)
         x, y = w.winnow(a + shared + b)[0], w.winnow(b[:1000] + shared + a)[0]
         assert len(np.intersect1d(x, y))
 
@@ -55,8 +78,7 @@ def test_edited_and_next(spark, docs, no_docs):
         after = rows[(i + 1) % len(rows)][1]
         n = len(t) // 4
         edited = t[: len(t) - n] + after[:n]
-        mine, other, theirs = (w.winnow(x)[0] for x in (t, edited, after))
-        want.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), w.fingerprint_text(mine), w.fingerprint_text(other), w.likeness(mine, other), w.likeness(mine, theirs)))
+        want.append((d, len(t), hashlib.sha256(edited.encode()).hexdigest(), slow_text(t), slow_text(edited), slow_likeness(t, edited), slow_likeness(t, after)))
     key = lambda r: (r[0] is not None, r[0] or 0, *map(str, r[1:]))
     assert sorted((tuple(r) for r in w.compare_with_edited(docs).collect()), key=key) == sorted(want, key=key)
     assert w.compare_with_edited(no_docs).count() == 0 and w.fingerprints(no_docs).count() == 0
@@ -73,30 +95,10 @@ def test_groups_of_few_rows_join(spark):
     assert len(groups) > 10 and follows == heads
 
 
-def test_texts_of_different_windows(spark):
-    """On either side of each step two almost equal texts are alike, as with one window."""
-    rng, least = random.Random(8), 0.9
-    for step in (512, 1024, 2048, 4096):
-        text = "".join(rng.choice("abcdefghij ") for _ in range(step + w.K + 2))
-        shorter = text[: step + w.K - 7]
-        n, m = len(text) - w.K + 1, len(shorter) - w.K + 1
-        assert w.window_size(n) == 2 * w.window_size(m)
-        assert w.likeness(w.winnow(text)[0], w.winnow(shorter)[0]) > least
-        # an edit that moves the text to a smaller window: only its last characters go
-        rows = spark.createDataFrame([(1, text), (2, text[-(len(text) // 4) :][:-9])], "doc_id long, text string")
-        assert w.compare_with_edited(rows).where("doc_id = 1").first().near_edited > least
-
-
-@settings(max_examples=60, deadline=None)
-@given(st.text(alphabet="ab", min_size=8, max_size=700), st.sampled_from([8, 16, 32, 64]))
-def test_thinned_by_definition(text, size):
-    n = len(text) - w.K + 1
-    if size <= w.window_size(n):
-        return
-    own = w.window_size
-    thin = w.thinned(w.winnow(text)[0], size)
-    try:
-        w.window_size = lambda _: size
-        assert thin.tolist() == slow(text)[1]
-    finally:
-        w.window_size = own
+def test_likeness_does_not_depend_on_length():
+    """Of two texts the one a few characters longer is alike at every length."""
+    rng = random.Random(8)
+    text = "".join(rng.choice("abcdefghij ") for _ in range(9_000))
+    for n in (*range(700, 1_100, 9), *range(2_000, 2_150, 11), *range(4_000, 4_200, 7), 8_900):
+        # nine code points change a few fingerprints, of which a text has about two in 33 code points
+        assert w.likeness(w.winnow(text[: n + 9])[0], w.winnow(text[:n])[0]) > (0.95 if n >= 2_000 else 0.85), n
