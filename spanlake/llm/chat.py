@@ -9,6 +9,9 @@ no token crosses the edge of a turn.
 Every mark begins with ``<|``. In texts and roles ``<``, any number of backslashes and ``|``
 get one more backslash, so that no text contains a mark; reading takes it away again.
 
+A conversation is rendered and encoded whole, so it is one row of one task. Several are encoded at
+once, as many as have ``ENCODED_CHARS`` characters.
+
 Defined cases: null texts and roles count as empty; turns are ordered by turn (null first),
 then role and text; repeated turns are kept; a null conv_id is a conversation; an empty table
 gives an empty result; other columns are ignored.
@@ -20,6 +23,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -91,6 +95,8 @@ def loss_mask(starts: np.ndarray, ends: np.ndarray, spans: list[tuple[int, int]]
     return mask
 
 
+#: Characters of the conversations that are encoded at once (one conversation at least).
+ENCODED_CHARS = 2_000_000
 FORMATTED = "conv_id long, formatted string, input_ids array<int>, token_starts array<int>, token_ends array<int>, loss_mask array<boolean>"
 _TYPES = (pa.int64(), pa.string(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.bool_()))
 _NAMES = [c.split()[0] for c in FORMATTED.split(", ")]
@@ -104,26 +110,38 @@ def format_conversations(conversations: DataFrame, tokenizer: str | None = None,
     )
     grouped = conversations.groupBy(F.col("conv_id").cast("long").alias("conv_id")).agg(F.sort_array(F.collect_list(turn)).alias("turns"))
 
+    def encoded(tok, convs: list[int | None], made: list[tuple[str, list[tuple[int, int, str]]]]) -> pa.RecordBatch:
+        ids, offsets, masks = [], [], []
+        for (_, spans), e in zip(made, tok.encode_batch([m[0] for m in made], add_special_tokens=False)):
+            at = np.fromiter(chain.from_iterable(e.offsets), np.int32, 2 * len(e)).reshape(-1, 2)
+            ids.append(np.array(e.ids, np.int32))
+            offsets.append(at)
+            masks.append(loss_mask(at[:, 0], at[:, 1], [(i, j) for i, j, role in spans if role in loss_roles]))
+        ends = pa.array(np.cumsum([0, *map(len, ids)]), pa.int32())
+        both = np.concatenate(offsets)
+        lists = [pa.ListArray.from_arrays(ends, pa.array(np.ascontiguousarray(v))) for v in (np.concatenate(ids), both[:, 0], both[:, 1], np.concatenate(masks))]
+        return pa.RecordBatch.from_arrays([pa.array(convs, pa.int64()), pa.array([m[0] for m in made], pa.string()), *lists], names=_NAMES)
+
     def form(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tok = chat_tokenizer(path)
         for b in batches:
-            for at in range(0, b.num_rows, 256):
-                part = b.slice(at, 256)
-                made = [render([(t["role"], t["text"]) for t in turns]) for turns in part.column(1).to_pylist()]
-                out: list[tuple] = []
-                for conv, (text, spans), e in zip(part.column(0).to_pylist(), made, tok.encode_batch([m[0] for m in made], add_special_tokens=False)):
-                    offsets = np.array(e.offsets, dtype=np.int32).reshape(-1, 2)
-                    mask = loss_mask(offsets[:, 0], offsets[:, 1], [(i, j) for i, j, role in spans if role in loss_roles])
-                    out.append((conv, text, e.ids, offsets[:, 0], offsets[:, 1], mask))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), _TYPES)], names=_NAMES)
+            convs, made, size = [], [], 0
+            for conv, turns in zip(b.column(0), b.column(1)):
+                convs.append(conv.as_py())
+                made.append(render([(t["role"], t["text"]) for t in turns.as_py()]))
+                size += len(made[-1][0])
+                if size >= ENCODED_CHARS:
+                    yield encoded(tok, convs, made)
+                    convs, made, size = [], [], 0
+            if made:
+                yield encoded(tok, convs, made)
 
     return grouped.mapInArrow(form, FORMATTED)
 
 
-def masked_text(text: str, starts: list[int], ends: list[int], mask: list[bool]) -> str:
+def masked_text(text: str, starts: np.ndarray, ends: np.ndarray, mask: np.ndarray) -> str:
     """The text under the mask, unescaped; each unbroken run of tokens on its own."""
-    m = np.concatenate([[False], np.array(mask, dtype=bool), [False]])
-    edges = np.flatnonzero(m[1:] != m[:-1])
+    edges = np.flatnonzero(np.diff(np.concatenate([[False], mask, [False]]).astype(np.int8)))
     return "".join(unescape(text[starts[i] : ends[j - 1]]) for i, j in zip(edges[::2], edges[1::2]))
 
 
@@ -136,12 +154,14 @@ def read_back(formatted: DataFrame) -> DataFrame:
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in row_batches(batches):
             out: list[tuple] = []
-            for r in b.to_pylist():
-                turns = parse(r["formatted"])
-                whole = "".join(f"{role}\n{text}\n" for role, text in turns)
-                loss = masked_text(r["formatted"], r["token_starts"], r["token_ends"], r["loss_mask"])
+            at = b.column(3).offsets.to_numpy()
+            starts, ends, mask = (b.column(k).values.to_numpy(zero_copy_only=False) for k in (3, 4, 5))
+            for conv, text, i, j in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), at[:-1], at[1:]):
+                turns = parse(text)
+                whole = "".join(f"{role}\n{content}\n" for role, content in turns)
+                loss = masked_text(text, starts[i:j], ends[i:j], mask[i:j])
                 digest = [hashlib.sha256(t.encode("utf-8", "surrogatepass")).hexdigest() for t in (whole, loss)]
-                out.append((r["conv_id"], len(turns), digest[0], len(loss), digest[1], len(r["formatted"]), len(r["input_ids"])))
+                out.append((conv, len(turns), digest[0], len(loss), digest[1], len(text), int(j - i)))
             if out:
                 types = (pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names=[c.split()[0] for c in READ_BACK.split(", ")])

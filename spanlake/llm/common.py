@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from weakref import WeakKeyDictionary
 
 import numpy as np
 import pyarrow as pa
@@ -21,29 +23,37 @@ LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
 def shared_dir(spark: SparkSession, tag: str) -> str:
-    """A new path below ``spark.checkpoint.dir``; where that is unset (tests), below a temporary folder."""
+    """A new path below ``spark.checkpoint.dir``, which a cluster has to name. Where it is unset in a
+    local session (tests), a temporary folder is set for the session."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spanlake-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+_STAGED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def staged(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: computed once, safe from lost executors."""
     spark = df.sparkSession
     path = shared_dir(spark, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    _STAGED[out] = path
+    return out
 
 
-def unstage(*frames: DataFrame) -> None:
-    """Deletes what ``staged`` wrote for tables that no later step reads."""
+def unstage(*frames: DataFrame | None) -> None:
+    """Deletes staged tables that nothing reads any more."""
     for df in frames:
-        spark = df.sparkSession
-        for path in {f.rpartition("/")[0] for f in df.inputFiles()}:
-            p = spark._jvm.org.apache.hadoop.fs.Path(path)
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        path = _STAGED.pop(df, None) if df is not None else None
+        if path:
+            p = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -4,8 +4,9 @@ The benchmark's distinct windows of ``n`` words form a hash set. Every window of
 document's words is hashed, looked up, and verified word by word; words inside hits are
 counted, and documents or spans removed.
 
-The set is broadcast while it has at most ``max_broadcast`` windows (about 120 bytes each);
-beyond that, hashes of document windows are joined by shuffle and the hits verified after.
+The set is broadcast while it has at most ``max_broadcast`` windows and ``MAX_BROADCAST_BYTES`` of
+words and item identifiers; beyond that, hashes of document windows are joined by shuffle and the
+hits verified after. Rows without a window take no part in that shuffle.
 
 Defined cases: a null text has no words; a null identifier or repeated rows are kept, each
 with its result; items without words have no windows; items of fewer than ``n`` words are one
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import unused
 
 N = 10
-MAX_BROADCAST = 1_000_000
+MAX_BROADCAST, MAX_BROADCAST_BYTES = 1_000_000, 192 << 20
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -50,8 +51,10 @@ def contamination(
     identifiers apart; rows that share both are counted and given back as often.
     """
     windows = item_windows(benchmark, n)
-    lengths = sorted(r[0] for r in windows.select("w_len").distinct().collect()) or [n]  # at most n values
-    small = windows.limit(max_broadcast + 1).count() <= max_broadcast
+    size_of = F.octet_length(F.array_join("w_words", " ")) + 16 * F.size("w_items") + 64
+    found = windows.agg(F.collect_set("w_len").alias("lengths"), F.count("*").alias("n"), F.sum(size_of).alias("bytes")).first()  # at most n lengths
+    lengths = sorted(found["lengths"]) or [n]
+    small = found["n"] <= max_broadcast and (found["bytes"] or 0) <= MAX_BROADCAST_BYTES
     base = docs.select(F.col("doc_id").alias("d_id"), F.xxhash64("text").alias("d_text"), words("text").alias("d_words"))
     # place 0 stands for the document itself, so that it is kept without hits
     each = len(lengths)
@@ -68,13 +71,13 @@ def contamination(
         same = (F.col("d_hash") == F.col("w_hash")) & (F.slice("d_words", F.col("d_at"), F.col("w_len")) == F.col("w_words"))
         found = place.join(F.broadcast(windows), same, "left")
     else:
-        keyed = place.select("d_id", "d_text", "d_place", "d_at", "d_hash", F.size("d_words").alias("d_n"))
-        found = keyed.join(windows, F.col("d_hash") == F.col("w_hash"), "left")
-        found = found.where((F.col("d_place") == 0) | F.col("w_hash").isNotNull())
+        keyed = place.where("d_hash IS NOT NULL").select("d_id", "d_text", "d_place", "d_at", "d_hash")
+        hits = keyed.join(windows, F.col("d_hash") == F.col("w_hash"))
         texts = base.dropDuplicates(["d_id", "d_text"]).select(F.col("d_id").alias("t_id"), F.col("d_text").alias("t_text"), "d_words")
-        found = found.join(texts, F.col("d_id").eqNullSafe(F.col("t_id")) & (F.col("d_text") == F.col("t_text")))
-        true = F.slice("d_words", F.greatest(F.col("d_at"), F.lit(1)), F.coalesce("w_len", F.lit(1))) == F.col("w_words")
-        found = found.where((F.col("d_place") == 0) | true)
+        hits = hits.join(texts, F.col("d_id").eqNullSafe(F.col("t_id")) & (F.col("d_text").eqNullSafe(F.col("t_text"))))
+        hits = hits.where(F.slice("d_words", F.col("d_at"), F.col("w_len")) == F.col("w_words")).drop("t_id", "t_text")
+        # a row of each document, as it is at place 0 in the other way
+        found = base.withColumn("d_place", F.lit(0)).unionByName(hits, allowMissingColumns=True)
     found = found.where((F.col("d_place") == 0) | F.col("w_hash").isNotNull()).select(
         "d_id", "d_text", "w_items",
         F.when(F.col("d_place") == 0, F.size("d_words")).alias("own"),

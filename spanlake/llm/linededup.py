@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import row_batches, row_key, staged, unused
+from .common import row_batches, row_key, staged, unstage, unused
 
 MIN_WORDS = 50
 _SPACES = re.compile(r"\s+")
@@ -148,7 +148,9 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     inside = F.col("doc_id").eqNullSafe(F.col("origin.doc_id")) & (F.col("doc_key") == F.col("origin.doc_key"))
     begin = F.when(inside, F.greatest("first", F.col("origin.last") + 1)).otherwise(F.col("first"))
     later = later.select("doc_id", "doc_key", F.struct(begin.alias("first"), "last").alias("run"))
-    return later.groupBy("doc_id", "doc_key").agg(F.sort_array(F.collect_set("run")).alias("runs"))
+    runs = staged(later.groupBy("doc_id", "doc_key").agg(F.sort_array(F.collect_set("run")).alias("runs")), "runs")
+    unstage(found, often, places, firsts)
+    return runs
 
 
 def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_batches, staged, text_bytes, unused
+from .common import row_batches, staged, text_bytes, unstage, unused
 from .shingles import shingle_set
 
 SHINGLE, THRESHOLD = 5, 0.8
@@ -146,26 +146,28 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float
 def components(links: DataFrame, tag: str) -> DataFrame:
     """(vertex, label): the smallest vertex reachable over the links (a, b); only linked vertices."""
     edges = staged(links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), f"edges-{tag}")
-    labels, rounds = None, 0
+    labels = None
     while edges.head(1):
-        rounds += 1
         both = edges.union(edges.select("b", "a"))
         to = both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("v"), F.least("a", "least").alias("p"))
-        to = staged(to, f"pointers-{tag}")
+        pointers = to = staged(to, f"pointers-{tag}")
         for _ in range(2):  # pointers of pointers
             up = to.select(F.col("v").alias("p"), F.col("p").alias("q"))
             to = to.join(up, "p", "left").select("v", F.coalesce("q", "p").alias("p"))
         to = staged(to, f"roots-{tag}")
         if labels is None:
-            labels = to.select("v", F.col("p").alias("label"))
+            fresh = to.select("v", F.col("p").alias("label"))
         else:
             moved = to.select(F.col("v").alias("label"), "p")
-            labels = labels.join(moved, "label", "left").select("v", F.coalesce("p", "label").alias("label"))
-        labels = staged(labels, f"labels-{tag}")
-        edges = edges.join(to.toDF("a", "pa"), "a").join(to.toDF("b", "pb"), "b").where("pa <> pb")
-        edges = staged(edges.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), f"edges-{tag}")
+            fresh = labels.join(moved, "label", "left").select("v", F.coalesce("p", "label").alias("label"))
+        fresh = staged(fresh, f"labels-{tag}")
+        rest = edges.join(to.toDF("a", "pa"), "a").join(to.toDF("b", "pb"), "b").where("pa <> pb")
+        rest = staged(rest.select(F.least("pa", "pb").alias("a"), F.greatest("pa", "pb").alias("b")).distinct(), f"edges-{tag}")
+        unstage(edges, pointers, to, labels)
+        edges, labels = rest, fresh
     if labels is None:
         return edges.select(F.col("a").alias("v"), F.col("b").alias("label"))
+    unstage(edges)
     return labels
 
 
@@ -200,18 +202,20 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float =
     part = lambda c: label.select(F.col("v").alias(c), F.col("label").alias(f"{c}_label"))
     parts = members.join(part("rep"), "rep", "left").join(part("hub"), "hub", "left")
     parts = parts.select(*members.columns, F.coalesce("rep_label", "rep").alias("part"), F.coalesce("hub_label", "hub").alias("hub_part"))
-    loose = parts.where("part <> hub_part")
-    others = parts.join(loose.select("hub").distinct(), "hub", "left_semi")
+    # both sides are staged, so that the join is one of plain shuffles and a large hub is split over tasks
+    loose = staged(parts.where("part <> hub_part"), "loose")
+    others = staged(parts.join(loose.select("hub").distinct(), "hub", "left_semi").where("rep <> hub"), "others")
     apart = (F.col("x.part") != F.col("y.part")) & ((F.col("y.part") == F.col("y.hub_part")) | (F.col("x.rep") < F.col("y.rep")))
-    cross = loose.alias("x").join(others.alias("y"), (F.col("x.hub") == F.col("y.hub")) & apart & (F.col("y.rep") != F.col("y.hub")) & _near("x", "y", threshold))
+    cross = loose.alias("x").join(others.alias("y"), (F.col("x.hub") == F.col("y.hub")) & apart & _near("x", "y", threshold))
     cross = staged(cross.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")), "cross")
     if cross.head(1):
-        links = staged(links.union(confirmed(cross, texts, shingle, threshold)), "links")
-        label = components(links, "all")
+        more = staged(links.union(confirmed(cross, texts, shingle, threshold)), "links")
+        label, first = components(more, "all"), label
+        unstage(more, first)
+    unstage(shared, texts, sets, members, links, loose, others, cross)
 
-    members = of_row
     of = label.select(F.col("v").alias("rep"), "label")
-    out = members.join(of, "rep", "left")
+    out = of_row.join(of, "rep", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("label", "rep", "doc_id"))
     return out.select(
         "doc_id", "n_shingles", component.alias("component_id"),

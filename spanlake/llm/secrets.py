@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_batches, staged
+from .common import row_batches, staged, unstage
 
 KINDS = ("assign", "access", "hex", "crf")
 _ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)
@@ -451,12 +451,13 @@ def sampled(docs: DataFrame, per_class: int) -> DataFrame:
 def fit(docs: DataFrame, segments: int = SAMPLE_SEGMENTS) -> Field:
     """Trains on at most ``segments`` runs of tokens of the corpus and the templates."""
     per_class = max(1, segments // 3)
-    rows = staged(sampled(docs, per_class), "segments")
+    segments_found = staged(sampled(docs, per_class), "segments")
     rest = ["before", "after", "tags", "file"]
-    rows = rows.groupBy("class", "place", "tokens").agg(F.min(F.struct(*rest)).alias("first")).select("class", "place", "tokens", *[f"first.{c}" for c in rest])
+    rows = segments_found.groupBy("class", "place", "tokens").agg(F.min(F.struct(*rest)).alias("first")).select("class", "place", "tokens", *[f"first.{c}" for c in rest])
     chosen = []
     for c in range(3):
         chosen += rows.where(F.col("class") == c).orderBy("place", "tokens").limit(per_class).collect()
+    unstage(segments_found)
     return train([Example(list(r["tokens"]), list(r["tags"]), list(r["file"]), list(r["before"]), r["after"]) for r in chosen] + templates())
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import row_batches, staged, text_bytes
+from .common import row_batches, staged, text_bytes, unstage
 from .shingles import shingle_set
 
 #: Labelled documents of each class that are fitted on, entries that are learned at most, and what an entry needs:
@@ -239,6 +239,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 2, per_class: int =
     sizes = {r["toxic"]: r["count"] for r in labelled.groupBy("toxic").count().collect()}
     pos, neg = sizes.get(1, 0), sizes.get(0, 0)
     if not pos or not neg:
+        unstage(labelled)
         return Model(built_in, FALLBACK)
     # the sample holds equally many of each class; each counts for as many labelled documents as it stands for
     whole = {r["toxic"]: r["count"] for r in _labelled(labels, held_out).groupBy("toxic").count().collect()}
@@ -260,6 +261,7 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 2, per_class: int =
             yield pa.RecordBatch.from_arrays([pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64()), b.column(1)], names=["x", "y", "toxic"])
 
     rows = labelled.mapInArrow(measure, "x double, y double, toxic int").collect()  # at most 2 * per_class rows of three numbers
+    unstage(labelled)
     x = np.array([[1.0, r["x"], math.log1p(r["y"])] for r in rows])
     y = np.array([r["toxic"] for r in rows], dtype=float)
     b = _logistic(x, y, np.where(y > 0, share[1], share[0]))

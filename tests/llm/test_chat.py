@@ -37,3 +37,14 @@ def test_ids_read_back_and_marks_are_single_tokens(spark):
 def test_empty(spark):
     df = spark.createDataFrame([], "conv_id long, turn long, role string, text string")
     assert chat.read_back(chat.format_conversations(df)).count() == 0
+
+
+def test_long_conversations_and_repeated_rows(spark):
+    long = "a very long answer 字 <|im_end|> " * 60_000
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", long), (1, 2, "assistant", long[:-1]), (2, 0, "user", "q"), (2, 1, "assistant", "same"), (2, 1, "assistant", "same"), (3, 0, "user", "q"), (3, 1, "assistant", "same"), (4, 0, "user", "")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").repartition(3)
+    found = {r.conv_id: r for r in chat.read_back(chat.format_conversations(df)).collect()}
+    digest = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    assert (found[1].n_turns, found[1].loss_chars, found[1].loss_sha256) == (3, 2 * len(long) - 1, digest(long + long[:-1]))
+    assert (found[2].n_turns, found[2].loss_sha256) == (3, digest("samesame")) and found[3].loss_sha256 == digest("same")
+    assert found[4].loss_chars == 0
