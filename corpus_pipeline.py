@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and works on all that the stage before it kept. All but
 the last return the columns of ``documents``. A result is written as Parquet in the shared folder
 and read again as the next stage's input, so a lost executor costs one stage's tasks at most.
+
+Near-duplicates are documents at least 0.8 alike on shingles of five words.
+
+Defined cases: a null or empty text is kept by every stage and packed as its end id; rows that share
+an identifier are one document for near-duplicates and stay or go together; a row without
+identifier stays unless it is toxic or contaminated; further columns of ``documents``, whatever
+their names, are passed through all stages but the last; empty tables give empty results, and without
+labels the built-in lexicon applies.
 """
 
 from __future__ import annotations
@@ -22,7 +30,8 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without runs of lines that stood before; ``n_chars`` follows the text."""
     edited = linededup.drop_repeated_lines(docs)
-    changed = {"n_chars": F.when(F.col("lines_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))}
+    removed = edited.columns[-1]
+    changed = {"n_chars": F.when(F.col(removed) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))}
     return edited.withColumns({k: v for k, v in changed.items() if k in docs.columns}).select(*docs.columns)
 
 
