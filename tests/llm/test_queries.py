@@ -63,3 +63,24 @@ def test_stages_keep_columns(spark, sf_dir):
     for name, stage in corpus_pipeline.STAGES[:-1]:
         docs = stage(spark, docs, sf_dir)
         assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"], name
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Null texts and identifiers, repeated rows, other columns and empty tables, through all stages."""
+    passage = "\n".join(f"line {k} of a passage that stands in more than one of these documents" for k in range(8))
+    rows = [(1, passage, "a", 7), (2, f"own words\n{passage}", "b", 8), (3, None, None, None), (4, "", "d", 1), (None, "a row without identifier", "e", 2), (5, "twice", "f", 3), (5, "twice", "f", 3), (6, "you idiot! you moron! idiot scum", "g", 4)]
+    spark.createDataFrame(rows, "doc_id long, text string, source string, lines_removed int").coalesce(1).write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").coalesce(1).write.parquet(f"{tmp_path}/labels.parquet")
+    spark.createDataFrame([], "item_id long, text string").coalesce(1).write.parquet(f"{tmp_path}/benchmark.parquet")
+    docs = read_table(spark, str(tmp_path), "documents")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, str(tmp_path))
+        assert docs.columns == ["doc_id", "text", "source", "lines_removed"]
+    kept = sorted(((r.doc_id, r.text, r.lines_removed) for r in docs.collect()), key=str)
+    assert kept == sorted([(1, passage, 7), (2, "own words", 8), (3, None, None), (4, "", 1), (None, "a row without identifier", 2), (5, "twice", 3), (5, "twice", 3)], key=str)
+    packed = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert sorted(str(r.doc_id) for r in packed) == sorted(str(r[0]) for r in kept)
+    empty = str(tmp_path / "none")
+    for t in ("documents", "labels", "benchmark"):
+        read_table(spark, str(tmp_path), t).limit(0).coalesce(1).write.parquet(f"{empty}/{t}.parquet")
+    assert corpus_pipeline.run(spark, empty).count() == 0
