@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from . import oracle
 from .functions import anyvalue
 from .operators import dedup, fingerprint, offload
-from .operators.stage import shared_path
+from .operators.stage import shared_path, staged
 from .plans import dashboards, marts, trajectory, tvf, views
 from .sources import projection
 from .streaming import alerts
@@ -168,7 +168,8 @@ def q11_tool_and_mcp_usage(spark, d):
 
 
 def _alerts(spark, d):
-    s = spans(spark, d)
+    # staged once, as three kinds of alerts and two deliveries read it
+    s = staged(spans(spark, d).select("trace_id", "span_id", "service_name", "name", "start_time", "duration_nano", "status", "attributes"), "alert-spans")
     return alerts.tool_errors(s).unionByName(alerts.token_budget(s, 60, 120)).unionByName(alerts.agent_latency(s, 150.0))
 
 

@@ -23,11 +23,13 @@ def _path(key: str, index: int | None) -> str:
 
 
 def json_value(parsed: Column, key: str, index: int | None = None) -> Column:
-    """The scalar at ``key`` (or at ``key[index]``) as text."""
-    v = F.try_variant_get(parsed, _path(key, index), "variant")
-    kind = F.schema_of_variant(v)
-    scalar = ~(kind.startswith("OBJECT") | kind.startswith("ARRAY") | (kind == "VOID"))
-    return F.when(scalar, F.try_variant_get(parsed, _path(key, index), "string"))
+    """The scalar at ``key`` (or at ``key[index]``) as text. Only a text that looks like an object or an array
+    is asked for its kind: it may be one, or a string of that look."""
+    path = _path(key, index)
+    text = F.try_variant_get(parsed, path, "string")
+    kind = F.schema_of_variant(F.try_variant_get(parsed, path, "variant"))
+    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
+    return F.when(~text.rlike(r"^[\[{]"), text).when(~nested, text)
 
 
 def _numeric(parsed: Column, key: str) -> Column:
@@ -49,7 +51,3 @@ def lax_float64(parsed: Column, key: str) -> Column:
     """A finite number, or a string that is one."""
     real = _numeric(parsed, key).try_cast("double")
     return F.when(~F.isnan(real) & (F.abs(real) != F.lit(float("inf"))), real)
-
-
-def first_of(*columns: Column) -> Column:
-    return F.coalesce(*columns)

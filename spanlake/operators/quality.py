@@ -6,12 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas
+from ..sources import otlp
 
 MAX_ROW_BYTES = 1 << 20
 MAX_PAYLOAD_BYTES, MAX_MESSAGE_BYTES = 8 << 20, 4 << 10
 HELPERS = ["batch", "place", "reason", "field_path", "record", "resource_text", "scope_text"]
 _SPECIFIC = {("invalid_id", "trace_id"): "INVALID_TRACE_ID", ("invalid_id", "span_id"): "INVALID_SPAN_ID", ("missing_timestamp", "start_time"): "MISSING_START_TIME", ("missing_timestamp", "end_time"): "MISSING_END_TIME"}
-_WRAPPED = {"traces": ("resourceSpans", "scopeSpans", "spans"), "logs": ("resourceLogs", "scopeLogs", "logRecords"), "metrics": ("resourceMetrics", "scopeMetrics", "metrics")}
 
 
 def error_code(reason: str = "reason", path: str = "field_path") -> Column:
@@ -36,21 +36,21 @@ def accepted(rows: DataFrame) -> DataFrame:
 
 
 def truncated(text: Column, max_bytes: int) -> Column:
-    """At most ``max_bytes`` bytes of a text, cut between characters."""
-    cut = F.substring(F.encode(text, "UTF-8"), 1, max_bytes)
-    whole = F.regexp_replace(F.try_validate_utf8(cut), "$^", "") if False else F.decode(cut, "UTF-8")
-    # a character that was cut in two reads as a replacement mark at the end
-    return F.when(F.octet_length(text) <= max_bytes, text).otherwise(F.regexp_replace(whole, "�+$", ""))
+    """At most ``max_bytes`` bytes of a text, cut between characters (of at most four bytes)."""
+    raw = F.encode(text, "UTF-8")
+    cut = [F.try_validate_utf8(F.substring(raw, 1, max(0, max_bytes - k)).cast("string")) for k in range(4)]
+    return F.when(F.octet_length(text) <= max_bytes, text).otherwise(F.coalesce(*cut))
 
 
 def quarantine(rows: DataFrame, signal: str, instance: str = "spanlake", payload: bool = True, max_payload: int = MAX_PAYLOAD_BYTES) -> DataFrame:
     """A row of ``otel_quarantine`` for each record with a problem: the record alone as an export
     request, so that it can be read again. ``payload=False`` keeps the identifiers only."""
-    top, middle, leaf = _WRAPPED[signal]
-    body = F.concat(
-        F.lit(f'{{"{top}":[{{"resource":'), F.coalesce("resource_text", F.lit("{}")), F.lit(f',"{middle}":[{{"scope":'), F.coalesce("scope_text", F.lit("{}")),
-        F.lit(f',"{leaf}":['), F.col("record"), F.lit("]}]}]}"),
-    )
+    top, middle, leaf = otlp.SIGNALS[signal]
+    part = lambda name, text: F.concat(F.lit(f'"{name}":'), F.coalesce(text, F.lit("{}")))
+    url = lambda c: otlp.members(F.col(c).alias("schemaUrl"))
+    inner = F.concat_ws(",", part("scope", "scope_text"), url("scope_schema_url"), F.concat(F.lit(f'"{leaf}":['), "record", F.lit("]")))
+    outer = F.concat_ws(",", part("resource", "resource_text"), url("resource_schema_url"), F.concat(F.lit(f'"{middle}":[{{'), inner, F.lit("}]")))
+    body = F.concat(F.lit(f'{{"{top}":[{{'), outer, F.lit("}]}"))
     ids = {c: F.col(c) if c in rows.columns else F.lit(None).cast("string") for c in ("trace_id", "span_id", "attributes")}
     out = rows.where("reason IS NOT NULL").select(
         F.col("receive_time").alias("ingest_time"), F.lit(signal).alias("signal"), error_code().alias("error_code"),
@@ -62,10 +62,10 @@ def quarantine(rows: DataFrame, signal: str, instance: str = "spanlake", payload
 
 
 def replayable(quarantined: DataFrame, signal: str, codes: list[str] | None = None, start: str | None = None, end: str | None = None) -> DataFrame:
-    """Payloads of a quarantine table as request lines (column ``value``), filtered by signal, code and time, in a fixed order."""
+    """Payloads of a quarantine table as request lines (column ``value``), filtered by signal, code and time (both ends included), in a fixed order."""
     q = quarantined.where((F.col("signal") == signal) & F.col("raw_payload").isNotNull())
     q = q.where(F.col("error_code").isin(codes)) if codes else q
     q = q.where(F.col("ingest_time") >= F.lit(start).cast("timestamp")) if start else q
-    q = q.where(F.col("ingest_time") < F.lit(end).cast("timestamp")) if end else q
+    q = q.where(F.col("ingest_time") <= F.lit(end).cast("timestamp")) if end else q
     key = F.to_json(F.struct("signal", "error_code", "error_message", "service_name", "trace_id", "span_id", "raw_payload"), {"ignoreNullFields": "false"})
     return q.withColumn("row_key", key).orderBy("ingest_time", F.xxhash64("row_key"), "row_key").select(F.col("raw_payload").alias("value"), "ingest_time", "row_key")

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.stage import staged
@@ -34,20 +34,25 @@ def run_window(spark: SparkSession, root: str, run_ts: str | None = None) -> tup
     now = datetime.fromisoformat(run_ts.replace("Z", "+00:00")) if run_ts else datetime.now(timezone.utc)
     now = now.astimezone(timezone.utc).replace(tzinfo=None)
     start = (now - LOOKBACK).replace(minute=0, second=0, microsecond=0)
-    path = f"{root}/stg_run_window"
-    if _exists(spark, path):
-        last = spark.read.parquet(path).first()
-        if not last["is_committed"]:
-            start = min(start, last["window_start"])
-    else:
-        start = EPOCH
+    last = _last_run(spark, root)
+    start = EPOCH if last is None else start if last["is_committed"] else min(start, last["window_start"])
     _book(spark, root, now, start, False)
     return now, start
 
 
+RUNS = "seq bigint, run_ts timestamp_ntz, window_start timestamp_ntz, is_committed boolean"
+
+
+def _last_run(spark: SparkSession, root: str) -> Row | None:
+    """The newest booking. Bookings are only ever appended, so one that breaks off loses nothing."""
+    path = f"{root}/stg_run_window"
+    return spark.read.schema(RUNS).parquet(path).orderBy(F.desc("seq")).first() if _exists(spark, path) else None
+
+
 def _book(spark: SparkSession, root: str, now: datetime, start: datetime, done: bool) -> None:
-    row = spark.createDataFrame([(now, start, done)], "run_ts timestamp_ntz, window_start timestamp_ntz, is_committed boolean")
-    row.coalesce(1).write.mode("overwrite").parquet(f"{root}/stg_run_window")
+    last = _last_run(spark, root)
+    row = spark.createDataFrame([(last["seq"] + 1 if last else 0, now, start, done)], RUNS)
+    row.coalesce(1).write.mode("append").parquet(f"{root}/stg_run_window")
 
 
 def replace_partitions(fresh: DataFrame, path: str, column: str, start: datetime) -> None:

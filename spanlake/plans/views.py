@@ -225,9 +225,10 @@ def metric_exemplars(gen_ai_points: DataFrame, spans: DataFrame) -> DataFrame:
 def top_counts(df: DataFrame, keys: list[str], value: str, out: str = "top_error_types", n: int = TOP) -> DataFrame:
     """The ``n`` most frequent values of each key as an array of (value, count); exact, aggregated in two levels."""
     counted = df.where(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("__n"))
-    packed = F.sort_array(F.collect_list(F.struct((-F.col("__n")).alias("n"), F.col(value).alias("value"))))
-    best = F.transform(F.slice(packed, 1, n), lambda x: F.struct(x["value"].alias("value"), (-x["n"]).alias("count")))
-    return counted.groupBy(*keys).agg(best.alias(out))
+    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.desc("__n"), F.asc(value)))
+    best = counted.withColumn("__rank", rank).where(F.col("__rank") <= n)
+    packed = F.sort_array(F.collect_list(F.struct("__rank", F.col(value).alias("value"), F.col("__n").alias("count"))))
+    return best.groupBy(*keys).agg(F.transform(packed, lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count"))).alias(out))
 
 
 def with_top(agg: DataFrame, top: DataFrame, keys: list[str], out: str = "top_error_types") -> DataFrame:
@@ -253,9 +254,13 @@ def _reports_tokens() -> Column:
 
 def with_token_leaf(spans: DataFrame, keys: list[str]) -> DataFrame:
     """``is_token_leaf``: no span of the same keys that reports tokens has this one as its parent."""
-    parent = F.when(F.col("parent_span_id").isNotNull() & _reports_tokens(), F.col("parent_span_id"))
-    parents = F.collect_set(parent).over(Window.partitionBy(*keys))
-    return spans.withColumn("__parents", parents).withColumn("is_token_leaf", ~F.array_contains("__parents", F.col("span_id"))).drop("__parents")
+    # each span stands under its own id and, if it reports tokens, once more under its parent's as a mark there
+    own = F.struct(F.col("span_id").alias("id"), F.lit(False).alias("mark"))
+    above = F.struct(F.col("parent_span_id").alias("id"), F.lit(True).alias("mark"))
+    reports = F.col("parent_span_id").isNotNull() & _reports_tokens()
+    rows = spans.withColumn("__at", F.explode(F.when(reports, F.array(own, above)).otherwise(F.array(own))))
+    marked = F.max("__at.mark").over(Window.partitionBy(*keys, "__at.id"))
+    return rows.withColumn("is_token_leaf", ~marked).where("NOT __at.mark").drop("__at")
 
 
 def llm_call() -> Column:

@@ -75,6 +75,12 @@ def records(lines: DataFrame, signal: str) -> DataFrame:
     ).select("batch", F.struct("i", "j", "k").alias("place"), "resource_text", "resource_schema_url", "scope_text", "scope_schema_url", "record")
 
 
+def members(*columns: Column) -> Column:
+    """Columns that aren't NULL as members of a JSON object, without its braces; NULL if there are none."""
+    text = F.to_json(F.struct(*columns))
+    return F.nullif(F.substring(text, F.lit(2), F.length(text) - 2), F.lit(""))
+
+
 def _id(c: Column) -> Column:
     """Lower-case hex; all zeros are no identifier."""
     low = F.lower(c)
@@ -215,7 +221,7 @@ def logs(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction | Non
 def metrics(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction | None = None, receive_nano: int | None = None) -> DataFrame:
     """Every data point as a row of ``otel_metrics``; fingerprints are set by ``operators.fingerprint``."""
     rows = _opened(records(lines, "metrics"), _METRIC)
-    kinds = F.array(*[F.struct(F.lit(v).alias("type"), F.col(f"o.{k}").alias("data")) for k, v in KINDS.items()])
+    kinds = F.array(*[F.struct(F.lit(v).alias("type"), F.lit(k).alias("key"), F.col(f"o.{k}").alias("data")) for k, v in KINDS.items()])
     rows = rows.select("*", F.explode(F.filter(kinds, lambda k: k["data"].isNotNull())).alias("kind"))
     rows = rows.select("*", F.posexplode("kind.data.dataPoints").alias("m", "point")).withColumns({"place": F.struct("place.i", "place.j", "place.k", "m"), "p": F.from_json("point", _POINT)})
     bags = encoded_bags([(F.col("res.attributes"), "resource.attributes"), (F.col("sc.attributes"), "instrumentation_scope.attributes"), (F.col("o.metadata"), "metric_metadata"), (F.col("p.attributes"), "attributes")], limits, redaction)
@@ -246,7 +252,16 @@ def metrics(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction |
         "attributes": F.col("bags")[3]["plain"], "attributes_schema": F.col("bags")[3]["types"], "metadata": F.col("bags")[2]["plain"], "metadata_schema": F.col("bags")[2]["types"],
         "resource_schema_url": F.col("resource_schema_url"), "scope_schema_url": F.col("scope_schema_url"),
     } | _origin(F.col("bags"), 0, 1)
-    return _finished(rows.withColumn("record", F.to_json(F.struct("o.name", F.col("kind.type").alias("type"), "point"))), columns, "otel_metrics", receive_nano)
+    return _finished(rows.withColumn("record", _metric_of_one_point()), columns, "otel_metrics", receive_nano)
+
+
+def _metric_of_one_point() -> Column:
+    """The metric as it came, with this point only."""
+    about = members(F.col("o.name").alias("name"), F.col("o.description").alias("description"), F.col("o.unit").alias("unit"))
+    metadata = F.concat(F.lit('"metadata":'), F.col("o.metadata"))
+    how = members(F.col("kind.data.aggregationTemporality").alias("aggregationTemporality"), F.col("kind.data.isMonotonic").alias("isMonotonic"))
+    data = F.concat(F.lit('"'), "kind.key", F.lit('":{'), F.concat_ws(",", how, F.concat(F.lit('"dataPoints":['), "point", F.lit("]"))), F.lit("}"))
+    return F.concat(F.lit("{"), F.concat_ws(",", about, metadata, data), F.lit("}"))
 
 
 READERS = {"traces": spans, "logs": logs, "metrics": metrics}

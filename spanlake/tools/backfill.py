@@ -42,8 +42,9 @@ def backfill(spark: SparkSession, path: str, root: str, signals: tuple[str, ...]
 
 
 def replay(quarantined: DataFrame, signal: str, limits: Limits = Limits(), **filters: object) -> DataFrame:
-    """Quarantined records read again, with other limits: rows as of ``transformed``."""
-    lines = quality.replayable(quarantined, signal, **filters).select("value")
+    """Quarantined records read again, with other limits: rows as of ``transformed``. The payloads are staged, so
+    that what rejected them isn't part of the plan that reads them."""
+    lines = staged(quality.replayable(quarantined, signal, **filters).select("value"), "replayed")
     return transformed(lines, signal, limits)
 
 
