@@ -4,16 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
-from .functions import anyvalue
-from .operators import dedup, fingerprint, offload
+from .functions import anyvalue, jsonx
+from .operators import dedup, fingerprint, offload, quality
 from .operators.stage import shared_path, staged
 from .plans import dashboards, marts, trajectory, tvf, views
-from .sources import projection
+from .sources import otlp, projection
 from .streaming import alerts
+from .tools import backfill
 
 #: Bounds of the time-bounded queries, and the days of the reports.
 START, END, CONTEXT_START, CONTEXT_END = "2024-01-05", "2024-01-12", "2024-01-04", "2024-01-13"
@@ -153,6 +154,18 @@ def q7_unhandled_cycles(spark, d):
     return marts.unhandled_cycles(g, trajectory.trajectory(g))
 
 
+def q6_trajectory_mart(spark, d):
+    """The trajectory mart after a first run."""
+    return _flat_trajectory(marts.trajectory_mart(genai(spark, d), shared_path(spark, "marts"), marts.EPOCH))
+
+
+def q7_cycles(spark, d):
+    """Spans that are missing from the trajectory because some are their own parents."""
+    own = F.expr("CASE WHEN CAST(span_id AS BIGINT) % 17 = 0 THEN span_id ELSE parent_span_id END")
+    g = genai(spark, d).withColumn("parent_span_id", own)
+    return marts.unhandled_cycles(g, trajectory.trajectory(g))
+
+
 def q9_executive_summary(spark, d):
     return dashboards.executive_summary(views.model_costs(genai(spark, d)), FIRST_DAY, LAST_DAY).drop("total_cache_creation_input_tokens")
 
@@ -210,6 +223,80 @@ def q16_model_costs_mart(spark, d):
     return c.withColumnRenamed("gen_ai_agent_name", "agent_name").drop("total_cache_creation_input_tokens")
 
 
+def _kv(key: str, **value: Column) -> Column:
+    """An attribute; of the kinds of value one is given."""
+    kinds = {"stringValue": "string", "intValue": "string", "doubleValue": "double", "boolValue": "boolean"}
+    return F.struct(F.lit(key).alias("key"), F.struct(*[value.get(k, F.lit(None)).cast(t).alias(k) for k, t in kinds.items()]).alias("value"))
+
+
+def _requests(df: DataFrame, signal: str, record: Column) -> DataFrame:
+    """One export request for each row (column ``value``), with schema addresses."""
+    top, middle, leaf = otlp.SIGNALS[signal]
+    scope = F.struct(F.struct(F.lit("gen").alias("name")).alias("scope"), F.lit("urn:scope").alias("schemaUrl"), F.array(record).alias(leaf))
+    resource = F.struct(F.array(_kv("service.name", stringValue=F.lit("svc"))).alias("attributes"))
+    return df.select(F.to_json(F.struct(F.array(F.struct(resource.alias("resource"), F.lit("urn:resource").alias("schemaUrl"), F.array(scope).alias(middle))).alias(top))).alias("value"))
+
+
+RECEIVED = 1_704_067_200_000_000_000
+
+
+def t1_span_rows(spark, d):
+    """Events as trace requests with attributes of all kinds; some break the contract."""
+    e = spark.read.parquet(f"{d}/events.parquet").withColumn("nano", F.expr("unix_micros(CAST(ts AS TIMESTAMP)) * 1000"))
+    case = F.col("event_id") % 50
+    span = F.struct(
+        F.when(case == 0, F.lit("0" * 32)).otherwise(F.lpad(F.lower(F.hex(F.col("user_id") + 1)), 32, "0")).alias("traceId"), F.lpad(F.hex(F.col("event_id") + 1), 16, "0").alias("spanId"),
+        F.col("event_id").cast("string").alias("name"), F.when(case == 7, "0").otherwise(F.col("nano").cast("string")).alias("startTimeUnixNano"),
+        F.when(case == 9, "18446744073709551615").otherwise((F.col("nano") + 1_500).cast("string")).alias("endTimeUnixNano"),
+        F.array(
+            _kv("whole", intValue=F.col("event_id")), _kv("real", doubleValue=F.col("value")), _kv("truth", boolValue=F.col("event_id") % 2 == 0), _kv("text", stringValue=F.col("event_type")),
+            _kv("digits", stringValue=F.concat(F.col("event_id").cast("string"), F.when(case == 3, ".5").otherwise(".0"))), *[_kv("more", intValue=case)] * 2,
+        ).alias("attributes"),
+    )
+    limits = anyvalue.Limits(attributes=7)
+    rows = otlp.spans(_requests(e, "traces", span), limits, receive_nano=RECEIVED)
+    a = jsonx.bag("attributes")
+    return rows.select(
+        "name", "trace_id", "span_id", "start_time", "duration_nano", "service_name", "resource_schema_url", F.when(F.col("reason").isNotNull(), quality.error_code()).alias("error_code"), jsonx.lax_int64(a, "whole").alias("whole"),
+        jsonx.lax_float64(a, "real").alias("real"), jsonx.json_value(a, "truth").alias("truth"), jsonx.lax_int64(a, "truth").alias("truth_number"), jsonx.json_value(a, "text").alias("text"), jsonx.lax_int64(a, "digits").alias("digits"), jsonx.lax_int64(a, "more").alias("more"),
+    )
+
+
+def t2_log_rows(spark, d):
+    """Turns as log requests: times, names of events, logs and entries."""
+    c = spark.read.parquet(f"{d}/conversations.parquet")
+    uid = _kv("log.record.uid", stringValue=F.concat_ws("-", "conv_id", "turn"))
+    name = _kv("log.iostream", stringValue=F.when(F.col("turn") % 2 == 0, F.col("role")).otherwise(""))
+    nano = F.lit(RECEIVED) + F.col("conv_id") * 1_000_000_000
+    record = F.struct(
+        F.when(F.col("turn") % 3 == 0, nano.cast("string")).alias("timeUnixNano"), F.when(F.col("turn") % 3 == 1, nano.cast("string")).alias("observedTimeUnixNano"), F.when(F.col("turn") % 2 == 1, "named").alias("eventName"),
+        F.struct(F.col("text").alias("stringValue")).alias("body"), F.array(uid, name, _kv("event.name", stringValue=F.lit("fallback"))).alias("attributes"),
+    )
+    rows = fingerprint.log_fingerprints(otlp.logs(_requests(c, "logs", record), receive_nano=RECEIVED))
+    return rows.where("reason IS NULL").select("insert_id", "timestamp", "timestamp_source", "event_name", "log_name", F.get_json_object(F.concat(F.lit('{"b":'), "body", F.lit("}")), "$.b").alias("body"))
+
+
+def t14_metric_replay(spark, d):
+    """Orders as points of three kinds: all break a limit, are put away, and are read again without it."""
+    o = spark.read.parquet(f"{d}/orders.parquet").select("o_orderkey", "o_totalprice")
+    attributes = F.array(_kv("a", intValue=F.col("o_orderkey")), _kv("b", stringValue=F.lit("x")))
+    time = (F.lit(RECEIVED) + F.col("o_orderkey") * 1_000_000_000).cast("string").alias("timeUnixNano")
+    number = F.struct(time, attributes.alias("attributes"), F.col("o_totalprice").alias("asDouble"))
+    shape = F.struct(time, attributes.alias("attributes"), F.lit("2").alias("count"), F.col("o_totalprice").alias("sum"), F.array(F.lit("1"), F.lit("1")).alias("bucketCounts"), F.array(F.lit(10.5)).alias("explicitBounds"))
+    kind = F.col("o_orderkey") % 3
+    metric = F.struct(
+        F.lit("orders").alias("name"), F.col("o_orderkey").cast("string").alias("description"), F.when(kind == 0, F.struct(F.array(number).alias("dataPoints"))).alias("gauge"),
+        F.when(kind == 1, F.struct(F.lit(1).alias("aggregationTemporality"), F.lit(True).alias("isMonotonic"), F.array(number).alias("dataPoints"))).alias("sum"),
+        F.when(kind == 2, F.struct(F.lit(2).alias("aggregationTemporality"), F.array(shape).alias("dataPoints"))).alias("histogram"),
+    )
+    rejected = backfill.transformed(_requests(o, "metrics", metric), "metrics", anyvalue.Limits(attributes=1), receive_nano=RECEIVED)
+    again = backfill.replay(staged(quality.quarantine(rejected, "metrics"), "quarantine"), "metrics", codes=["ATTRIBUTE_COUNT"])
+    return again.where("reason IS NULL").select(
+        "metric_name", "metric_description", "metric_type", "aggregation_temporality", "is_monotonic", "timestamp", "value_double", F.col("count").alias("n"), F.col("sum").alias("total"),
+        F.get_json_object("attributes", "$.a").cast("long").alias("a"), "resource_schema_url", "scope_schema_url", "service_name",
+    )
+
+
 def t7_redaction(spark, d):
     """Turns as attribute bags: a user's is under a key that is masked, numbers in others are."""
     c = spark.read.parquet(f"{d}/conversations.parquet")
@@ -241,7 +328,7 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = [
     w1_spans_dedup, w2_logs_dedup, w3_metrics_dedup, v1_all_spans, v2_gen_ai_spans, v3_mcp_spans, v4_gen_ai_metrics, v5_spans_redacted, v5_logs_redacted,
     j1_gen_ai_logs, j2_metric_exemplars, a1_model_costs, a2_sessions, a3_tool_usage, a4_mcp_tool_usage, q1_agent_trajectory, q2_tvf_agent_trajectory, q4_tvf_logs, q5_tvf_metric_exemplars, q7_unhandled_cycles,
-    q9_executive_summary, q10_agent_sessions, q11_tool_and_mcp_usage, r1_span_alerts, r4_tool_error_windows, q14_metric_exemplars, q15_report_fields, q16_model_costs_mart, t7_redaction, t8_offload, t10_fingerprints,
+    q9_executive_summary, q10_agent_sessions, q11_tool_and_mcp_usage, r1_span_alerts, r4_tool_error_windows, q6_trajectory_mart, q7_cycles, t1_span_rows, t2_log_rows, t14_metric_replay, q14_metric_exemplars, q15_report_fields, q16_model_costs_mart, t7_redaction, t8_offload, t10_fingerprints,
 ]
 
 

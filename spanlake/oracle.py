@@ -255,3 +255,17 @@ QUERIES = {
 QUERIES["q4_tvf_logs"] = f"SELECT trace_id, span_id, service_name, timestamp, event_name, gen_ai_agent_name, adk_user_id FROM ({QUERIES['j1_gen_ai_logs']}) WHERE timestamp >= TIMESTAMP '2024-01-01 12:00:00' AND timestamp < TIMESTAMP '2024-01-02 12:00:00'"
 QUERIES["q14_metric_exemplars"] = f"""SELECT metric_name, service_name, CAST(metric_timestamp AS DATE) AS metric_date, exemplar_value_double AS exemplar_value, trace_id || ':' || span_id AS span_key,
     'https://console.cloud.google.com/traces/explorer;traceId=' || trace_id || '?project=project' AS trace_url, span_name, span_duration_ms FROM ({QUERIES["q5_tvf_metric_exemplars"].replace("AS span_start_time,", "AS span_start_time, s.name AS span_name, s.duration_ms AS span_duration_ms,")})"""
+QUERIES["q6_trajectory_mart"] = QUERIES["q1_agent_trajectory"]
+_OWN_PARENTS = "CASE WHEN CAST(span_id AS BIGINT) % 17 = 0 THEN span_id ELSE parent_span_id END AS parent_span_id"
+QUERIES["q7_cycles"] = QUERIES["q7_unhandled_cycles"].replace("trace_id, span_id, parent_span_id, service_name, name AS span_name", f"trace_id, span_id, {_OWN_PARENTS}, service_name, name AS span_name")
+QUERIES["t1_span_rows"] = """WITH e AS (SELECT *, event_id % 50 AS c FROM events)
+    SELECT CAST(event_id AS VARCHAR) AS name, CASE WHEN c <> 0 THEN lpad(lower(to_hex(user_id + 1)), 32, '0') END AS trace_id, lpad(lower(to_hex(event_id + 1)), 16, '0') AS span_id,
+           CASE WHEN c = 7 THEN TIMESTAMP '1970-01-01' ELSE ts END AS start_time, CASE WHEN c = 7 THEN epoch_us(ts) * 1000 + 1500 WHEN c = 9 THEN 0 ELSE 1500 END AS duration_nano, 'svc' AS service_name, 'urn:resource' AS resource_schema_url,
+           CASE c WHEN 0 THEN 'INVALID_TRACE_ID' WHEN 7 THEN 'MISSING_START_TIME' WHEN 9 THEN 'TIMESTAMP_OVERFLOW' END AS error_code, event_id AS whole, value AS real,
+           CASE WHEN event_id % 2 = 0 THEN 'true' ELSE 'false' END AS truth, CAST(NULL AS BIGINT) AS truth_number, event_type AS text, CASE WHEN c <> 3 THEN event_id END AS digits, c AS more FROM e"""
+QUERIES["t2_log_rows"] = """WITH c AS (SELECT *, TIMESTAMP '2024-01-01' + to_seconds(conv_id) AS tm FROM conversations)
+    SELECT conv_id || '-' || turn AS insert_id, CASE WHEN turn % 3 = 2 THEN TIMESTAMP '2024-01-01' ELSE tm END AS timestamp, CASE turn % 3 WHEN 0 THEN 'event' WHEN 1 THEN 'observed' ELSE 'receive' END AS timestamp_source,
+           CASE WHEN turn % 2 = 1 THEN 'named' ELSE 'fallback' END AS event_name, CASE WHEN turn % 2 = 0 THEN role ELSE 'svc' END AS log_name, text AS body FROM c"""
+QUERIES["t14_metric_replay"] = """SELECT 'orders' AS metric_name, CAST(o_orderkey AS VARCHAR) AS metric_description, ['GAUGE', 'SUM', 'HISTOGRAM'][o_orderkey % 3 + 1] AS metric_type, CASE o_orderkey % 3 WHEN 1 THEN 'DELTA' WHEN 2 THEN 'CUMULATIVE' END AS aggregation_temporality,
+    CASE WHEN o_orderkey % 3 = 1 THEN TRUE END AS is_monotonic, TIMESTAMP '2024-01-01' + to_seconds(o_orderkey) AS timestamp, CASE WHEN o_orderkey % 3 <> 2 THEN o_totalprice END AS value_double, CASE WHEN o_orderkey % 3 = 2 THEN 2::BIGINT END AS n,
+    CASE WHEN o_orderkey % 3 = 2 THEN o_totalprice END AS total, o_orderkey AS a, 'urn:resource' AS resource_schema_url, 'urn:scope' AS scope_schema_url, 'svc' AS service_name FROM orders"""

@@ -97,3 +97,15 @@ def test_schema_compatibility():
     have = type(want)([f for f in want.fields if f.name != "payload"])
     assert schemas.compatibility(want, want) == [] and schemas.compatibility(want, have) == ["missing column payload"]
     assert [f.name for f in schemas.additions(want, have)] == ["payload"] and schemas.additions(want, have)[0].nullable
+
+
+def test_a_booking_that_breaks_off_loses_nothing(spark, tmp_path):
+    root = f"{tmp_path}/marts"
+    marts.run_window(spark, root, "2024-01-10T05:30:00Z")
+    marts._book(spark, root, datetime(2024, 1, 10, 5, 30), marts.EPOCH, True)
+    first = marts.run_window(spark, root, "2024-01-10T09:10:00Z")[1]
+    # a write that ended before its commit leaves the folder of its attempt only
+    (tmp_path / "marts/stg_run_window/_temporary/0").mkdir(parents=True)
+    assert marts.run_window(spark, root, "2024-01-10T20:10:00Z")[1] == first == datetime(2024, 1, 10, 6)
+    (tmp_path / "none/stg_run_window").mkdir(parents=True)
+    assert marts.run_window(spark, f"{tmp_path}/none", "2024-01-10T20:10:00Z")[1] == marts.EPOCH

@@ -122,6 +122,38 @@ def test_metrics(spark):
     assert views.gen_ai_metrics(quality.accepted(rows)).count() == 1
 
 
+def test_rejected_points_replay(spark):
+    """A point that broke a limit comes back by replay: value, kind, addresses; straight from the plan that rejected it."""
+    point = {"timeUnixNano": "1723420800000000000", "attributes": [kv("a", stringValue="1"), kv("b", stringValue="2")]}
+    metrics = [
+        {"name": "g", "unit": "s", "gauge": {"dataPoints": [point | {"asInt": "3"}, point | {"asDouble": 1.5}]}}, {"name": "c", "description": 'of "c"', "sum": {"isMonotonic": True, "aggregationTemporality": 2, "dataPoints": [point | {"asInt": "4"}]}},
+        {"name": "h", "metadata": [kv("m", intValue="1")], "histogram": {"aggregationTemporality": 1, "dataPoints": [point | {"count": "2", "sum": 30, "bucketCounts": ["1", "1"], "explicitBounds": [10]}]}},
+    ]
+    request = json.dumps({"resourceMetrics": [{"resource": {"attributes": [kv("service.name", stringValue="svc")]}, "schemaUrl": "urn:r", "scopeMetrics": [{"scope": {"name": "x"}, "schemaUrl": "urn:s", "metrics": metrics}]}]})
+    whole = {(r.metric_name, r.value_int64, r.value_double): r for r in backfill.transformed(lines(spark, request), "metrics", receive_nano=NOW).collect()}
+    q = quality.quarantine(backfill.transformed(lines(spark, request), "metrics", av.Limits(attributes=1), receive_nano=NOW), "metrics")
+    again = backfill.replay(q, "metrics").collect()
+    assert len(again) == 4 and all(r.reason is None for r in again)
+    for r in again:
+        w = whole[r.metric_name, r.value_int64, r.value_double]
+        for c in ("metric_type", "metric_unit", "metric_description", "metadata", "aggregation_temporality", "is_monotonic", "sum", "count", "bucket_counts", "explicit_bounds", "attributes", "service_name", "instrumentation_scope", "resource_schema_url", "scope_schema_url", "timestamp"):
+            assert r[c] == w[c], (r.metric_name, c)
+
+
+def test_texts_are_cut_between_characters(spark):
+    texts = ["abc", "aé", "字字", "a\U0001f600b", "end\ufffd", ""]
+    df = spark.createDataFrame([(t, n) for t in texts for n in range(8)], "t string, n int")
+    for n in range(8):
+        for r in df.where(F.col("n") == n).select("t", quality.truncated(F.col("t"), n).alias("cut")).collect():
+            assert r.cut == r.t.encode()[:n].decode("utf-8", "ignore")
+
+
+def test_ranges_of_replay_hold_both_ends(spark):
+    row = {"signal": "traces", "raw_payload": "{}", "error_code": "X", "error_message": "m", "service_name": None, "trace_id": None, "span_id": None}
+    q = spark.createDataFrame([tuple(row.values())], "signal string, raw_payload string, error_code string, error_message string, service_name string, trace_id string, span_id string").withColumn("ingest_time", F.lit("2024-01-01 00:00:00").cast("timestamp"))
+    assert quality.replayable(q, "traces", start="2024-01-01 00:00:00", end="2024-01-01 00:00:00").count() == 1
+
+
 def test_backfill_keeps_every_record(spark, tmp_path):
     archive, root = f"{tmp_path}/in", f"{tmp_path}/out"
     requests = backfill.workload(spark, 50).unionByName(lines(spark, "", "not json", '{"other": 1}', trace_request(span(spanId=""))))
