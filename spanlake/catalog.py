@@ -154,6 +154,15 @@ def q7_unhandled_cycles(spark, d):
     return marts.unhandled_cycles(g, trajectory.trajectory(g))
 
 
+def q3_quarantine_scan(spark, d):
+    """Events as quarantined rows, many of them equal: their canonical order and digests."""
+    e = spark.read.parquet(f"{d}/events.parquet").select(
+        F.date_trunc("day", F.col("ts").cast("timestamp")).alias("ingest_time"), F.lit("traces").alias("signal"), F.col("event_type").alias("error_code"), F.lit("m").alias("error_message"), F.lit(None).cast("string").alias("service_name"),
+        F.lit(None).cast("string").alias("trace_id"), F.lit(None).cast("string").alias("span_id"), F.col("props").alias("raw_payload"),
+    )
+    return quality.canonical(e).select(*quality.CURSOR)
+
+
 def q6_trajectory_mart(spark, d):
     """The trajectory mart after a first run."""
     return _flat_trajectory(marts.trajectory_mart(genai(spark, d), shared_path(spark, "marts"), marts.EPOCH))
@@ -328,7 +337,7 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = [
     w1_spans_dedup, w2_logs_dedup, w3_metrics_dedup, v1_all_spans, v2_gen_ai_spans, v3_mcp_spans, v4_gen_ai_metrics, v5_spans_redacted, v5_logs_redacted,
     j1_gen_ai_logs, j2_metric_exemplars, a1_model_costs, a2_sessions, a3_tool_usage, a4_mcp_tool_usage, q1_agent_trajectory, q2_tvf_agent_trajectory, q4_tvf_logs, q5_tvf_metric_exemplars, q7_unhandled_cycles,
-    q9_executive_summary, q10_agent_sessions, q11_tool_and_mcp_usage, r1_span_alerts, r4_tool_error_windows, q6_trajectory_mart, q7_cycles, t1_span_rows, t2_log_rows, t14_metric_replay, q14_metric_exemplars, q15_report_fields, q16_model_costs_mart, t7_redaction, t8_offload, t10_fingerprints,
+    q9_executive_summary, q10_agent_sessions, q11_tool_and_mcp_usage, r1_span_alerts, r4_tool_error_windows, q3_quarantine_scan, q6_trajectory_mart, q7_cycles, t1_span_rows, t2_log_rows, t14_metric_replay, q14_metric_exemplars, q15_report_fields, q16_model_costs_mart, t7_redaction, t8_offload, t10_fingerprints,
 ]
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -67,5 +67,31 @@ def replayable(quarantined: DataFrame, signal: str, codes: list[str] | None = No
     q = q.where(F.col("error_code").isin(codes)) if codes else q
     q = q.where(F.col("ingest_time") >= F.lit(start).cast("timestamp")) if start else q
     q = q.where(F.col("ingest_time") <= F.lit(end).cast("timestamp")) if end else q
+    return canonical(q).orderBy("ingest_time", "row_fp", "row_ord", "row_key").select(F.col("raw_payload").alias("value"), "ingest_time", *CURSOR[1:])
+
+
+#: What tells where a scan of quarantined rows stands.
+CURSOR = ["ingest_time", "row_fp", "row_ord", "row_key", "group_size", "prefix_sha256", "group_sha256"]
+
+
+def canonical(q: DataFrame) -> DataFrame:
+    """Rows with the columns of ``CURSOR``. Rows of one microsecond and one hash (``row_fp``) are a group, in
+    the order of their keys; equal rows are told apart by ``row_ord``, their number in the group. The
+    digests cover the group's keys with their counts: up to the row, and all. A group has one key unless hashes
+    collide, so keys and counts of a group are few however often a row repeats."""
     key = F.to_json(F.struct("signal", "error_code", "error_message", "service_name", "trace_id", "span_id", "raw_payload"), {"ignoreNullFields": "false"})
-    return q.withColumn("row_key", key).orderBy("ingest_time", F.xxhash64("row_key"), "row_key").select(F.col("raw_payload").alias("value"), "ingest_time", "row_key")
+    q = q.withColumn("row_key", key).withColumn("row_fp", F.conv(F.substring(F.sha2("row_key", 256), 1, 15), 16, 10).cast("bigint"))
+    group = ["ingest_time", "row_fp"]
+    counts = q.groupBy(*group, "row_key").agg(F.count("*").alias("n"))
+    framed = F.concat(F.octet_length("row_key").cast("string"), F.lit(":"), "row_key", F.lit(":"), F.col("n").cast("string"), F.lit(";"))
+    w = Window.partitionBy(*group).orderBy("row_key")
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    keys = counts.select(
+        *group, "row_key", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("__before"), F.sum("n").over(whole).alias("group_size"),
+        F.array_join(F.collect_list(framed).over(before), "").alias("__head"), F.sha2(F.array_join(F.collect_list(framed).over(whole), ""), 256).alias("group_sha256"),
+    )
+    nth = F.row_number().over(Window.partitionBy(*group, "row_key").orderBy(F.lit(0)))
+    rows = q.withColumn("__nth", nth.cast("bigint")).join(keys, [*group, "row_key"])
+    own = F.concat("__head", F.octet_length("row_key").cast("string"), F.lit(":"), "row_key", F.lit(":"), F.col("__nth").cast("string"), F.lit(";"))
+    return rows.select(*q.columns, (F.col("__before") + F.col("__nth") - 1).alias("row_ord"), "group_size", F.sha2(own, 256).alias("prefix_sha256"), "group_sha256")

@@ -269,3 +269,8 @@ QUERIES["t2_log_rows"] = """WITH c AS (SELECT *, TIMESTAMP '2024-01-01' + to_sec
 QUERIES["t14_metric_replay"] = """SELECT 'orders' AS metric_name, CAST(o_orderkey AS VARCHAR) AS metric_description, ['GAUGE', 'SUM', 'HISTOGRAM'][o_orderkey % 3 + 1] AS metric_type, CASE o_orderkey % 3 WHEN 1 THEN 'DELTA' WHEN 2 THEN 'CUMULATIVE' END AS aggregation_temporality,
     CASE WHEN o_orderkey % 3 = 1 THEN TRUE END AS is_monotonic, TIMESTAMP '2024-01-01' + to_seconds(o_orderkey) AS timestamp, CASE WHEN o_orderkey % 3 <> 2 THEN o_totalprice END AS value_double, CASE WHEN o_orderkey % 3 = 2 THEN 2::BIGINT END AS n,
     CASE WHEN o_orderkey % 3 = 2 THEN o_totalprice END AS total, o_orderkey AS a, 'urn:resource' AS resource_schema_url, 'urn:scope' AS scope_schema_url, 'svc' AS service_name FROM orders"""
+QUERIES["q3_quarantine_scan"] = """WITH k AS (SELECT date_trunc('day', ts)::TIMESTAMP AS ingest_time,
+        to_json({signal: 'traces', error_code: event_type, error_message: 'm', service_name: NULL::VARCHAR, trace_id: NULL::VARCHAR, span_id: NULL::VARCHAR, raw_payload: props})::VARCHAR AS row_key FROM events),
+    f AS (SELECT *, ('0x' || sha256(row_key)[1:15])::BIGINT AS row_fp FROM k),
+    o AS (SELECT *, row_number() OVER (PARTITION BY ingest_time, row_fp ORDER BY row_key) - 1 AS row_ord, count(*) OVER (PARTITION BY ingest_time, row_fp) AS group_size FROM f)
+    SELECT ingest_time, row_fp, row_ord, row_key, group_size, sha256(strlen(row_key) || ':' || row_key || ':' || (row_ord + 1) || ';') AS prefix_sha256, sha256(strlen(row_key) || ':' || row_key || ':' || group_size || ';') AS group_sha256 FROM o"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -42,17 +42,28 @@ def backfill(spark: SparkSession, path: str, root: str, signals: tuple[str, ...]
 
 
 def replay(quarantined: DataFrame, signal: str, limits: Limits = Limits(), **filters: object) -> DataFrame:
-    """Quarantined records read again, with other limits: rows as of ``transformed``. The payloads are staged, so
-    that what rejected them isn't part of the plan that reads them."""
-    lines = staged(quality.replayable(quarantined, signal, **filters).select("value"), "replayed")
+    """Quarantined records read again, with other limits: rows as of ``transformed``. Rows and payloads are staged, so
+    that what rejected them isn't part of the plans that order and read them."""
+    rows = staged(quarantined.where(F.col("signal") == signal), "quarantined")
+    lines = staged(quality.replayable(rows, signal, **filters).select("value"), "replayed")
     return transformed(lines, signal, limits)
 
 
-def resume(canonical: DataFrame, after_time: str, after_key: str) -> DataFrame:
-    """Rows of ``replayable`` behind a cursor. Rows of the cursor's microsecond come again unless they lie before its key."""
-    at = F.lit(after_time).cast("timestamp")
-    last = F.struct(F.xxhash64("row_key"), "row_key") > F.struct(F.xxhash64(F.lit(after_key)), F.lit(after_key))
-    return canonical.where((F.col("ingest_time") > at) | ((F.col("ingest_time") == at) & last))
+def resume(scan: DataFrame, cursor: Row | dict) -> DataFrame:
+    """Rows of ``canonical`` or ``replayable`` behind a cursor (a row of such a scan, or its columns of ``CURSOR``).
+
+    If the cursor's group isn't what it was, rows may have come before the cursor: then all rows of
+    its microsecond come again, and those behind it."""
+    at = {c: cursor[c] for c in quality.CURSOR}
+    same = F.lit(True)
+    for c, v in at.items():
+        same = same & (F.col(c) == F.lit(v))
+    time, hash_, nth = F.lit(at["ingest_time"]), F.lit(at["row_fp"]), F.lit(at["row_ord"])
+    if scan.where(same).head(1):
+        here = (F.col("row_fp") > hash_) | ((F.col("row_fp") == hash_) & (F.col("row_ord") > nth))
+    else:
+        here = F.lit(True)
+    return scan.where((F.col("ingest_time") > time) | ((F.col("ingest_time") == time) & here))
 
 
 def validate(tables: dict[str, DataFrame]) -> list[tuple[str, str, str]]:
