@@ -141,10 +141,10 @@ def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     # counts and first places are partial sums before the shuffle; as staged tables they leave joins between
     # plain shuffles, so that a very common line or window is split over tasks
     often = staged(found.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint"), "often")
-    places = staged(extended(found.join(often, "fingerprint").select(*found.columns), min_words), "windows")
+    places = staged(extended(found.hint("merge").join(often.hint("merge"), "fingerprint").select(*found.columns), min_words), "windows")
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "doc_key", "first", "last")
     firsts = staged(places.groupBy("content", "content2").agg(F.min(place).alias("origin"), F.count("*").alias("n")).where("n > 1"), "firsts")
-    later = places.join(firsts, ["content", "content2"]).where(place != F.col("origin"))
+    later = places.hint("merge").join(firsts.hint("merge"), ["content", "content2"]).where(place != F.col("origin"))
     inside = F.col("doc_id").eqNullSafe(F.col("origin.doc_id")) & (F.col("doc_key") == F.col("origin.doc_key"))
     begin = F.when(inside, F.greatest("first", F.col("origin.last") + 1)).otherwise(F.col("first"))
     later = later.select("doc_id", "doc_key", F.struct(begin.alias("first"), "last").alias("run"))
@@ -174,4 +174,5 @@ def drop_repeated_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFram
 
     same = docs["doc_id"].cast("long").eqNullSafe(F.col(own)) & (row_key(docs["doc_id"], docs["text"]) == F.col(key))
     schema = T.StructType([*docs.schema.fields, T.StructField(counted, T.IntegerType())])
-    return docs.join(found, same, "left").drop(own, key).mapInArrow(cut, schema)
+    # by shuffle at every size, so that a run's cost follows its input
+    return docs.hint("merge").join(found.hint("merge"), same, "left").drop(own, key).mapInArrow(cut, schema)
