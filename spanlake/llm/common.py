@@ -72,7 +72,7 @@ def text_bytes(text: str | None) -> bytes:
     return (text or "").encode("utf-8", "surrogatepass")
 
 
-def row_batches(batches: Iterator[pa.RecordBatch], max_chars: int = 16_000_000) -> Iterator[pa.RecordBatch]:
+def row_batches(batches: Iterator[pa.RecordBatch], max_chars: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Splits record batches so that their string columns stay below ``max_chars`` bytes (one row at least)."""
     for b in batches:
         sizes = np.zeros(b.num_rows, dtype=np.int64)
