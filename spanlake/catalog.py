@@ -11,10 +11,10 @@ from . import oracle
 from .functions import anyvalue, jsonx
 from .operators import dedup, fingerprint, offload, quality
 from .operators.stage import shared_path, staged
-from .plans import dashboards, marts, trajectory, tvf, views
+from .plans import dashboards, marts, registry, trajectory, tvf, views
 from .sources import otlp, projection
 from .streaming import alerts
-from .tools import backfill
+from .tools import backfill, exchange
 
 #: Bounds of the time-bounded queries, and the days of the reports.
 START, END, CONTEXT_START, CONTEXT_END = "2024-01-05", "2024-01-12", "2024-01-04", "2024-01-13"
@@ -330,6 +330,48 @@ def t10_fingerprints(spark, d):
     return fingerprint.with_fingerprint(c, {"role": F.col("role"), "text": F.col("text")}, "record_fingerprint").select("conv_id", "turn", "record_fingerprint")
 
 
+def t8_attribute_offload(spark, d):
+    """Documents as bodies and nested attributes of log records: all values of 2 to 64 kB put away, and the references to them."""
+    docs = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text")
+    text = F.struct(F.col("text").alias("stringValue"))
+    items = F.struct(F.struct(F.array(F.struct(F.lit("x").alias("stringValue")), text).alias("values")).alias("arrayValue"))
+    nested = F.struct(F.struct(F.array(F.struct(F.lit("text").alias("key"), text.alias("value"))).alias("values")).alias("kvlistValue"))
+    # members of an array have one type, so the bag is put together as text
+    bag = F.concat_ws(",", *[F.concat(F.lit(f'{{"key":"{k}","value":'), v, F.lit("}")) for k, v in (("nested", F.to_json(nested)), ("list", F.to_json(items)), ("id", F.concat(F.lit('{"intValue":"'), F.col("doc_id").cast("string"), F.lit('"}'))))])
+    line = F.concat(F.lit('{"resourceLogs":[{"scopeLogs":[{"logRecords":[{"body":'), F.to_json(text), F.lit(',"attributes":['), bag, F.lit("]}]}]}]}"))
+    rows = otlp.logs(docs.select(line.alias("value")), receive_nano=RECEIVED, store=offload.Store("store/payloads", 2_000, 64_000))
+    rows = staged(rows.select("attributes", "body", "payload_refs", "payloads"), "offloaded")
+    one = rows.select(F.get_json_object("attributes", "$.id").cast("long").alias("doc_id"), F.get_json_object("attributes", "$.nested.text").alias("left_behind"), F.posexplode("payload_refs").alias("place", "r"))
+    stored = offload.objects(rows).select(F.col("uri").alias("object_uri"), F.octet_length("content").cast("long").alias("stored_bytes"))
+    return one.join(stored, F.col("r.object_ref.uri") == F.col("object_uri")).select("doc_id", "place", "left_behind", F.col("r.attribute_path").alias("attribute_path"), F.col("r.mime_type").alias("mime_type"), F.col("r.sha256").alias("sha256"), F.col("r.byte_size").alias("byte_size"), "stored_bytes")
+
+
+def s4_quarantine_files(spark, d):
+    """Events written as quarantine exports, with times in four forms, and read again."""
+    e = spark.read.parquet(f"{d}/events.parquet")
+    ts, case = F.col("ts").cast("timestamp"), F.col("event_id") % 4
+    time = F.when(case == 0, F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'")).when(case == 1, F.date_format(ts, "yyyy-MM-dd HH:mm:ss.SSSSSS 'UTC'")).when(case == 2, F.unix_micros(ts).cast("string")).otherwise(F.unix_seconds(ts).cast("string"))
+    path = shared_path(spark, "export")
+    e.select(time.alias("ingest_time"), F.lit("traces").alias("signal"), F.col("event_id").cast("string").alias("span_id"), F.col("props").alias("raw_payload")).write.json(path)
+    return exchange.quarantine_files(spark, path).select("ingest_time", "signal", "error_code", "span_id", "raw_payload")
+
+
+def k8_registered_views(spark, d):
+    """The rows of every view that can prune, read by name."""
+    tables = {"otel_spans": projection.spans(spark, d), "otel_logs": projection.logs(spark, d), "otel_metrics": projection.metrics(spark, d)}
+    names = registry.register(spark, tables, need_bounds=True)
+    return otlp.union_all([spark.sql(f"SELECT '{n}' AS view_name, count(*) AS n_rows FROM {n}") for n in names])
+
+
+def o3_agent_paths(spark, d):
+    return dashboards.agent_paths(trajectory.trajectory(genai(spark, d)))
+
+
+def o5_service_names(spark, d):
+    g, m = genai(spark, d), views.mcp_spans(spans(spark, d))
+    return dashboards.service_names([views.model_costs(g), views.tool_usage(g), views.mcp_tool_usage(m)], views.sessions(g), FIRST_DAY, LAST_DAY)
+
+
 def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
     return a1_model_costs(spark, sf_dir)
 
@@ -337,7 +379,8 @@ def entry(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES = [
     w1_spans_dedup, w2_logs_dedup, w3_metrics_dedup, v1_all_spans, v2_gen_ai_spans, v3_mcp_spans, v4_gen_ai_metrics, v5_spans_redacted, v5_logs_redacted,
     j1_gen_ai_logs, j2_metric_exemplars, a1_model_costs, a2_sessions, a3_tool_usage, a4_mcp_tool_usage, q1_agent_trajectory, q2_tvf_agent_trajectory, q4_tvf_logs, q5_tvf_metric_exemplars, q7_unhandled_cycles,
-    q9_executive_summary, q10_agent_sessions, q11_tool_and_mcp_usage, r1_span_alerts, r4_tool_error_windows, q3_quarantine_scan, q6_trajectory_mart, q7_cycles, t1_span_rows, t2_log_rows, t14_metric_replay, q14_metric_exemplars, q15_report_fields, q16_model_costs_mart, t7_redaction, t8_offload, t10_fingerprints,
+    q9_executive_summary, q10_agent_sessions, q11_tool_and_mcp_usage, r1_span_alerts, r4_tool_error_windows, q3_quarantine_scan, q6_trajectory_mart, q7_cycles, t1_span_rows, t2_log_rows, t14_metric_replay, q14_metric_exemplars, q15_report_fields, q16_model_costs_mart, t7_redaction, t8_offload, t10_fingerprints, t8_attribute_offload,
+    s4_quarantine_files, k8_registered_views, o3_agent_paths, o5_service_names,
 ]
 
 

@@ -10,7 +10,7 @@ from ..sources import otlp
 
 MAX_ROW_BYTES = 1 << 20
 MAX_PAYLOAD_BYTES, MAX_MESSAGE_BYTES = 8 << 20, 4 << 10
-HELPERS = ["batch", "place", "reason", "field_path", "record", "resource_text", "scope_text"]
+HELPERS = ["batch", "place", "reason", "field_path", "record", "resource_text", "scope_text", "payloads"]
 _SPECIFIC = {("invalid_id", "trace_id"): "INVALID_TRACE_ID", ("invalid_id", "span_id"): "INVALID_SPAN_ID", ("missing_timestamp", "start_time"): "MISSING_START_TIME", ("missing_timestamp", "end_time"): "MISSING_END_TIME"}
 
 
@@ -30,9 +30,14 @@ def with_row_limit(rows: DataFrame, table: str, max_bytes: int = MAX_ROW_BYTES)
     return rows.withColumns({"reason": F.when(found, "row_bytes").otherwise(F.col("reason")), "field_path": F.when(found, "row").otherwise(F.col("field_path"))})
 
 
+def stored(rows: DataFrame) -> DataFrame:
+    """Records without a problem, with all that came of them."""
+    return rows.where("reason IS NULL")
+
+
 def accepted(rows: DataFrame) -> DataFrame:
     """Rows of the table; records with a problem are left out."""
-    return rows.where("reason IS NULL").drop(*HELPERS)
+    return stored(rows).drop(*HELPERS)
 
 
 def truncated(text: Column, max_bytes: int) -> Column:

@@ -274,3 +274,16 @@ QUERIES["q3_quarantine_scan"] = """WITH k AS (SELECT date_trunc('day', ts)::TIME
     f AS (SELECT *, ('0x' || sha256(row_key)[1:15])::BIGINT AS row_fp FROM k),
     o AS (SELECT *, row_number() OVER (PARTITION BY ingest_time, row_fp ORDER BY row_key) - 1 AS row_ord, count(*) OVER (PARTITION BY ingest_time, row_fp) AS group_size FROM f)
     SELECT ingest_time, row_fp, row_ord, row_key, group_size, sha256(strlen(row_key) || ':' || row_key || ':' || (row_ord + 1) || ';') AS prefix_sha256, sha256(strlen(row_key) || ':' || row_key || ':' || group_size || ';') AS group_sha256 FROM o"""
+QUERIES["t8_attribute_offload"] = """SELECT doc_id, place, '<offloaded:store/payloads/logs/2024-01-01/' || sha256(text) || '>' AS left_behind, ['body', 'attributes.list[1]', 'attributes.nested.text'][place + 1] AS attribute_path,
+    'text/plain; charset=utf-8' AS mime_type, sha256(text) AS sha256, strlen(text) AS byte_size, strlen(text) AS stored_bytes FROM documents, (SELECT unnest([0, 1, 2]) AS place) WHERE strlen(text) BETWEEN 2000 AND 64000"""
+QUERIES["s4_quarantine_files"] = """SELECT CASE WHEN event_id % 4 = 3 THEN date_trunc('second', ts) ELSE ts END AS ingest_time, 'traces' AS signal, NULL::VARCHAR AS error_code, CAST(event_id AS VARCHAR) AS span_id, props AS raw_payload FROM events"""
+QUERIES["k8_registered_views"] = f"""WITH {COSTS}, {SESSIONS.removeprefix(GENAI + ",")}, {TOOLS.removeprefix(GENAI + ",")}, {MCP_USAGE.removeprefix(SPANS + ",")}, {LOGS.removeprefix(SPANS + ",")}, {METRICS.removeprefix(SPANS + ",")}
+    SELECT unnest(['otel_spans_dedup', 'otel_spans_as_allspans']) AS view_name, (SELECT count(*) FROM spans) AS n_rows
+    UNION ALL SELECT 'v_gen_ai_spans', count(*) FROM g UNION ALL SELECT 'v_gen_ai_model_costs', count(*) FROM costs UNION ALL SELECT 'v_gen_ai_sessions', count(*) FROM sessions
+    UNION ALL SELECT 'v_gen_ai_tool_usage', count(*) FROM tools UNION ALL SELECT 'v_mcp_spans', count(*) FROM m UNION ALL SELECT 'v_mcp_tool_usage', count(*) FROM mcp UNION ALL SELECT 'otel_logs_dedup', count(*) FROM logs
+    UNION ALL SELECT 'otel_metrics_dedup', count(*) FROM points UNION ALL SELECT 'v_gen_ai_metrics', count(*) FROM points WHERE metric_name LIKE 'gen_ai.%'"""
+QUERIES["o3_agent_paths"] = f"""SELECT agent_path, len(string_split(agent_path, ' > '))::INT AS agent_path_length, count(DISTINCT trace_id) AS traces, count(span_id) AS spans, sum(CASE WHEN is_token_leaf THEN gen_ai_usage_input_tokens END)::BIGINT AS leaf_input_tokens,
+    sum(CASE WHEN is_token_leaf THEN gen_ai_usage_output_tokens END)::BIGINT AS leaf_output_tokens FROM ({_trajectory()}) WHERE agent_path <> '' GROUP BY 1, 2 ORDER BY traces DESC, agent_path LIMIT 50"""
+QUERIES["o5_service_names"] = f"""WITH {COSTS}, {SESSIONS.removeprefix(GENAI + ",")}, {TOOLS.removeprefix(GENAI + ",")}, {MCP_USAGE.removeprefix(SPANS + ",")}
+    SELECT coalesce(service_name, '(none)') AS service_name FROM costs WHERE {_DAYS.format("usage_hour")} UNION SELECT coalesce(service_name, '(none)') FROM tools WHERE {_DAYS.format("usage_hour")}
+    UNION SELECT coalesce(service_name, '(none)') FROM mcp WHERE {_DAYS.format("usage_hour")} UNION SELECT coalesce(service_name, '(none)') FROM sessions WHERE {_DAYS.format("session_start_date")}"""

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources.otlp import union_all
+
 from ..functions.jsonx import bag, json_value
 
 TRACE_URL = "https://console.cloud.google.com/traces/explorer;traceId={}?project={}"
@@ -131,3 +133,34 @@ def orphan_roots() -> Column:
 
 def exemplar_span_key() -> Column:
     return F.concat("trace_id", F.lit(":"), "span_id").alias("exemplar_span_key")
+
+
+def chart(table: DataFrame, dimensions: list[str], measures: dict[str, Column], by: str, limit: int) -> DataFrame:
+    """The ``limit`` groups with the largest value of the measure ``by``; of equal ones those whose dimensions sort first."""
+    out = table.groupBy(*dimensions).agg(*[c.alias(n) for n, c in measures.items()])
+    return out.orderBy(F.col(by).desc_nulls_last(), *[F.col(d).asc_nulls_first() for d in dimensions]).limit(limit)
+
+
+def agent_paths(trajectory: DataFrame, limit: int = 50) -> DataFrame:
+    """The agent paths that most traces take."""
+    t = trajectory.select(F.array_join("agent_path", " > ").alias("agent_path"), F.size("agent_path").alias("agent_path_length"), "trace_id", "span_id", *[F.when(F.col("is_token_leaf"), F.col(f"gen_ai_usage_{k}_tokens")).alias(k) for k in ("input", "output")])
+    measures = {"traces": F.count_distinct("trace_id"), "spans": F.count("span_id"), "leaf_input_tokens": F.sum("input"), "leaf_output_tokens": F.sum("output")}
+    return chart(t.where("agent_path_length > 0"), ["agent_path", "agent_path_length"], measures, "traces", limit)
+
+
+def error_types(alerts_table: DataFrame, limit: int = 15) -> DataFrame:
+    """The error types of most alerts on tools."""
+    return chart(alerts_table.where("alert_kind = 'TOOL_ERROR'"), ["error_type"], {"alerts": F.count_distinct("alert_id")}, "alerts", limit)
+
+
+#: Characters that a service's name may not have in a report's filter: control characters, quotes, back-ticks, backslashes.
+UNSAFE = r"""[\x00-\x1f'"\\`]"""
+
+
+def service_names(hourly: list[DataFrame], sessions: DataFrame, start: str, end: str) -> DataFrame:
+    """The distinct services of the hourly rollups and the sessions between two days; one without name is ``(none)``."""
+    parts = [within_days(h, "usage_hour", start, end) for h in hourly] + [within_days(sessions, "session_start_date", start, end)]
+    name = F.coalesce("service_name", F.lit("(none)"))
+    # distinct in each part first, so that the union is of few rows
+    parts = [p.where(~F.coalesce("service_name", F.lit("")).rlike(UNSAFE)).select(name.alias("service_name")).distinct() for p in parts]
+    return union_all(parts).distinct()

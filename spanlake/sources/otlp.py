@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.anyvalue import Limits, Redaction, encoded_bags, encoded_list
+from ..operators.offload import Store, payload_refs, records_without_large
 
 SIGNALS = {"traces": ("resourceSpans", "scopeSpans", "spans"), "logs": ("resourceLogs", "scopeLogs", "logRecords"), "metrics": ("resourceMetrics", "scopeMetrics", "metrics")}
 _BAG = "attributes string, droppedAttributesCount bigint"
@@ -119,10 +120,21 @@ def _bag_problem(encoded: Column) -> Column:
 
 
 def _opened(rows: DataFrame, schema: str) -> DataFrame:
-    rows = rows.withColumns({"o": F.from_json("record", schema), "res": F.from_json("resource_text", _BAG), "sc": F.from_json("scope_text", f"name string, version string, {_BAG}")})
+    light = "light_" if "payloads" in rows.columns else ""
+    rows = rows.withColumns({"o": F.from_json(f"{light}record", schema), "res": F.from_json(f"{light}resource_text", _BAG), "sc": F.from_json(f"{light}scope_text", f"name string, version string, {_BAG}")})
     return rows
 
 
+def _read(lines: DataFrame, signal: str, redaction: Redaction | None, receive_nano: int | None, store: Store | None) -> tuple[DataFrame, Redaction | None]:
+    """Records, without their large values if there is a store for these, and the masking still to be done."""
+    rows = records(lines, signal)
+    if store is None:
+        return rows, redaction
+    day = F.to_date(F.timestamp_seconds(F.lit(receive_nano // 1_000_000_000))) if receive_nano is not None else F.current_date()
+    # masked before values are put away; references aren't masked after
+    return records_without_large(rows, signal, store, day, redaction), None
+
+
 def _origin(bags: Column, resource: int, scope: int) -> dict[str, Column]:
     zero = lambda c: F.coalesce(F.col(c), F.lit(0))
     return {
@@ -138,7 +150,8 @@ def _finished(rows: DataFrame, columns: dict[str, Column], table: str, receive_n
     columns = columns | {"receive_time_unix_nano": now, "receive_time": F.timestamp_micros(F.call_function("div", now, F.lit(1000).cast("bigint"))), "schema_version": F.lit(schemas.SCHEMA_VERSION)}
     want = schemas.table_schema(table)
     made = [columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in want.fields]
-    return rows.select(*made, "batch", "place", F.col("problem.reason").alias("reason"), F.col("problem.path").alias("field_path"), "record", "resource_text", "scope_text")
+    more = ["payloads"] if "payloads" in rows.columns else []
+    return rows.select(*made, "batch", "place", F.col("problem.reason").alias("reason"), F.col("problem.path").alias("field_path"), "record", "resource_text", "scope_text", *more)
 
 
 _SPAN_KINDS = ["UNSPECIFIED", "INTERNAL", "SERVER", "CLIENT", "PRODUCER", "CONSUMER"]
@@ -149,9 +162,10 @@ def _name(names: list[str], number: Column) -> Column:
     return F.try_element_at(F.array(*map(F.lit, names)), F.when((number >= 0) & (number < len(names)), number.cast("int") + 1))
 
 
-def spans(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction | None = None, receive_nano: int | None = None) -> DataFrame:
-    """Every span of the trace requests as a row of ``otel_spans``."""
-    rows = _opened(records(lines, "traces"), _SPAN)
+def spans(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction | None = None, receive_nano: int | None = None, store: Store | None = None) -> DataFrame:
+    """Every span of the trace requests as a row of ``otel_spans``. With a store, large values are in the column ``payloads``."""
+    rows, redaction = _read(lines, "traces", redaction, receive_nano, store)
+    rows = _opened(rows, _SPAN)
     bags = encoded_bags([(F.col("res.attributes"), "resource.attributes"), (F.col("sc.attributes"), "instrumentation_scope.attributes"), (F.col("o.attributes"), "attributes")], limits, redaction)
     rows = rows.withColumns({
         "bags": bags, "ev": encoded_list(F.transform("o.events", lambda e: e["attributes"]), "events.attributes", limits, redaction),
@@ -181,6 +195,7 @@ def spans(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction | No
         "dropped_events_count": zero(F.col("o.droppedEventsCount")), "dropped_links_count": zero(F.col("o.droppedLinksCount")), "events": events, "links": links,
         "resource_schema_url": F.col("resource_schema_url"), "scope_schema_url": F.col("scope_schema_url"),
     } | _origin(F.col("bags"), 0, 1)
+    columns |= {"payload_refs": payload_refs(F.col("payloads"))} if store else {}
     return _finished(rows, columns, "otel_spans", receive_nano)
 
 
@@ -194,9 +209,10 @@ def _string_attribute(bag: Column, keys: list[str]) -> Column:
     return F.coalesce(*found)
 
 
-def logs(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction | None = None, receive_nano: int | None = None) -> DataFrame:
+def logs(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction | None = None, receive_nano: int | None = None, store: Store | None = None) -> DataFrame:
     """Every log record as a row of ``otel_logs``; fingerprints are set by ``operators.fingerprint``."""
-    rows = _opened(records(lines, "logs"), _LOG)
+    rows, redaction = _read(lines, "logs", redaction, receive_nano, store)
+    rows = _opened(rows, _LOG)
     bags = encoded_bags([(F.col("res.attributes"), "resource.attributes"), (F.col("sc.attributes"), "instrumentation_scope.attributes"), (F.col("o.attributes"), "attributes"), (F.col("o.body"), "body")], limits, redaction)
     rows = rows.withColumn("bags", bags)
     event, seen = _nano(F.col("o.timeUnixNano")), _nano(F.col("o.observedTimeUnixNano"))
@@ -215,6 +231,7 @@ def logs(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction | Non
         "resource_schema_url": F.col("resource_schema_url"), "scope_schema_url": F.col("scope_schema_url"),
         "log_name": F.coalesce(_string_attribute(own, LOG_NAMES), F.nullif(origin["service_name"], F.lit("")), F.lit("default")), "insert_id": _string_attribute(own, INSERT_IDS),
     } | origin
+    columns |= {"payload_refs": payload_refs(F.col("payloads"))} if store else {}
     return _finished(rows, columns, "otel_logs", receive_nano)
 
 

@@ -91,6 +91,15 @@ def single_span_alerts(spans: DataFrame) -> DataFrame:
     return tool_errors(spans).unionByName(token_budget(spans)).unionByName(agent_latency(spans))
 
 
+def once(alerts: DataFrame, within: str = "10 minutes") -> DataFrame:
+    """Each alert once. In a stream, alerts that come again within ``within`` of the first, as after a restart, are left
+    out. That is a time of arrival, so no alert is too late, however old its span; state is held no longer than needed."""
+    if not alerts.isStreaming:
+        return alerts.dropDuplicates(["alert_id"])
+    seen = alerts.withColumn("__seen", F.current_timestamp()).withWatermark("__seen", within)
+    return seen.dropDuplicatesWithinWatermark(["alert_id"]).drop("__seen")
+
+
 def start(alerts: DataFrame, path: str, checkpoint: str, **trigger: object) -> StreamingQuery:
     """Appends a stream of alerts to the Parquet table at ``path``, partitioned by day; at least once."""
     day = alerts.withColumn("event_date", F.to_date("event_time"))

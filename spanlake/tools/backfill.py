@@ -7,16 +7,18 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.anyvalue import Limits, Redaction
-from ..operators import fingerprint, quality
+from ..operators import fingerprint, offload, quality
 from ..operators.stage import staged
 from ..sources import otlp
 
 TABLES = {"traces": "otel_spans", "logs": "otel_logs", "metrics": "otel_metrics"}
 
 
-def transformed(lines: DataFrame, signal: str, limits: Limits = Limits(), redaction: Redaction | None = None, receive_nano: int | None = None, max_row_bytes: int = quality.MAX_ROW_BYTES) -> DataFrame:
-    """All records of a signal as rows, with their fingerprints and, where they can't be stored, the reason."""
-    rows = quality.with_row_limit(otlp.READERS[signal](lines, limits, redaction, receive_nano), TABLES[signal], max_row_bytes)
+def transformed(lines: DataFrame, signal: str, limits: Limits = Limits(), redaction: Redaction | None = None, receive_nano: int | None = None, max_row_bytes: int = quality.MAX_ROW_BYTES, store: offload.Store | None = None) -> DataFrame:
+    """All records of a signal as rows, with their fingerprints and, where they can't be stored, the reason. Large values
+    of spans and logs go to ``payloads`` if there is a store for them."""
+    more = {"store": store} if store and signal != "metrics" else {}
+    rows = quality.with_row_limit(otlp.READERS[signal](lines, limits, redaction, receive_nano, **more), TABLES[signal], max_row_bytes)
     if signal == "logs":
         return fingerprint.log_fingerprints(rows)
     return fingerprint.metric_fingerprints(rows) if signal == "metrics" else rows
@@ -36,6 +38,8 @@ def backfill(spark: SparkSession, path: str, root: str, signals: tuple[str, ...]
         rows = staged(transformed(lines, signal, **options), f"rows-{signal}")
         append(quality.accepted(rows), root, TABLES[signal])
         append(quality.quarantine(rows, signal), root, "otel_quarantine")
+        if "payloads" in rows.columns:
+            offload.objects(quality.stored(rows)).write.mode("append").parquet(f"{root}/otel_payloads")
         report.append(rows.agg(F.lit(signal).alias("signal"), F.count("*").alias("records"), F.count_if(F.col("reason").isNull()).alias("stored"), F.count("reason").alias("rejected")))
     bad = otlp.malformed(lines).agg(F.lit("malformed").alias("signal"), F.count("*").alias("records"), F.lit(0).cast("long").alias("stored"), F.count("*").alias("rejected"))
     return otlp.union_all([*report, bad])
