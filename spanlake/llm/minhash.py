@@ -11,6 +11,9 @@ hash evaluations are needed. Bands of four values (two permutations) are the buc
 4. Components by contraction: each vertex points to its smallest neighbour, pointers are
    followed, edges are rewritten and the rest repeats.
 
+A hub's members are dealt over seats of about ``SEAT`` each, as many as its buckets need, and the
+hub's row goes to each seat; so no hub, however many share it, is one task's work.
+
 So a large group of copies costs a row for each member, and every two vertices of a bucket are
 linked, joined by others, or compared. A comparison looks at sizes, then at the lowest bits of the
 128 signature values (links fail with probability below 1e-8), then at full sets as 32-bit hashes
@@ -38,6 +41,8 @@ from .shingles import shingle_set
 
 SHINGLE, THRESHOLD = 5, 0.8
 PERMUTATIONS, BAND = 64, 2
+#: Members of a hub that sit together in joins; of those compared with all others, ``BLOCK`` times as many.
+SEAT, BLOCK = 256, 16
 _SEEDS = np.random.default_rng(20240229).integers(0, 1 << 32, size=(2, PERMUTATIONS), dtype=np.uint64).astype(np.uint32)
 _A, _B = _SEEDS[0] | np.uint32(1), _SEEDS[1]
 
@@ -128,7 +133,8 @@ def _near(x: str, y: str, threshold: float) -> Column:
 
 
 def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float) -> DataFrame:
-    """Those of the pairs (a, b) whose full sets are at least ``threshold`` alike."""
+    """Those of the staged, distinct pairs (a, b, seat) whose full sets are at least ``threshold`` alike; ``seat`` deals
+    out the pairs of one ``a``."""
 
     def alike(a: pd.Series, b: pd.Series) -> pd.Series:
         sets: dict[str, np.ndarray] = {}
@@ -139,7 +145,8 @@ def confirmed(pairs: DataFrame, texts: DataFrame, shingle: int, threshold: float
             found.append(100 * both >= round(100 * threshold) * (len(s) + len(t) - both))
         return pd.Series(found, dtype=bool)
 
-    full = pairs.distinct().join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
+    first = pairs.select("a", "seat").distinct().join(texts.toDF("a", "ta"), "a")
+    full = pairs.join(first, ["a", "seat"]).join(texts.toDF("b", "tb"), "b")
     return full.where(F.pandas_udf(alike, "boolean")("ta", "tb")).select("a", "b")
 
 
@@ -181,38 +188,46 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, threshold: float =
     shared = staged(buckets.join(filled, "key"), "buckets")
     weights = shared.groupBy("rep").agg(F.sum("members").alias("weight"))
     hubs = shared.join(weights, "rep").groupBy("key").agg(F.max(F.struct("weight", (-F.col("rep")).alias("rep"))).alias("best"))
-    places = shared.join(hubs.select("key", (-F.col("best.rep")).alias("hub")), "key").select("hub", "rep").distinct()
+    places = shared.join(hubs.select("key", (-F.col("best.rep")).alias("hub")), "key").groupBy("hub", "rep").agg(F.max("members").alias("members"))
+    dealt = lambda n: F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / n))
+    places = staged(places.select("hub", "rep", dealt(SEAT).alias("seat"), dealt(SEAT * BLOCK).alias("block")), "places")
+    seats = staged(places.select("hub", "seat").distinct(), "seats")
 
     wanted = shared.select(F.col("rep").alias("doc_id")).distinct()
     # always by shuffle, so that a run's cost follows its input
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").hint("merge").join(wanted.hint("merge"), "doc_id", "left_semi")
     texts = staged(texts, "texts")
     sets = staged(shingle_sets(texts, shingle), "sets")
-    members = staged(places.join(sets, "rep").select("hub", *sets.columns), "members")
+    members = staged(places.join(sets, "rep").select(*places.columns, *sets.columns[1:]), "members")
 
     # rows that share an identifier are one vertex: the representatives of their texts are linked
     of_row = rows.select("doc_id", "n_shingles", "digest").join(vertices.select("digest", "rep"), "digest", "left")
     twice = of_row.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.min("rep").alias("a"), F.collect_set("rep").alias("reps"))
     twice = twice.where(F.size("reps") > 1).select("a", F.explode("reps").alias("b")).where("a <> b")
-    to_hub = members.alias("x").join(sets.alias("y"), (F.col("x.hub") == F.col("y.rep")) & _near("x", "y", threshold))
-    to_hub = to_hub.where("x.rep <> x.hub").select(F.col("x.hub").alias("a"), F.col("x.rep").alias("b"))
+    at_seats = seats.join(sets.withColumnRenamed("rep", "hub"), "hub")
+    same_seat = (F.col("x.hub") == F.col("y.hub")) & (F.col("x.seat") == F.col("y.seat"))
+    to_hub = members.where("rep <> hub").alias("x").join(at_seats.alias("y"), same_seat & _near("x", "y", threshold))
+    to_hub = staged(to_hub.select(F.col("x.hub").alias("a"), F.col("x.rep").alias("b"), "x.seat"), "pairs")
     links = staged(confirmed(to_hub, texts, shingle, threshold).union(twice), "links")
     label = components(links, "hub")
 
     part = lambda c: label.select(F.col("v").alias(c), F.col("label").alias(f"{c}_label"))
-    parts = members.join(part("rep"), "rep", "left").join(part("hub"), "hub", "left")
+    parts = members.join(part("rep"), "rep", "left").join(seats.join(part("hub"), "hub", "left"), ["hub", "seat"])
     parts = parts.select(*members.columns, F.coalesce("rep_label", "rep").alias("part"), F.coalesce("hub_label", "hub").alias("hub_part"))
-    # both sides are staged, so that the join is one of plain shuffles and a large hub is split over tasks
+    # blocks of loose members meet seats of all members
     loose = staged(parts.where("part <> hub_part"), "loose")
-    others = staged(parts.join(loose.select("hub").distinct(), "hub", "left_semi").where("rep <> hub"), "others")
+    cells = staged(loose.select("hub", "block").distinct().join(seats, "hub"), "cells")
+    others = parts.drop("block").join(cells, ["hub", "seat"]).where("rep <> hub")
+    tried = loose.drop("seat").join(cells, ["hub", "block"])
     apart = (F.col("x.part") != F.col("y.part")) & ((F.col("y.part") == F.col("y.hub_part")) | (F.col("x.rep") < F.col("y.rep")))
-    cross = loose.alias("x").join(others.alias("y"), (F.col("x.hub") == F.col("y.hub")) & apart & _near("x", "y", threshold))
-    cross = staged(cross.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")), "cross")
+    same_cell = same_seat & (F.col("x.block") == F.col("y.block"))
+    cross = tried.alias("x").join(others.alias("y"), same_cell & apart & _near("x", "y", threshold))
+    cross = staged(cross.groupBy(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).agg(F.min("x.seat").alias("seat")), "cross")
     if cross.head(1):
         more = staged(links.union(confirmed(cross, texts, shingle, threshold)), "links")
         label, first = components(more, "all"), label
         unstage(more, first)
-    unstage(shared, texts, sets, members, links, loose, others, cross)
+    unstage(shared, places, seats, texts, sets, members, to_hub, links, loose, cells, cross)
 
     of = label.select(F.col("v").alias("rep"), "label")
     out = of_row.join(of, "rep", "left")

@@ -73,6 +73,21 @@ def test_many_copies(spark):
     check(spark.createDataFrame(rows, "doc_id long, text string"), 2)
 
 
+def test_hubs_of_many_seats(spark, monkeypatch):
+    """Chains and copies whose hubs are dealt over many seats and blocks give the same components."""
+    monkeypatch.setattr(minhash, "SEAT", 4)
+    monkeypatch.setattr(minhash, "BLOCK", 3)
+    rng = random.Random(5)
+    rows, w = [], [f"v{rng.randrange(10_000)}" for _ in range(60)]
+    for i in range(150):
+        w = list(w)
+        w[rng.randrange(60)] = f"n{i}"
+        rows.append((i * 7 % 151, " ".join(w)))
+    for i in range(60):
+        rows.append((1000 + i, " ".join([*(f"c{k}" for k in range(80)), f"end{i}"])))
+    check(spark.createDataFrame(rows, "doc_id long, text string"), 2)
+
+
 def test_kept_documents_keep_their_columns(docs):
     kept = minhash.drop_near_duplicates(docs)
     assert kept.columns == docs.columns
