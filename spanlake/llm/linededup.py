@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -135,21 +135,36 @@ def extended(repeated: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     return repeated.mapInArrow(extend, _WINDOWS)
 
 
+#: Rows of one key are dealt over so many seats by their document.
+SEATS = 1024
+
+
+def seat() -> Column:
+    return F.pmod(F.col("doc_key"), F.lit(SEATS)).alias("seat")
+
+
+def seated(rows: DataFrame, keys: list[str], place: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(``keys``, ``seat`` and ``origin``, the least ``place``, of keys that stand in several rows; the staged table it
+    reads). Rows are joined with these by key and seat, so that a very common key is split over tasks."""
+    least = [] if place is None else [F.min(place).alias("origin")]
+    parts = staged(rows.groupBy(*keys, seat()).agg(F.count("*").alias("n"), *least), "parts")
+    whole = parts.groupBy(*keys).agg(F.sum("n").alias("total"), *([] if place is None else [F.min("origin").alias("origin")])).where("total > 1")
+    return parts.select(*keys, "seat").hint("merge").join(whole.drop("total").hint("merge"), keys), parts
+
+
 def repeated_runs(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """A row for each document with repeated runs: ``doc_id, doc_key`` and ``runs`` (first and last line)."""
     found = staged(fingerprints(docs, min_words), "fingerprints")
-    # counts and first places are partial sums before the shuffle; as staged tables they leave joins between
-    # plain shuffles, so that a very common line or window is split over tasks
-    often = staged(found.groupBy("fingerprint").agg(F.count("*").alias("n")).where("n > 1").select("fingerprint"), "often")
-    places = staged(extended(found.hint("merge").join(often.hint("merge"), "fingerprint").select(*found.columns), min_words), "windows")
+    often, held = seated(found, ["fingerprint"])
+    places = staged(extended(found.withColumn("seat", seat()).hint("merge").join(often.hint("merge"), ["fingerprint", "seat"]).select(*found.columns), min_words), "windows")
     place = F.struct(F.col("doc_id").isNotNull().alias("known"), "doc_id", "doc_key", "first", "last")
-    firsts = staged(places.groupBy("content", "content2").agg(F.min(place).alias("origin"), F.count("*").alias("n")).where("n > 1"), "firsts")
-    later = places.hint("merge").join(firsts.hint("merge"), ["content", "content2"]).where(place != F.col("origin"))
+    firsts, held_firsts = seated(places, ["content", "content2"], place)
+    later = places.withColumn("seat", seat()).hint("merge").join(firsts.hint("merge"), ["content", "content2", "seat"]).where(place != F.col("origin"))
     inside = F.col("doc_id").eqNullSafe(F.col("origin.doc_id")) & (F.col("doc_key") == F.col("origin.doc_key"))
     begin = F.when(inside, F.greatest("first", F.col("origin.last") + 1)).otherwise(F.col("first"))
     later = later.select("doc_id", "doc_key", F.struct(begin.alias("first"), "last").alias("run"))
     runs = staged(later.groupBy("doc_id", "doc_key").agg(F.sort_array(F.collect_set("run")).alias("runs")), "runs")
-    unstage(found, often, places, firsts)
+    unstage(found, held, places, held_firsts)
     return runs
 
 
