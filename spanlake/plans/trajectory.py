@@ -2,7 +2,7 @@
 
 Trees grow level by level from their anchors: one join of the newest level with the spans, at
 most ``MAX_DEPTH`` times and only while rows come out. Levels are staged, so the plan of a level
-doesn't repeat those before it. Token coverage walks from rows to their ancestors in the same way.
+doesn't repeat those before it, and hold keys and places only: the wide columns are joined once at the end. Token coverage walks from rows to their ancestors in the same way.
 """
 
 from __future__ import annotations
@@ -54,8 +54,9 @@ def grown(spans: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     known = _same_span("trace_id", "service_name", "parent_span_id", "p_") & _after("start_time", "p_start")
     roots = spans.join(parents, known, "left").where(~has_parent | F.col("p_span").isNull())
     starts = F.col("agent_op") | F.col("declared").isNotNull()
+    key = ["trace_id", "service_name", "span_id"]
     level = roots.select(
-        *CARRIED, F.lit(0).alias("depth"), F.col("span_id").alias("root_span_id"), F.when(starts, F.col("span_id")).alias("nearest_agent_span_id"),
+        *key, "start_time", F.lit(0).alias("depth"), F.col("span_id").alias("root_span_id"), F.when(starts, F.col("span_id")).alias("nearest_agent_span_id"),
         F.when(starts, F.coalesce("declared", "gen_ai_agent_name")).alias("nearest_agent_name"),
         F.filter(F.array("path_name"), lambda x: x.isNotNull()).alias("agent_path"), has_parent.alias("is_orphan"), F.array("span_id").alias("visited"),
     )
@@ -70,14 +71,16 @@ def grown(spans: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
         starts = F.col("agent_op") | (F.col("t_nearest_agent_span_id").isNull() & F.col("declared").isNotNull())
         fresh = F.col("path_name").isNotNull() & ((F.size("t_agent_path") == 0) | (F.try_element_at("t_agent_path", F.lit(-1)) != F.col("path_name")))
         level = child.select(
-            *CARRIED, (F.col("t_depth") + 1).alias("depth"), F.col("t_root_span_id").alias("root_span_id"),
+            *key, "start_time", (F.col("t_depth") + 1).alias("depth"), F.col("t_root_span_id").alias("root_span_id"),
             F.when(starts, F.col("span_id")).otherwise(F.col("t_nearest_agent_span_id")).alias("nearest_agent_span_id"),
             F.when(starts, F.coalesce("declared", "gen_ai_agent_name")).otherwise(F.col("t_nearest_agent_name")).alias("nearest_agent_name"),
             F.when(fresh, F.concat("t_agent_path", F.array("path_name"))).otherwise(F.col("t_agent_path")).alias("agent_path"),
             F.col("t_is_orphan").alias("is_orphan"), F.concat("t_visited", F.array("span_id")).alias("visited"),
         )
         levels.append(staged(level, "level"))
-    return reduce(DataFrame.unionByName, levels)
+    placed = reduce(DataFrame.unionByName, levels).drop("start_time").withColumnsRenamed({c: f"n_{c}" for c in key})
+    same = reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"n_{c}")) for c in key])
+    return spans.select(*CARRIED).join(placed, same).drop(*[f"n_{c}" for c in key])
 
 
 def covered(rows: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
