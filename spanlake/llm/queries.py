@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chat, decontam, licenses, linededup, minhash, packing, secrets, sstable, toxicity, winnow
+from . import chat, decontam, importance, licenses, linededup, minhash, packing, search, secrets, sstable, suffixes, toxicity, winnow
 from .common import read_table
 
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
@@ -73,11 +73,28 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return linededup.drop_repeated_lines(docs).select("doc_id", "lines_removed", F.length("text").cast("long").alias("n_chars"), "text")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return search.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the bytes of strings that stood in an earlier document."""
+    found = suffixes.drop_repeats(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents weighed towards the benchmark's words, and a tenth of them drawn."""
+    return importance.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"), keep=["doc_id"])
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     import corpus_pipeline
 
     ops = (
         op1_chat_format, op2_sstable, op3_secret_scan, op4_decontaminate, op5_license_scan, op6_winnowing,
-        op7_minmax_near_dup, op8_toxicity, op9_pattern_packing, op10_line_dedup,
+        op7_minmax_near_dup, op8_toxicity, op9_pattern_packing, op10_line_dedup, op11_ranked_search, op12_suffix_dedup,
+        op13_importance_resampling,
     )
     return {f.__name__: f for f in ops} | {"pipeline": corpus_pipeline.run}

@@ -130,9 +130,67 @@ WITH d AS (SELECT doc_id, text, row_number() OVER (ORDER BY doc_id, text) AS r F
 SELECT doc_id, coalesce(removed, 0)::INTEGER AS lines_removed, length(kept.text)::BIGINT AS n_chars, kept.text AS text FROM d LEFT JOIN kept USING (r)
 """
 
+#: Scores of (row, item) pairs that share a term; all but the weights in integers.
+OP11 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format("text")} AS ws FROM documents
+), b AS (SELECT row_number() OVER () AS b, item_id, list_distinct({_WORDS.format("text")}) AS ws FROM benchmark
+), whole AS (SELECT count(*) FILTER (WHERE len(ws) > 0) AS n_docs, sum(len(ws))::BIGINT AS n_terms FROM d
+), tf AS (SELECT r, w, count(*) AS tf FROM (SELECT r, unnest(ws) AS w FROM d) GROUP BY r, w
+), weights AS (SELECT w, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS weight FROM tf, whole GROUP BY w, n_docs
+), scored AS (
+    SELECT b, r, sum(weight * (1000000000 * tf // (1000 * tf + 8 * (10 + 90 * len(ws) * n_docs // n_terms))))::BIGINT AS score
+    FROM (SELECT b, unnest(ws) AS w FROM b) JOIN weights USING (w) JOIN tf USING (w) JOIN d USING (r), whole GROUP BY b, r
+)
+SELECT item_id, (row_number() OVER (PARTITION BY b ORDER BY score DESC, doc_id))::INTEGER AS rank, doc_id, score
+FROM scored JOIN d USING (r) JOIN b USING (b) WHERE score > 0 QUALIFY rank <= 10
+"""
+
+#: All strings of 50 bytes (as 100 hex digits) and the first document of each.
+OP12 = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), strings AS (SELECT r, doc_id, i, h[2 * i + 1:2 * i + 100] AS s FROM d, unnest(range(0, length(h) // 2 - 49)) AS t(i)
+), firsts AS (SELECT s, min(doc_id) AS first_doc FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)
+), hits AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 50, TRUE) AS opens FROM strings JOIN firsts USING (s) WHERE doc_id > first_doc
+), spans AS (
+    SELECT r, min(i) AS first, max(i) + 50 AS last FROM (SELECT r, i, sum(opens::INT) OVER (PARTITION BY r ORDER BY i) AS span FROM hits) GROUP BY r, span
+), pieces AS (
+    SELECT r, first, h[2 * coalesce(lag(last) OVER (PARTITION BY r ORDER BY first), 0) + 1:2 * first] AS piece FROM spans JOIN d USING (r)
+    UNION ALL SELECT r, length(h) // 2, h[2 * coalesce(last, 0) + 1:] FROM d LEFT JOIN (SELECT r, max(last) AS last FROM spans GROUP BY r) USING (r)
+), kept AS (SELECT r, string_agg(piece, '' ORDER BY first) AS kept FROM pieces GROUP BY r
+), removed AS (SELECT r, sum(last - first) AS n, count(*) AS spans FROM spans GROUP BY r)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(n, 0)::BIGINT AS n_removed, coalesce(spans, 0)::BIGINT AS n_spans, sha256(unhex(kept)) AS kept_sha256
+FROM d JOIN kept USING (r) LEFT JOIN removed USING (r)
+"""
+
+#: CRC-32 of the words by a table that a recursive rule makes.
+OP13 = rf"""
+WITH steps AS (SELECT range(8) AS eight), crc_table AS (
+    SELECT list(list_reduce(eight, lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, b) ORDER BY b) AS t FROM range(256) AS r(b), steps
+), found AS (
+    SELECT 'd' AS kind, row_number() OVER () AS r, doc_id, {_WORDS.format("text")} AS ws FROM documents
+    UNION ALL SELECT 'b', 0, NULL, {_WORDS.format("text")} FROM benchmark
+), features AS (SELECT kind, r, unnest(ws) AS w FROM found
+), crcs AS (
+    SELECT w, xor(list_reduce(list_transform(range(1, strlen(w) + 1), lambda i: ('0x' || hex(encode(w))[2 * i - 1:2 * i])::BIGINT), lambda c, x: xor(c >> 8, t[xor(c & 255, x) + 1]), 4294967295), 4294967295) % 10000 AS bucket
+    FROM (SELECT DISTINCT w FROM features), crc_table
+), counts AS (
+    SELECT bucket, count(*) FILTER (WHERE kind = 'd') AS s, count(*) FILTER (WHERE kind = 'b') AS t FROM features JOIN crcs USING (w) GROUP BY bucket
+), gains AS (
+    SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM counts) + 10000)::DOUBLE / ((s + 1) * ((SELECT sum(t) FROM counts) + 10000)::DOUBLE)))::BIGINT AS gain FROM counts
+), weights AS (
+    SELECT r, count(*) AS n_features, floor(sum(gain)::DOUBLE / count(*))::BIGINT AS weight FROM features JOIN crcs USING (w) JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY r
+), scores AS (
+    SELECT doc_id, coalesce(n_features, 0)::BIGINT AS n_features, coalesce(weight, 0)::BIGINT AS weight, len(ws) >= 20 AS enough,
+           coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('2024:' || doc_id)[1:8])::BIGINT + 0.5::DOUBLE) / 4294967296)))::BIGINT AS score
+    FROM found LEFT JOIN weights USING (r) WHERE kind = 'd'
+), ranked AS (SELECT *, row_number() OVER (PARTITION BY enough ORDER BY score DESC, doc_id) AS place, count(*) FILTER (WHERE enough) OVER () AS n FROM scores)
+SELECT doc_id, n_features, weight, score::BIGINT AS score, CASE WHEN enough AND place <= n * 10 // 100 THEN place END AS rank FROM ranked
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     import corpus_pipeline
 
     found = {"op1_chat_format": OP1, "op4_decontaminate": OP4, "op6_winnowing": OP6, "op7_minmax_near_dup": OP7, "op10_line_dedup": OP10}
+    found |= {"op11_ranked_search": OP11, "op12_suffix_dedup": OP12, "op13_importance_resampling": OP13}
     return found | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
