@@ -32,7 +32,7 @@ def test_query_matches_sql(spark, sf_dir, name):
 
 def test_every_operator_is_registered():
     names = list(q.queries())
-    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 11)] + ["pipeline"]
+    assert [n.split("_")[0] for n in names] == [f"op{i}" for i in range(1, 14)] + ["pipeline"]
 
 
 def test_pipeline(spark, sf_dir):
