@@ -80,7 +80,7 @@ def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op12_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of strings that stood in an earlier document."""
-    found = suffixes.drop_repeats(read_table(spark, sf_dir, "documents"), keep=["doc_id"])
+    found = suffixes.edited(read_table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 

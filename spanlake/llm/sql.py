@@ -148,7 +148,8 @@ FROM scored JOIN d USING (r) JOIN b USING (b) WHERE score > 0 QUALIFY rank <= 10
 #: All strings of 50 bytes (as 100 hex digits) and the first document of each.
 OP12 = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
-), strings AS (SELECT r, doc_id, i, h[2 * i + 1:2 * i + 100] AS s FROM d, unnest(range(0, length(h) // 2 - 49)) AS t(i)
+), parts AS (SELECT r, doc_id, c, h[2 * c + 1:2 * c + 1122] AS p FROM d, unnest(range(0, length(h) // 2 - 49, 512)) AS t(c)
+), strings AS (SELECT r, doc_id, c + i AS i, p[2 * i + 1:2 * i + 100] AS s FROM parts, unnest(range(0, least(512, length(p) // 2 - 49))) AS t(i)
 ), firsts AS (SELECT s, min(doc_id) AS first_doc FROM strings GROUP BY s HAVING min(doc_id) < max(doc_id)
 ), hits AS (SELECT r, i, coalesce(i > lag(i) OVER (PARTITION BY r ORDER BY i) + 50, TRUE) AS opens FROM strings JOIN firsts USING (s) WHERE doc_id > first_doc
 ), spans AS (

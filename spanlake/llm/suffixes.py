@@ -2,20 +2,22 @@
 
 A suffix array of all texts can't be built in one task, and needn't: only suffixes with a common
 beginning of ``min_bytes`` meet. Each string of that length has an anchor, the ``GRAM`` bytes in it
-with the least hash (leftmost of ties), so equal strings have equal anchors. A text is cut into
-stretches: the runs of its strings with the same anchor. Then
-
-1. anchors that stand in one document only are left out (counts by hash, summed before the shuffle);
-2. the stretches of the others are gathered; equal stretches become one row with their first and last
-   document, so that a passage of many documents costs a row;
-3. the stretches of an anchor go to one task, which sorts their suffixes, takes the common prefixes of
-   neighbours, and scans them with a stack: each node of the interval tree of at least ``min_bytes`` whose
+whose first eight have the least hash (leftmost of ties), so equal strings have equal anchors. A text is
+cut into stretches: the runs of its strings with the same anchor. Texts are held in blocks of some megabytes, and what blocks tell each
+other are arrays, one for each bucket of anchors:
+
+1. each block sends the hashes of its anchors; buckets send back which of them stand in several documents;
+2. each block sends the stretches of those, equal ones once with their first and last document, so that a passage
+   of many documents costs an entry for each block;
+3. a bucket sorts the suffixes of its different stretches, takes the common prefixes of neighbours, and
+   scans them with a stack: each node of the interval tree of at least ``min_bytes`` whose
    suffixes follow different bytes (or begin their stretch) is a maximal repeat within the stretches;
-4. groups are joined with all occurrences of their stretches. Repeats that are longer than a stretch
-   come as overlapping groups, whose union is the repeat.
+4. groups go back to the blocks, which know all occurrences of their stretches. Repeats that are longer than a
+   stretch come as overlapping groups, whose union is the repeat.
 
-An anchor with more than ``LIMIT`` different stretches doesn't go to one task: its strings of ``min_bytes``
-are grouped by content instead, each a group of that length.
+Buckets are so many that each holds about as many anchors or bytes as ``Sizes`` says, whatever the size of
+the input. An anchor of more than ``common`` blocks would make one too large: its stretches are sent as single strings of
+``min_bytes``, each its own anchor, and so spread over the buckets.
 
 Defined cases: a null text is empty; texts below ``min_bytes`` have no repeats; a null identifier comes before all
 others, so a text without one keeps its bytes and others lose them; rows that share an identifier never cost each other bytes; rows
@@ -24,123 +26,94 @@ equal in identifier and text are edited alike; empty tables give an empty result
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import row_batches, staged, text_bytes, unstage, unused
+from .common import row_batches, staged, text_bytes, unused
 
 MIN_BYTES = 50
-GRAM = 20
-#: Different stretches of an anchor that one task may hold, and bytes of stretches that it sorts at once.
-LIMIT, SORT_BYTES = 50_000, 2_000_000
-#: Texts are read in pieces of so many bytes, as the place of an anchor has 24 bits in its key.
-PIECE = 1 << 22
-
-_BASE = 0x9E3779B97F4A7C15
-
-
-def gram_hashes(data: np.ndarray, size: int) -> np.ndarray:
-    """A 64-bit hash of the ``size`` bytes from each place on."""
-    hashes = {1: (data.astype(np.uint64) + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9)}
-    hashes[1] ^= hashes[1] >> np.uint64(29)
-    power = 1
-    while 2 * power <= size:
-        h = hashes[power]
-        hashes[2 * power] = h[:-power] * np.uint64(pow(_BASE, power, 1 << 64)) + h[power:]
-        power *= 2
-    found, have = hashes[power], power
-    for p in sorted((p for p in hashes if p < power), reverse=True):
-        if size - have >= p:
-            n = len(data) - have - p + 1
-            found = found[:n] * np.uint64(pow(_BASE, p, 1 << 64)) + hashes[p][have : have + n]
-            have += p
-    found = (found ^ found >> np.uint64(30)) * np.uint64(0x94D049BB133111EB)
-    return found ^ found >> np.uint64(31)
+GRAM = 28
+#: Texts are read in pieces of so many bytes, as the place of an anchor has 20 bits in its key.
+PIECE = 1 << 16
 
 
-def _minima(keys: np.ndarray, width: int) -> np.ndarray:
-    """The least key of each ``width`` neighbours."""
-    have = 1
-    while have < width:
-        step = min(have, width - have)
-        keys = np.minimum(keys[: len(keys) - step], keys[step:])
-        have += step
-    return keys
 
+class Sizes(NamedTuple):
+    """Bytes of texts in a block (one text at least), anchors and bytes of stretches in a bucket, and blocks of a common anchor."""
 
-def stretches(text: bytes, min_bytes: int = MIN_BYTES, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Of a text: the hash of each stretch's anchor, and where the stretch begins and ends."""
-    found: list[list[np.ndarray]] = [[], [], []]
-    for at in range(0, max(len(text) - min_bytes + 1, 0), PIECE):
-        data = np.frombuffer(text, np.uint8, min(len(text) - at, PIECE + min_bytes - 1), at)
-        h = gram_hashes(data, gram)
-        keys = (h & np.uint64(0xFFFFFFFFFF000000)) | np.arange(len(h), dtype=np.uint64)
-        anchor = (_minima(keys, min_bytes - gram + 1) & np.uint64(0xFFFFFF)).astype(np.int64)
-        first = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
-        last = np.concatenate([first[1:], [len(anchor)]]) - 1
-        for column, values in zip(found, (h[anchor[first]].view(np.int64), first + at, last + at + min_bytes)):
-            column.append(values)
-    return tuple(np.concatenate(c) if c else np.empty(0, np.int64) for c in found)
+    block: int = 2_000_000
+    anchors: int = 2_000_000
+    bytes: int = 8_000_000
+    common: int = 20_000
 
 
-def _keyed(docs: DataFrame) -> DataFrame:
-    """Identifier (least for null), two hashes of the text, and the text."""
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("doc"), *text_keys(F.col("text")), "text")
+SIZES = Sizes()
 
+_NO_ID = -(1 << 63)
+_ODD = np.uint64(0x9E3779B97F4A7C15)
+#: What is sent of an anchor's hash: 39 bits, and one that tells if several documents of the block have it.
+_SENT = np.uint64((1 << 39) - 1)
 
-def text_keys(text: Column) -> tuple[Column, Column]:
-    return F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(7), text).alias("k2")
 
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = (h ^ h >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    h = (h ^ h >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return h ^ h >> np.uint64(31)
 
-def _anchors(keyed: DataFrame, min_bytes: int, gram: int) -> DataFrame:
-    """A row for each stretch: its anchor's hash, its text, and its number in the text."""
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in row_batches(batches):
-            per = [stretches(text_bytes(t), min_bytes, gram)[0] for t in b.column("text").to_pylist()]
-            sizes = np.array([len(a) for a in per], np.int64)
-            repeated = [np.repeat(b.column(c).to_numpy(zero_copy_only=False), sizes) for c in ("doc", "k1", "k2")]
-            place = np.concatenate([np.arange(n, dtype=np.int32) for n in sizes]) if len(sizes) else np.empty(0, np.int32)
-            anchor = np.concatenate(per) if per else np.empty(0, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (anchor, *repeated, place)], names=["anchor", "doc", "k1", "k2", "place"])
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as numbers."""
+    return np.ndarray((max(len(data) - 7, 0),), "<u8", data, strides=(1,))
 
-    return keyed.mapInArrow(find, "anchor long, doc long, k1 long, k2 long, place int")
 
+def string_hashes(data: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+    """A 64-bit hash of the ``size`` (8 or more) bytes from the given places on."""
+    words, h = _words(data), np.zeros(len(at), np.uint64)
+    for k in [*range(0, size - 8, 8), size - 8]:
+        h = _mixed((h + words[at + k]) * _ODD)
+    return h
 
-def _gathered(keyed: DataFrame, min_bytes: int, gram: int, across: bool) -> DataFrame:
-    """The stretches whose anchors stand in several documents, with their bytes."""
-    found = _anchors(keyed, min_bytes, gram)
-    often = F.min("doc") < F.max("doc") if across else F.count("*") > 1
-    often = staged(found.groupBy("anchor").agg(often.alias("often")).where("often").select("anchor"), "anchors")
-    wanted = found.hint("merge").join(often.hint("merge"), "anchor", "left_semi")
-    wanted = staged(wanted.groupBy("doc", "k1", "k2").agg(F.collect_set("place").alias("places")), "places")  # of one text
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in row_batches(batches, 2_000_000):
-            out: list[list] = [[] for _ in range(4)]
-            ids: list[list] = [[] for _ in range(3)]
-            for doc, k1, k2, text, places in zip(*(b.column(c).to_pylist() for c in ("doc", "k1", "k2", "text", "places"))):
-                raw = text_bytes(text)
-                anchor, first, end = (c[np.sort(np.array(places))] for c in stretches(raw, min_bytes, gram))
-                out[0] += anchor.tolist()
-                out[1] += [raw[i:j] for i, j in zip(first.tolist(), end.tolist())]
-                out[2] += first.tolist()
-                for column, v in zip(ids, (doc, k1, k2)):
-                    column += [v] * len(first)
-            columns = [pa.array(c, t) for c, t in zip((out[0], out[1], out[2], *ids), (pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int64()))]
-            yield pa.RecordBatch.from_arrays(columns, names=["anchor", "stretch", "at", "doc", "k1", "k2"])
-
-    # repeated rows of a document are one
-    texts = keyed.hint("merge").join(wanted.hint("merge"), ["doc", "k1", "k2"])
-    cuts = texts.mapInArrow(cut, "anchor long, stretch binary, at long, doc long, k1 long, k2 long")
-    out = staged(cuts.withColumns({"s1": F.xxhash64("stretch"), "s2": F.xxhash64(F.lit(7), "stretch")}), "stretches")
-    unstage(often, wanted)
-    return out
+def _minima(keys: np.ndarray, width: int) -> np.ndarray:
+    """The least key of each ``width`` neighbours."""
+    have = 1
+    while have < width:
+        step = min(have, width - have)
+        keys = np.minimum(keys[: len(keys) - step], keys[step:])
+        have += step
+    return keys
+
+
+def stretches(data: np.ndarray, bounds: np.ndarray, min_bytes: int = MIN_BYTES, gram: int = GRAM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of texts that stand one behind the other (between ``bounds``): the hash of each stretch's anchor, and where it begins and ends."""
+    n = len(data) - min_bytes + 1
+    none = np.empty(0, np.int64)
+    if n <= 0:
+        return none.view(np.uint64), none, none
+    anchor = np.empty(n, np.int64)
+    width = min_bytes - gram + 1
+    for at in range(0, n, PIECE):
+        words = _words(data[at : min(at + PIECE, n) + width + 6])  # the grams that begin within these strings
+        keys = words * _ODD
+        keys = (keys ^ keys >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
+        keys = (keys & np.uint64(0xFFFFFFFFFFF00000)) | np.arange(len(keys), dtype=np.uint64)
+        anchor[at : at + PIECE] = (_minima(keys, width) & np.uint64(0xFFFFF)).astype(np.int64) + at
+    within = np.ones(n + 1, bool)  # strings that don't reach into the next text
+    within[n] = False
+    for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
+        within[max(begin, end - min_bytes + 1) : end] = False
+    same = within[:-2] & within[1:-1] & (anchor[1:] == anchor[:-1])
+    first = np.flatnonzero(within[:-1] & ~np.concatenate([[False], same]))
+    last = np.flatnonzero(within[:-1] & ~np.concatenate([same, [False]]))
+    return string_hashes(data, anchor[first], gram), first, last + min_bytes
 
 
 def interval_groups(prefixes: list[int], before: list[int], low: list[int], high: list[int], least: int) -> list[tuple[int, int, int, int, int]]:
@@ -181,7 +154,7 @@ def repeats_of(held: list[bytes], low: list[int], high: list[int], min_bytes: in
     place = np.concatenate([np.arange(n) for n in sizes - min_bytes + 1])
     at = begin[own] + place
     # suffixes that share their first bytes with no other take no part
-    _, kind, times = np.unique(gram_hashes(data, min_bytes)[at], return_inverse=True, return_counts=True)
+    _, kind, times = np.unique(string_hashes(data, at, min_bytes), return_inverse=True, return_counts=True)
     often = times[kind] > 1
     own, place, at = own[often], place[often], at[often]
     none = np.empty(0, np.int64)
@@ -208,115 +181,329 @@ def repeats_of(held: list[bytes], low: list[int], high: list[int], min_bytes: in
     return group, own[suffixes], place[suffixes], size[group], lo[group], hi[group]
 
 
-_GROUPS = "s1 long, s2 long, start int, size int, first_doc long, last_doc long, g1 long, g2 long"
+class Block(NamedTuple):
+    """Texts of one block, and its stretches: anchor's hash, place, end, and number of the text."""
 
+    docs: np.ndarray
+    bounds: np.ndarray
+    data: np.ndarray
+    anchor: np.ndarray
+    first: np.ndarray
+    end: np.ndarray
+    own: np.ndarray
 
-def _grouped(cuts: DataFrame, min_bytes: int, across: bool, limit: int) -> DataFrame:
-    """A row for each maximal repeat and stretch that holds it: digest of the stretch, place, length, documents, digest of the repeat."""
-    one = staged(cuts.groupBy("anchor", "stretch", "s1", "s2").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), F.count("*").alias("times")), "different")
-    large = one.groupBy("anchor").agg(F.count("*").alias("n")).where(F.col("n") > limit).select("anchor")
-    large = staged(large, "large")
-    held = one.hint("merge").join(large.hint("merge"), "anchor", "left_anti")
 
-    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
-        pending, size = 0, 0  # rows of whole anchors, bytes
-
-        def repeats(part: list[tuple]) -> pa.RecordBatch:
-            _, texts, s1, s2, low, high = zip(*part)
-            _, own, place, length, lo, hi = repeats_of(list(texts), list(low), list(high), min_bytes)
-            keep = lo < hi if across else np.ones(len(lo), bool)
-            own, place, length, lo, hi = (c[keep] for c in (own, place, length, lo, hi))
-            whole = [texts[k][p : p + n] for k, p, n in zip(own.tolist(), place.tolist(), length.tolist())]
-            columns = [pa.array(np.array(s1, np.int64)[own]), pa.array(np.array(s2, np.int64)[own]), pa.array(place.astype(np.int32)), pa.array(length.astype(np.int32)), pa.array(lo), pa.array(hi), pa.array(whole, pa.binary())]
-            return pa.RecordBatch.from_arrays(columns, names=["s1", "s2", "start", "size", "first_doc", "last_doc", "whole"])
+def _read_block(docs: bytes, sizes: bytes, text: bytes, min_bytes: int) -> Block:
+    bounds = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))])
+    data = np.frombuffer(text, np.uint8)
+    anchor, first, end = stretches(data, bounds, min_bytes)
+    return Block(np.frombuffer(docs, np.int64), bounds, data, anchor, first, end, np.searchsorted(bounds, first, side="right") - 1)
+
+
+def blocks(docs: DataFrame, block_bytes: int = SIZES.block) -> DataFrame:
+    """Texts in blocks, numbered and written once: identifiers (least for null), two hashes and sizes of the texts, and their bytes."""
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number = TaskContext.get().partitionId() << 33
+        held: list[tuple[int, int, int, bytes]] = []
+        size = 0
 
+        def block() -> pa.RecordBatch:
+            columns = [[number], *[[np.array([h[k] for h in held], np.int64).tobytes()] for k in range(3)], [np.array([len(h[3]) for h in held], np.int64).tobytes()], [b"".join(h[3] for h in held)]]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.binary()] * 5))], names=["block", "docs", "k1", "k2", "sizes", "text"])
+
+        for b in row_batches(batches, block_bytes):
+            for doc, k1, k2, text in zip(*(c.to_pylist() for c in b.columns)):
+                raw = text_bytes(text)
+                if held and size + len(raw) > block_bytes:
+                    yield block()
+                    number, held, size = number + 1, [], 0
+                held.append((doc, k1, k2, raw))
+                size += len(raw) + 32
+        if held:
+            yield block()
+
+    keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), *text_keys(F.col("text")), "text")
+    return staged(keyed.mapInArrow(pack, "block long, docs binary, k1 binary, k2 binary, sizes binary, text binary"), "blocks")
+
+
+def text_keys(text: Column) -> tuple[Column, Column]:
+    return F.xxhash64(text).alias("k1"), F.xxhash64(F.lit(7), text).alias("k2")
+
+
+def _dealt(anchor: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The different anchors of a block in the order in which they are sent, which of them each stretch has, and where
+    each bucket begins."""
+    different, which = np.unique(anchor, return_inverse=True)
+    bucket = ((different >> np.uint64(40)) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    place = np.empty_like(order)
+    place[order] = np.arange(len(order))
+    return different[order], place[which], np.searchsorted(bucket[order], np.arange(buckets + 1))
+
+
+def _parts(begin: np.ndarray) -> list[tuple[int, int, int]]:
+    """Bucket, begin and end of the buckets that aren't empty."""
+    has = np.flatnonzero(begin[1:] > begin[:-1])
+    return list(zip(has.tolist(), begin[has].tolist(), begin[has + 1].tolist()))
+
+
+def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
+    """Rows of one bucket after the other; rows are sorted by it."""
+    held: list[dict] = []
+    for b in batches:
+        for row in b.to_pylist():
+            if held and row["bucket"] != held[-1]["bucket"]:
+                yield held
+                held = []
+            held.append(row)
+    if held:
+        yield held
+
+
+def _answers(held: DataFrame, buckets: int, min_bytes: int, across: bool, common_from: int) -> DataFrame:
+    """Of each block and bucket: which of the anchors that the block sent stand in several documents, and which of them are common."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for number, docs, sizes, text in zip(*(c.to_pylist() for c in b.columns)):
+                x = _read_block(docs, sizes, text, min_bytes)
+                different, which, begin = _dealt(x.anchor, buckets)
+                doc = x.docs[x.own]
+                low, high = np.full(len(different), (1 << 63) - 1), np.full(len(different), _NO_ID)
+                np.minimum.at(low, which, doc)
+                np.maximum.at(high, which, doc)
+                several = low < high if across else np.bincount(which, minlength=len(different)) > 1
+                sent = (different & _SENT) << np.uint64(1) | several.astype(np.uint64)
+                sent = sent.view(np.uint8).reshape(-1, 8)[:, :5]
+                parts = _parts(begin)
+                columns = [pa.array([k for k, _, _ in parts], pa.int32()), pa.array([number] * len(parts), pa.int64()), pa.array([sent[i:j].tobytes() for _, i, j in parts], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "sent"])
+
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_bucket(batches):
+            raw = np.frombuffer(b"".join(r["sent"] for r in rows), np.uint8).reshape(-1, 5)
+            sent = np.zeros((len(raw), 8), np.uint8)
+            sent[:, :5] = raw
+            sent = sent.view(np.uint64).ravel()
+            _, which, times = np.unique(sent >> np.uint64(1), return_inverse=True, return_counts=True)
+            several = np.zeros(len(times), bool)
+            several[which[(sent & np.uint64(1)) > 0]] = True
+            wanted, common = (several | (times > 1))[which], (times > common_from)[which]
+            at = np.cumsum([0, *(len(r["sent"]) // 5 for r in rows)])
+            columns = [
+                pa.array([r["bucket"] for r in rows], pa.int32()), pa.array([r["block"] for r in rows], pa.int64()), pa.array([int(wanted[i:j].sum()) for i, j in zip(at, at[1:])], pa.int64()),
+                pa.array([np.packbits(wanted[i:j]).tobytes() for i, j in zip(at, at[1:])], pa.binary()), pa.array([np.packbits(common[i:j]).tobytes() if common[i:j].any() else None for i, j in zip(at, at[1:])], pa.binary()),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "n", "wanted", "common"])
+
+    sent = held.select("block", "docs", "sizes", "text").mapInArrow(send, "bucket int, block long, sent binary")
+    dealt = sent.repartition("bucket").sortWithinPartitions("bucket")
+    return staged(dealt.mapInArrow(answer, "bucket int, block long, n long, wanted binary, common binary"), "answers")
+
+
+class Sent(NamedTuple):
+    """The different stretches that a block sends, by bucket: anchor, bytes, first and last document, times; and of each
+    stretch of the block its place among them and in the block."""
+
+    anchor: np.ndarray
+    texts: list[bytes]
+    low: np.ndarray
+    high: np.ndarray
+    times: np.ndarray
+    begin: np.ndarray
+    which: np.ndarray
+    first: np.ndarray
+    own: np.ndarray
+
+
+def _wanted(x: Block, answers: list[dict], buckets: int, sort_buckets: int, min_bytes: int) -> Sent:
+    different, which, begin = _dealt(x.anchor, buckets)
+    flags = np.zeros((2, len(different)), bool)
+    for a in answers:
+        i, j = int(begin[a["bucket"]]), int(begin[a["bucket"] + 1])
+        for k, name in enumerate(("wanted", "common")):
+            if a[name] is not None:
+                flags[k, i:j] = np.unpackbits(np.frombuffer(a[name], np.uint8), count=j - i)
+    wanted, common = flags[0][which], flags[1][which]
+    plain = np.flatnonzero(wanted & ~common)
+    anchor, first, end, own = x.anchor[plain], x.first[plain], x.end[plain], x.own[plain]
+    cut = np.flatnonzero(wanted & common)
+    if len(cut):  # single strings, each its own anchor
+        n = x.end[cut] - x.first[cut] - min_bytes + 1
+        at = np.repeat(x.first[cut] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        anchor, first, end, own = (np.concatenate(c) for c in ((anchor, string_hashes(x.data, at, min_bytes)), (first, at), (end, at + min_bytes), (own, np.repeat(x.own[cut], n))))
+    raw = x.data.tobytes()
+    numbers: dict[bytes, int] = {}
+    place = np.array([numbers.setdefault(raw[i:j], len(numbers)) for i, j in zip(first.tolist(), end.tolist())], np.int64)
+    texts = list(numbers)
+    anchors = np.zeros(len(texts), np.uint64)
+    anchors[place] = anchor
+    low, high = np.full(len(texts), (1 << 63) - 1), np.full(len(texts), _NO_ID)
+    np.minimum.at(low, place, x.docs[own])
+    np.maximum.at(high, place, x.docs[own])
+    bucket = ((anchors >> np.uint64(20)) % np.uint64(sort_buckets)).astype(np.int64)
+    order = np.argsort(bucket, kind="stable")
+    moved = np.empty_like(order)
+    moved[order] = np.arange(len(order))
+    times = np.bincount(place, minlength=len(texts))
+    return Sent(anchors[order], [texts[k] for k in order.tolist()], low[order], high[order], times[order], np.searchsorted(bucket[order], np.arange(sort_buckets + 1)), moved[place] if len(place) else place, first, own)
+
+
+_MEMBERS = ["place", "start", "size", "first_doc", "last_doc"]
+_GROUPED = "block long, bucket int, " + ", ".join(f"{c} array<long>" for c in _MEMBERS) + ", digest array<binary>"
+
+
+def _grouped(held: DataFrame, buckets: int, sort_buckets: int, min_bytes: int, across: bool) -> DataFrame:
+    """Of each block and bucket: the maximal repeats that its stretches hold, by the place of the stretch in what was sent. ``held``: blocks with their answers."""
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for number, docs, sizes, text, answers in zip(*(c.to_pylist() for c in b.columns)):
+                s = _wanted(_read_block(docs, sizes, text, min_bytes), answers or [], buckets, sort_buckets, min_bytes)
+                parts = _parts(s.begin)
+                lengths = np.array([len(t) for t in s.texts], np.int64)
+                columns = [pa.array([k for k, _, _ in parts], pa.int32()), pa.array([number] * len(parts), pa.int64()), pa.array([b"".join(s.texts[i:j]) for _, i, j in parts], pa.binary())]
+                columns += [pa.array([c[i:j].tobytes() for _, i, j in parts], pa.binary()) for c in (lengths.astype(np.int32), s.low, s.high, s.times)]
+                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "texts", "lengths", "low", "high", "times"])
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _by_bucket(batches):
+            numbers: dict[bytes, int] = {}
+            which = []
+            for r in rows:
+                ends = np.cumsum(np.frombuffer(r["lengths"], np.int32)).tolist()
+                which += [numbers.setdefault(r["texts"][i:j], len(numbers)) for i, j in zip([0, *ends], ends)]
+            counts = [len(r["lengths"]) // 4 for r in rows]
+            texts, which = list(numbers), np.array(which, np.int64)
+            low, high, times = (np.frombuffer(b"".join(r[c] for r in rows), np.int64) for c in ("low", "high", "times"))
+            least, most, total = np.full(len(texts), (1 << 63) - 1), np.full(len(texts), _NO_ID), np.zeros(len(texts), np.int64)
+            np.minimum.at(least, which, low)
+            np.maximum.at(most, which, high)
+            np.add.at(total, which, times)
+            _, own, start, size, lo, hi = repeats_of(texts, least.tolist(), most.tolist(), min_bytes)
+            # a stretch that stands in several places is a repeat itself
+            leaf = np.flatnonzero(least < most if across else total > 1)
+            own, start, size = np.concatenate([own, leaf]), np.concatenate([start, 0 * leaf]), np.concatenate([size, np.array([len(texts[k]) for k in leaf.tolist()], np.int64)])
+            lo, hi = np.concatenate([lo, least[leaf]]), np.concatenate([hi, most[leaf]])
+            keep = np.flatnonzero(lo < hi) if across else np.arange(len(lo))
+            order = keep[np.argsort(own[keep], kind="stable")]
+            own, start, size, lo, hi = own[order], start[order], size[order], lo[order], hi[order]
+            digest = np.array([hashlib.blake2b(texts[k][i : i + n], digest_size=16).digest() for k, i, n in zip(own.tolist(), start.tolist(), size.tolist())], object)
+            begin, n = np.searchsorted(own, np.arange(len(texts))), np.bincount(own, minlength=len(texts))
+            at = 0
+            for r, count in zip(rows, counts):
+                mine = which[at : at + count]
+                at += count
+                members = n[mine]
+                place = np.repeat(np.arange(count), members)
+                if not len(place):
+                    continue
+                k = np.repeat(begin[mine] - np.cumsum(members) + members, members) + np.arange(len(place))
+                columns = [pa.array([r["block"]], pa.int64()), pa.array([r["bucket"]], pa.int32()), *(pa.array([c], pa.list_(pa.int64())) for c in (place, start[k], size[k], lo[k], hi[k])), pa.array([digest[k].tolist()], pa.list_(pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "bucket", *_MEMBERS, "digest"])
+
+    sent = held.select("block", "docs", "sizes", "text", "answers").mapInArrow(send, "bucket int, block long, texts binary, lengths binary, low binary, high binary, times binary")
+    return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(scan, _GROUPED)
+
+
+def _found(docs: DataFrame, min_bytes: int, across: bool, sizes: Sizes, digests: bool) -> tuple[DataFrame, tuple[int, int]]:
+    """Blocks with their answers and groups, and how many buckets of anchors and of stretches there were."""
+    held = blocks(docs, sizes.block)
+    total = held.agg(F.sum(F.length("text"))).first()[0] or 0
+    buckets = int(total * 2 / (min_bytes - GRAM + 2)) // sizes.anchors + 1  # of the strings about so many are the first of a stretch
+    answers = _answers(held, buckets, min_bytes, across, sizes.common)
+    wanted = answers.agg(F.sum("n"), F.sum(F.when(F.col("common").isNotNull(), F.col("n")))).first()
+    sort_buckets = int((wanted[0] or 0) * (min_bytes + min_bytes // 4) + (wanted[1] or 0) * min_bytes * min_bytes // 2) // sizes.bytes + 1
+    own = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "wanted", "common")).alias("answers"))  # of one block
+    with_answers = held.hint("merge").join(own.hint("merge"), "block", "left")
+    groups = _grouped(with_answers, buckets, sort_buckets, min_bytes, across)
+    groups = staged(groups if digests else groups.drop("digest"), "groups")
+    mine = groups.groupBy("block").agg(F.collect_list(F.struct("bucket", *_MEMBERS, *(["digest"] if digests else []))).alias("groups"))
+    return with_answers.hint("merge").join(mine.hint("merge"), "block", "left"), (buckets, sort_buckets)
+
+
+def _occurrences(x: Block, answers: list[dict] | None, groups: list[dict] | None, buckets: tuple[int, int], min_bytes: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Number of the text, place in the block, length, first document, and which member of the group it is, bucket by bucket."""
+    if not groups:
+        return
+    s = _wanted(x, answers or [], *buckets, min_bytes)
+    order = np.argsort(s.which, kind="stable")
+    sorted_which = s.which[order]
+    for g in groups:
+        place, start, size, doc = (np.array(g[c], np.int64) for c in ("place", "start", "size", "first_doc"))
+        sent = place + s.begin[g["bucket"]]
+        i, j = np.searchsorted(sorted_which, sent), np.searchsorted(sorted_which, sent, side="right")
+        n = j - i
+        at = order[np.repeat(i - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+        member = np.repeat(np.arange(len(place)), n)
+        yield s.own[at], s.first[at] + start[member], size[member], doc[member], member
+
+
+def repeat_groups(docs: DataFrame, min_bytes: int = MIN_BYTES, across: bool = True, sizes: Sizes = SIZES) -> DataFrame:
+    """All occurrences of all maximal repeats: ``digest`` of the repeated bytes, ``size``, ``doc_id``, ``k1, k2``
+    (hashes of the text), ``start`` (byte) and ``first_doc``. ``across``: only repeats that stand in several documents."""
+    found, buckets = _found(docs, min_bytes, across, sizes, True)
+
+    def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for row in zip(*(c.to_pylist() for c in b.columns)):
-                if rows and row[0] != rows[-1][0]:
-                    if size >= SORT_BYTES:
-                        yield repeats(rows)
-                        rows, size = [], 0
-                rows.append(row)
-                size += len(row[1])
-        if rows:
-            yield repeats(rows)
-
-    held = held.select("anchor", "stretch", "s1", "s2", "low", "high").repartition("anchor").sortWithinPartitions("anchor")
-    nodes = held.mapInArrow(scan, "s1 long, s2 long, start int, size int, first_doc long, last_doc long, whole binary")
-    # a stretch that stands in several places is a repeat itself
-    several = F.col("low") < F.col("high") if across else F.col("times") > 1
-    leaves = one.where(several).select("s1", "s2", F.lit(0).alias("start"), F.length("stretch").alias("size"), F.col("low").alias("first_doc"), F.col("high").alias("last_doc"), F.col("stretch").alias("whole"))
-    strings = one.hint("merge").join(large.hint("merge"), "anchor", "left_semi")
-    strings = strings.select("s1", "s2", "low", "high", "stretch", F.explode(F.sequence(F.lit(0), F.length("stretch") - min_bytes)).alias("start"))
-    strings = strings.withColumn("whole", F.expr(f"substring(stretch, start + 1, {min_bytes})"))
-    wide = strings.groupBy("whole").agg(F.min("low").alias("first_doc"), F.max("high").alias("last_doc"), F.count("*").alias("n")).where("first_doc < last_doc" if across else "n > 1")
-    wide = strings.hint("merge").join(wide.hint("merge"), "whole").select("s1", "s2", "start", F.lit(min_bytes).alias("size"), "first_doc", "last_doc", "whole")
-    digest = (F.xxhash64("whole").alias("g1"), F.xxhash64(F.lit(7), "whole").alias("g2"))
-    found = nodes.unionByName(leaves).unionByName(wide).select("s1", "s2", "start", "size", "first_doc", "last_doc", *digest)
-    out = staged(found, "groups")
-    unstage(one, large)
-    return out
-
-
-def repeat_groups(docs: DataFrame, min_bytes: int = MIN_BYTES, across: bool = True, limit: int = LIMIT) -> DataFrame:
-    """All occurrences of all maximal repeats: ``g1, g2`` (digest of the repeated bytes), ``size``, ``doc_id``, ``k1, k2``
-    (digest of the text), ``start`` (byte) and ``first_doc``. ``across``: only repeats that stand in several documents."""
-    cuts = _gathered(_keyed(docs), min_bytes, GRAM, across)
-    groups = _grouped(cuts, min_bytes, across, limit)
-    # a stretch with a third of all places is one key: merge joins are split where they are skewed
-    found = cuts.select("s1", "s2", "doc", "k1", "k2", "at").hint("merge").join(groups.hint("merge"), ["s1", "s2"])
-    doc_id = F.when(F.col("doc") > -(1 << 63), F.col("doc"))
-    return found.select("g1", "g2", "size", doc_id.alias("doc_id"), "k1", "k2", (F.col("at") + F.col("start")).alias("start"), "first_doc")
-
-
-def later_runs(docs: DataFrame, min_bytes: int = MIN_BYTES, limit: int = LIMIT) -> DataFrame:
-    """Of each text with bytes that repeat a document of smaller identifier: ``doc, k1, k2`` and ``runs`` (start and end)."""
-    cuts = _gathered(_keyed(docs), min_bytes, GRAM, True)
-    groups = _grouped(cuts, min_bytes, True, limit).where("first_doc < last_doc")
-    found = cuts.select("s1", "s2", "doc", "k1", "k2", "at").hint("merge").join(groups.select("s1", "s2", "start", "size", "first_doc").hint("merge"), ["s1", "s2"])
-    run = F.struct((F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("start") + F.col("size")).alias("end"))
-    later = found.where("doc > first_doc").select("doc", "k1", "k2", run.alias("run"))
-    out = staged(later.groupBy("doc", "k1", "k2").agg(F.collect_set("run").alias("runs")), "runs")  # of one text
-    unstage(cuts, groups)
-    return out
-
-
-def without(raw: bytes, runs: list) -> tuple[bytes, int, int]:
+            for ids, h1, h2, lengths, text, answers, groups in zip(*(c.to_pylist() for c in b.columns)):
+                x = _read_block(ids, lengths, text, min_bytes)
+                keys = [np.frombuffer(h, np.int64) for h in (h1, h2)]
+                for g, (own, at, size, doc, member) in zip(groups or (), _occurrences(x, answers, groups, buckets, min_bytes)):
+                    digest = np.array(g["digest"], object)[member].tolist()
+                    columns = [pa.array(digest, pa.binary()), *(pa.array(c) for c in (size, x.docs[own], keys[0][own], keys[1][own], at - x.bounds[own], doc))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["digest", "size", "doc_id", "k1", "k2", "start", "first_doc"])
+
+    rows = found.select("docs", "k1", "k2", "sizes", "text", "answers", "groups").mapInArrow(give, "digest binary, size long, doc_id long, k1 long, k2 long, start long, first_doc long")
+    known = lambda c: F.when(F.col(c) > _NO_ID, F.col(c)).alias(c)
+    return rows.select("digest", "size", known("doc_id"), "k1", "k2", "start", known("first_doc"))
+
+
+def without(raw: bytes, start: np.ndarray, end: np.ndarray) -> tuple[bytes, int, int]:
     """The bytes outside the runs, how many went, and in how many pieces."""
-    gone, kept, at, pieces, end = 0, [], 0, 0, -1
-    for start, stop in sorted((r["start"], r["end"]) for r in runs or ()):
-        if start > end:
-            pieces += 1
-            kept.append(raw[at:start])
-            at = end = start
-        if stop > end:
-            gone += stop - end
-            at = end = stop
-    kept.append(raw[at:])
-    return b"".join(kept), gone, pieces
-
-
-def drop_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, limit: int = LIMIT, keep: list[str] | None = None) -> DataFrame:
-    """The columns ``keep`` (all) and behind them, by longer names where these are taken: ``n_bytes``, ``n_removed``,
-    ``n_spans`` and ``kept``, the bytes that stay. A cut can part a character, so what stays is binary."""
-    keep = docs.columns if keep is None else keep
-    kept = docs.select(*keep)
-    names = [unused(c, kept) for c in ("n_bytes", "n_removed", "n_spans", "kept")]
-    text = unused("text_read", kept)
-    keyed = docs.select(*keep, F.col("text").alias(text), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias(unused("run_doc", kept)), *(c.alias(unused(f"run_{k}", kept)) for k, c in zip(("k1", "k2"), text_keys(F.col("text")))))
-    doc, k1, k2 = keyed.columns[-3:]
-    runs = later_runs(docs, min_bytes, limit)
-    runs = runs.select(F.col("doc").alias(f"{doc}_"), F.col("k1").alias(f"{k1}_"), F.col("k2").alias(f"{k2}_"), F.col("runs").alias(f"{doc}_runs"))
-    same = (F.col(doc) == F.col(f"{doc}_")) & (F.col(k1) == F.col(f"{k1}_")) & (F.col(k2) == F.col(f"{k2}_"))
-    joined = keyed.hint("merge").join(runs.hint("merge"), same, "left").select(*keep, text, f"{doc}_runs")
+    if not len(start):
+        return raw, 0, 0
+    order = np.argsort(start, kind="stable")
+    start, reach = start[order], np.maximum.accumulate(end[order])
+    opens = np.concatenate([[True], start[1:] > reach[:-1]])
+    begins, ends = start[opens].tolist(), reach[np.concatenate([opens[1:], [True]])].tolist()
+    kept = b"".join(raw[i:j] for i, j in zip([0, *ends], [*begins, len(raw)]))
+    return kept, sum(ends) - sum(begins), len(begins)
+
+
+def edited(docs: DataFrame, min_bytes: int = MIN_BYTES, sizes: Sizes = SIZES) -> DataFrame:
+    """A row for each row: ``doc_id, k1, k2`` (hashes of the text), ``n_bytes, n_removed, n_spans`` and ``kept``."""
+    found, buckets = _found(docs, min_bytes, True, sizes, False)
+    names = ["doc_id", "k1", "k2", "n_bytes", "n_removed", "n_spans", "kept"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in row_batches(batches):
-            raws = [text_bytes(t) for t in b.column(text).to_pylist()]
-            done = [without(r, s) for r, s in zip(raws, b.column(f"{doc}_runs").to_pylist())]
-            new = [pa.array([len(r) for r in raws], pa.int64()), pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64()), pa.array([d[0] for d in done], pa.binary())]
-            yield pa.RecordBatch.from_arrays([*(b.column(c) for c in keep), *new], names=[*keep, *names])
-
-    fields = [T.StructField(c, t) for c, t in zip(names, (T.LongType(), T.LongType(), T.LongType(), T.BinaryType()))]
-    return joined.mapInArrow(cut, T.StructType([*kept.schema.fields, *fields]))
+        for b in batches:
+            for ids, h1, h2, lengths, text, answers, groups in zip(*(c.to_pylist() for c in b.columns)):
+                x = _read_block(ids, lengths, text, min_bytes)
+                runs = [[np.empty(0, np.int64)] * 3]
+                for own, at, size, doc, _ in _occurrences(x, answers, groups, buckets, min_bytes):
+                    later = x.docs[own] > doc
+                    runs.append([own[later], at[later], at[later] + size[later]])
+                own, start, end = (np.concatenate(c) for c in zip(*runs))
+                order = np.argsort(own, kind="stable")
+                own, start, end = own[order], start[order], end[order]
+                begin = np.searchsorted(own, np.arange(len(x.docs) + 1))
+                done = [without(text[i:j], start[k:m] - i, end[k:m] - i) for i, j, k, m in zip(x.bounds.tolist(), x.bounds[1:].tolist(), begin.tolist(), begin[1:].tolist())]
+                columns = [pa.array(x.docs), pa.array(np.frombuffer(h1, np.int64)), pa.array(np.frombuffer(h2, np.int64)), pa.array(np.diff(x.bounds)), pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64()), pa.array([d[0] for d in done], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    rows = found.select("docs", "k1", "k2", "sizes", "text", "answers", "groups").mapInArrow(cut, "doc_id long, k1 long, k2 long, n_bytes long, n_removed long, n_spans long, kept binary")
+    return rows.withColumn("doc_id", F.when(F.col("doc_id") > _NO_ID, F.col("doc_id")))
+
+
+def drop_repeats(docs: DataFrame, min_bytes: int = MIN_BYTES, sizes: Sizes = SIZES) -> DataFrame:
+    """The documents with all their columns and behind them, by longer names where these are taken: ``n_bytes``,
+    ``n_removed``, ``n_spans`` and ``kept``, the bytes that stay. A cut can part a character, so what stays is binary."""
+    names = [unused(c, docs) for c in ("n_bytes", "n_removed", "n_spans", "kept")]
+    own, k1, k2 = (unused(c, docs) for c in ("edited_id", "edited_k1", "edited_k2"))
+    # rows equal in identifier and text are edited alike
+    found = edited(docs, min_bytes, sizes).dropDuplicates(["doc_id", "k1", "k2"]).withColumnsRenamed({"doc_id": own, "k1": k1, "k2": k2} | dict(zip(("n_bytes", "n_removed", "n_spans", "kept"), names)))
+    keys = text_keys(docs["text"])
+    same = docs["doc_id"].cast("long").eqNullSafe(F.col(own)) & (keys[0] == F.col(k1)) & (keys[1] == F.col(k2))
+    return docs.hint("merge").join(found.hint("merge"), same).select(*docs.columns, *names)

@@ -85,8 +85,8 @@ def slow_kept(rows, least):
 def test_repeats(spark, docs, no_docs):
     rows = [(r.doc_id if r.doc_id is not None else -1, (r.text or "").encode()) for r in docs.collect()]
     want = sorted(slow_kept(rows, 50))
-    for limit in (suffixes.LIMIT, 0):  # by interval trees, and by strings as for anchors of very many stretches
-        found = suffixes.drop_repeats(docs, limit=limit)
+    for sizes in (suffixes.SIZES, suffixes.Sizes(3_000, 100, 1_000, 1)):  # in one bucket, and in many, with strings on their own as for very common anchors
+        found = suffixes.drop_repeats(docs, sizes=sizes)
         assert found.columns == [*docs.columns, "n_bytes", "n_removed", "n_spans", "kept"]
         got = sorted((r.doc_id if r.doc_id is not None else -1, bytes(r.kept), r.n_removed, r.n_spans) for r in found.collect())
         assert got == want and sum(w[2] for w in want) > 5_000
@@ -105,22 +105,26 @@ def test_repeats_of_odd_texts(spark):
     assert sorted((r.doc_id, bytes(r._kept), r.n_removed, r.n_spans) for r in found.collect()) == want
 
 
-def test_long_texts_are_read_in_pieces(monkeypatch):
+def test_texts_are_read_in_pieces(monkeypatch):
+    """Every string of 50 bytes that lies in one text is in one stretch, whose anchor follows from the string alone."""
     rng = random.Random(1)
-    text = bytes(rng.choice(b"abc") for _ in range(3_000))
-    whole = suffixes.stretches(text)
-    monkeypatch.setattr(suffixes, "PIECE", 512)
-    first = {s: (a, b) for a, s, b in zip(*(c.tolist() for c in suffixes.stretches(text)))}
-    for anchor, start, end in zip(*(c.tolist() for c in whole)):
-        for q in range(start, end - 49):  # every string has the same anchor as in one piece
-            s = max(k for k in first if k <= q)
-            assert first[s][0] == anchor and q + 50 <= first[s][1]
+    texts = [bytes(rng.choice(b"abc") for _ in range(n)) for n in (3_000, 20, 50, 0, 51, 400)]
+    data, bounds = np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)])
+    seen = {}
+    for piece in (1 << 16, 512, 64):
+        monkeypatch.setattr(suffixes, "PIECE", piece)
+        strings = set()
+        for anchor, start, end in zip(*(c.tolist() for c in suffixes.stretches(data, bounds))):
+            for q in range(start, end - 49):
+                assert seen.setdefault(data[q : q + 50].tobytes(), anchor) == anchor and q not in strings
+                strings.add(q)
+        assert strings == {q for i, j in zip(bounds, bounds[1:]) for q in range(i, j - 49)}
 
 
 def test_maximal_repeats():
     """Groups hold all occurrences; what always stands behind the same byte is no group of its own."""
     held = [b"xABCDEFGHIJy", b"zABCDEFGHIJw", b"zABCDEFGHIq"]
-    group, own, place, size, low, high = suffixes.repeats_of(held, [3, 1, 2], [3, 1, 2], 5)
+    group, own, place, size, low, high = suffixes.repeats_of(held, [3, 1, 2], [3, 1, 2], 8)
     found = {}
     for g, o, p, n in zip(group.tolist(), own.tolist(), place.tolist(), size.tolist()):
         found.setdefault((g, held[o][p : p + n]), set()).add((o, p))
@@ -142,7 +146,7 @@ def test_repeat_groups(spark):
         assert set(range(at[d], at[d] + len(passage))) <= covered
     groups = {}
     for r in found:
-        groups.setdefault((r.g1, r.g2), set()).add(r.doc_id)
+        groups.setdefault(bytes(r.digest), set()).add(r.doc_id)
     assert {1, 2, 3} in groups.values()
 
 
