@@ -32,18 +32,32 @@ def _origin() -> dict[str, Column]:
     }
 
 
-def _columns(names: str) -> dict[str, Column]:
-    return {n: F.col(n) for n in names.split()}
+def _columns(names: list[str]) -> dict[str, Column]:
+    return {n: F.col(n) for n in names}
 
 
-def log_fields() -> dict[str, Column]:
-    own = "time_unix_nano observed_time_unix_nano trace_id span_id flags event_name severity_number severity_text body body_schema attributes attributes_schema dropped_attributes_count"
-    return {"version": F.lit(PREFIX)} | _columns(own) | _origin()
+def log_fields(rows: DataFrame) -> dict[str, Column]:
+    """What identifies a log record: its values as they came (``identity``), where large ones were put away."""
+    own = [
+        "time_unix_nano", "observed_time_unix_nano", "trace_id", "span_id", "flags", "event_name", "severity_number", "severity_text",
+        "body", "body_schema", "attributes", "attributes_schema", "dropped_attributes_count",
+    ]
+    fields = {"version": F.lit(PREFIX)} | _columns(own) | _origin()
+    if "identity" in rows.columns:
+        i = lambda c: F.col(f"identity.{c}")
+        fields |= {"body": F.coalesce(i("body_plain"), F.lit("null")), "body_schema": F.coalesce(i("body_types"), F.lit('"empty"')), "attributes": i("own_plain"), "attributes_schema": i("own_types")}
+        for part in ("resource", "instrumentation_scope"):
+            fields |= {f"{part}.attributes": i(f"{part}_plain"), f"{part}.attributes_schema": i(f"{part}_types")}
+    return fields
 
 
 def metric_fields() -> dict[str, Column]:
     """As of logs; the description isn't part of a point's identity. Nested values go in as JSON."""
-    own = "service_name metric_name metric_type metric_unit aggregation_temporality is_monotonic time_unix_nano start_time_unix_nano flags attributes attributes_schema metadata metadata_schema value_type value_double value_int64 count sum min max exp_scale exp_zero_count exp_zero_threshold"
+    own = [
+        "service_name", "metric_name", "metric_type", "metric_unit", "aggregation_temporality", "is_monotonic", "time_unix_nano", "start_time_unix_nano", "flags",
+        "attributes", "attributes_schema", "metadata", "metadata_schema", "value_type", "value_double", "value_int64", "count", "sum", "min", "max",
+        "exp_scale", "exp_zero_count", "exp_zero_threshold",
+    ]
     nested = {n: F.to_json(F.struct(n)) for n in ("explicit_bounds", "bucket_counts", "exp_positive", "exp_negative", "summary_quantiles", "exemplars")}
     return {"version": F.lit(PREFIX)} | _columns(own) | nested | _origin()
 
@@ -60,7 +74,7 @@ def with_fingerprint(rows: DataFrame, fields: dict[str, Column], out: str) -> Da
 
 def log_fingerprints(rows: DataFrame) -> DataFrame:
     """Log rows with ``record_fingerprint``; an entry without an identifier of its own gets it as ``insert_id``."""
-    rows = with_fingerprint(rows, log_fields(), "record_fingerprint")
+    rows = with_fingerprint(rows, log_fields(rows), "record_fingerprint").drop("identity")
     return rows.withColumn("insert_id", F.coalesce("insert_id", "record_fingerprint"))
 
 

@@ -7,7 +7,6 @@ for a text column, ``records_without_large`` for all values of export records, h
 
 from __future__ import annotations
 
-import base64
 import hashlib
 import json
 from typing import NamedTuple
@@ -17,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ..functions.anyvalue import Redaction
+from ..functions.anyvalue import BrokenLimit, Redaction, bytes_of, keyed, listed, text_of
 
 MIN_BYTES, MAX_BYTES = 256 << 10, 64 << 20
 
@@ -62,25 +61,26 @@ class _Walk:
     def __init__(self, store: Store, folder: str):
         self.store, self.folder, self.found = store, folder, []
 
-    def value(self, v: dict | None, path: str) -> None:
-        v = v or {}
+    def value(self, v: object, path: str) -> None:
+        if not isinstance(v, dict):
+            return
         if "stringValue" in v:
-            self.take(v, path, v["stringValue"].encode("utf-8", "replace"), TEXT_TYPE)
+            self.take(v, path, text_of(v["stringValue"]).encode("utf-8", "replace"), TEXT_TYPE)
         elif "bytesValue" in v:
-            self.take(v, path, base64.b64decode(v["bytesValue"]), BYTES_TYPE)
+            self.take(v, path, bytes_of(v["bytesValue"]), BYTES_TYPE)
         elif "kvlistValue" in v:
             self.bag((v["kvlistValue"] or {}).get("values"), path)
         elif "arrayValue" in v:
-            for i, x in enumerate((v["arrayValue"] or {}).get("values") or []):
+            for i, x in enumerate(listed(v["arrayValue"])):
                 self.value(x, f"{path}[{i}]")
 
-    def bag(self, pairs: list[dict] | None, path: str) -> None:
+    def bag(self, pairs: object, path: str) -> None:
         """By the bytes of the keys; of a repeated key the first counts."""
-        first: dict[str, dict] = {}
-        for kv in pairs or []:
-            first.setdefault(kv.get("key", ""), kv)
+        first: dict[str, object] = {}
+        for key, value in keyed(pairs):
+            first.setdefault(key, value)
         for key in sorted(first, key=lambda k: k.encode("utf-8", "surrogatepass")):
-            self.value(first[key].get("value"), f"{path}.{key}")
+            self.value(first[key], f"{path}.{key}")
 
     def take(self, v: dict, path: str, content: bytes, mime: str) -> None:
         if self.store.min_bytes <= len(content) <= self.store.max_bytes:
@@ -101,21 +101,25 @@ def _masked(part: dict | None, redaction: Redaction | None) -> None:
 
 
 def without_large(texts: list[str | None], store: Store, folder: str, redaction: Redaction | None = None) -> tuple[list[str | None], list[dict]]:
-    """The JSON of resource, scope and record with references in place of large values, and these values."""
+    """The JSON of resource, scope and record with references in place of large values, and these values. A record that
+    can't be read stays as it is: what is wrong with it is told where it is encoded."""
     if redaction is None and all(4 * len(t or "") < store.min_bytes for t in texts):
         return texts, []
-    parts = [json.loads(t) if t else None for t in texts]
-    for p in parts:
-        _masked(p, redaction)
-    resource, scope, record = (p or {} for p in parts)
     walk = _Walk(store, folder)
-    walk.value(record.get("body"), "body")
-    walk.bag(resource.get("attributes"), "resource.attributes")
-    walk.bag(scope.get("attributes"), "instrumentation_scope.attributes")
-    walk.bag(record.get("attributes"), "attributes")
-    for name in ("events", "links"):
-        for i, e in enumerate(record.get(name) or []):
-            walk.bag(e.get("attributes"), f"{name}[{i}].attributes")
+    try:
+        parts = [json.loads(t) if t else None for t in texts]
+        for p in parts:
+            _masked(p, redaction)
+        resource, scope, record = (p or {} for p in parts)
+        walk.value(record.get("body"), "body")
+        walk.bag(resource.get("attributes"), "resource.attributes")
+        walk.bag(scope.get("attributes"), "instrumentation_scope.attributes")
+        walk.bag(record.get("attributes"), "attributes")
+        for name in ("events", "links"):
+            for i, e in enumerate(record.get(name) or []):
+                walk.bag(e.get("attributes"), f"{name}[{i}].attributes")
+    except (BrokenLimit, ValueError, AttributeError, TypeError, RecursionError):
+        return texts, []
     return ([json.dumps(p) if p is not None else None for p in parts] if walk.found or redaction else texts), walk.found
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,8 +22,37 @@ def shared_path(spark: SparkSession, tag: str) -> str:
     return f"{base.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
 
 
+_STAGED: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
 def staged(df: DataFrame, tag: str) -> DataFrame:
     """Written as Parquet and read back: lineage ends here, and lost executors cost no rerun of what led here."""
     path = shared_path(df.sparkSession, tag)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    _STAGED[out] = path
+    return out
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Deletes staged tables that nothing reads any more."""
+    for df in frames:
+        path = _STAGED.pop(df, None)
+        if path:
+            delete(df.sparkSession, path)
+
+
+def hadoop_path(spark: SparkSession, path: str) -> tuple[object, object]:
+    """A path and its file system, as Spark's own readers see them."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p, system = hadoop_path(spark, path)
+    return system.exists(p)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    p, system = hadoop_path(spark, path)
+    system.delete(p, True)

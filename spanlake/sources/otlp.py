@@ -2,73 +2,121 @@
 
 The nesting of resources, scopes and records is read with fixed schemas and exploded by Spark;
 each record's own text is kept, so that a rejected one can be put away as it came. Every record
-gives a row: ``reason`` and ``field_path`` tell why one can't be stored (NULL: it can).
+gives a row: ``reason`` and ``field_path`` tell why one can't be stored (NULL: it can). A record with a member
+that isn't what it should be is ``malformed``, and stops no other.
+
+Members are read by their camelCase and snake_case names, enumerations by number and by name, whole numbers from
+numbers and from texts.
 """
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
-from ..functions.anyvalue import Limits, Redaction, encoded_bags, encoded_list
+from ..functions.anyvalue import Encoded, Limits, Redaction, encoded
 from ..operators.offload import Store, payload_refs, records_without_large
 
 SIGNALS = {"traces": ("resourceSpans", "scopeSpans", "spans"), "logs": ("resourceLogs", "scopeLogs", "logRecords"), "metrics": ("resourceMetrics", "scopeMetrics", "metrics")}
-_BAG = "attributes string, droppedAttributesCount bigint"
-_SPAN = f"""traceId string, spanId string, parentSpanId string, traceState string, flags bigint, name string, kind bigint, startTimeUnixNano string, endTimeUnixNano string, {_BAG},
-    events array<struct<timeUnixNano:string, name:string, attributes:string, droppedAttributesCount:bigint>>, droppedEventsCount bigint,
-    links array<struct<traceId:string, spanId:string, traceState:string, attributes:string, droppedAttributesCount:bigint>>, droppedLinksCount bigint, status struct<code:bigint, message:string>"""
-_LOG = f"timeUnixNano string, observedTimeUnixNano string, severityNumber bigint, severityText string, eventName string, traceId string, spanId string, flags bigint, body string, {_BAG}"
-_KIND = "struct<aggregationTemporality:bigint, isMonotonic:boolean, dataPoints:array<string>>"
+# whole numbers are read as text: they come as numbers or as texts, and enumerations also by name
+_BAG = "attributes string, droppedAttributesCount string"
+_SPAN = f"""traceId string, spanId string, parentSpanId string, traceState string, flags string, name string, kind string, startTimeUnixNano string, endTimeUnixNano string, {_BAG},
+    events array<struct<timeUnixNano:string, name:string, attributes:string, droppedAttributesCount:string>>, droppedEventsCount string,
+    links array<struct<traceId:string, spanId:string, traceState:string, attributes:string, droppedAttributesCount:string>>, droppedLinksCount string, status struct<code:string, message:string>"""
+_LOG = f"timeUnixNano string, observedTimeUnixNano string, severityNumber string, severityText string, eventName string, traceId string, spanId string, flags string, body string, {_BAG}"
+_KIND = "struct<aggregationTemporality:string, isMonotonic:boolean, dataPoints:array<string>>"
 KINDS = {"gauge": "GAUGE", "sum": "SUM", "histogram": "HISTOGRAM", "exponentialHistogram": "EXPONENTIAL_HISTOGRAM", "summary": "SUMMARY"}
 _METRIC = "name string, description string, unit string, metadata string, " + ", ".join(f"{k} {_KIND}" for k in KINDS)
-_BUCKETS = "struct<offset:bigint, bucketCounts:array<string>>"
-_POINT = f"""attributes string, startTimeUnixNano string, timeUnixNano string, flags bigint, asDouble string, asInt string, count string, sum string, min string, max string,
-    explicitBounds array<double>, bucketCounts array<string>, scale bigint, zeroCount string, zeroThreshold double, positive {_BUCKETS}, negative {_BUCKETS},
+_BUCKETS = "struct<offset:string, bucketCounts:array<string>>"
+_POINT = f"""attributes string, startTimeUnixNano string, timeUnixNano string, flags string, asDouble string, asInt string, count string, sum string, min string, max string,
+    explicitBounds array<double>, bucketCounts array<string>, scale string, zeroCount string, zeroThreshold double, positive {_BUCKETS}, negative {_BUCKETS},
     quantileValues array<struct<quantile:double, value:double>>,
     exemplars array<struct<timeUnixNano:string, asDouble:string, asInt:string, traceId:string, spanId:string, filteredAttributes:string>>"""
+_BROKEN = "_broken"
+_STRICT = {"columnNameOfCorruptRecord": _BROKEN, "allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def _snake(name: str) -> str:
+    return "".join(f"_{c.lower()}" if c.isupper() else c for c in name)
+
+
+#: Members of requests whose snake_case names are read as well: those of the schemas above and of values.
+MEMBERS = sorted({
+    *re.findall(r"[a-z]+(?:[A-Z][a-z]*)+(?=[ :])", " ".join((_SPAN, _LOG, _METRIC, _POINT))), *(x for names in SIGNALS.values() for x in names if x != x.lower()), "schemaUrl",
+    "stringValue", "boolValue", "intValue", "doubleValue", "bytesValue", "arrayValue", "kvlistValue",
+}, key=lambda m: (-len(m), m))
+
+
 MAX_INT64 = 9_223_372_036_854_775_807
 
 
 def export_lines(spark: SparkSession, path: str, stream: bool = False, **options: str) -> DataFrame:
-    """Lines of JSON files (also compressed ones, by their extension) that aren't blank."""
+    """Lines of JSON files (also compressed ones, by their extension) that aren't blank. See ``sources.archive`` for
+    lines with file and number."""
     reader = spark.readStream if stream else spark.read
     return reader.options(**options).text(path).where(F.trim("value") != "")
 
 
+def camel_case(text: Column) -> Column:
+    """A request whose members have their camelCase names. Within texts quotes are escaped, and attribute keys are
+    values, so a name in quotes before a colon is always a member's."""
+    renamed = text
+    for m in MEMBERS:
+        renamed = F.regexp_replace(renamed, F.lit(f'"{_snake(m)}"\\s*:'), F.lit(f'"{m}":'))
+    return F.when(text.rlike(r'"[a-z]+(?:_[a-z]+)+"\s*:'), renamed).otherwise(text)
+
+
+def _levels(signals: list[str]) -> str:
+    found = []
+    for top, middle, leaf in (SIGNALS[s] for s in signals):
+        found.append(f"{top}:array<struct<resource:string, schemaUrl:string, {middle}:array<struct<scope:string, schemaUrl:string, {leaf}:array<string>>>>>")
+    return f"q struct<{', '.join(found)}>, {_BROKEN} string"
+
+
+def _request(text: Column, signals: list[str]) -> Column:
+    """The request, within an object of one member: what follows the request then breaks the whole."""
+    return F.from_json(F.concat(F.lit('{"q":'), camel_case(text), F.lit("}")), _levels(signals), _STRICT)
+
+
+def _signal(request: Column, text: Column) -> Column:
+    """The signal of a parsed request, by its first member that names one."""
+    has = {s: request["q"][top].isNotNull() for s, (top, _, _) in SIGNALS.items()}
+    only = F.when(F.size(F.filter(F.array(*has.values()), lambda x: x)) == 1, F.coalesce(*[F.when(c, s) for s, c in has.items()]))
+    names = {k: s for s, (top, _, _) in SIGNALS.items() for k in (top, _snake(top))}
+    first = F.try_element_at(F.filter(F.json_object_keys(text), lambda k: k.isin(list(names))), F.lit(1))
+    by_name = F.coalesce(*[F.when(first == k, s) for k, s in names.items()])
+    found = F.coalesce(only, by_name, F.lit("malformed"))
+    return F.when(request.isNull() | request[_BROKEN].isNotNull(), "malformed").otherwise(found)
+
+
 def signal_of(line: str | Column = "value") -> Column:
     """traces, logs, metrics or, for other lines and malformed JSON, ``malformed``; snake_case keys count as well."""
     text = F.col(line) if isinstance(line, str) else line
-    keys = F.json_object_keys(F.when(F.try_parse_json(text).isNotNull(), text))
-    found = F.filter(keys, lambda k: k.isin([k for c, _, _ in SIGNALS.values() for k in (c, _snake(c))]))
-    first = F.try_element_at(found, F.lit(1))
-    chain = F.when(first.isNull(), "malformed")
-    for signal, (top, _, _) in SIGNALS.items():
-        chain = chain.when(first.isin(top, _snake(top)), signal)
-    return chain
+    return _signal(_request(text, list(SIGNALS)), text)
 
 
-def _snake(name: str) -> str:
-    return "".join(f"_{c.lower()}" if c.isupper() else c for c in name)
+def with_signal(lines: DataFrame) -> DataFrame:
+    """Lines with their ``signal``; those that the archive couldn't read are malformed."""
+    bad = F.col("problem").isNotNull() if "problem" in lines.columns else F.lit(False)
+    return lines.withColumn("signal", F.when(bad, "malformed").otherwise(signal_of("value")))
 
 
 def records(lines: DataFrame, signal: str) -> DataFrame:
-    """One row for each record: its text, those of resource and scope, schema addresses, batch and place in it."""
+    """One row for each record: its text, those of resource and scope, schema addresses, batch and place in it. The batch
+    is the line, by file and number if the lines have these. Lines with a ``signal`` (``with_signal``) are parsed once less."""
     top, middle, leaf = SIGNALS[signal]
-    inner = lambda m, x: f"array<struct<scope:string, schemaUrl:string, {x}:array<string>>>"
-    levels = []
-    for t, m, x in ((top, middle, leaf), (_snake(top), _snake(middle), _snake(leaf))):
-        levels.append(f"{t} array<struct<resource:string, schemaUrl:string, {m}:{inner(m, x)}>>")
-    rows = lines.where(signal_of("value") == signal).select(F.monotonically_increasing_id().alias("batch"), F.from_json("value", ", ".join(levels)).alias("q"))
-    camel, snake = F.col(f"q.{top}"), F.col(f"q.{_snake(top)}")
-    same = F.transform(snake, lambda r: F.struct(
-        r["resource"].alias("resource"), r["schemaUrl"].alias("schemaUrl"),
-        F.transform(r[_snake(middle)], lambda s: F.struct(s["scope"].alias("scope"), s["schemaUrl"].alias("schemaUrl"), s[_snake(leaf)].alias(leaf))).alias(middle),
-    ))
-    rows = rows.select("batch", F.posexplode(F.coalesce(camel, same)).alias("i", "r"))
+    batch = F.struct("file", "line") if {"file", "line"} <= set(lines.columns) else F.monotonically_increasing_id()
+    if "signal" in lines.columns:
+        rows = lines.where(F.col("signal") == signal).select(batch.alias("batch"), _request(F.col("value"), [signal]).alias("r"))
+        given = F.col(f"r.q.{top}")
+    else:
+        rows = lines.select(batch.alias("batch"), "value", _request(F.col("value"), list(SIGNALS)).alias("r"))
+        given = F.when(_signal(F.col("r"), F.col("value")) == signal, F.col(f"r.q.{top}"))
+    rows = rows.select("batch", F.posexplode(given).alias("i", "r"))
     rows = rows.select("batch", "i", F.col("r.resource").alias("resource_text"), F.col("r.schemaUrl").alias("resource_schema_url"), F.posexplode(f"r.{middle}").alias("j", "s"))
     return rows.select(
         "batch", "resource_text", "resource_schema_url", F.col("s.scope").alias("scope_text"), F.col("s.schemaUrl").alias("scope_schema_url"),
@@ -113,16 +161,34 @@ def first_problem(*checks: tuple[Column, str, str]) -> Column:
     return out
 
 
-def _bag_problem(encoded: Column) -> Column:
-    """The first limit that a bag of the array breaks."""
-    bad = F.filter(encoded, lambda e: e["reason"].isNotNull())
-    return F.when(F.size(bad) > 0, F.struct(bad[0]["reason"].alias("reason"), bad[0]["path"].alias("path")))
+_SCOPE = f"name string, version string, {_BAG}"
+_OPEN = {"record": "o", "resource_text": "res", "scope_text": "sc"}
 
 
 def _opened(rows: DataFrame, schema: str) -> DataFrame:
     light = "light_" if "payloads" in rows.columns else ""
-    rows = rows.withColumns({"o": F.from_json(f"{light}record", schema), "res": F.from_json(f"{light}resource_text", _BAG), "sc": F.from_json(f"{light}scope_text", f"name string, version string, {_BAG}")})
-    return rows
+    shapes = dict(zip(_OPEN, (schema, _BAG, _SCOPE)))
+    return rows.withColumns({o: F.from_json(f"{light}{c}", f"{shapes[c]}, {_BROKEN} string", _STRICT) for c, o in _OPEN.items()})
+
+
+def _whole(c: Column | str) -> Column:
+    """A whole number of a number or text; NULL if it is none."""
+    return (F.col(c) if isinstance(c, str) else c).try_cast("bigint")
+
+
+def _enum(c: str, names: list[str]) -> Column:
+    """A number or one of the names (in the order of their numbers); missing is 0, and another text NULL."""
+    text = F.col(c)
+    named = F.array_position(F.array(*map(F.lit, names)), text) - 1
+    return F.when(text.isNull(), F.lit(0).cast("bigint")).otherwise(F.coalesce(_whole(text), F.when(named >= 0, named)))
+
+
+def _malformed(wholes: list[str], enums: list[Column] = [], opened: tuple[str, ...] = ("o", "res", "sc")) -> Column:
+    """What keeps a record from being read: a part of another shape, or texts in place of numbers."""
+    checks = [(F.col(f"{o}.{_BROKEN}").isNotNull(), "malformed", name) for o, name in (("o", "record"), ("res", "resource"), ("sc", "instrumentation_scope"), ("p", "point")) if o in opened]
+    checks += [(F.col(c).isNotNull() & _whole(c).isNull(), "malformed", _snake(c.rpartition(".")[2])) for c in wholes]
+    checks += [(e.isNull(), "malformed", "enumeration") for e in enums]
+    return first_problem(*checks)
 
 
 def _read(lines: DataFrame, signal: str, redaction: Redaction | None, receive_nano: int | None, store: Store | None) -> tuple[DataFrame, Redaction | None]:
@@ -135,27 +201,50 @@ def _read(lines: DataFrame, signal: str, redaction: Redaction | None, receive_na
     return records_without_large(rows, signal, store, day, redaction), None
 
 
-def _origin(bags: Column, resource: int, scope: int) -> dict[str, Column]:
-    zero = lambda c: F.coalesce(F.col(c), F.lit(0))
+#: Bags of a log record, in the order of ``Encoded``.
+_RESOURCE_BAG, _SCOPE_BAG, _OWN_BAG, _BODY_BAG = range(4)
+
+
+def _whole_bags(rows: DataFrame, redaction: Redaction | None) -> Encoded:
+    """The bags of log records as they were before large values were put away: a record's identity doesn't depend on
+    whether and where these are stored. Records without such values aren't encoded again."""
+    large = F.size("payloads") > 0
+    bag = lambda text, member: F.when(large, F.get_json_object(text, f"$.{member}"))
+    bags = [(bag("resource_text", "attributes"), "resource.attributes"), (bag("scope_text", "attributes"), "instrumentation_scope.attributes"), (bag("record", "attributes"), "attributes"), (bag("record", "body"), "body")]
+    none = Limits(*[1 << 40] * len(Limits._fields))._replace(depth=Limits().depth)
+    return Encoded(encoded(bags, [], none, redaction), 4, [])
+
+
+def _zero(c: Column | str) -> Column:
+    return F.coalesce(_whole(c), F.lit(0).cast("bigint"))
+
+
+def _origin(e: Encoded) -> dict[str, Column]:
+    """Resource and scope, the first two bags."""
     return {
-        "resource": F.struct(bags[resource]["plain"].alias("attributes"), bags[resource]["types"].alias("attributes_schema"), zero("res.droppedAttributesCount").alias("dropped_attributes_count")),
-        "instrumentation_scope": F.struct(F.col("sc.name").alias("name"), F.col("sc.version").alias("version"), bags[scope]["plain"].alias("attributes"), bags[scope]["types"].alias("attributes_schema"), zero("sc.droppedAttributesCount").alias("dropped_attributes_count")),
-        "service_name": F.get_json_object(bags[resource]["plain"], "$['service.name']"),
+        "resource": F.struct(e.plain(0).alias("attributes"), e.types(0).alias("attributes_schema"), _zero("res.droppedAttributesCount").alias("dropped_attributes_count")),
+        "instrumentation_scope": F.struct(F.col("sc.name").alias("name"), F.col("sc.version").alias("version"), e.plain(1).alias("attributes"), e.types(1).alias("attributes_schema"), _zero("sc.droppedAttributesCount").alias("dropped_attributes_count")),
+        "service_name": F.get_json_object(e.plain(0), "$['service.name']"),
     }
 
 
+def _bag_columns(e: Encoded, own: int) -> dict[str, Column]:
+    return {"attributes": e.plain(own), "attributes_schema": e.types(own)}
+
+
 def _finished(rows: DataFrame, columns: dict[str, Column], table: str, receive_nano: int | None) -> DataFrame:
     """All columns of the table, and batch, place, reason, field_path and the texts of the record."""
     now = F.lit(receive_nano).cast("bigint") if receive_nano is not None else F.unix_micros(F.current_timestamp()) * 1000
     columns = columns | {"receive_time_unix_nano": now, "receive_time": F.timestamp_micros(F.call_function("div", now, F.lit(1000).cast("bigint"))), "schema_version": F.lit(schemas.SCHEMA_VERSION)}
     want = schemas.table_schema(table)
     made = [columns.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in want.fields]
-    more = ["payloads"] if "payloads" in rows.columns else []
+    more = [c for c in ("payloads", "identity") if c in rows.columns]
     return rows.select(*made, "batch", "place", F.col("problem.reason").alias("reason"), F.col("problem.path").alias("field_path"), "record", "resource_text", "scope_text", *more)
 
 
 _SPAN_KINDS = ["UNSPECIFIED", "INTERNAL", "SERVER", "CLIENT", "PRODUCER", "CONSUMER"]
 _STATUS = ["UNSET", "OK", "ERROR"]
+_TEMPORALITIES = ["UNSPECIFIED", "DELTA", "CUMULATIVE"]
 
 
 def _name(names: list[str], number: Column) -> Column:
@@ -166,11 +255,10 @@ def spans(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction | No
     """Every span of the trace requests as a row of ``otel_spans``. With a store, large values are in the column ``payloads``."""
     rows, redaction = _read(lines, "traces", redaction, receive_nano, store)
     rows = _opened(rows, _SPAN)
-    bags = encoded_bags([(F.col("res.attributes"), "resource.attributes"), (F.col("sc.attributes"), "instrumentation_scope.attributes"), (F.col("o.attributes"), "attributes")], limits, redaction)
-    rows = rows.withColumns({
-        "bags": bags, "ev": encoded_list(F.transform("o.events", lambda e: e["attributes"]), "events.attributes", limits, redaction),
-        "ln": encoded_list(F.transform("o.links", lambda e: e["attributes"]), "links.attributes", limits, redaction),
-    })
+    bags = [(F.col("res.attributes"), "resource.attributes"), (F.col("sc.attributes"), "instrumentation_scope.attributes"), (F.col("o.attributes"), "attributes")]
+    lists = [(F.col("o.events.attributes"), "events.attributes"), (F.col("o.links.attributes"), "links.attributes")]
+    rows = rows.withColumn("encoded", encoded(bags, lists, limits, redaction))
+    e = Encoded(F.col("encoded"), len(bags), [c for c, _ in lists])
     start, end = _nano(F.col("o.startTimeUnixNano")), _nano(F.col("o.endTimeUnixNano"))
     contract = first_problem(
         (_id(F.col("o.traceId")).isNull(), "invalid_id", "trace_id"), (_id(F.col("o.spanId")).isNull(), "invalid_id", "span_id"),
@@ -178,59 +266,72 @@ def spans(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction | No
         (~_fits(start), "timestamp_overflow", "start_time_unix_nano"), (~_fits(end), "timestamp_overflow", "end_time_unix_nano"),
     )
     counts = first_problem((F.size("o.events") > limits.events, "event_count", "events"), (F.size("o.links") > limits.links, "link_count", "links"))
-    rows = rows.withColumn("problem", F.coalesce(contract, _bag_problem(F.col("bags")), counts, _bag_problem(F.col("ev")), _bag_problem(F.col("ln"))))
-    zero = lambda c: F.coalesce(c, F.lit(0).cast("bigint"))
-    bag = lambda e: (e["plain"].alias("attributes"), e["types"].alias("attributes_schema"))
-    events = F.zip_with("o.events", "ev", lambda e, b: F.struct(
-        F.when(_nano(e["timeUnixNano"]) > 0, _time(_nano(e["timeUnixNano"]))).alias("time"), _long(_nano(e["timeUnixNano"])).alias("time_unix_nano"), e["name"].alias("name"), *bag(b), zero(e["droppedAttributesCount"]).alias("dropped_attributes_count")))
-    links = F.zip_with("o.links", "ln", lambda e, b: F.struct(
-        _id(e["traceId"]).alias("trace_id"), _id(e["spanId"]).alias("span_id"), F.nullif(e["traceState"], F.lit("")).alias("trace_state"), *bag(b), zero(e["droppedAttributesCount"]).alias("dropped_attributes_count")))
-    code, kind = zero(F.col("o.status.code")), zero(F.col("o.kind"))
+    code, kind = _enum("o.status.code", [f"STATUS_CODE_{n}" for n in _STATUS]), _enum("o.kind", [f"SPAN_KIND_{n}" for n in _SPAN_KINDS])
+    unread = _malformed(["o.flags", "o.droppedAttributesCount", "o.droppedEventsCount", "o.droppedLinksCount", "res.droppedAttributesCount", "sc.droppedAttributesCount"], [kind, code])
+    rows = rows.withColumn("problem", F.coalesce(unread, contract, e.problem(), counts, e.problem(lists=True)))
+    bag = lambda k, i: [c.alias(n) for c, n in zip(e.member(k, i), ("attributes", "attributes_schema"))]
+    events = F.transform("o.events", lambda x, i: F.struct(
+        F.when(_nano(x["timeUnixNano"]) > 0, _time(_nano(x["timeUnixNano"]))).alias("time"), _long(_nano(x["timeUnixNano"])).alias("time_unix_nano"), x["name"].alias("name"), *bag(0, i), _zero(x["droppedAttributesCount"]).alias("dropped_attributes_count")))
+    links = F.transform("o.links", lambda x, i: F.struct(
+        _id(x["traceId"]).alias("trace_id"), _id(x["spanId"]).alias("span_id"), F.nullif(x["traceState"], F.lit("")).alias("trace_state"), *bag(1, i), _zero(x["droppedAttributesCount"]).alias("dropped_attributes_count")))
     columns = {
         "start_time": _time(start), "start_time_unix_nano": _long(start), "end_time": _time(end), "end_time_unix_nano": _long(end), "duration_nano": F.greatest(_long(end) - _long(start), F.lit(0)),
-        "trace_id": _id(F.col("o.traceId")), "span_id": _id(F.col("o.spanId")), "parent_span_id": _id(F.col("o.parentSpanId")), "trace_state": F.nullif("o.traceState", F.lit("")), "flags": zero(F.col("o.flags")),
+        "trace_id": _id(F.col("o.traceId")), "span_id": _id(F.col("o.spanId")), "parent_span_id": _id(F.col("o.parentSpanId")), "trace_state": F.nullif("o.traceState", F.lit("")), "flags": _zero("o.flags"),
         "name": F.col("o.name"), "kind": kind, "kind_name": _name(_SPAN_KINDS, kind),
         "status": F.struct(code.alias("code"), _name(_STATUS, code).alias("code_name"), F.nullif("o.status.message", F.lit("")).alias("message")),
-        "attributes": F.col("bags")[2]["plain"], "attributes_schema": F.col("bags")[2]["types"], "dropped_attributes_count": zero(F.col("o.droppedAttributesCount")),
-        "dropped_events_count": zero(F.col("o.droppedEventsCount")), "dropped_links_count": zero(F.col("o.droppedLinksCount")), "events": events, "links": links,
+        **_bag_columns(e, 2), "dropped_attributes_count": _zero("o.droppedAttributesCount"),
+        "dropped_events_count": _zero("o.droppedEventsCount"), "dropped_links_count": _zero("o.droppedLinksCount"), "events": events, "links": links,
         "resource_schema_url": F.col("resource_schema_url"), "scope_schema_url": F.col("scope_schema_url"),
-    } | _origin(F.col("bags"), 0, 1)
+    } | _origin(e)
     columns |= {"payload_refs": payload_refs(F.col("payloads"))} if store else {}
     return _finished(rows, columns, "otel_spans", receive_nano)
 
 
+#: Names of severities in the order of their numbers.
+SEVERITIES = ["SEVERITY_NUMBER_UNSPECIFIED", *(f"SEVERITY_NUMBER_{level}{k}" for level in ("TRACE", "DEBUG", "INFO", "WARN", "ERROR", "FATAL") for k in ("", "2", "3", "4"))]
+
 #: Attributes that name a log and an entry, in order.
 LOG_NAMES, INSERT_IDS = ["gcp.log_name", "logging.googleapis.com/logName", "log.iostream"], ["logging.googleapis.com/insertId", "gcp.insert.id", "gcp.insert_id", "log.record.uid"]
 
 
-def _string_attribute(bag: Column, keys: list[str]) -> Column:
+def _string_attribute(plain: Column, types: Column, keys: list[str]) -> Column:
     """The first string that isn't empty among the keys; values of other types are skipped."""
-    found = [F.when(F.get_json_object(bag["types"], f"$['{k}']") == "string", F.nullif(F.get_json_object(bag["plain"], f"$['{k}']"), F.lit(""))) for k in keys]
+    found = [F.when(F.get_json_object(types, f"$['{k}']") == "string", F.nullif(F.get_json_object(plain, f"$['{k}']"), F.lit(""))) for k in keys]
     return F.coalesce(*found)
 
 
 def logs(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction | None = None, receive_nano: int | None = None, store: Store | None = None) -> DataFrame:
-    """Every log record as a row of ``otel_logs``; fingerprints are set by ``operators.fingerprint``."""
-    rows, redaction = _read(lines, "logs", redaction, receive_nano, store)
+    """Every log record as a row of ``otel_logs``; fingerprints are set by ``operators.fingerprint``. With a store, what
+    identifies a record (``identity``, names and identifiers) is read from it before its large values are put away."""
+    rows, rest = _read(lines, "logs", redaction, receive_nano, store)
     rows = _opened(rows, _LOG)
-    bags = encoded_bags([(F.col("res.attributes"), "resource.attributes"), (F.col("sc.attributes"), "instrumentation_scope.attributes"), (F.col("o.attributes"), "attributes"), (F.col("o.body"), "body")], limits, redaction)
-    rows = rows.withColumn("bags", bags)
+    bags = [(F.col("res.attributes"), "resource.attributes"), (F.col("sc.attributes"), "instrumentation_scope.attributes"), (F.col("o.attributes"), "attributes"), (F.col("o.body"), "body")]
+    rows = rows.withColumn("encoded", encoded(bags, [], limits, rest))
+    e = Encoded(F.col("encoded"), len(bags), [])
+    whole = e
+    if store is not None:
+        rows = rows.withColumn("encoded_whole", _whole_bags(rows, redaction).column)
+        whole = Encoded(F.when(F.size("payloads") > 0, F.col("encoded_whole")).otherwise(F.col("encoded")), len(bags), [])
+        parts = {"resource": _RESOURCE_BAG, "instrumentation_scope": _SCOPE_BAG, "own": _OWN_BAG, "body": _BODY_BAG}
+        rows = rows.withColumn("identity", F.struct(*[c.alias(f"{n}_{kind}") for n, k in parts.items() for kind, c in (("plain", whole.plain(k)), ("types", whole.types(k)))]))
     event, seen = _nano(F.col("o.timeUnixNano")), _nano(F.col("o.observedTimeUnixNano"))
     contract = first_problem((~_fits(event), "timestamp_overflow", "time_unix_nano"), (~_fits(seen), "timestamp_overflow", "observed_time_unix_nano"))
-    rows = rows.withColumn("problem", F.coalesce(contract, _bag_problem(F.col("bags"))))
+    severity = _enum("o.severityNumber", SEVERITIES)
+    unread = _malformed(["o.flags", "o.droppedAttributesCount", "res.droppedAttributesCount", "sc.droppedAttributesCount"], [severity])
+    rows = rows.withColumn("problem", F.coalesce(unread, contract, e.problem()))
     received = F.timestamp_micros(F.call_function("div", F.lit(receive_nano).cast("bigint"), F.lit(1000).cast("bigint"))) if receive_nano is not None else F.current_timestamp()
-    own = F.col("bags")[2]
-    origin = _origin(F.col("bags"), 0, 1)
+    named = lambda keys: _string_attribute(whole.plain(_OWN_BAG), whole.types(_OWN_BAG), keys)
+    service = F.get_json_object(whole.plain(_RESOURCE_BAG), "$['service.name']")
     columns = {
         "timestamp": F.when(event > 0, _time(event)).when(seen > 0, _time(seen)).otherwise(received), "timestamp_source": F.when(event > 0, "event").when(seen > 0, "observed").otherwise("receive"),
         "time_unix_nano": _long(event), "observed_time": F.when(seen > 0, _time(seen)), "observed_time_unix_nano": _long(seen),
-        "trace_id": F.coalesce(_id(F.col("o.traceId")), F.lit("")), "span_id": F.coalesce(_id(F.col("o.spanId")), F.lit("")), "flags": F.coalesce("o.flags", F.lit(0)),
-        "event_name": F.coalesce(F.nullif("o.eventName", F.lit("")), _string_attribute(own, ["event.name"]), F.lit("")), "severity_number": F.coalesce("o.severityNumber", F.lit(0)), "severity_text": F.col("o.severityText"),
-        "body": F.coalesce(F.col("bags")[3]["plain"], F.lit("null")), "body_schema": F.coalesce(F.col("bags")[3]["types"], F.lit('"empty"')),
-        "attributes": own["plain"], "attributes_schema": own["types"], "dropped_attributes_count": F.coalesce("o.droppedAttributesCount", F.lit(0)),
+        "trace_id": F.coalesce(_id(F.col("o.traceId")), F.lit("")), "span_id": F.coalesce(_id(F.col("o.spanId")), F.lit("")), "flags": _zero("o.flags"),
+        "event_name": F.coalesce(F.nullif("o.eventName", F.lit("")), named(["event.name"]), F.lit("")), "severity_number": severity, "severity_text": F.col("o.severityText"),
+        "body": F.coalesce(e.plain(_BODY_BAG), F.lit("null")), "body_schema": F.coalesce(e.types(_BODY_BAG), F.lit('"empty"')),
+        **_bag_columns(e, _OWN_BAG), "dropped_attributes_count": _zero("o.droppedAttributesCount"),
         "resource_schema_url": F.col("resource_schema_url"), "scope_schema_url": F.col("scope_schema_url"),
-        "log_name": F.coalesce(_string_attribute(own, LOG_NAMES), F.nullif(origin["service_name"], F.lit("")), F.lit("default")), "insert_id": _string_attribute(own, INSERT_IDS),
-    } | origin
+        "log_name": F.coalesce(named(LOG_NAMES), F.nullif(service, F.lit("")), F.lit("default")), "insert_id": named(INSERT_IDS),
+    } | _origin(e) | {"service_name": service}
     columns |= {"payload_refs": payload_refs(F.col("payloads"))} if store else {}
     return _finished(rows, columns, "otel_logs", receive_nano)
 
@@ -240,35 +341,43 @@ def metrics(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction |
     rows = _opened(records(lines, "metrics"), _METRIC)
     kinds = F.array(*[F.struct(F.lit(v).alias("type"), F.lit(k).alias("key"), F.col(f"o.{k}").alias("data")) for k, v in KINDS.items()])
     rows = rows.select("*", F.explode(F.filter(kinds, lambda k: k["data"].isNotNull())).alias("kind"))
-    rows = rows.select("*", F.posexplode("kind.data.dataPoints").alias("m", "point")).withColumns({"place": F.struct("place.i", "place.j", "place.k", "m"), "p": F.from_json("point", _POINT)})
-    bags = encoded_bags([(F.col("res.attributes"), "resource.attributes"), (F.col("sc.attributes"), "instrumentation_scope.attributes"), (F.col("o.metadata"), "metric_metadata"), (F.col("p.attributes"), "attributes")], limits, redaction)
-    rows = rows.withColumns({"bags": bags, "exb": encoded_list(F.transform("p.exemplars", lambda e: e["filteredAttributes"]), "exemplars.filtered_attributes", limits, redaction)})
+    rows = rows.select("*", F.posexplode("kind.data.dataPoints").alias("m", "point")).withColumns({"place": F.struct("place.i", "place.j", "place.k", "m"), "p": F.from_json("point", f"{_POINT}, {_BROKEN} string", _STRICT)})
+    bags = [(F.col("res.attributes"), "resource.attributes"), (F.col("sc.attributes"), "instrumentation_scope.attributes"), (F.col("o.metadata"), "metric_metadata"), (F.col("p.attributes"), "attributes")]
+    lists = [(F.col("p.exemplars.filteredAttributes"), "exemplars.filtered_attributes")]
+    rows = rows.withColumn("encoded", encoded(bags, lists, limits, redaction))
+    e = Encoded(F.col("encoded"), len(bags), [c for c, _ in lists])
     time, start = _nano(F.col("p.timeUnixNano")), _nano(F.col("p.startTimeUnixNano"))
     contract = first_problem(
         (F.coalesce("o.name", F.lit("")) == "", "invalid_id", "metric_name"), (time == 0, "missing_timestamp", "timestamp"),
         (~_fits(time), "timestamp_overflow", "time_unix_nano"), (~_fits(start), "timestamp_overflow", "start_time_unix_nano"),
     )
     count = first_problem((F.size("p.exemplars") > limits.events, "event_count", "exemplars"))
-    rows = rows.withColumn("problem", F.coalesce(contract, _bag_problem(F.col("bags")), count, _bag_problem(F.col("exb"))))
-    recorded = F.coalesce(F.col("p.flags"), F.lit(0)).bitwiseAND(1) == 0
+    temporality = _enum("kind.data.aggregationTemporality", [f"AGGREGATION_TEMPORALITY_{n}" for n in _TEMPORALITIES])
+    wholes = ["p.flags", "p.count", "p.scale", "p.zeroCount", "p.asInt", "p.positive.offset", "p.negative.offset", "res.droppedAttributesCount", "sc.droppedAttributesCount"]
+    reals = [(F.col(f"p.{c}").isNotNull() & F.col(f"p.{c}").try_cast("double").isNull(), "malformed", _snake(c)) for c in ("asDouble", "sum", "min", "max")]
+    buckets = [(F.exists(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: _whole(x).isNull()), "malformed", "bucket_counts") for c in ("p.bucketCounts", "p.positive.bucketCounts", "p.negative.bucketCounts")]
+    unread = F.coalesce(_malformed(wholes, [temporality], ("o", "res", "sc", "p")), first_problem(*reals, *buckets))
+    rows = rows.withColumn("problem", F.coalesce(unread, contract, e.problem(), count, e.problem(lists=True)))
+    recorded = _zero("p.flags").bitwiseAND(1) == 0
     kept = lambda c: F.when(recorded, c)
-    exemplars = F.zip_with("p.exemplars", "exb", lambda e, b: F.struct(
-        F.when(_nano(e["timeUnixNano"]) > 0, _time(_nano(e["timeUnixNano"]))).alias("time"), _long(_nano(e["timeUnixNano"])).alias("time_unix_nano"), e["asDouble"].try_cast("double").alias("value_double"),
-        e["asInt"].try_cast("bigint").alias("value_int64"), _id(e["traceId"]).alias("trace_id"), _id(e["spanId"]).alias("span_id"), b["plain"].alias("filtered_attributes"), b["types"].alias("filtered_attributes_schema")))
-    buckets = lambda c: kept(F.when(F.size(f"{c}.bucketCounts") > 0, F.struct(F.coalesce(f"{c}.offset", F.lit(0)).alias("offset"), F.col(f"{c}.bucketCounts").cast("array<bigint>").alias("bucket_counts"))))
+    exemplars = F.transform("p.exemplars", lambda x, i: F.struct(
+        F.when(_nano(x["timeUnixNano"]) > 0, _time(_nano(x["timeUnixNano"]))).alias("time"), _long(_nano(x["timeUnixNano"])).alias("time_unix_nano"), x["asDouble"].try_cast("double").alias("value_double"),
+        _whole(x["asInt"]).alias("value_int64"), _id(x["traceId"]).alias("trace_id"), _id(x["spanId"]).alias("span_id"), e.member(0, i)[0].alias("filtered_attributes"), e.member(0, i)[1].alias("filtered_attributes_schema")))
+    longs = lambda c: F.transform(c, _whole)
+    buckets = lambda c: kept(F.when(F.size(f"{c}.bucketCounts") > 0, F.struct(_zero(f"{c}.offset").alias("offset"), longs(f"{c}.bucketCounts").alias("bucket_counts"))))
     shape = F.col("kind.type").isin("HISTOGRAM", "EXPONENTIAL_HISTOGRAM", "SUMMARY")
     columns = {
         "timestamp": _time(time), "time_unix_nano": _long(time), "start_time": F.when(start > 0, _time(start)), "start_time_unix_nano": _long(start),
         "metric_name": F.col("o.name"), "metric_description": F.col("o.description"), "metric_unit": F.col("o.unit"), "metric_type": F.col("kind.type"),
-        "aggregation_temporality": _name(["UNSPECIFIED", "DELTA", "CUMULATIVE"], F.col("kind.data.aggregationTemporality")), "is_monotonic": F.when(F.col("kind.type") == "SUM", F.coalesce("kind.data.isMonotonic", F.lit(False))),
-        "flags": F.coalesce("p.flags", F.lit(0)), "value_type": kept(F.when(F.col("p.asInt").isNotNull(), "INT64").when(F.col("p.asDouble").isNotNull(), "DOUBLE")),
+        "aggregation_temporality": _name(_TEMPORALITIES, F.when(F.col("kind.data.aggregationTemporality").isNotNull(), temporality)), "is_monotonic": F.when(F.col("kind.type") == "SUM", F.coalesce("kind.data.isMonotonic", F.lit(False))),
+        "flags": _zero("p.flags"), "value_type": kept(F.when(F.col("p.asInt").isNotNull(), "INT64").when(F.col("p.asDouble").isNotNull(), "DOUBLE")),
         "value_double": kept(F.col("p.asDouble").try_cast("double")), "value_int64": kept(F.col("p.asInt").try_cast("bigint")),
-        "count": kept(F.when(shape, F.coalesce(F.col("p.count").try_cast("bigint"), F.lit(0)))), **{c: kept(F.col(f"p.{c}").try_cast("double")) for c in ("sum", "min", "max")},
-        "explicit_bounds": kept(F.col("p.explicitBounds")), "bucket_counts": kept(F.col("p.bucketCounts").cast("array<bigint>")), "exp_scale": kept(F.col("p.scale")), "exp_zero_count": kept(F.col("p.zeroCount").try_cast("bigint")),
+        "count": kept(F.when(shape, _zero("p.count"))), **{c: kept(F.col(f"p.{c}").try_cast("double")) for c in ("sum", "min", "max")},
+        "explicit_bounds": kept(F.col("p.explicitBounds")), "bucket_counts": kept(longs("p.bucketCounts")), "exp_scale": kept(_whole("p.scale")), "exp_zero_count": kept(F.col("p.zeroCount").try_cast("bigint")),
         "exp_zero_threshold": kept(F.col("p.zeroThreshold")), "exp_positive": buckets("p.positive"), "exp_negative": buckets("p.negative"), "summary_quantiles": kept(F.col("p.quantileValues")), "exemplars": exemplars,
-        "attributes": F.col("bags")[3]["plain"], "attributes_schema": F.col("bags")[3]["types"], "metadata": F.col("bags")[2]["plain"], "metadata_schema": F.col("bags")[2]["types"],
+        **_bag_columns(e, 3), "metadata": e.plain(2), "metadata_schema": e.types(2),
         "resource_schema_url": F.col("resource_schema_url"), "scope_schema_url": F.col("scope_schema_url"),
-    } | _origin(F.col("bags"), 0, 1)
+    } | _origin(e)
     return _finished(rows.withColumn("record", _metric_of_one_point()), columns, "otel_metrics", receive_nano)
 
 
@@ -285,7 +394,8 @@ READERS = {"traces": spans, "logs": logs, "metrics": metrics}
 
 
 def malformed(lines: DataFrame) -> DataFrame:
-    return lines.where(signal_of("value") == "malformed")
+    lines = lines if "signal" in lines.columns else with_signal(lines)
+    return lines.where(F.col("signal") == "malformed")
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas
 from ..functions.anyvalue import Limits, Redaction
 from ..operators import fingerprint, offload, quality
-from ..operators.stage import staged
-from ..sources import otlp
+from ..operators.stage import staged, unstage
+from ..sources import archive, otlp
 
 TABLES = {"traces": "otel_spans", "logs": "otel_logs", "metrics": "otel_metrics"}
 
@@ -24,25 +26,57 @@ def transformed(lines: DataFrame, signal: str, limits: Limits = Limits(), redact
     return fingerprint.metric_fingerprints(rows) if signal == "metrics" else rows
 
 
-def append(df: DataFrame, root: str, table: str) -> None:
-    """Appends rows to a table, partitioned by its time and sorted within files."""
+#: The partition column below a table's time: which batch wrote the rows.
+BATCH = "ingest_batch"
+
+
+def append(df: DataFrame, root: str, table: str, batch: str) -> None:
+    """Writes a batch's rows to a table, partitioned by its time and the batch and sorted within files. The same batch
+    written again takes the place of what it wrote before."""
     _, (partition, expression), order = schemas.TABLES[table]
-    df.withColumn(partition, F.expr(expression)).repartition(partition, *order[:1]).sortWithinPartitions(partition, *order).write.mode("append").partitionBy(partition).parquet(f"{root}/{table}")
+    rows = df.withColumns({partition: F.expr(expression), BATCH: F.lit(batch)}).repartition(partition, *order[:1]).sortWithinPartitions(partition, *order)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition, BATCH).parquet(f"{root}/{table}")
 
 
-def backfill(spark: SparkSession, path: str, root: str, signals: tuple[str, ...] = tuple(TABLES), **options: object) -> DataFrame:
-    """Reads an archive of export requests into the tables below ``root``; gives counts for each signal."""
-    lines = staged(otlp.export_lines(spark, path), "lines")
+def ingest(lines: DataFrame, root: str, batch: str, signals: tuple[str, ...] = tuple(TABLES), **options: object) -> list[tuple[str, int, int, int]]:
+    """Writes one batch of lines into rows, dead letters and payloads; gives (signal, records, stored, rejected) of each
+    signal, and of the malformed lines. A batch that is run again leaves each row once in all tables."""
+    spark = lines.sparkSession
+    lines = staged(lines if "signal" in lines.columns else otlp.with_signal(lines), "lines")
     report = []
     for signal in signals:
         rows = staged(transformed(lines, signal, **options), f"rows-{signal}")
-        append(quality.accepted(rows), root, TABLES[signal])
-        append(quality.quarantine(rows, signal), root, "otel_quarantine")
+        append(quality.accepted(rows), root, TABLES[signal], batch)
+        append(quality.quarantine(rows, signal), root, "otel_quarantine", f"{batch}-{signal}")
         if "payloads" in rows.columns:
-            offload.objects(quality.stored(rows)).write.mode("append").parquet(f"{root}/otel_payloads")
-        report.append(rows.agg(F.lit(signal).alias("signal"), F.count("*").alias("records"), F.count_if(F.col("reason").isNull()).alias("stored"), F.count("reason").alias("rejected")))
-    bad = otlp.malformed(lines).agg(F.lit("malformed").alias("signal"), F.count("*").alias("records"), F.lit(0).cast("long").alias("stored"), F.count("*").alias("rejected"))
-    return otlp.union_all([*report, bad])
+            put_away = offload.objects(quality.stored(rows)).withColumn(BATCH, F.lit(f"{batch}-{signal}"))
+            put_away.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(f"{root}/otel_payloads")
+        n = rows.agg(F.count("*"), F.count_if(F.col("reason").isNull()), F.count("reason")).first()
+        report.append((signal, *n))
+        unstage(rows)
+    bad = lines.where("signal = 'malformed'").count()
+    unstage(lines)
+    return [*report, ("malformed", bad, 0, bad)]
+
+
+REPORT = "signal string, records long, stored long, rejected long"
+
+
+def backfill(spark: SparkSession, path: str, root: str, signals: tuple[str, ...] = tuple(TABLES), max_line_bytes: int = archive.MAX_LINE_BYTES, batch: str | None = None, **options: object) -> DataFrame:
+    """Reads an archive of export requests into the tables below ``root``; gives counts for each signal. With a name
+    for the ``batch`` a backfill that broke off can be run again without doubled rows."""
+    report = ingest(archive.lines(spark, path, max_line_bytes), root, batch or f"backfill-{uuid.uuid4().hex}", signals, **options)
+    return spark.createDataFrame(report, REPORT)
+
+
+def file_report(lines: DataFrame, signals: tuple[str, ...] = tuple(TABLES)) -> DataFrame:
+    """Of each file of an archive: lines that aren't blank, malformed ones, those of other signals, and the first bad line."""
+    s = lines if "signal" in lines.columns else otlp.with_signal(lines)
+    bad = F.col("signal") == "malformed"
+    return s.groupBy("file").agg(
+        F.count("*").alias("lines"), F.count_if(bad).alias("malformed"), F.count_if(~bad & ~F.col("signal").isin(*signals)).alias("other_signal"),
+        F.min(F.when(bad, F.col("line"))).alias("first_bad_line"), F.max(F.col("problem") == "broken_file").alias("broken"),
+    )
 
 
 def replay(quarantined: DataFrame, signal: str, limits: Limits = Limits(), **filters: object) -> DataFrame:
