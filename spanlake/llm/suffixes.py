@@ -51,7 +51,7 @@ class Sizes(NamedTuple):
 
     block: int = 2_000_000
     anchors: int = 2_000_000
-    bytes: int = 8_000_000
+    bytes: int = 4_000_000
     common: int = 20_000
 
 
@@ -98,14 +98,14 @@ def stretches(data: np.ndarray, bounds: np.ndarray, min_bytes: int = MIN_BYTES,
     none = np.empty(0, np.int64)
     if n <= 0:
         return none.view(np.uint64), none, none
-    anchor = np.empty(n, np.int64)
+    anchor = np.empty(n, np.int32)
     width = min_bytes - gram + 1
     for at in range(0, n, PIECE):
         words = _words(data[at : min(at + PIECE, n) + width + 6])  # the grams that begin within these strings
         keys = words * _ODD
         keys = (keys ^ keys >> np.uint64(29)) * np.uint64(0xBF58476D1CE4E5B9)
         keys = (keys & np.uint64(0xFFFFFFFFFFF00000)) | np.arange(len(keys), dtype=np.uint64)
-        anchor[at : at + PIECE] = (_minima(keys, width) & np.uint64(0xFFFFF)).astype(np.int64) + at
+        anchor[at : at + PIECE] = (_minima(keys, width) & np.uint64(0xFFFFF)).astype(np.int32) + at
     within = np.ones(n + 1, bool)  # strings that don't reach into the next text
     within[n] = False
     for begin, end in zip(bounds[:-1].tolist(), bounds[1:].tolist()):
@@ -162,8 +162,8 @@ def repeats_of(held: list[bytes], low: list[int], high: list[int], min_bytes: in
         return (none,) * 6
     longest = int(sizes.max())
     length = sizes[own] - place
-    spread = np.minimum(at[:, None] + np.arange(longest), len(data) - 1)
-    suffix = np.where(np.arange(longest) < length[:, None], data[spread], 0).astype(np.uint8)
+    suffix = np.lib.stride_tricks.sliding_window_view(np.concatenate([data, np.zeros(longest, np.uint8)]), longest)[at]
+    suffix[np.arange(longest, dtype=np.int32) >= length[:, None].astype(np.int32)] = 0
     order = np.lexsort((length, suffix.view(f"S{longest}").ravel()))
     suffix, own, place, length, at = suffix[order], own[order], place[order], length[order], at[order]
     differ = suffix[1:] != suffix[:-1]
@@ -200,6 +200,13 @@ def _read_block(docs: bytes, sizes: bytes, text: bytes, min_bytes: int) -> Block
     return Block(np.frombuffer(docs, np.int64), bounds, data, anchor, first, end, np.searchsorted(bounds, first, side="right") - 1)
 
 
+def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    """The rows of batches, each with its large values only while it is worked on; binary ones as views."""
+    for b in batches:
+        for i in range(b.num_rows):
+            yield tuple(c[i].as_buffer() if pa.types.is_binary(c.type) else c[i].as_py() for c in b.columns)
+
+
 def blocks(docs: DataFrame, block_bytes: int = SIZES.block) -> DataFrame:
     """Texts in blocks, numbered and written once: identifiers (least for null), two hashes and sizes of the texts, and their bytes."""
 
@@ -252,7 +259,7 @@ def _by_bucket(batches: Iterator[pa.RecordBatch]) -> Iterator[list[dict]]:
     """Rows of one bucket after the other; rows are sorted by it."""
     held: list[dict] = []
     for b in batches:
-        for row in b.to_pylist():
+        for row in b.to_pylist():  # arrays of one block and bucket
             if held and row["bucket"] != held[-1]["bucket"]:
                 yield held
                 held = []
@@ -265,20 +272,19 @@ def _answers(held: DataFrame, buckets: int, min_bytes: int, across: bool, common
     """Of each block and bucket: which of the anchors that the block sent stand in several documents, and which of them are common."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for number, docs, sizes, text in zip(*(c.to_pylist() for c in b.columns)):
-                x = _read_block(docs, sizes, text, min_bytes)
-                different, which, begin = _dealt(x.anchor, buckets)
-                doc = x.docs[x.own]
-                low, high = np.full(len(different), (1 << 63) - 1), np.full(len(different), _NO_ID)
-                np.minimum.at(low, which, doc)
-                np.maximum.at(high, which, doc)
-                several = low < high if across else np.bincount(which, minlength=len(different)) > 1
-                sent = (different & _SENT) << np.uint64(1) | several.astype(np.uint64)
-                sent = sent.view(np.uint8).reshape(-1, 8)[:, :5]
-                parts = _parts(begin)
-                columns = [pa.array([k for k, _, _ in parts], pa.int32()), pa.array([number] * len(parts), pa.int64()), pa.array([sent[i:j].tobytes() for _, i, j in parts], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "sent"])
+        for number, docs, sizes, text in _one_by_one(batches):
+            x = _read_block(docs, sizes, text, min_bytes)
+            different, which, begin = _dealt(x.anchor, buckets)
+            doc = x.docs[x.own]
+            low, high = np.full(len(different), (1 << 63) - 1), np.full(len(different), _NO_ID)
+            np.minimum.at(low, which, doc)
+            np.maximum.at(high, which, doc)
+            several = low < high if across else np.bincount(which, minlength=len(different)) > 1
+            sent = (different & _SENT) << np.uint64(1) | several.astype(np.uint64)
+            sent = sent.view(np.uint8).reshape(-1, 8)[:, :5]
+            parts = _parts(begin)
+            columns = [pa.array([k for k, _, _ in parts], pa.int32()), pa.array([number] * len(parts), pa.int64()), pa.array([sent[i:j].tobytes() for _, i, j in parts], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "sent"])
 
     def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_bucket(batches):
@@ -358,14 +364,13 @@ def _grouped(held: DataFrame, buckets: int, sort_buckets: int, min_bytes: int, a
     """Of each block and bucket: the maximal repeats that its stretches hold, by the place of the stretch in what was sent. ``held``: blocks with their answers."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for number, docs, sizes, text, answers in zip(*(c.to_pylist() for c in b.columns)):
-                s = _wanted(_read_block(docs, sizes, text, min_bytes), answers or [], buckets, sort_buckets, min_bytes)
-                parts = _parts(s.begin)
-                lengths = np.array([len(t) for t in s.texts], np.int64)
-                columns = [pa.array([k for k, _, _ in parts], pa.int32()), pa.array([number] * len(parts), pa.int64()), pa.array([b"".join(s.texts[i:j]) for _, i, j in parts], pa.binary())]
-                columns += [pa.array([c[i:j].tobytes() for _, i, j in parts], pa.binary()) for c in (lengths.astype(np.int32), s.low, s.high, s.times)]
-                yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "texts", "lengths", "low", "high", "times"])
+        for number, docs, sizes, text, answers in _one_by_one(batches):
+            s = _wanted(_read_block(docs, sizes, text, min_bytes), answers or [], buckets, sort_buckets, min_bytes)
+            parts = _parts(s.begin)
+            lengths = np.array([len(t) for t in s.texts], np.int64)
+            columns = [pa.array([k for k, _, _ in parts], pa.int32()), pa.array([number] * len(parts), pa.int64()), pa.array([b"".join(s.texts[i:j]) for _, i, j in parts], pa.binary())]
+            columns += [pa.array([c[i:j].tobytes() for _, i, j in parts], pa.binary()) for c in (lengths.astype(np.int32), s.low, s.high, s.times)]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "texts", "lengths", "low", "high", "times"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_bucket(batches):
@@ -446,14 +451,13 @@ def repeat_groups(docs: DataFrame, min_bytes: int = MIN_BYTES, across: bool = Tr
     found, buckets = _found(docs, min_bytes, across, sizes, True)
 
     def give(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for ids, h1, h2, lengths, text, answers, groups in zip(*(c.to_pylist() for c in b.columns)):
-                x = _read_block(ids, lengths, text, min_bytes)
-                keys = [np.frombuffer(h, np.int64) for h in (h1, h2)]
-                for g, (own, at, size, doc, member) in zip(groups or (), _occurrences(x, answers, groups, buckets, min_bytes)):
-                    digest = np.array(g["digest"], object)[member].tolist()
-                    columns = [pa.array(digest, pa.binary()), *(pa.array(c) for c in (size, x.docs[own], keys[0][own], keys[1][own], at - x.bounds[own], doc))]
-                    yield pa.RecordBatch.from_arrays(columns, names=["digest", "size", "doc_id", "k1", "k2", "start", "first_doc"])
+        for ids, h1, h2, lengths, text, answers, groups in _one_by_one(batches):
+            x = _read_block(ids, lengths, text, min_bytes)
+            keys = [np.frombuffer(h, np.int64) for h in (h1, h2)]
+            for g, (own, at, size, doc, member) in zip(groups or (), _occurrences(x, answers, groups, buckets, min_bytes)):
+                digest = np.array(g["digest"], object)[member].tolist()
+                columns = [pa.array(digest, pa.binary()), *(pa.array(c) for c in (size, x.docs[own], keys[0][own], keys[1][own], at - x.bounds[own], doc))]
+                yield pa.RecordBatch.from_arrays(columns, names=["digest", "size", "doc_id", "k1", "k2", "start", "first_doc"])
 
     rows = found.select("docs", "k1", "k2", "sizes", "text", "answers", "groups").mapInArrow(give, "digest binary, size long, doc_id long, k1 long, k2 long, start long, first_doc long")
     known = lambda c: F.when(F.col(c) > _NO_ID, F.col(c)).alias(c)
@@ -478,20 +482,20 @@ def edited(docs: DataFrame, min_bytes: int = MIN_BYTES, sizes: Sizes = SIZES) ->
     names = ["doc_id", "k1", "k2", "n_bytes", "n_removed", "n_spans", "kept"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for ids, h1, h2, lengths, text, answers, groups in zip(*(c.to_pylist() for c in b.columns)):
-                x = _read_block(ids, lengths, text, min_bytes)
-                runs = [[np.empty(0, np.int64)] * 3]
-                for own, at, size, doc, _ in _occurrences(x, answers, groups, buckets, min_bytes):
-                    later = x.docs[own] > doc
-                    runs.append([own[later], at[later], at[later] + size[later]])
-                own, start, end = (np.concatenate(c) for c in zip(*runs))
-                order = np.argsort(own, kind="stable")
-                own, start, end = own[order], start[order], end[order]
-                begin = np.searchsorted(own, np.arange(len(x.docs) + 1))
-                done = [without(text[i:j], start[k:m] - i, end[k:m] - i) for i, j, k, m in zip(x.bounds.tolist(), x.bounds[1:].tolist(), begin.tolist(), begin[1:].tolist())]
-                columns = [pa.array(x.docs), pa.array(np.frombuffer(h1, np.int64)), pa.array(np.frombuffer(h2, np.int64)), pa.array(np.diff(x.bounds)), pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64()), pa.array([d[0] for d in done], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=names)
+        for ids, h1, h2, lengths, text, answers, groups in _one_by_one(batches):
+            x = _read_block(ids, lengths, text, min_bytes)
+            runs = [[np.empty(0, np.int64)] * 3]
+            for own, at, size, doc, _ in _occurrences(x, answers, groups, buckets, min_bytes):
+                later = x.docs[own] > doc
+                runs.append([own[later], at[later], at[later] + size[later]])
+            own, start, end = (np.concatenate(c) for c in zip(*runs))
+            order = np.argsort(own, kind="stable")
+            own, start, end = own[order], start[order], end[order]
+            begin = np.searchsorted(own, np.arange(len(x.docs) + 1))
+            raw = x.data.tobytes()
+            done = [without(raw[i:j], start[k:m] - i, end[k:m] - i) for i, j, k, m in zip(x.bounds.tolist(), x.bounds[1:].tolist(), begin.tolist(), begin[1:].tolist())]
+            columns = [pa.array(x.docs), pa.array(np.frombuffer(h1, np.int64)), pa.array(np.frombuffer(h2, np.int64)), pa.array(np.diff(x.bounds)), pa.array([d[1] for d in done], pa.int64()), pa.array([d[2] for d in done], pa.int64()), pa.array([d[0] for d in done], pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     rows = found.select("docs", "k1", "k2", "sizes", "text", "answers", "groups").mapInArrow(cut, "doc_id long, k1 long, k2 long, n_bytes long, n_removed long, n_spans long, kept binary")
     return rows.withColumn("doc_id", F.when(F.col("doc_id") > _NO_ID, F.col("doc_id")))
