@@ -32,6 +32,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -49,9 +50,9 @@ PIECE = 1 << 16
 class Sizes(NamedTuple):
     """Bytes of texts in a block (one text at least), anchors and bytes of stretches in a bucket, and blocks of a common anchor."""
 
-    block: int = 2_000_000
+    block: int = 1_000_000
     anchors: int = 2_000_000
-    bytes: int = 4_000_000
+    bytes: int = 2_000_000
     common: int = 20_000
 
 
@@ -193,9 +194,17 @@ class Block(NamedTuple):
     own: np.ndarray
 
 
+def _packed(raw: bytes) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(raw)
+
+
+def _unpacked(packed: bytes | pa.Buffer) -> bytes:
+    return zstandard.ZstdDecompressor().decompress(packed)
+
+
 def _read_block(docs: bytes, sizes: bytes, text: bytes, min_bytes: int) -> Block:
     bounds = np.concatenate([[0], np.cumsum(np.frombuffer(sizes, np.int64))])
-    data = np.frombuffer(text, np.uint8)
+    data = np.frombuffer(_unpacked(text), np.uint8)
     anchor, first, end = stretches(data, bounds, min_bytes)
     return Block(np.frombuffer(docs, np.int64), bounds, data, anchor, first, end, np.searchsorted(bounds, first, side="right") - 1)
 
@@ -208,7 +217,7 @@ def _one_by_one(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
 
 
 def blocks(docs: DataFrame, block_bytes: int = SIZES.block) -> DataFrame:
-    """Texts in blocks, numbered and written once: identifiers (least for null), two hashes and sizes of the texts, and their bytes."""
+    """Texts in blocks, numbered and written once: identifiers (least for null), two hashes and sizes of the texts, and their bytes (compressed, as they go through shuffles)."""
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 33
@@ -216,8 +225,8 @@ def blocks(docs: DataFrame, block_bytes: int = SIZES.block) -> DataFrame:
         size = 0
 
         def block() -> pa.RecordBatch:
-            columns = [[number], *[[np.array([h[k] for h in held], np.int64).tobytes()] for k in range(3)], [np.array([len(h[3]) for h in held], np.int64).tobytes()], [b"".join(h[3] for h in held)]]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.binary()] * 5))], names=["block", "docs", "k1", "k2", "sizes", "text"])
+            columns = [[number], *[[np.array([h[k] for h in held], np.int64).tobytes()] for k in range(3)], [np.array([len(h[3]) for h in held], np.int64).tobytes()], [_packed(b"".join(h[3] for h in held))], [sum(len(h[3]) for h in held)]]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.binary()] * 5, pa.int64()))], names=["block", "docs", "k1", "k2", "sizes", "text", "n_bytes"])
 
         for b in row_batches(batches, block_bytes):
             for doc, k1, k2, text in zip(*(c.to_pylist() for c in b.columns)):
@@ -231,7 +240,7 @@ def blocks(docs: DataFrame, block_bytes: int = SIZES.block) -> DataFrame:
             yield block()
 
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), *text_keys(F.col("text")), "text")
-    return staged(keyed.mapInArrow(pack, "block long, docs binary, k1 binary, k2 binary, sizes binary, text binary"), "blocks")
+    return staged(keyed.mapInArrow(pack, "block long, docs binary, k1 binary, k2 binary, sizes binary, text binary, n_bytes long"), "blocks")
 
 
 def text_keys(text: Column) -> tuple[Column, Column]:
@@ -356,20 +365,22 @@ def _wanted(x: Block, answers: list[dict], buckets: int, sort_buckets: int, min_
     return Sent(anchors[order], [texts[k] for k in order.tolist()], low[order], high[order], times[order], np.searchsorted(bucket[order], np.arange(sort_buckets + 1)), moved[place] if len(place) else place, first, own)
 
 
-_MEMBERS = ["place", "start", "size", "first_doc", "last_doc"]
-_GROUPED = "block long, bucket int, " + ", ".join(f"{c} array<long>" for c in _MEMBERS) + ", digest array<binary>"
+#: What a block learns of the members of groups, as arrays of 64-bit numbers, and the digests of what repeats (16 bytes each).
+_MEMBERS = ["place", "start", "size", "first_doc"]
+_GROUPED = "block long, bucket int, " + ", ".join(f"{c} binary" for c in _MEMBERS) + ", digest binary"
 
 
-def _grouped(held: DataFrame, buckets: int, sort_buckets: int, min_bytes: int, across: bool) -> DataFrame:
-    """Of each block and bucket: the maximal repeats that its stretches hold, by the place of the stretch in what was sent. ``held``: blocks with their answers."""
+def _grouped(held: DataFrame, buckets: int, sort_buckets: int, min_bytes: int, across: bool, digests: bool) -> DataFrame:
+    """Of each block and bucket: the maximal repeats that its stretches hold, by the place of the stretch in what was sent. ``held``: blocks with their answers.
+    Without ``digests`` only those whose first document is before one of the block's that has the stretch."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, docs, sizes, text, answers in _one_by_one(batches):
             s = _wanted(_read_block(docs, sizes, text, min_bytes), answers or [], buckets, sort_buckets, min_bytes)
             parts = _parts(s.begin)
             lengths = np.array([len(t) for t in s.texts], np.int64)
-            columns = [pa.array([k for k, _, _ in parts], pa.int32()), pa.array([number] * len(parts), pa.int64()), pa.array([b"".join(s.texts[i:j]) for _, i, j in parts], pa.binary())]
-            columns += [pa.array([c[i:j].tobytes() for _, i, j in parts], pa.binary()) for c in (lengths.astype(np.int32), s.low, s.high, s.times)]
+            columns = [pa.array([k for k, _, _ in parts], pa.int32()), pa.array([number] * len(parts), pa.int64()), pa.array([_packed(b"".join(s.texts[i:j])) for _, i, j in parts], pa.binary())]
+            columns += [pa.array([_packed(c[i:j].tobytes()) for _, i, j in parts], pa.binary()) for c in (lengths.astype(np.int32), s.low, s.high, s.times)]
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "texts", "lengths", "low", "high", "times"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -377,6 +388,8 @@ def _grouped(held: DataFrame, buckets: int, sort_buckets: int, min_bytes: int, a
             numbers: dict[bytes, int] = {}
             which = []
             for r in rows:
+                for c in ("texts", "lengths", "low", "high", "times"):
+                    r[c] = _unpacked(r[c])
                 ends = np.cumsum(np.frombuffer(r["lengths"], np.int32)).tolist()
                 which += [numbers.setdefault(r["texts"][i:j], len(numbers)) for i, j in zip([0, *ends], ends)]
             counts = [len(r["lengths"]) // 4 for r in rows]
@@ -393,8 +406,8 @@ def _grouped(held: DataFrame, buckets: int, sort_buckets: int, min_bytes: int, a
             lo, hi = np.concatenate([lo, least[leaf]]), np.concatenate([hi, most[leaf]])
             keep = np.flatnonzero(lo < hi) if across else np.arange(len(lo))
             order = keep[np.argsort(own[keep], kind="stable")]
-            own, start, size, lo, hi = own[order], start[order], size[order], lo[order], hi[order]
-            digest = np.array([hashlib.blake2b(texts[k][i : i + n], digest_size=16).digest() for k, i, n in zip(own.tolist(), start.tolist(), size.tolist())], object)
+            own, start, size, lo = own[order], start[order], size[order], lo[order]
+            digest = np.array([hashlib.blake2b(texts[k][i : i + n], digest_size=16).digest() if digests else b"" for k, i, n in zip(own.tolist(), start.tolist(), size.tolist())], object)
             begin, n = np.searchsorted(own, np.arange(len(texts))), np.bincount(own, minlength=len(texts))
             at = 0
             for r, count in zip(rows, counts):
@@ -405,7 +418,10 @@ def _grouped(held: DataFrame, buckets: int, sort_buckets: int, min_bytes: int, a
                 if not len(place):
                     continue
                 k = np.repeat(begin[mine] - np.cumsum(members) + members, members) + np.arange(len(place))
-                columns = [pa.array([r["block"]], pa.int64()), pa.array([r["bucket"]], pa.int32()), *(pa.array([c], pa.list_(pa.int64())) for c in (place, start[k], size[k], lo[k], hi[k])), pa.array([digest[k].tolist()], pa.list_(pa.binary()))]
+                if not digests:
+                    later = lo[k] < np.frombuffer(r["high"], np.int64)[place]
+                    place, k = place[later], k[later]
+                columns = [pa.array([r["block"]], pa.int64()), pa.array([r["bucket"]], pa.int32()), *(pa.array([_packed(c.tobytes())], pa.binary()) for c in (place, start[k], size[k], lo[k])), pa.array([b"".join(digest[k].tolist())], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["block", "bucket", *_MEMBERS, "digest"])
 
     sent = held.select("block", "docs", "sizes", "text", "answers").mapInArrow(send, "bucket int, block long, texts binary, lengths binary, low binary, high binary, times binary")
@@ -415,14 +431,14 @@ def _grouped(held: DataFrame, buckets: int, sort_buckets: int, min_bytes: int, a
 def _found(docs: DataFrame, min_bytes: int, across: bool, sizes: Sizes, digests: bool) -> tuple[DataFrame, tuple[int, int]]:
     """Blocks with their answers and groups, and how many buckets of anchors and of stretches there were."""
     held = blocks(docs, sizes.block)
-    total = held.agg(F.sum(F.length("text"))).first()[0] or 0
+    total = held.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = int(total * 2 / (min_bytes - GRAM + 2)) // sizes.anchors + 1  # of the strings about so many are the first of a stretch
     answers = _answers(held, buckets, min_bytes, across, sizes.common)
     wanted = answers.agg(F.sum("n"), F.sum(F.when(F.col("common").isNotNull(), F.col("n")))).first()
     sort_buckets = int((wanted[0] or 0) * (min_bytes + min_bytes // 4) + (wanted[1] or 0) * min_bytes * min_bytes // 2) // sizes.bytes + 1
     own = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "wanted", "common")).alias("answers"))  # of one block
     with_answers = held.hint("merge").join(own.hint("merge"), "block", "left")
-    groups = _grouped(with_answers, buckets, sort_buckets, min_bytes, across)
+    groups = _grouped(with_answers, buckets, sort_buckets, min_bytes, across, digests)
     groups = staged(groups if digests else groups.drop("digest"), "groups")
     mine = groups.groupBy("block").agg(F.collect_list(F.struct("bucket", *_MEMBERS, *(["digest"] if digests else []))).alias("groups"))
     return with_answers.hint("merge").join(mine.hint("merge"), "block", "left"), (buckets, sort_buckets)
@@ -436,7 +452,7 @@ def _occurrences(x: Block, answers: list[dict] | None, groups: list[dict] | None
     order = np.argsort(s.which, kind="stable")
     sorted_which = s.which[order]
     for g in groups:
-        place, start, size, doc = (np.array(g[c], np.int64) for c in ("place", "start", "size", "first_doc"))
+        place, start, size, doc = (np.frombuffer(_unpacked(g[c]), np.int64) for c in _MEMBERS)
         sent = place + s.begin[g["bucket"]]
         i, j = np.searchsorted(sorted_which, sent), np.searchsorted(sorted_which, sent, side="right")
         n = j - i
@@ -455,7 +471,7 @@ def repeat_groups(docs: DataFrame, min_bytes: int = MIN_BYTES, across: bool = Tr
             x = _read_block(ids, lengths, text, min_bytes)
             keys = [np.frombuffer(h, np.int64) for h in (h1, h2)]
             for g, (own, at, size, doc, member) in zip(groups or (), _occurrences(x, answers, groups, buckets, min_bytes)):
-                digest = np.array(g["digest"], object)[member].tolist()
+                digest = [g["digest"][16 * k : 16 * k + 16] for k in member.tolist()]
                 columns = [pa.array(digest, pa.binary()), *(pa.array(c) for c in (size, x.docs[own], keys[0][own], keys[1][own], at - x.bounds[own], doc))]
                 yield pa.RecordBatch.from_arrays(columns, names=["digest", "size", "doc_id", "k1", "k2", "start", "first_doc"])
 
