@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import dedup
-from . import trajectory, views
+from . import table_functions, views
 
 Read = Callable[[str], DataFrame]
 
@@ -19,7 +19,7 @@ VIEWS: list[tuple[str, str, Callable[[Read], DataFrame]]] = [
     ("v_gen_ai_model_costs", "otel_spans", lambda t: views.model_costs(t("v_gen_ai_spans"))),
     ("v_gen_ai_sessions", "otel_spans", lambda t: views.sessions(t("v_gen_ai_spans"))),
     ("v_gen_ai_tool_usage", "otel_spans", lambda t: views.tool_usage(t("v_gen_ai_spans"))),
-    ("v_gen_ai_agent_trajectory", "otel_spans", lambda t: trajectory.trajectory(t("v_gen_ai_spans"))),
+    ("v_gen_ai_agent_trajectory", "otel_spans", lambda t: table_functions.trajectory_view(t("v_gen_ai_spans").sparkSession, t("v_gen_ai_spans"))),
     ("v_mcp_spans", "otel_spans", lambda t: views.mcp_spans(t("otel_spans_dedup"))),
     ("v_mcp_tool_usage", "otel_spans", lambda t: views.mcp_tool_usage(t("v_mcp_spans"))),
     ("otel_logs_dedup", "otel_logs", lambda t: dedup.logs_dedup(t("otel_logs"))),
@@ -37,8 +37,8 @@ def register(spark: SparkSession, tables: dict[str, DataFrame], need_bounds: boo
     """Makes temporary views of the tables and of all views on them; gives the views' names in the order they were made.
 
     Views on a table that isn't given are left out. With ``need_bounds`` (tables that may only be
-    read by time range) so are those that can't prune. Trees are computed as they are registered:
-    ``v_gen_ai_agent_trajectory`` shows the spans of that moment."""
+    read by time range) so are those that can't prune; the table functions (``table_functions``) take their place.
+    Every view shows its tables as they are when it is read."""
     for name, df in tables.items():
         df.createOrReplaceTempView(name)
     known, made = set(tables), []
@@ -49,4 +49,16 @@ def register(spark: SparkSession, tables: dict[str, DataFrame], need_bounds: boo
             continue
         make(spark.table).createOrReplaceTempView(name)
         made.append(name)
+    if "otel_spans" in known:
+        logs = spark.table("otel_logs_dedup") if "otel_logs" in known else None
+        points = spark.table("v_gen_ai_metrics") if "otel_metrics" in known else None
+        table_functions.register(spark, spark.table("otel_spans_dedup"), logs, points)
     return made
+
+
+def refresh(spark: SparkSession) -> None:
+    """Lets the views see files that others have added to the tables since they were registered; rows that this session
+    writes to catalog tables are seen anyway."""
+    names = {t.name for t in spark.catalog.listTables() if t.isTemporary}
+    for table in {t for _, t, _ in VIEWS} & names:
+        spark.catalog.refreshTable(table)

@@ -2,7 +2,8 @@
 
 Trees grow level by level from their anchors: one join of the newest level with the spans, at
 most ``MAX_DEPTH`` times and only while rows come out. Levels are staged, so the plan of a level
-doesn't repeat those before it, and hold keys and places only: the wide columns are joined once at the end. Token coverage walks from rows to their ancestors in the same way.
+doesn't repeat those before it, and hold keys and places only: the wide columns are joined once at the end. Token coverage
+needs all ancestors of a row; their paths double with each join.
 """
 
 from __future__ import annotations
@@ -18,21 +19,29 @@ from .views import AGENT_OPS
 
 MAX_DEPTH, MAX_HOPS = 16, 32
 
-CARRIED = (
-    "start_time end_time duration_nano duration_ms trace_id span_id parent_span_id service_name span_name span_kind status_code status_message gen_ai_operation_name gen_ai_system "
-    "gen_ai_provider_name gen_ai_request_model gen_ai_response_model gen_ai_agent_id gen_ai_agent_name gen_ai_agent_version gen_ai_main_agent_id gen_ai_main_agent_name gen_ai_tool_name "
-    "gen_ai_tool_call_id gen_ai_usage_input_tokens gen_ai_usage_output_tokens gen_ai_usage_reasoning_tokens adk_session_id adk_invocation_id adk_user_id error_type"
-).split()
+CARRIED = [
+    "start_time", "end_time", "duration_nano", "duration_ms", "trace_id", "span_id",
+    "parent_span_id", "service_name", "span_name", "span_kind", "status_code", "status_message",
+    "gen_ai_operation_name", "gen_ai_system", "gen_ai_provider_name", "gen_ai_request_model", "gen_ai_response_model", "gen_ai_agent_id",
+    "gen_ai_agent_name", "gen_ai_agent_version", "gen_ai_main_agent_id", "gen_ai_main_agent_name", "gen_ai_tool_name", "gen_ai_tool_call_id",
+    "gen_ai_usage_input_tokens", "gen_ai_usage_output_tokens", "gen_ai_usage_reasoning_tokens", "adk_session_id", "adk_invocation_id", "adk_user_id",
+    "error_type",
+]
 FAMILIES = {"input": "gen_ai_usage_input_tokens", "output": "gen_ai_usage_output_tokens", "reasoning": "gen_ai_usage_reasoning_tokens"}
 
 
-def canonical(g: DataFrame) -> DataFrame:
-    """One row for each span of a trace and service, with the names it declares."""
+def declared_spans(g: DataFrame) -> DataFrame:
+    """GenAI spans with the names that they declare."""
     a = bag("attributes")
     declared = F.coalesce(json_value(a, "gen_ai.agent.name"), json_value(a, "gcp.vertex.agent.name"))
     starts = F.col("gen_ai_operation_name").isin(AGENT_OPS)
     s = g.select(*CARRIED, declared.alias("declared"), F.coalesce(starts, F.lit(False)).alias("agent_op"))
-    s = s.withColumn("path_name", F.coalesce("declared", F.when(F.col("agent_op"), F.col("gen_ai_agent_name"))))
+    return s.withColumn("path_name", F.coalesce("declared", F.when(F.col("agent_op"), F.col("gen_ai_agent_name"))))
+
+
+def canonical(g: DataFrame) -> DataFrame:
+    """One row for each span of a trace and service, with the names it declares."""
+    s = declared_spans(g)
     w = Window.partitionBy("trace_id", "service_name", "span_id").orderBy(F.asc("start_time"), F.desc("end_time"), F.asc("span_name"), F.desc("duration_nano"))
     return s.withColumn("__rank", F.row_number().over(w)).where("__rank = 1").drop("__rank")
 
@@ -83,30 +92,65 @@ def grown(spans: DataFrame, max_depth: int = MAX_DEPTH) -> DataFrame:
     return spans.select(*CARRIED).join(placed, same).drop(*[f"n_{c}" for c in key])
 
 
+def ancestors(rows: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
+    """Of each row the spans above it, nearest first: ``path`` (span and start) of at most ``max_hops``, and ``returns``: the
+    walk came to a span that it had seen.
+
+    Paths double: one of 2k hops is one of k hops and that of its last span. So 32 hops take five joins, and fewer where
+    no path goes on. A path ends before a span that is in it already.
+    """
+    keys = ["trace_id", "service_name", "span_id"]
+    nodes = staged(rows.select(*keys, "parent_span_id", "start_time").dropDuplicates(keys), "nodes")
+    up = nodes.select(*[F.col(c).alias(f"p_{k}") for c, k in zip(keys, ("trace", "service", "span"))], F.col("parent_span_id").alias("p_parent"), F.col("start_time").alias("p_start"))
+    found = nodes.join(up, _same_span("trace_id", "service_name", "parent_span_id", "p_"), "left")
+    above = F.col("p_span").isNotNull() & (F.col("p_span") != F.col("span_id"))
+    one = F.struct(F.col("p_span").alias("span"), F.col("p_start").alias("start"))
+    chains = staged(found.select(
+        *keys, F.when(above, F.array(one)).otherwise(F.filter(F.array(one), lambda _: F.lit(False))).alias("path"),
+        F.when(above & ~F.coalesce(F.col("p_parent") == F.col("p_span"), F.lit(False)), F.col("p_parent")).alias("next"), F.coalesce((F.col("p_span") == F.col("span_id")) | (F.col("p_parent") == F.col("p_span")), F.lit(False)).alias("returns"),
+    ), "hops")
+    hops = 1
+    while hops < max_hops and chains.where("next IS NOT NULL").head(1):
+        last = chains.where("next IS NOT NULL").select("*", F.concat(F.array("span_id"), F.transform("path", lambda x: x["span"])).alias("seen"))
+        # the span that comes next, and all above it as far as is known
+        far = chains.select(*[F.col(c).alias(f"f_{k}") for c, k in zip(keys, ("trace", "service", "span"))], F.col("path").alias("f_path"), F.col("next").alias("f_next"), F.col("returns").alias("f_returns"))
+        starts = nodes.select(*[F.col(c).alias(f"n_{k}") for c, k in zip(keys, ("trace", "service", "span"))], F.col("start_time").alias("n_start"))
+        far = far.join(starts, (F.col("f_trace") == F.col("n_trace")) & F.col("f_service").eqNullSafe(F.col("n_service")) & (F.col("f_span") == F.col("n_span")))
+        j = last.join(far, _same_span("trace_id", "service_name", "next", "f_"), "left")
+        more = F.when(F.col("f_span").isNotNull(), F.concat(F.array(F.struct(F.col("f_span").alias("span"), F.col("n_start").alias("start"))), "f_path"))
+        j = j.withColumn("more", F.coalesce(F.slice(more, 1, max_hops - hops), F.filter("path", lambda _: F.lit(False))))
+        # up to the first span that the walk has seen
+        seen = F.transform("more", lambda x: F.array_contains("seen", x["span"]))
+        cut = F.coalesce(F.nullif(F.array_position(seen, F.lit(True)), F.lit(0)) - 1, F.size("more"))
+        j = j.withColumn("cut", cut.cast("int"))
+        whole = F.col("cut") == F.size("more")
+        doubled = j.select(
+            *keys, F.concat("path", F.slice("more", F.lit(1), F.col("cut"))).alias("path"), F.when(whole & (F.size("more") == F.size("f_path") + 1), F.col("f_next")).alias("next"),
+            (F.col("returns") | ~whole | F.coalesce("f_returns", F.lit(False))).alias("returns"),
+        )
+        done = chains.where("next IS NULL")
+        chains = staged(doubled.unionByName(done), "hops")
+        hops = 2 * hops + 1
+    return chains.select(*keys, F.slice("path", 1, max_hops).alias("path"), "returns")
+
+
 def covered(rows: DataFrame, max_hops: int = MAX_HOPS) -> DataFrame:
     """For each row with descendants that report tokens: which families they report.
 
     Of two rows that are each other's ancestor only the later one counts for the other.
     """
-    reports = [F.col(c).isNotNull().alias(f"has_{f}") for f, c in FAMILIES.items()]
     flags = [f"has_{f}" for f in FAMILIES]
-    nodes = staged(rows.select("trace_id", "service_name", "span_id", "parent_span_id", "start_time", *reports), "nodes")
-    up = nodes.select(F.col("trace_id").alias("p_trace"), F.col("service_name").alias("p_service"), F.col("span_id").alias("p_span"), F.col("parent_span_id").alias("p_parent"), F.col("start_time").alias("p_start"))
-    # a descendant without tokens covers nothing, but it may be needed to tell a cycle from a chain
-    first = nodes.join(up, _same_span("trace_id", "service_name", "parent_span_id", "p_")).where("p_span <> span_id")
-    first = first.select("trace_id", "service_name", F.col("span_id").alias("d_span"), F.col("start_time").alias("d_start"), *flags, "p_span", "p_parent", "p_start", F.array("span_id", "p_span").alias("path"))
-    hops = [staged(first, "hop")]
-    for _ in range(max_hops - 1):
-        if not hops[-1].head(1):
-            break
-        last = hops[-1].select("trace_id", "service_name", "d_span", "d_start", *flags, F.col("p_parent").alias("next"), "path")
-        step = last.join(up, _same_span("trace_id", "service_name", "next", "p_")).where(~F.array_contains("path", F.col("p_span")))
-        hops.append(staged(step.select("trace_id", "service_name", "d_span", "d_start", *flags, "p_span", "p_parent", "p_start", F.concat("path", F.array("p_span")).alias("path")), "hop"))
-    pairs = reduce(DataFrame.unionByName, hops).drop("path", "p_parent")
-    back = pairs.select(F.col("trace_id").alias("b_trace"), F.col("service_name").alias("b_service"), F.col("p_span").alias("b_span"), F.col("d_span").alias("b_of")).distinct()
+    reports = rows.groupBy("trace_id", "service_name", "span_id").agg(F.min("start_time").alias("d_start"), *[F.bool_or(F.col(c).isNotNull()).alias(f"has_{f}") for f, c in FAMILIES.items()])
+    r = reports.withColumnsRenamed({"trace_id": "r_trace", "service_name": "r_service", "span_id": "r_span"})
+    chains = staged(ancestors(rows, max_hops).join(r, _same_span("trace_id", "service_name", "span_id", "r_")), "chains")
+    named = [F.col("trace_id"), F.col("service_name"), F.col("span_id").alias("d_span")]
+    pairs = chains.where(" OR ".join(flags)).select(*named, "d_start", *flags, F.explode("path").alias("p")).select("*", F.col("p.span").alias("p_span"), F.col("p.start").alias("p_start")).drop("p")
+    # only rows whose walk came back can be below their own ancestors
+    back = chains.where("returns").select(*named, F.explode("path.span").alias("p_span"))
+    back = back.select(F.col("trace_id").alias("b_trace"), F.col("service_name").alias("b_service"), F.col("p_span").alias("b_span"), F.col("d_span").alias("b_of")).distinct()
     both = _same_span("trace_id", "service_name", "d_span", "b_") & (F.col("p_span") == F.col("b_of"))
     later = (F.col("d_start") > F.col("p_start")) | ((F.col("d_start") == F.col("p_start")) & (F.col("d_span") > F.col("p_span")))
-    counted = pairs.where(" OR ".join(flags)).join(back, both, "left").where(F.col("b_of").isNull() | later)
+    counted = pairs.join(back, both, "left").where(F.col("b_of").isNull() | later)
     return counted.groupBy("trace_id", "service_name", F.col("p_span").alias("span_id")).agg(*[F.bool_or(f).alias(f) for f in flags])
 
 

@@ -153,19 +153,32 @@ def near(time: str, span_start: str) -> Column:
     return F.col(span_start).between(F.col(time) - F.expr("INTERVAL 24 HOURS"), F.col(time) + F.expr("INTERVAL 1 HOUR"))
 
 
-def gen_ai_logs(logs: DataFrame, spans: DataFrame) -> DataFrame:
-    """GenAI log records, with what they lack taken from their span. A record of two matching spans stays twice."""
+def log_facts(logs: DataFrame) -> DataFrame:
+    """GenAI log records with what their own attributes say."""
     event = F.coalesce(F.nullif("event_name", F.lit("")), json_value(F.col("__a"), "event.name"))
     rows = _parsed(logs, __a="attributes").withColumn("__event", event)
     rows = rows.where(F.col("__event").like("gen_ai.%") | _any_key(["gen_ai.system", "gen_ai.provider.name", "gcp.vertex.agent.invocation_id"]))
-    s = spans.select(F.col("trace_id").alias("__t"), F.col("span_id").alias("__s"), F.col("service_name").alias("__n"), F.col("start_time").alias("__b"), bag("attributes").alias("__sa"))
+    own = {f"own_{c}": _chain(json_value, ks) for c, ks in _LOG_CHAINS.items()}
+    return rows.withColumns(own | {"event_name": F.col("__event"), "error_type": json_value(F.col("__a"), "error.type")}).drop("__a", "__event")
+
+
+def span_facts(spans: DataFrame) -> DataFrame:
+    """What a log record may take from its span."""
+    s = spans.select("trace_id", "span_id", "service_name", "start_time", *[c for c in ("start_hour",) if c in spans.columns], bag("attributes").alias("__sa"))
+    return s.withColumns({f"span_{c}": _chain(json_value, ks, own="__sa") for c, ks in _LOG_CHAINS.items()}).drop("__sa")
+
+
+_LOG_FIRST = ["timestamp", "receive_time", "trace_id", "span_id", "service_name", "event_name", "severity_number", "severity_text"]
+_LOG_LAST = ["body", "payload_refs", "attributes", "resource", "instrumentation_scope", "error_type"]
+
+
+def gen_ai_logs(logs: DataFrame, spans: DataFrame) -> DataFrame:
+    """GenAI log records, with what they lack taken from their span. A record of two matching spans stays twice."""
+    names = {"trace_id": "__t", "span_id": "__s", "service_name": "__n", "start_time": "__b"}
+    s = span_facts(spans).withColumnsRenamed(names)
     same = (F.col("trace_id") == F.col("__t")) & (F.col("span_id") == F.col("__s")) & F.col("service_name").eqNullSafe(F.col("__n")) & near("timestamp", "__b")
-    j = rows.join(s, same, "left")
-    chain = {c: F.coalesce(_chain(json_value, ks), _chain(json_value, ks, own="__sa")).alias(c) for c, ks in _LOG_CHAINS.items()}
-    return j.select(
-        "timestamp", "receive_time", "trace_id", "span_id", "service_name", F.col("__event").alias("event_name"), "severity_number", "severity_text", *chain.values(),
-        "body", "payload_refs", "attributes", "resource", "instrumentation_scope", json_value(F.col("__a"), "error.type").alias("error_type"),
-    )
+    j = log_facts(logs).join(s, same, "left")
+    return j.select(*_LOG_FIRST, *[F.coalesce(f"own_{c}", f"span_{c}").alias(c) for c in _LOG_CHAINS], *_LOG_LAST)
 
 
 #: Usage metrics and the dimension each one counts.
@@ -194,31 +207,46 @@ def gen_ai_metrics(metrics: DataFrame) -> DataFrame:
     )
 
 
-def metric_exemplars(gen_ai_points: DataFrame, spans: DataFrame) -> DataFrame:
-    """Each exemplar with ids, and the one span it names: of several the one that ended last."""
-    points = gen_ai_points.select("*", F.posexplode("exemplars").alias("__nth", "__ex"))
-    points = points.where(F.coalesce(F.col("__ex.trace_id"), F.lit("")) != "").where(F.coalesce(F.col("__ex.span_id"), F.lit("")) != "")
-    s = spans.select(
-        F.col("trace_id").alias("__t"), F.col("span_id").alias("__s"), F.col("service_name").alias("__n"), F.col("start_time").alias("span_start_time"), F.col("end_time").alias("span_end_time"),
-        F.col("duration_nano").alias("span_duration_nano"), F.col("name").alias("span_name"), F.col("status.code").alias("span_status_code"), F.col("status.message").alias("span_status_message"),
-        F.col("receive_time").alias("__received"), bag("attributes").alias("__a"), bag("resource.attributes").alias("__r"),
-    )
-    same = (F.col("__t") == F.col("__ex.trace_id")) & (F.col("__s") == F.col("__ex.span_id")) & F.col("__n").eqNullSafe(F.col("service_name")) & near("timestamp", "span_start_time")
-    w = Window.partitionBy("timestamp", "time_unix_nano", "service_name", "metric_name", "metric_type", "point_fingerprint", "__nth").orderBy(
-        F.desc("span_end_time"), F.desc("span_start_time"), F.desc("__received"), F.asc("span_name")
-    )
-    j = points.join(s, same, "left").withColumn("__rank", F.row_number().over(w)).where("__rank = 1")
+def exemplar_facts(gen_ai_points: DataFrame) -> DataFrame:
+    """Each exemplar of a point that names a span."""
+    points = gen_ai_points.select("*", F.posexplode("exemplars").alias("nth", "ex"))
+    return points.where(F.coalesce(F.col("ex.trace_id"), F.lit("")) != "").where(F.coalesce(F.col("ex.span_id"), F.lit("")) != "")
+
+
+def exemplar_span_facts(spans: DataFrame) -> DataFrame:
+    """What is told of an exemplar's span."""
     agent = ["gen_ai.agent.name", "gcp.vertex.agent.name", "resource:gen_ai.agent.name", "gen_ai.main_agent.name", "resource:gen_ai.main_agent.name"]
-    return j.select(
-        F.col("timestamp").alias("metric_timestamp"), "service_name", "metric_name", "metric_unit", "metric_type", "gen_ai_operation_name", "gen_ai_system", "gen_ai_request_model", "gen_ai_response_model",
-        "gen_ai_agent_name", "gen_ai_token_type", "gen_ai_token_modality", F.col("error_type").alias("metric_error_type"), F.col("__ex.time").alias("exemplar_timestamp"),
-        F.col("__ex.value_double").alias("exemplar_value_double"), F.col("__ex.value_int64").alias("exemplar_value_int64"), F.col("__ex.trace_id").alias("trace_id"), F.col("__ex.span_id").alias("span_id"),
-        F.col("__ex.filtered_attributes").alias("exemplar_filtered_attributes"), "span_start_time", "span_end_time", "span_duration_nano", _milliseconds("span_duration_nano").alias("span_duration_ms"),
-        "span_name", "span_status_code", "span_status_message", _chain(json_value, agent).alias("span_gen_ai_agent_name"), json_value(F.col("__a"), "gen_ai.tool.name").alias("span_gen_ai_tool_name"),
+    s = _parsed(spans, __a="attributes", __r="resource.attributes")
+    return s.select(
+        "trace_id", "span_id", "service_name", "receive_time", F.col("start_time").alias("span_start_time"), F.col("end_time").alias("span_end_time"), *[c for c in ("start_hour",) if c in spans.columns],
+        F.col("duration_nano").alias("span_duration_nano"), F.col("name").alias("span_name"), F.col("status.code").alias("span_status_code"), F.col("status.message").alias("span_status_message"),
+        _chain(json_value, agent).alias("span_gen_ai_agent_name"), json_value(F.col("__a"), "gen_ai.tool.name").alias("span_gen_ai_tool_name"),
         _chain(json_value, ["gcp.vertex.agent.session_id", "gen_ai.conversation.id"]).alias("adk_session_id"), json_value(F.col("__a"), "error.type").alias("span_error_type"),
     )
 
 
+#: Columns of exemplars: expressions over points ``m`` and spans ``s``, and names.
+EXEMPLAR_COLUMNS = [
+    ("m.timestamp", "metric_timestamp"), ("m.service_name", "service_name"), ("m.metric_name", "metric_name"), ("m.metric_unit", "metric_unit"), ("m.metric_type", "metric_type"),
+    ("m.gen_ai_operation_name", "gen_ai_operation_name"), ("m.gen_ai_system", "gen_ai_system"), ("m.gen_ai_request_model", "gen_ai_request_model"), ("m.gen_ai_response_model", "gen_ai_response_model"),
+    ("m.gen_ai_agent_name", "gen_ai_agent_name"), ("m.gen_ai_token_type", "gen_ai_token_type"), ("m.gen_ai_token_modality", "gen_ai_token_modality"), ("m.error_type", "metric_error_type"),
+    ("m.ex.time", "exemplar_timestamp"), ("m.ex.value_double", "exemplar_value_double"), ("m.ex.value_int64", "exemplar_value_int64"), ("m.ex.trace_id", "trace_id"), ("m.ex.span_id", "span_id"),
+    ("m.ex.filtered_attributes", "exemplar_filtered_attributes"), ("s.span_start_time", "span_start_time"), ("s.span_end_time", "span_end_time"), ("s.span_duration_nano", "span_duration_nano"),
+    ("round(s.span_duration_nano / 1e6D, 3)", "span_duration_ms"), ("s.span_name", "span_name"), ("s.span_status_code", "span_status_code"), ("s.span_status_message", "span_status_message"),
+    ("s.span_gen_ai_agent_name", "span_gen_ai_agent_name"), ("s.span_gen_ai_tool_name", "span_gen_ai_tool_name"), ("s.adk_session_id", "adk_session_id"), ("s.span_error_type", "span_error_type"),
+]
+EXEMPLAR_KEYS = ["timestamp", "time_unix_nano", "service_name", "metric_name", "metric_type", "point_fingerprint", "nth"]
+
+
+def metric_exemplars(gen_ai_points: DataFrame, spans: DataFrame) -> DataFrame:
+    """Each exemplar with ids, and the one span it names: of several the one that ended last."""
+    m, s = exemplar_facts(gen_ai_points).alias("m"), exemplar_span_facts(spans).alias("s")
+    same = F.expr("s.trace_id = m.ex.trace_id AND s.span_id = m.ex.span_id AND s.service_name <=> m.service_name") & near("m.timestamp", "s.span_start_time")
+    w = Window.partitionBy(*[f"m.{k}" for k in EXEMPLAR_KEYS]).orderBy(F.desc("s.span_end_time"), F.desc("s.span_start_time"), F.desc("s.receive_time"), F.asc("s.span_name"))
+    j = m.join(s, same, "left").withColumn("__rank", F.row_number().over(w)).where("__rank = 1")
+    return j.select(*[F.expr(c).alias(n) for c, n in EXEMPLAR_COLUMNS])
+
+
 # rollups ------------------------------------------------------------------------------------------
 
 
