@@ -52,7 +52,7 @@ class Sizes(NamedTuple):
 
     block: int = 1_000_000
     anchors: int = 2_000_000
-    bytes: int = 2_000_000
+    bytes: int = 3_000_000
     common: int = 20_000
 
 
@@ -194,8 +194,8 @@ class Block(NamedTuple):
     own: np.ndarray
 
 
-def _packed(raw: bytes) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(raw)
+def _packed(raw: bytes, level: int = 3) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(raw)
 
 
 def _unpacked(packed: bytes | pa.Buffer) -> bytes:
@@ -225,7 +225,7 @@ def blocks(docs: DataFrame, block_bytes: int = SIZES.block) -> DataFrame:
         size = 0
 
         def block() -> pa.RecordBatch:
-            columns = [[number], *[[np.array([h[k] for h in held], np.int64).tobytes()] for k in range(3)], [np.array([len(h[3]) for h in held], np.int64).tobytes()], [_packed(b"".join(h[3] for h in held))], [sum(len(h[3]) for h in held)]]
+            columns = [[number], *[[np.array([h[k] for h in held], np.int64).tobytes()] for k in range(3)], [np.array([len(h[3]) for h in held], np.int64).tobytes()], [_packed(b"".join(h[3] for h in held), 6)], [sum(len(h[3]) for h in held)]]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int64(), *[pa.binary()] * 5, pa.int64()))], names=["block", "docs", "k1", "k2", "sizes", "text", "n_bytes"])
 
         for b in row_batches(batches, block_bytes):
@@ -378,23 +378,22 @@ def _grouped(held: DataFrame, buckets: int, sort_buckets: int, min_bytes: int, a
         for number, docs, sizes, text, answers in _one_by_one(batches):
             s = _wanted(_read_block(docs, sizes, text, min_bytes), answers or [], buckets, sort_buckets, min_bytes)
             parts = _parts(s.begin)
-            lengths = np.array([len(t) for t in s.texts], np.int64)
-            columns = [pa.array([k for k, _, _ in parts], pa.int32()), pa.array([number] * len(parts), pa.int64()), pa.array([_packed(b"".join(s.texts[i:j])) for _, i, j in parts], pa.binary())]
-            columns += [pa.array([_packed(c[i:j].tobytes()) for _, i, j in parts], pa.binary()) for c in (lengths.astype(np.int32), s.low, s.high, s.times)]
-            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "texts", "lengths", "low", "high", "times"])
+            numbers = (np.array([len(t) for t in s.texts], np.int64), s.low, s.high, s.times)
+            payloads = [_packed(b"".join([*(c[i:j].tobytes() for c in numbers), *s.texts[i:j]])) for _, i, j in parts]
+            columns = [pa.array(c, t) for c, t in zip(([k for k, _, _ in parts], [number] * len(parts), [j - i for _, i, j in parts], payloads), (pa.int32(), pa.int64(), pa.int32(), pa.binary()))]
+            yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "n", "sent"])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_bucket(batches):
             numbers: dict[bytes, int] = {}
-            which = []
+            which, sent = [], []
             for r in rows:
-                for c in ("texts", "lengths", "low", "high", "times"):
-                    r[c] = _unpacked(r[c])
-                ends = np.cumsum(np.frombuffer(r["lengths"], np.int32)).tolist()
-                which += [numbers.setdefault(r["texts"][i:j], len(numbers)) for i, j in zip([0, *ends], ends)]
-            counts = [len(r["lengths"]) // 4 for r in rows]
+                raw = _unpacked(r["sent"])
+                sent.append(np.frombuffer(raw, np.int64, 4 * r["n"]).reshape(4, -1))
+                ends = (np.cumsum(sent[-1][0]) + 32 * r["n"]).tolist()
+                which += [numbers.setdefault(raw[i:j], len(numbers)) for i, j in zip([32 * r["n"], *ends], ends)]
             texts, which = list(numbers), np.array(which, np.int64)
-            low, high, times = (np.frombuffer(b"".join(r[c] for r in rows), np.int64) for c in ("low", "high", "times"))
+            _, low, high, times = np.concatenate(sent, axis=1)
             least, most, total = np.full(len(texts), (1 << 63) - 1), np.full(len(texts), _NO_ID), np.zeros(len(texts), np.int64)
             np.minimum.at(least, which, low)
             np.maximum.at(most, which, high)
@@ -410,21 +409,21 @@ def _grouped(held: DataFrame, buckets: int, sort_buckets: int, min_bytes: int, a
             digest = np.array([hashlib.blake2b(texts[k][i : i + n], digest_size=16).digest() if digests else b"" for k, i, n in zip(own.tolist(), start.tolist(), size.tolist())], object)
             begin, n = np.searchsorted(own, np.arange(len(texts))), np.bincount(own, minlength=len(texts))
             at = 0
-            for r, count in zip(rows, counts):
-                mine = which[at : at + count]
-                at += count
+            for r, x in zip(rows, sent):
+                mine = which[at : at + r["n"]]
+                at += r["n"]
                 members = n[mine]
-                place = np.repeat(np.arange(count), members)
+                place = np.repeat(np.arange(len(mine)), members)
                 if not len(place):
                     continue
                 k = np.repeat(begin[mine] - np.cumsum(members) + members, members) + np.arange(len(place))
                 if not digests:
-                    later = lo[k] < np.frombuffer(r["high"], np.int64)[place]
+                    later = lo[k] < x[2][place]
                     place, k = place[later], k[later]
                 columns = [pa.array([r["block"]], pa.int64()), pa.array([r["bucket"]], pa.int32()), *(pa.array([_packed(c.tobytes())], pa.binary()) for c in (place, start[k], size[k], lo[k])), pa.array([b"".join(digest[k].tolist())], pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names=["block", "bucket", *_MEMBERS, "digest"])
 
-    sent = held.select("block", "docs", "sizes", "text", "answers").mapInArrow(send, "bucket int, block long, texts binary, lengths binary, low binary, high binary, times binary")
+    sent = held.select("block", "docs", "sizes", "text", "answers").mapInArrow(send, "bucket int, block long, n int, sent binary")
     return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(scan, _GROUPED)
 
 
