@@ -80,3 +80,17 @@ def log_fingerprints(rows: DataFrame) -> DataFrame:
 
 def metric_fingerprints(rows: DataFrame) -> DataFrame:
     return with_fingerprint(rows, metric_fields(), "point_fingerprint")
+
+
+def retry_subset(rows: DataFrame, fields: dict[str, Column] | None = None) -> DataFrame:
+    """Of the stored records of batches those to send again, so that each keeps its number and fingerprint.
+
+    ``rows`` (as of ``backfill.transformed`` before helper columns are dropped) has two truth columns: ``sent`` (delivered to the
+    service, whether acknowledged or not) and ``retry`` (not acknowledged). A record is sent again if it is to be retried, or was sent and has
+    the same content as one of its batch that is: its number among equal records is only right if they come along. Records
+    that were acknowledged come twice and fall together by their fingerprints. A record marked for retry but not as sent is kept all the same.
+    """
+    framed_rows = rows.withColumn("__frame", F.sha2(framed(log_fields(rows) if fields is None else fields), 256)).where(F.col("reason").isNull())
+    owed = framed_rows.where("retry").select(F.col("batch").alias("__batch"), F.col("__frame").alias("__owed")).distinct()
+    same = (F.col("batch") == F.col("__batch")) & (F.col("__frame") == F.col("__owed"))
+    return framed_rows.where("sent OR retry").join(owed, same, "left_semi").drop("__frame")

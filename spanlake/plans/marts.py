@@ -2,7 +2,7 @@
 
 The window's start is fixed once for a run. It goes back three hours to the full hour, and further
 if the run before didn't end: until a run is committed, the next one covers its window again. So a
-run that breaks off between two tables is repaired by the next.
+run that breaks off between two tables is repaired by the next. ``versions`` commits all marts of a run at once.
 """
 
 from __future__ import annotations
@@ -13,6 +13,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.stage import exists as _exists
 from ..operators.stage import staged
 from . import trajectory as trees
 from . import views
@@ -22,11 +23,6 @@ EPOCH = datetime(1970, 1, 1)
 _ISO = re.compile(r"\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}(\.\d{1,6})?(Z|\+00:00)")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def run_window(spark: SparkSession, root: str, run_ts: str | None = None) -> tuple[datetime, datetime]:
     """(run time, window start) of a new run, booked as not committed. ``run_ts`` is an ISO time in UTC."""
     if run_ts and not _ISO.fullmatch(run_ts):
@@ -82,20 +78,25 @@ def staging(gen_ai: DataFrame, root: str, start: datetime) -> DataFrame:
     return gen_ai.sparkSession.read.parquet(f"{root}/stg_spans_dedup")
 
 
-def trajectory_mart(spans: DataFrame, root: str, start: datetime) -> DataFrame:
-    """Every trace touched in the window is computed anew from its spans since a day before."""
-    spark, path = spans.sparkSession, f"{root}/m_gen_ai_agent_trajectory"
+def trajectory_rows(spans: DataFrame, old: DataFrame | None, start: datetime) -> tuple[DataFrame, datetime]:
+    """The mart's rows from the given day on: every trace touched in the window is computed anew from its spans since a day before."""
     near = _since(spans, "start_time", start - CONTEXT) if start > EPOCH else spans
     touched = staged(_since(spans, "start_time", start).select(F.col("trace_id").alias("t_trace"), F.col("service_name").alias("t_service")).distinct(), "touched")
     same = (F.col("trace_id") == F.col("t_trace")) & F.col("service_name").eqNullSafe(F.col("t_service"))
     fresh = trees.trajectory(near.join(touched, same, "left_semi")).drop("status_message").withColumn("start_date", F.to_date("start_time"))
     first = start - CONTEXT if start > EPOCH else start
     day = datetime(first.year, first.month, first.day)
-    if _exists(spark, path):
-        old = spark.read.parquet(path)
+    if old is not None:
         untouched = old.join(touched, same, "left_anti").where(F.col("start_date") >= F.lit(day).cast("date"))
         before = old.join(touched, same, "left_semi").where((F.col("start_date") >= F.lit(day).cast("date")) & (F.col("start_time") < F.lit(first).cast("timestamp")))
         fresh = fresh.unionByName(untouched).unionByName(before)
+    return fresh, day
+
+
+def trajectory_mart(spans: DataFrame, root: str, start: datetime) -> DataFrame:
+    """Every trace touched in the window is computed anew from its spans since a day before."""
+    spark, path = spans.sparkSession, f"{root}/m_gen_ai_agent_trajectory"
+    fresh, day = trajectory_rows(spans, spark.read.parquet(path) if _exists(spark, path) else None, start)
     replace_partitions(fresh, path, "start_date", day)
     return spark.read.parquet(path)
 

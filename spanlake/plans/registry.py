@@ -16,12 +16,12 @@ VIEWS: list[tuple[str, str, Callable[[Read], DataFrame]]] = [
     ("otel_spans_dedup", "otel_spans", lambda t: dedup.spans_dedup(t("otel_spans"))),
     ("otel_spans_as_allspans", "otel_spans", lambda t: views.all_spans(t("otel_spans_dedup"))),
     ("v_gen_ai_spans", "otel_spans", lambda t: views.gen_ai_spans(t("otel_spans_dedup"))),
-    ("v_gen_ai_model_costs", "otel_spans", lambda t: views.model_costs(t("v_gen_ai_spans"))),
-    ("v_gen_ai_sessions", "otel_spans", lambda t: views.sessions(t("v_gen_ai_spans"))),
-    ("v_gen_ai_tool_usage", "otel_spans", lambda t: views.tool_usage(t("v_gen_ai_spans"))),
+    ("v_gen_ai_model_costs", "otel_spans", lambda t: views.model_costs(views.gen_ai_spans(t("otel_spans_dedup"), partition=True))),
+    ("v_gen_ai_sessions", "otel_spans", lambda t: views.sessions(views.gen_ai_spans(t("otel_spans_dedup"), partition=True))),
+    ("v_gen_ai_tool_usage", "otel_spans", lambda t: views.tool_usage(views.gen_ai_spans(t("otel_spans_dedup"), partition=True))),
     ("v_gen_ai_agent_trajectory", "otel_spans", lambda t: table_functions.trajectory_view(t("v_gen_ai_spans").sparkSession, t("v_gen_ai_spans"))),
     ("v_mcp_spans", "otel_spans", lambda t: views.mcp_spans(t("otel_spans_dedup"))),
-    ("v_mcp_tool_usage", "otel_spans", lambda t: views.mcp_tool_usage(t("v_mcp_spans"))),
+    ("v_mcp_tool_usage", "otel_spans", lambda t: views.mcp_tool_usage(views.mcp_spans(t("otel_spans_dedup"), partition=True))),
     ("otel_logs_dedup", "otel_logs", lambda t: dedup.logs_dedup(t("otel_logs"))),
     ("v_gen_ai_logs", "otel_logs", lambda t: views.gen_ai_logs(t("otel_logs_dedup"), t("otel_spans_dedup"))),
     ("otel_metrics_dedup", "otel_metrics", lambda t: dedup.metrics_dedup(t("otel_metrics"))),

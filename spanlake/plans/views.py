@@ -79,8 +79,16 @@ def all_spans(spans: DataFrame) -> DataFrame:
     return spans.select(*names, status, "resource", "resource_schema_url", "instrumentation_scope", "scope_schema_url")
 
 
-def gen_ai_spans(spans: DataFrame) -> DataFrame:
-    """Spans with GenAI attributes, promoted to typed columns."""
+HOUR = "start_hour"
+
+
+def _hour(df: DataFrame) -> Column:
+    """The hour of a span: the partition's where it is carried along, so that a bound on the hour prunes partitions."""
+    return F.col(HOUR) if HOUR in df.columns else F.date_trunc("hour", "start_time")
+
+
+def gen_ai_spans(spans: DataFrame, partition: bool = False) -> DataFrame:
+    """Spans with GenAI attributes, promoted to typed columns; with ``partition`` also the table's hour, for rollups."""
     s = _parsed(spans, __a="attributes", __r="resource.attributes").where(_any_key(_SPAN_MARKS))
     text = {c: json_value(F.col("__a"), k) for c, k in _SPAN_TEXT.items()}
     chains = {c: _chain(f, ks) for c, (f, ks) in _SPAN_CHAINS.items()}
@@ -100,11 +108,12 @@ def gen_ai_spans(spans: DataFrame) -> DataFrame:
         "start_time", "end_time", "duration_nano", _milliseconds("duration_nano").alias("duration_ms"), "trace_id", "span_id", "parent_span_id", "service_name",
         F.col("name").alias("span_name"), F.col("kind").alias("span_kind"), F.col("status.code").alias("status_code"), F.col("status.message").alias("status_message"),
         *[promoted[c].alias(c) for c in first], "payload_refs", "attributes", "resource", "instrumentation_scope", "events", "links", *[promoted[c].alias(c) for c in last],
+        *([HOUR] if partition and HOUR in spans.columns else []),
     )
 
 
-def mcp_spans(spans: DataFrame) -> DataFrame:
-    """Spans of the Model Context Protocol, and whether the GenAI view has them too."""
+def mcp_spans(spans: DataFrame, partition: bool = False) -> DataFrame:
+    """Spans of the Model Context Protocol, and whether the GenAI view has them too; ``partition`` as of ``gen_ai_spans``."""
     s = _parsed(spans, __a="attributes").where(_any_key(["mcp.method.name", "mcp.session.id", "mcp.resource.uri"]))
     v = lambda k: json_value(F.col("__a"), k)
     return s.select(
@@ -117,6 +126,7 @@ def mcp_spans(spans: DataFrame) -> DataFrame:
         v("error.type").alias("error_type"), v("server.address").alias("server_address"), lax_int64(F.col("__a"), "server.port").alias("server_port"),
         v("network.transport").alias("network_transport"), F.coalesce(v("mcp.method.name") == "tools/call", F.lit(False)).alias("is_tool_call"),
         _any_key(_SPAN_MARKS).alias("also_in_gen_ai_view"), "payload_refs", "attributes", "resource", "instrumentation_scope",
+        *([HOUR] if partition and HOUR in spans.columns else []),
     )
 
 
@@ -259,12 +269,16 @@ def top_counts(df: DataFrame, keys: list[str], value: str, out: str = "top_error
     return best.groupBy(*keys).agg(F.transform(packed, lambda x: F.struct(x["value"].alias("value"), x["count"].alias("count"))).alias(out))
 
 
+TIME_KEYS = ["usage_hour", "session_start_date"]
+
+
 def with_top(agg: DataFrame, top: DataFrame, keys: list[str], out: str = "top_error_types") -> DataFrame:
     """Joins the top counts to the rollup; groups without any value get an empty array."""
     t = top.select(*[F.col(k).alias(f"__k{i}") for i, k in enumerate(keys)], out)
     same = F.lit(True)
     for i, k in enumerate(keys):
-        same = same & F.col(k).eqNullSafe(F.col(f"__k{i}"))
+        # times are never NULL; by a plain equality a bound on them reaches both sides
+        same = same & (F.col(k) == F.col(f"__k{i}") if k in TIME_KEYS else F.col(k).eqNullSafe(F.col(f"__k{i}")))
     empty = F.array().cast("array<struct<value:string,count:bigint>>")
     return agg.join(t, same, "left").select(*agg.columns, F.coalesce(F.col(out), empty).alias(out))
 
@@ -307,10 +321,15 @@ def _total(column: str, when: Column | None = None) -> Column:
 COST_KEYS = ["usage_hour", "service_name", "gen_ai_agent_name", "provider", "model"]
 
 
+def llm_calls(g: DataFrame) -> DataFrame:
+    """Calls of models that count once, with hour, provider and model."""
+    s = with_token_leaf(g.withColumn("usage_hour", _hour(g)), ["usage_hour", "service_name", "trace_id"])
+    return s.where(llm_call()).withColumns({"provider": F.coalesce("gen_ai_provider_name", "gen_ai_system"), "model": F.coalesce("gen_ai_response_model", "gen_ai_request_model")})
+
+
 def model_costs(g: DataFrame, exact: bool = True) -> DataFrame:
     """Hourly calls, errors, tokens and latencies of models."""
-    s = with_token_leaf(g.withColumn("usage_hour", F.date_trunc("hour", "start_time")), ["usage_hour", "service_name", "trace_id"])
-    s = s.where(llm_call()).withColumns({"provider": F.coalesce("gen_ai_provider_name", "gen_ai_system"), "model": F.coalesce("gen_ai_response_model", "gen_ai_request_model")})
+    s = llm_calls(g)
     agg = s.groupBy(*COST_KEYS).agg(
         F.count("*").alias("call_count"), F.count_if(F.col("status_code") == 2).alias("error_count"),
         *[_total(f"gen_ai_usage_{c}_tokens").alias(f"total_{c}_tokens") for c in ("input", "output", "cache_read_input", "cache_creation_input", "reasoning")],
@@ -325,7 +344,7 @@ SESSION_KEYS = ["service_name", "session_start_date", "session_id"]
 
 def sessions(g: DataFrame) -> DataFrame:
     """Sessions by service and UTC date. Where the reference takes any value, the smallest is taken."""
-    s = g.withColumns({"session_start_date": F.to_date("start_time"), "session_id": F.coalesce("adk_session_id", "gen_ai_conversation_id")})
+    s = g.withColumns({"session_start_date": F.to_date(_hour(g)), "session_id": F.coalesce("adk_session_id", "gen_ai_conversation_id")})
     s = with_token_leaf(s.where("session_id IS NOT NULL"), [*SESSION_KEYS, "trace_id"])
     s = s.withColumn("is_llm_call", F.coalesce(llm_call(), F.lit(False)))
     op, leaf = F.col("gen_ai_operation_name"), F.col("is_token_leaf")
@@ -353,7 +372,7 @@ TOOL_KEYS = ["usage_hour", "service_name", "gen_ai_agent_name", "gen_ai_tool_nam
 
 def tool_usage(g: DataFrame, exact: bool = True) -> DataFrame:
     """Hourly calls, errors and latencies of tools."""
-    s = g.where((F.col("gen_ai_operation_name") == "execute_tool") | F.col("gen_ai_tool_name").isNotNull()).withColumn("usage_hour", F.date_trunc("hour", "start_time"))
+    s = g.where((F.col("gen_ai_operation_name") == "execute_tool") | F.col("gen_ai_tool_name").isNotNull()).withColumn("usage_hour", _hour(g))
     errors = F.count_if(F.col("status_code") == 2)
     agg = s.groupBy(*TOOL_KEYS).agg(
         F.count("*").alias("call_count"), errors.alias("error_count"), (errors / F.count("*")).alias("error_rate"),
@@ -367,7 +386,7 @@ MCP_KEYS = ["usage_hour", "service_name", "mcp_method_name", "mcp_protocol_versi
 
 def mcp_tool_usage(m: DataFrame, exact: bool = True) -> DataFrame:
     """Hourly calls, errors and latencies of protocol methods; errors also count by type."""
-    s = m.withColumns({"usage_hour": F.date_trunc("hour", "start_time"), "mcp_target_name": F.coalesce("gen_ai_tool_name", "mcp_resource_uri", "gen_ai_prompt_name")})
+    s = m.withColumns({"usage_hour": _hour(m), "mcp_target_name": F.coalesce("gen_ai_tool_name", "mcp_resource_uri", "gen_ai_prompt_name")})
     errors = F.count_if((F.col("status_code") == 2) | F.col("error_type").isNotNull())
     agg = s.groupBy(*MCP_KEYS).agg(
         F.count("*").alias("call_count"), F.count_if("also_in_gen_ai_view").alias("gen_ai_tagged_call_count"), errors.alias("error_count"), F.count("error_type").alias("typed_error_count"),

@@ -124,6 +124,23 @@ def records(lines: DataFrame, signal: str) -> DataFrame:
     ).select("batch", F.struct("i", "j", "k").alias("place"), "resource_text", "resource_schema_url", "scope_text", "scope_schema_url", "record")
 
 
+def requests(rows: DataFrame, signal: str) -> DataFrame:
+    """Records as export requests again (column ``value``), one for each batch, with the resources and scopes that still have records, in
+    their old order. ``rows``: those of ``records`` or of the readers, all or some."""
+    top, middle, leaf = SIGNALS[signal]
+    parts = {c: F.col(c) for c in ("resource_text", "scope_text", "resource_schema_url", "scope_schema_url")}
+    ordered = lambda at, text: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(at.alias("at"), text.alias("text")))), lambda x: x["text"]), ",")
+    named = lambda name, text: F.concat(F.lit(f'"{name}":'), F.coalesce(text, F.lit("{}")))
+    url = lambda c: members(F.col(c).alias("schemaUrl"))
+    r = rows.select("batch", F.col("place.i").alias("i"), F.col("place.j").alias("j"), F.col("place.k").alias("k"), "record", *[c.alias(n) for n, c in parts.items()])
+    scopes = r.groupBy("batch", "i", "j").agg(ordered(F.col("k"), F.col("record")).alias("records"), *[F.first(n).alias(n) for n in parts])
+    inner = F.concat(F.lit("{"), F.concat_ws(",", named("scope", F.col("scope_text")), url("scope_schema_url"), F.concat(F.lit(f'"{leaf}":['), "records", F.lit("]"))), F.lit("}"))
+    resources = scopes.withColumn("inner", inner).groupBy("batch", "i").agg(ordered(F.col("j"), F.col("inner")).alias("scopes"), *[F.first(n).alias(n) for n in ("resource_text", "resource_schema_url")])
+    outer = F.concat(F.lit("{"), F.concat_ws(",", named("resource", F.col("resource_text")), url("resource_schema_url"), F.concat(F.lit(f'"{middle}":['), "scopes", F.lit("]"))), F.lit("}"))
+    batches = resources.withColumn("outer", outer).groupBy("batch").agg(ordered(F.col("i"), F.col("outer")).alias("resources"))
+    return batches.select(F.concat(F.lit(f'{{"{top}":['), "resources", F.lit("]}")).alias("value"))
+
+
 def members(*columns: Column) -> Column:
     """Columns that aren't NULL as members of a JSON object, without its braces; NULL if there are none."""
     text = F.to_json(F.struct(*columns))

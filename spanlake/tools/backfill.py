@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, Row, SparkSession
@@ -10,7 +11,8 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.anyvalue import Limits, Redaction
 from ..operators import fingerprint, offload, quality
-from ..operators.stage import staged, unstage
+from ..operators.stage import exists, staged, unstage
+from ..plans import registry
 from ..sources import archive, otlp
 
 TABLES = {"traces": "otel_spans", "logs": "otel_logs", "metrics": "otel_metrics"}
@@ -30,12 +32,21 @@ def transformed(lines: DataFrame, signal: str, limits: Limits = Limits(), redact
 BATCH = "ingest_batch"
 
 
+def trace_lookup(df: DataFrame, expected: int = 1_000_000) -> dict[str, str]:
+    """Options of a Parquet writer: Bloom filters of trace and span, so that a lookup skips row groups without them."""
+    found: dict[str, str] = {}
+    for c in ("trace_id", "span_id"):
+        if c in df.columns:
+            found |= {f"parquet.bloom.filter.enabled#{c}": "true", f"parquet.bloom.filter.expected.ndv#{c}": str(expected), f"parquet.bloom.filter.adaptive.enabled#{c}": "true"}
+    return found
+
+
 def append(df: DataFrame, root: str, table: str, batch: str) -> None:
     """Writes a batch's rows to a table, partitioned by its time and the batch and sorted within files. The same batch
     written again takes the place of what it wrote before."""
     _, (partition, expression), order = schemas.TABLES[table]
     rows = df.withColumns({partition: F.expr(expression), BATCH: F.lit(batch)}).repartition(partition, *order[:1]).sortWithinPartitions(partition, *order)
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition, BATCH).parquet(f"{root}/{table}")
+    rows.write.options(**trace_lookup(df)).mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition, BATCH).parquet(f"{root}/{table}")
 
 
 def ingest(lines: DataFrame, root: str, batch: str, signals: tuple[str, ...] = tuple(TABLES), **options: object) -> list[tuple[str, int, int, int]]:
@@ -87,6 +98,46 @@ def replay(quarantined: DataFrame, signal: str, limits: Limits = Limits(), **fil
     return transformed(lines, signal, limits)
 
 
+def with_payloads(quarantined: DataFrame, objects: DataFrame | None) -> DataFrame:
+    """Quarantined rows with the payloads that they name by ``payload_ref``, from the object table (``uri, content``); what isn't
+    there stays without."""
+    if objects is None:
+        return quarantined
+    held = objects.select(F.col("uri").alias("payload_ref"), F.decode("content", "UTF-8").alias("__content")).dropDuplicates(["payload_ref"])
+    found = quarantined.join(held, "payload_ref", "left")
+    return found.select(*[F.coalesce("raw_payload", "__content").alias(c) if c == "raw_payload" else F.col(c) for c in quarantined.columns])
+
+
+CURSORS = "_replay_cursors"
+
+
+def replay_job(quarantined: DataFrame, root: str, job: str, signal: str, batch_rows: int = 100_000, max_batches: int | None = None, objects: DataFrame | None = None, limits: Limits = Limits(), **filters: object) -> list[tuple[int, int, int]]:
+    """Replays the quarantined records of a signal into the tables below ``root``, ``batch_rows`` at a time in their canonical
+    order; gives (records, stored, rejected) of each batch. The cursor of a job is stored after each batch: a job that
+    stopped goes on behind it, and a batch that was written but not booked is written over."""
+    spark = quarantined.sparkSession
+    rows = staged(with_payloads(quarantined.where(F.col("signal") == signal), objects), "quarantined")
+    scan = staged(quality.replayable(rows, signal, **filters), "scan")
+    path, order = f"{root}/{CURSORS}/job={job}", ["ingest_time", "row_fp", "row_ord", "row_key"]
+    done: list[tuple[int, int, int]] = []
+    while max_batches is None or len(done) < max_batches:
+        booked = spark.read.parquet(path).orderBy(F.desc("batch")).first() if exists(spark, path) else None
+        rest = resume(scan, booked) if booked else scan
+        part = staged(rest.orderBy(*order).limit(batch_rows), "part")
+        last = part.orderBy(*[F.desc(c) for c in order]).select(*quality.CURSOR).first()
+        if last is None:
+            break
+        number = booked["batch"] + 1 if booked else 0
+        found = staged(transformed(part.select("value"), signal, limits), "rows")
+        append(quality.accepted(found), root, TABLES[signal], f"replay-{job}-{number}")
+        done.append(tuple(found.agg(F.count("*"), F.count_if(F.col("reason").isNull()), F.count("reason")).first()))
+        cursor = spark.createDataFrame([(*last, number)], f"{scan.select(*quality.CURSOR).schema.simpleString()[7:-1].replace(':', ' ')}, batch int")
+        cursor.coalesce(1).write.mode("append").parquet(path)
+        unstage(part, found)
+    unstage(rows, scan)
+    return done
+
+
 def resume(scan: DataFrame, cursor: Row | dict) -> DataFrame:
     """Rows of ``canonical`` or ``replayable`` behind a cursor (a row of such a scan, or its columns of ``CURSOR``).
 
@@ -117,6 +168,43 @@ def validate(tables: dict[str, DataFrame]) -> list[tuple[str, str, str]]:
     return found
 
 
+#: Of each view the column of time that readers filter by.
+VIEW_TIMES = {
+    "otel_spans_as_allspans": "start_time", "v_gen_ai_spans": "start_time", "v_gen_ai_model_costs": "usage_hour", "v_gen_ai_sessions": "session_start_date", "v_gen_ai_tool_usage": "usage_hour",
+    "v_gen_ai_agent_trajectory": "start_time", "v_mcp_spans": "start_time", "v_mcp_tool_usage": "usage_hour", "v_gen_ai_logs": "timestamp", "v_gen_ai_metrics": "timestamp", "v_gen_ai_metric_exemplars": "metric_timestamp",
+}
+
+
+def scans(df: DataFrame) -> list[tuple[bool, bool]]:
+    """Of each file scan in a query's plan: whether it prunes partitions, and whether a filter on values reaches it."""
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    found = []
+    for text in plan.split("FileScan ")[1:]:
+        part, pushed = (re.search(name + r": \[(.*?)\](?:, [A-Z]|$)", text.partition("\n")[0]) for name in ("PartitionFilters", "PushedFilters"))
+        bounds = lambda m: bool(m) and bool(re.search(r">|<|=|Greater|Less|dynamicpruning", m[1]))
+        found.append((bounds(part), bounds(pushed)))
+    return found
+
+
+def validate_views(spark: SparkSession, names: list[str], since: str = "2024-01-01 00:00:00") -> list[tuple[str, str, str]]:
+    """(view, pass, warn or fail, why) of registered views, by the plan of a read from a time on: pass if partitions are pruned in
+    all its scans, warn if the bound reaches the scans as a filter on values only (row groups are skipped, files are opened) or
+    the view can't prune by design, fail if it reads a table whole."""
+    out = []
+    for name, column in VIEW_TIMES.items():
+        if name not in names:
+            out.append((name, "skip", "not registered"))
+            continue
+        view = spark.table(name)
+        found = scans(view.where(F.col(column) >= F.lit(since).cast("timestamp").cast(view.schema[column].dataType)))
+        if not found or not all(a or b for a, b in found):
+            by_design = name in registry.UNPRUNABLE
+            out.append((name, "warn" if by_design else "fail", "it can't prune: read it by its table function" if by_design else "it reads a table whole"))
+        else:
+            out.append((name, *(("pass", "") if all(a for a, _ in found) else ("warn", "files are opened, row groups skipped"))))
+    return out
+
+
 def workload(spark: SparkSession, requests: int, partitions: int = 8) -> DataFrame:
     """Seeded export requests of agent traces (column ``value``), each an agent, a model call, a tool call and another model call."""
     kv = lambda k, v: F.concat(F.lit(f'{{"key":"{k}","value":{{"stringValue":"'), v, F.lit('"}}'))
