@@ -8,11 +8,13 @@ what remains are summed, normalised by length, and mapped to a probability.
 
 Weights are learned as log odds of an entry in toxic and other labelled documents; the mapping
 is a logistic regression on the weight sum and the weight per word. Both are fitted on a sample
-of at most ``SAMPLE`` labelled documents of each class, chosen by a hash of the identifier; all
+of at most ``SAMPLE`` labelled documents of each class, chosen by a hash of the identifier, of which near copies count once; all
 other steps see every document. Without labels, the built-in entries and a fixed mapping apply.
-At most ``ENTRIES`` entries are learned, the best ones. Beginnings of 4 to 11 letters can be
-entries, and whole words of any length. ``EVIDENCE`` is a sum of log odds, as a test for one word
-needs it, so it doesn't follow the number of labels.
+At most ``ENTRIES`` entries are learned, the best ones. What an entry needs follows the number of labels: that so many of
+its documents are toxic by chance has to be unlikely, also for the luckiest of all candidates (``CHANCE``).
+Whole words come first. A beginning of a word (from ``SHORTEST`` letters on) has to have several continuations that are toxic
+themselves, none of which makes most of it: the first letters of one toxic word are no entry, as harmless words share them. Of
+beginnings that stand in nearly the same documents the longest is taken.
 
 Defined cases: null and empty texts have no entries and so the lowest score; repeated rows are
 scored each; a null identifier is scored and not held out; a document with several labels counts
@@ -35,10 +37,11 @@ from pyspark.sql import functions as F
 from .common import row_batches, staged, text_bytes, unstage
 from .shingles import shingle_set
 
-#: Labelled documents of each class that are fitted on, entries that are learned at most, and what an entry needs:
-#: toxic documents that have it, and these times its log odds (a few copies of one document are too little).
-#: From ``CLEAR`` log odds on an entry counts as one that clean documents don't have.
-SAMPLE, ENTRIES, SUPPORT, EVIDENCE, CLEAR = 3_000, 1_000, 3, 40.0, 4.0
+#: Labelled documents of each class that are fitted on, entries that are learned at most, toxic documents that an entry needs, and how likely
+#: a candidate may be by chance, all candidates taken together. From ``CLEAR`` log odds on an entry counts as one that clean documents don't have.
+SAMPLE, ENTRIES, SUPPORT, CHANCE, CLEAR = 3_000, 1_000, 3, 0.01, 4.0
+#: Of a beginning: continuations that are toxic, their share, and the most that one of them may make of its toxic documents.
+FORMS, FORM_SHARE, ONE_FORM = 5, 0.6, 0.5
 THRESHOLD = 0.3
 SHORTEST, LONGEST = 4, 11
 
@@ -208,10 +211,33 @@ def _logistic(x: np.ndarray, y: np.ndarray, w: np.ndarray, rounds: int = 60, rid
 FALLBACK = (-3.0, 1.0, 1.5)
 
 
-def _chosen(ranked: list[tuple[str, float]], labelled: DataFrame) -> dict[str, float]:
-    """Of the entries, best first, those that aren't longer forms of a better one. An entry that clean
-    documents have as well must also bring its evidence from toxic documents that no better one is in."""
-    known = {e for e, _ in ranked}
+def _evidence(pos: int, neg: int) -> Column:
+    """By how much, in natural logarithms, it is unlikely that so many of an entry's documents are toxic by chance (a bound)."""
+    rate = pos / (pos + neg)
+    t, o = F.col("toxic"), F.col("other")
+    part = lambda k, r: F.when(k > 0, k * F.log(k / ((t + o) * r))).otherwise(0.0)
+    return F.when(t > (t + o) * rate, part(t, rate) + part(o, 1 - rate)).otherwise(0.0)
+
+
+def _with_forms(counted: DataFrame, pos: int, neg: int) -> DataFrame:
+    """Beginnings that have several continuations which are toxic themselves."""
+    words = counted.where(F.col("entry").endswith(" ")).select(F.expr("substring(entry, 1, length(entry) - 1)").alias("word"), "toxic", (F.col("toxic") * neg > 2 * F.col("other") * pos).alias("bad"))
+    starts = words.select(F.explode(F.expr(f"transform(sequence({SHORTEST} + 1, least(length(word), {LONGEST} + 1)), n -> substring(word, 1, n))")).alias("entry"), "word", "toxic", "bad").where(F.length("word") > SHORTEST)
+    forms = starts.groupBy("entry").agg(F.count_if("bad").alias("bad"), F.count("*").alias("forms"), F.max("toxic").alias("top"), F.sum("toxic").alias("total"))
+    enough = (F.col("bad") >= FORMS) & (F.col("bad") >= FORM_SHARE * F.col("forms")) & (F.col("top") <= ONE_FORM * F.col("total"))
+    return counted.where(~F.col("entry").endswith(" ")).join(forms.where(enough).select("entry"), "entry")
+
+
+def _chosen(words: list[tuple[str, float, float]], beginnings: list[tuple[str, float, float]], labelled: DataFrame, needed: float) -> dict[str, float]:
+    """Of candidates (entry, weight, toxic documents), best first: beginnings, the longest of those with nearly the same documents,
+    and words. A word that clean documents have as well must also bring its evidence from toxic documents that no better entry is in."""
+    entries: dict[str, float] = {}
+    for e, _, n in beginnings:
+        if any(e.startswith(k) or k.startswith(e) for k in entries):
+            continue
+        longest = max((b for b in beginnings if b[0].startswith(e) and b[2] >= 0.95 * n), key=lambda b: len(b[0]))
+        entries[longest[0]] = longest[1]
+    known = {e for e, _, _ in words}
 
     def reach(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in row_batches(batches, 4_000_000):
@@ -221,11 +247,10 @@ def _chosen(ranked: list[tuple[str, float]], labelled: DataFrame) -> dict[str, f
     for i, r in enumerate(labelled.where("toxic = 1").select("text").mapInArrow(reach, "entries array<string>").collect()):  # at most per_class rows
         for e in r["entries"]:
             within.setdefault(e, set()).add(i)
-    entries: dict[str, float] = {}
     reached: set[int] = set()
-    for e, w in ranked:
+    for e, w, _ in words:
         fresh = within.get(e, set()) - reached
-        if any(e.startswith(k) for k in entries) or (w < CLEAR and len(fresh) * w < EVIDENCE):
+        if any(e.startswith(k) for k in entries) or (w < CLEAR and len(fresh) * w < needed):
             continue
         entries[e] = w
         reached |= fresh
@@ -245,12 +270,19 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: int = 2, per_class: int =
     whole = {r["toxic"]: r["count"] for r in _labelled(labels, held_out).groupBy("toxic").count().collect()}
     share = {0: whole[0] / neg, 1: whole[1] / pos}
     odds = F.log((F.col("toxic") + 0.5) / (pos + 1)) - F.log((F.col("other") + 0.5) / (neg + 1))
-    good = _counted(labelled).where(F.col("toxic") >= SUPPORT).withColumn("weight", odds).where("weight > 1.5")
-    # entries that tell most come first; of equal ones the shorter, which covers more
-    good = good.withColumn("worth", F.col("weight") * F.col("toxic")).where(F.col("worth") >= EVIDENCE)
-    good = good.orderBy(F.desc("worth"), F.length("entry"), "entry").limit(ENTRIES)
-    ranked = [(r["entry"], r["weight"]) for r in good.select("entry", "weight").collect()]  # at most ENTRIES rows
-    entries = _chosen(ranked, labelled)
+    counted = staged(_counted(labelled).where(F.col("toxic") > 0).withColumns({"weight": odds, "evidence": _evidence(pos, neg)}), "entries")
+    common = F.col("toxic") >= SUPPORT
+
+    def best(candidates: DataFrame) -> tuple[list[tuple[str, float, float]], float]:
+        """The best candidates, and the evidence that they need: more, the more there are."""
+        needed = math.log(max(candidates.where(common).count(), 1) / CHANCE)
+        good = candidates.where(common & (F.col("weight") > 1.5) & (F.col("evidence") >= needed))
+        rows = good.orderBy(F.desc("evidence"), F.desc(F.length("entry")), "entry").limit(ENTRIES).select("entry", "weight", "toxic").collect()  # at most ENTRIES rows
+        return [(r["entry"], r["weight"], r["toxic"]) for r in rows], needed
+
+    words, needed = best(counted.where(F.col("entry").endswith(" ")))
+    entries = _chosen(words, best(_with_forms(counted, pos, neg))[0], labelled, needed)
+    unstage(counted)
     entries = {e: w for e, w in built_in.items() if e not in entries and not any(e.startswith(k) for k in entries)} | entries
     model = Model(entries, FALLBACK)
 

@@ -138,14 +138,42 @@ def test_long_and_repeated_texts(spark):
     assert len(found) == 4 and len({r.score for r in found if r.doc_id == 2}) == 2
 
 
-def test_held_out_fold(spark):
-    """Of the fold that nothing was learned from: most toxic documents are found, few others rejected."""
+#: Harmless words that begin like a toxic one, and harmless sentences.
+HARMLESS = ["Follow the path.", "It is worth the trip", "He is from Morocco.", "a disguise", "clowning around", "losers weep", "the stupa", "trasher", "a reasonable achievement of the team", "scumble the paint"]
+
+
+@pytest.mark.parametrize(("sf", "recall"), [("sf0.01", 0.6), ("sf0.1", 0.9)])
+def test_held_out_fold(spark, sf, recall):
+    """Of the fold that nothing was learned from: most toxic documents are found (of 0.01, whose 51 toxic ones are too few to learn other
+    languages from, those in English), few others rejected, and plain words that share letters with an entry stay clean."""
     from pyspark.sql import functions as F
 
     from spanlake.llm.common import read_table
 
-    d = "/root/testdata/sf0.1"
+    d = f"/root/testdata/{sf}"
     docs, labels = read_table(spark, d, "documents"), read_table(spark, d, "labels")
-    scored = toxicity.score(docs, toxicity.fit(docs, labels)).where("held_out").join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id").collect()
+    model = toxicity.fit(docs, labels)
+    scored = toxicity.score(docs, model).where("held_out").join(labels.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "doc_id").collect()
     hits = sum(r.predicted and r.toxic for r in scored)
-    assert hits >= 0.8 * sum(r.toxic for r in scored) and hits >= 0.9 * sum(r.predicted for r in scored)
+    assert hits >= recall * sum(r.toxic for r in scored) and hits >= 0.9 * sum(r.predicted for r in scored)
+    m = toxicity.Matcher(model)
+    assert all(m.score(t) < toxicity.THRESHOLD for t in HARMLESS) and m.score("You are a pathetic loser") > 0.9
+    # an entry has to stand in several toxic documents that aren't copies of each other
+    toxic = [set(toxicity.readings(r.text)[0].split()) for r in docs.join(labels.where("toxic = 1"), "doc_id").select("text").distinct().collect()]
+    for e in set(model.entries) - {f" {w} " for w in toxicity.BUILT_IN}:
+        assert sum(any(f" {w} ".startswith(e) for w in ws) for ws in toxic) >= 8, e
+
+
+def test_a_beginning_needs_several_toxic_continuations(spark):
+    """``zorg`` with many endings is learned as a beginning; ``brak``, in one toxic word only, isn't, and its harmless neighbours stay clean."""
+    rows, labels, rng = [], [], random.Random(6)
+    for i in range(600):
+        bad = i % 4 == 0
+        text = " ".join(f"word{rng.randrange(900)}" for _ in range(30)) + (f" zorg{'abcdefgh'[i // 4 % 8]}x brakul" if bad else " brakel")
+        rows.append((i, text))
+        labels.append((i, 0, int(bad)))
+    model = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert any(e.startswith(" zorg") and not e.endswith(" ") for e in model.entries) and " brakul " in model.entries
+    assert not any(" brakel".startswith(e) for e in model.entries)
+    m = toxicity.Matcher(model)
+    assert m.score("a zorgax b") > toxicity.THRESHOLD > m.score("a brakel b")
