@@ -11,8 +11,8 @@ from . import oracle
 from .functions import anyvalue, jsonx
 from .operators import dedup, fingerprint, offload, quality
 from .operators.stage import shared_path, staged
-from .plans import dashboards, marts, registry, trajectory, tvf, views
-from .sources import otlp, projection
+from .plans import dashboards, marts, registry, sketches, trajectory, tvf, views
+from .sources import archive, otlp, projection
 from .streaming import alerts
 from .tools import backfill, exchange
 
@@ -271,6 +271,36 @@ def t1_span_rows(spark, d):
     )
 
 
+def s1_odd_requests(spark, d):
+    """Events as requests of an archive: some in snake_case with names of enumerations, some with a value that is none, some cut or with text behind them."""
+    e = spark.read.parquet(f"{d}/events.parquet").select("event_id", F.expr("unix_micros(CAST(ts AS TIMESTAMP)) * 1000").cast("string").alias("nano"))
+    case, hex_ = F.col("event_id") % 6, F.lpad(F.hex(F.col("event_id") + 1), 16, "0")
+    number = F.when(case == 1, '"x"').otherwise(F.concat(F.lit('"'), F.col("event_id").cast("string"), F.lit('"')))
+    camel = F.concat(
+        F.lit('{"resourceSpans":[{"scopeSpans":[{"spans":[{"traceId":"00000000000000000000000000000001","spanId":"'), hex_, F.lit('","name":"'), F.col("event_id").cast("string"), F.lit('","kind":'),
+        F.when(case == 2, '"SPAN_KIND_SERVER"').when(case == 3, '"nothing"').otherwise("3"), F.lit(',"startTimeUnixNano":"'), "nano", F.lit('","endTimeUnixNano":"'), "nano",
+        F.lit('","attributes":[{"key":"n","value":{"intValue":'), number, F.lit("}}]}]}]}]}"),
+    )
+    snake = camel
+    for m in ("resourceSpans", "scopeSpans", "traceId", "spanId", "startTimeUnixNano", "endTimeUnixNano", "intValue"):
+        snake = F.replace(snake, F.lit(f'"{m}"'), F.lit(f'"{otlp._snake(m)}"'))
+    line = F.when(case == 2, snake).when(case == 4, F.concat(camel, F.lit(" x"))).when(case == 5, F.substring(camel, 1, 60)).otherwise(camel)
+    path = shared_path(spark, "archive")
+    e.select(line.alias("value")).write.option("compression", "gzip").text(path)
+    lines = staged(otlp.with_signal(archive.lines(spark, path)), "lines")
+    rows = otlp.spans(lines, receive_nano=RECEIVED)
+    found = rows.select(F.coalesce("name", F.lit("")).alias("name"), "kind_name", F.when(F.col("reason").isNotNull(), quality.error_code()).alias("error_code"), jsonx.lax_int64(jsonx.bag("attributes"), "n").alias("n"), F.lit(1).cast("bigint").alias("lines"))
+    bad = lines.where("signal = 'malformed'").agg(F.count("*").alias("lines")).select(F.lit("malformed lines").alias("name"), F.lit(None).cast("string").alias("kind_name"), F.lit(None).cast("string").alias("error_code"), F.lit(None).cast("bigint").alias("n"), "lines")
+    return found.unionByName(bad)
+
+
+def a1_daily_sketches(spark, d):
+    """Days of model calls, merged from hourly sketches; of the percentiles only whether they are in order, as they are approximate."""
+    days = sketches.merged(sketches.model_cost_sketches(genai(spark, d)), [F.to_date("usage_hour").alias("usage_date"), "service_name"])
+    ordered = (F.col("p50_duration_ms") <= F.col("p95_duration_ms")) & (F.col("p95_duration_ms") <= F.col("p99_duration_ms"))
+    return days.select("usage_date", "service_name", "call_count", "error_count", "total_input_tokens", "total_output_tokens", "typed_error_count", ordered.alias("in_order"))
+
+
 def t2_log_rows(spark, d):
     """Turns as log requests: times, names of events, logs and entries."""
     c = spark.read.parquet(f"{d}/conversations.parquet")
@@ -380,7 +410,7 @@ _QUERIES = [
     w1_spans_dedup, w2_logs_dedup, w3_metrics_dedup, v1_all_spans, v2_gen_ai_spans, v3_mcp_spans, v4_gen_ai_metrics, v5_spans_redacted, v5_logs_redacted,
     j1_gen_ai_logs, j2_metric_exemplars, a1_model_costs, a2_sessions, a3_tool_usage, a4_mcp_tool_usage, q1_agent_trajectory, q2_tvf_agent_trajectory, q4_tvf_logs, q5_tvf_metric_exemplars, q7_unhandled_cycles,
     q9_executive_summary, q10_agent_sessions, q11_tool_and_mcp_usage, r1_span_alerts, r4_tool_error_windows, q3_quarantine_scan, q6_trajectory_mart, q7_cycles, t1_span_rows, t2_log_rows, t14_metric_replay, q14_metric_exemplars, q15_report_fields, q16_model_costs_mart, t7_redaction, t8_offload, t10_fingerprints, t8_attribute_offload,
-    s4_quarantine_files, k8_registered_views, o3_agent_paths, o5_service_names,
+    s4_quarantine_files, k8_registered_views, o3_agent_paths, o5_service_names, s1_odd_requests, a1_daily_sketches,
 ]
 
 

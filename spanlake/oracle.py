@@ -287,3 +287,8 @@ QUERIES["o3_agent_paths"] = f"""SELECT agent_path, len(string_split(agent_path,
 QUERIES["o5_service_names"] = f"""WITH {COSTS}, {SESSIONS.removeprefix(GENAI + ",")}, {TOOLS.removeprefix(GENAI + ",")}, {MCP_USAGE.removeprefix(SPANS + ",")}
     SELECT coalesce(service_name, '(none)') AS service_name FROM costs WHERE {_DAYS.format("usage_hour")} UNION SELECT coalesce(service_name, '(none)') FROM tools WHERE {_DAYS.format("usage_hour")}
     UNION SELECT coalesce(service_name, '(none)') FROM mcp WHERE {_DAYS.format("usage_hour")} UNION SELECT coalesce(service_name, '(none)') FROM sessions WHERE {_DAYS.format("session_start_date")}"""
+QUERIES["s1_odd_requests"] = """SELECT CAST(event_id AS VARCHAR) AS name, CASE c WHEN 2 THEN 'SERVER' WHEN 3 THEN NULL ELSE 'CLIENT' END AS kind_name, CASE WHEN c IN (1, 3) THEN 'MALFORMED' END AS error_code,
+        CASE WHEN c <> 1 THEN event_id END AS n, 1::BIGINT AS lines FROM (SELECT event_id, event_id % 6 AS c FROM events) WHERE c < 4
+    UNION ALL SELECT 'malformed lines', NULL, NULL, NULL, count(*) FROM events WHERE event_id % 6 >= 4"""
+QUERIES["a1_daily_sketches"] = f"""WITH {COSTS} SELECT CAST(usage_hour AS DATE) AS usage_date, service_name, sum(call_count)::BIGINT AS call_count, sum(error_count)::BIGINT AS error_count, sum(total_input_tokens)::BIGINT AS total_input_tokens,
+    sum(total_output_tokens)::BIGINT AS total_output_tokens, sum(typed_error_count)::BIGINT AS typed_error_count, TRUE AS in_order FROM costs GROUP BY 1, 2"""
