@@ -182,11 +182,11 @@ def _counted(labelled: DataFrame) -> DataFrame:
     """(entry, toxic, other): in how many documents of each class an entry stands."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in row_batches(batches, 4_000_000):
+        for b in row_batches(batches, 1_000_000):
             seen: tuple[Counter, Counter] = (Counter(), Counter())
             for text, toxic in zip(*(c.to_pylist() for c in b.columns)):
                 seen[1 - toxic].update(_candidates(text))
-            keys = list(seen[0] | seen[1])
+            keys = list(seen[0].keys() | seen[1].keys())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.string()), pa.array([seen[0][k] for k in keys], pa.int64()), pa.array([seen[1][k] for k in keys], pa.int64())], names=["entry", "toxic", "other"])
 
     rows = labelled.mapInArrow(count, "entry string, toxic long, other long")
