@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORDS, row_batches, staged, text_bytes, unstage
+from .common import ALNUM_WORDS, row_batches, staged, text_bytes
 
 BEST, B = 10, 90
 BLOCK = 2_000_000
@@ -181,6 +181,8 @@ def _search_block(docs: DataFrame, index: Index, best: int, b: int) -> DataFrame
 
     rows = "item int, doc long, score long"
     found = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(_NO_ID)), "text").mapInArrow(search, rows)
+    # written once: ranges are drawn from a first read, which would search all documents again
+    found = staged(found, "best")
     salt = F.pmod(F.xxhash64("doc"), F.lit(SALTS))
     return found.repartitionByRange(F.col("item"), salt).mapInArrow(select, rows)
 
