@@ -256,3 +256,38 @@ def test_licenses_without_common_words(spark):
     found = {r.doc_id: r for r in licenses.scan_licenses(rows).collect()}
     assert [found[i].labels for i in range(len(texts))] == ["mpl-2", "mpl-2", "lgpl-3", "agpl-3", "lgpl-3", "cpl-1"]
     assert all(r.score >= 0.6 for r in found.values())
+
+
+#: Openings of licenses as their texts or headers have them, and the one label each is to get.
+OPENINGS = [
+    ("mit", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction, including without limitation the rights to use. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'),
+    ("bsd", "Copyright (c) 2001, A. Author. All rights reserved. Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."),
+    ("bsd-3-clause", "All rights reserved. Redistribution and use in source and binary forms, with or without modification, are permitted provided that: Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."),
+    ("apache-2", 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law'),
+    ("gpl-2", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version. This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY. You should have received a copy of the GNU General Public License along with this program."),
+    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies."),
+    ("boost-1", 'Boost Software License - Version 1.0. Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the "Software"). THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED'),
+    ("unlicense", 'This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT.'),
+    ("ncsa", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal with the Software without restriction, including without limitation the rights to use. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED'),
+    ("mpl-2", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
+    ("epl-2", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("zlib", "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages"),
+    ("gpl-2", "GPL v2"), ("gpl-3", "licensed under the GPL v3"), ("apache-2", "Apache License v2.0"), ("mpl-2", "MPL v2.0"), ("lgpl-2.1", "LGPL v2.1"), ("epl-1", "EPL v1.0"),
+    ("artistic-2", "Artistic License v2"), ("gpl-2", "GNU General Public License v2.0"), ("mit", "MIT licensed"), ("mit", "licensed under MIT"), ("x11", "X11 License"),
+    ("apache-2,mit", "SPDX-License-Identifier: MIT OR Apache-2.0"), ("gpl-2,mit,zlib", "SPDX-License-Identifier: (GPL-2.0-or-later WITH Classpath-exception-2.0) OR MIT AND Zlib"),
+    ("", "Copyright 2020 Example Inc. All rights reserved."), ("permissive", "the software is provided as is, without warranty of any kind, express or implied"),
+]
+
+
+def test_openings_get_their_own_label():
+    rules = licenses.build_rules()
+    for label, text in OPENINGS:
+        found = licenses.detect(licenses.normalised(text.encode())[0], rules)
+        assert ",".join(sorted({d.label for d in found})) == label, (text, found)
+
+
+def test_licenses_of_repeated_rows_and_null_identifiers(spark):
+    rows = spark.createDataFrame([(1, "GPL v2"), (1, "GPL v2"), (None, "MIT licensed"), (None, None)], "doc_id long, text string")
+    found = [(r.doc_id, r.labels) for r in licenses.scan_licenses(rows).collect()]
+    assert sorted(found, key=str) == sorted([(1, "gpl-2"), (1, "gpl-2"), (None, "mit"), (None, "")], key=str)
