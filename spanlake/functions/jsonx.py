@@ -1,12 +1,12 @@
 """Reads of scalar attributes from JSON bags.
 
-A bag is parsed once (``bag``) and each attribute read from the variant. Keys hold dots, so
+A bag is parsed once (``with_bags``) and each attribute read from the variant. Keys hold dots, so
 paths use brackets. Objects, arrays and JSON null read as NULL; integers are stored as strings.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
@@ -17,6 +17,12 @@ def bag(text: str | Column) -> Column:
     return F.try_parse_json(F.col(text) if isinstance(text, str) else text)
 
 
+def with_bags(df: DataFrame, **columns: str) -> DataFrame:
+    """``df`` with the parsed bags of its columns by name. They come from a generator of one row: a plain column would be
+    put in the place of each read by the optimizer, and parsed again for each; filters on other columns still pass."""
+    return df.select("*", F.inline_outer(F.array(F.struct(*[bag(c).alias(name) for name, c in columns.items()]))))
+
+
 def _path(key: str, index: int | None) -> str:
     quoted = key.replace("\\", "\\\\").replace("'", "\\'")
     return f"$['{quoted}']" + ("" if index is None else f"[{index}]")
@@ -28,8 +34,7 @@ def json_value(parsed: Column, key: str, index: int | None = None) -> Column:
     path = _path(key, index)
     text = F.try_variant_get(parsed, path, "string")
     kind = F.schema_of_variant(F.try_variant_get(parsed, path, "variant"))
-    nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-    return F.when(~text.rlike(r"^[\[{]"), text).when(~nested, text)
+    return F.when(~text.rlike(r"^[\[{]") | (kind == "STRING"), text)
 
 
 def _numeric(parsed: Column, key: str) -> Column:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.jsonx import bag, json_value, lax_float64, lax_int64
+from ..functions.jsonx import json_value, lax_float64, lax_int64, with_bags
 
 INFERENCE_OPS = ["chat", "generate_content", "text_completion", "embeddings"]
 AGENT_OPS = ["invoke_agent", "create_agent"]
@@ -50,10 +50,6 @@ _SPAN_CHAINS = {
 _SPAN_MARKS = ["gen_ai.operation.name", "gen_ai.system", "gen_ai.provider.name", "gcp.vertex.agent.invocation_id", "gen_ai.main_agent.name", "gen_ai.main_agent.id"]
 
 
-def _parsed(df: DataFrame, **bags: str) -> DataFrame:
-    return df.withColumns({name: bag(column) for name, column in bags.items()})
-
-
 def _chain(reader, keys: list[str], own: str = "__a", resource: str = "__r") -> Column:
     return F.coalesce(*[reader(F.col(resource), k[9:]) if k.startswith("resource:") else reader(F.col(own), k) for k in keys])
 
@@ -89,7 +85,7 @@ def _hour(df: DataFrame) -> Column:
 
 def gen_ai_spans(spans: DataFrame, partition: bool = False) -> DataFrame:
     """Spans with GenAI attributes, promoted to typed columns; with ``partition`` also the table's hour, for rollups."""
-    s = _parsed(spans, __a="attributes", __r="resource.attributes").where(_any_key(_SPAN_MARKS))
+    s = with_bags(spans, __a="attributes", __r="resource.attributes").where(_any_key(_SPAN_MARKS))
     text = {c: json_value(F.col("__a"), k) for c, k in _SPAN_TEXT.items()}
     chains = {c: _chain(f, ks) for c, (f, ks) in _SPAN_CHAINS.items()}
     agent = F.coalesce(_chain(json_value, ["gen_ai.agent.name", "gcp.vertex.agent.name"]), F.col("service_name"))
@@ -114,7 +110,7 @@ def gen_ai_spans(spans: DataFrame, partition: bool = False) -> DataFrame:
 
 def mcp_spans(spans: DataFrame, partition: bool = False) -> DataFrame:
     """Spans of the Model Context Protocol, and whether the GenAI view has them too; ``partition`` as of ``gen_ai_spans``."""
-    s = _parsed(spans, __a="attributes").where(_any_key(["mcp.method.name", "mcp.session.id", "mcp.resource.uri"]))
+    s = with_bags(spans, __a="attributes").where(_any_key(["mcp.method.name", "mcp.session.id", "mcp.resource.uri"]))
     v = lambda k: json_value(F.col("__a"), k)
     return s.select(
         "start_time", "end_time", "duration_nano", _milliseconds("duration_nano").alias("duration_ms"), "trace_id", "span_id", "parent_span_id", "service_name",
@@ -166,7 +162,7 @@ def near(time: str, span_start: str) -> Column:
 def log_facts(logs: DataFrame) -> DataFrame:
     """GenAI log records with what their own attributes say."""
     event = F.coalesce(F.nullif("event_name", F.lit("")), json_value(F.col("__a"), "event.name"))
-    rows = _parsed(logs, __a="attributes").withColumn("__event", event)
+    rows = with_bags(logs, __a="attributes").withColumn("__event", event)
     rows = rows.where(F.col("__event").like("gen_ai.%") | _any_key(["gen_ai.system", "gen_ai.provider.name", "gcp.vertex.agent.invocation_id"]))
     own = {f"own_{c}": _chain(json_value, ks) for c, ks in _LOG_CHAINS.items()}
     return rows.withColumns(own | {"event_name": F.col("__event"), "error_type": json_value(F.col("__a"), "error.type")}).drop("__a", "__event")
@@ -174,7 +170,8 @@ def log_facts(logs: DataFrame) -> DataFrame:
 
 def span_facts(spans: DataFrame) -> DataFrame:
     """What a log record may take from its span."""
-    s = spans.select("trace_id", "span_id", "service_name", "start_time", *[c for c in ("start_hour",) if c in spans.columns], bag("attributes").alias("__sa"))
+    s = spans.select("trace_id", "span_id", "service_name", "start_time", *[c for c in ("start_hour",) if c in spans.columns], "attributes")
+    s = with_bags(s, __sa="attributes").drop("attributes")
     return s.withColumns({f"span_{c}": _chain(json_value, ks, own="__sa") for c, ks in _LOG_CHAINS.items()}).drop("__sa")
 
 
@@ -203,7 +200,7 @@ _DIMENSIONS = {
 
 def gen_ai_metrics(metrics: DataFrame) -> DataFrame:
     """Points of GenAI metrics with promoted attributes; ``_`` in the pattern is any character."""
-    m = _parsed(metrics.where(F.col("metric_name").like("gen_ai.%")), __a="attributes", __r="resource.attributes")
+    m = with_bags(metrics.where(F.col("metric_name").like("gen_ai.%")), __a="attributes", __r="resource.attributes")
     v = lambda k: json_value(F.col("__a"), k)
     dimension = F.coalesce(F.create_map(*[F.lit(x) for kv in _DIMENSIONS.items() for x in kv])[F.col("metric_name")], v("gen_ai.token.type"))
     return m.select(
@@ -226,7 +223,7 @@ def exemplar_facts(gen_ai_points: DataFrame) -> DataFrame:
 def exemplar_span_facts(spans: DataFrame) -> DataFrame:
     """What is told of an exemplar's span."""
     agent = ["gen_ai.agent.name", "gcp.vertex.agent.name", "resource:gen_ai.agent.name", "gen_ai.main_agent.name", "resource:gen_ai.main_agent.name"]
-    s = _parsed(spans, __a="attributes", __r="resource.attributes")
+    s = with_bags(spans, __a="attributes", __r="resource.attributes")
     return s.select(
         "trace_id", "span_id", "service_name", "receive_time", F.col("start_time").alias("span_start_time"), F.col("end_time").alias("span_end_time"), *[c for c in ("start_hour",) if c in spans.columns],
         F.col("duration_nano").alias("span_duration_nano"), F.col("name").alias("span_name"), F.col("status.code").alias("span_status_code"), F.col("status.message").alias("span_status_message"),

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.jsonx import bag, json_value, lax_int64
+from ..functions.jsonx import json_value, lax_int64, with_bags
 
 MAX_INPUT_TOKENS, MAX_OUTPUT_TOKENS, MAX_DURATION_MS = 100_000, 32_000, 30_000
 WINDOW, MIN_ERRORS = "5 minutes", 5
@@ -41,7 +41,7 @@ def _alert(spans: DataFrame, kind: str, payload: dict[str, Column]) -> DataFrame
 def _failed_tools(spans: DataFrame) -> DataFrame:
     failed = (F.col("status.code") == 2) | _v("error.type").isNotNull()
     tool = (_v("gen_ai.operation.name") == "execute_tool") | _v("gen_ai.tool.name").isNotNull() | _v("mcp.method.name").isNotNull()
-    return spans.withColumn("__a", bag("attributes")).where(failed & tool)
+    return with_bags(spans, __a="attributes").where(failed & tool)
 
 
 def tool_errors(spans: DataFrame) -> DataFrame:
@@ -54,7 +54,7 @@ def tool_errors(spans: DataFrame) -> DataFrame:
 
 def token_budget(spans: DataFrame, max_input: int = MAX_INPUT_TOKENS, max_output: int = MAX_OUTPUT_TOKENS) -> DataFrame:
     """A call that used more tokens than the budget of one turn."""
-    s = spans.withColumn("__a", bag("attributes"))
+    s = with_bags(spans, __a="attributes")
     used = {k: lax_int64(F.col("__a"), f"gen_ai.usage.{k}_tokens") for k in ("input", "output")}
     s = s.where((F.coalesce(used["input"], F.lit(0)) > max_input) | (F.coalesce(used["output"], F.lit(0)) > max_output))
     reasoning = F.coalesce(lax_int64(F.col("__a"), "gen_ai.usage.reasoning.output_tokens"), lax_int64(F.col("__a"), "gen_ai.usage.reasoning_tokens"))
@@ -66,7 +66,7 @@ def token_budget(spans: DataFrame, max_input: int = MAX_INPUT_TOKENS, max_output
 
 def agent_latency(spans: DataFrame, max_ms: float = MAX_DURATION_MS) -> DataFrame:
     """A call of an agent, a model or a tool that took longer than ``max_ms``."""
-    s = spans.where(F.col("duration_nano") / 1e6 > max_ms).withColumn("__a", bag("attributes")).where(_v("gen_ai.operation.name").isin(LATENCY_OPS))
+    s = with_bags(spans.where(F.col("duration_nano") / 1e6 > max_ms), __a="attributes").where(_v("gen_ai.operation.name").isin(LATENCY_OPS))
     return _alert(s, "AGENT_LATENCY_HIGH", {
         "span_name": F.col("name"), "duration_ms": F.round(F.col("duration_nano") / 1e6, 3), "operation_name": _v("gen_ai.operation.name"), "agent_name": _agent(),
         "request_model": _v("gen_ai.request.model"), "tool_name": _v("gen_ai.tool.name"),
