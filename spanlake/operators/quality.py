@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas
 from ..sources import otlp
+from .stage import spread
 
 MAX_ROW_BYTES = 1 << 20
 MAX_PAYLOAD_BYTES, MAX_MESSAGE_BYTES = 8 << 20, 4 << 10
@@ -72,7 +73,8 @@ def replayable(quarantined: DataFrame, signal: str, codes: list[str] | None = No
     q = q.where(F.col("error_code").isin(codes)) if codes else q
     q = q.where(F.col("ingest_time") >= F.lit(start).cast("timestamp")) if start else q
     q = q.where(F.col("ingest_time") <= F.lit(end).cast("timestamp")) if end else q
-    return canonical(q).orderBy("ingest_time", "row_fp", "row_ord", "row_key").select(F.col("raw_payload").alias("value"), "ingest_time", *CURSOR[1:])
+    # ``row_ord`` tells the rows of a group apart, so no texts go into the sample of sort keys that the driver takes
+    return canonical(q).orderBy("ingest_time", "row_fp", "row_ord").select(F.col("raw_payload").alias("value"), "ingest_time", *CURSOR[1:])
 
 
 #: What tells where a scan of quarantined rows stands.
@@ -97,6 +99,6 @@ def canonical(q: DataFrame) -> DataFrame:
         F.array_join(F.collect_list(framed).over(before), "").alias("__head"), F.sha2(F.array_join(F.collect_list(framed).over(whole), ""), 256).alias("group_sha256"),
     )
     nth = F.row_number().over(Window.partitionBy(*group, "row_key").orderBy(F.lit(0)))
-    rows = q.withColumn("__nth", nth.cast("bigint")).join(keys, [*group, "row_key"])
+    rows = q.withColumn("__nth", nth.cast("bigint")).join(spread(keys), [*group, "row_key"])
     own = F.concat("__head", F.octet_length("row_key").cast("string"), F.lit(":"), "row_key", F.lit(":"), F.col("__nth").cast("string"), F.lit(";"))
     return rows.select(*q.columns, (F.col("__before") + F.col("__nth") - 1).alias("row_ord"), "group_size", F.sha2(own, 256).alias("prefix_sha256"), "group_sha256")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..functions.anyvalue import Limits, Redaction
 from ..operators import fingerprint, offload, quality
-from ..operators.stage import exists, staged, unstage
+from ..operators.stage import exists, spread, staged, unstage
 from ..plans import registry
 from ..sources import archive, otlp
 
@@ -104,7 +104,7 @@ def with_payloads(quarantined: DataFrame, objects: DataFrame | None) -> DataFram
     if objects is None:
         return quarantined
     held = objects.select(F.col("uri").alias("payload_ref"), F.decode("content", "UTF-8").alias("__content")).dropDuplicates(["payload_ref"])
-    found = quarantined.join(held, "payload_ref", "left")
+    found = quarantined.join(spread(held), "payload_ref", "left")
     return found.select(*[F.coalesce("raw_payload", "__content").alias(c) if c == "raw_payload" else F.col(c) for c in quarantined.columns])
 
 
