@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from spanlake import catalog
 from spanlake.operators import quality
 
 
@@ -26,3 +27,8 @@ def test_a_replay_sends_no_payloads_to_the_driver(spark):
     # without the texts the order is still that of all keys
     rows = [tuple(r) for r in lines.select("ingest_time", "row_fp", "row_ord", "row_key").collect()]
     assert len(rows) == 40 and rows == sorted(rows) and len({r[:3] for r in rows}) == 40
+
+
+def test_exemplars_meet_their_spans_by_shuffles(spark, sf_dir):
+    for query in (catalog.j2_metric_exemplars, catalog.q14_metric_exemplars, catalog.q5_tvf_metric_exemplars):
+        assert "Broadcast" not in plan(query(spark, sf_dir))
