@@ -32,3 +32,8 @@ def test_a_replay_sends_no_payloads_to_the_driver(spark):
 def test_exemplars_meet_their_spans_by_shuffles(spark, sf_dir):
     for query in (catalog.j2_metric_exemplars, catalog.q14_metric_exemplars, catalog.q5_tvf_metric_exemplars):
         assert "Broadcast" not in plan(query(spark, sf_dir))
+
+
+def test_logs_meet_their_spans_by_shuffles(spark, sf_dir):
+    for query in (catalog.j1_gen_ai_logs, catalog.q4_tvf_logs):
+        assert "Broadcast" not in plan(query(spark, sf_dir))
