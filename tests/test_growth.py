@@ -5,7 +5,9 @@ import re
 from pyspark.sql import functions as F
 
 from spanlake import catalog
+from spanlake.functions.jsonx import json_value, lax_int64, with_bags
 from spanlake.operators import quality
+from spanlake.plans import trajectory, views
 
 
 def plan(df):
@@ -37,3 +39,22 @@ def test_exemplars_meet_their_spans_by_shuffles(spark, sf_dir):
 def test_logs_meet_their_spans_by_shuffles(spark, sf_dir):
     for query in (catalog.j1_gen_ai_logs, catalog.q4_tvf_logs):
         assert "Broadcast" not in plan(query(spark, sf_dir))
+
+
+def test_texts_read_in_one_pass_are_those_read_one_by_one(spark):
+    bags = ['{"a.b": "x", "n": 7}', '{"a.b": 1.50, "n": "8.0"}', '{"a.b": true, "n": true}', '{"a.b": null}', '{"a.b": {"c": 1}, "n": [1]}', '{"a.b": "{x", "n": "[1]"}', '{"a.b": [1]}', '{"A.B": "y"}', "[1]", '"s"', "7", "{", None, '{"a.b": "x", "a.b": "y"}', '{"n": 1e3, "a.b": 12345678901234567890}']
+    rows = with_bags(spark.createDataFrame([(b,) for b in bags], "bag string"), ["a.b", "n"], p="bag")
+    one = [json_value(F.col("p"), "a.b"), json_value(F.col("p"), "n"), lax_int64(F.col("p"), "n")]
+    all_ = [json_value("p", "a.b"), json_value("p", "n"), lax_int64("p", "n")]
+    for r in rows.select(F.struct(*[c.alias(f"c{i}") for i, c in enumerate(one)]).alias("one"), F.struct(*[c.alias(f"c{i}") for i, c in enumerate(all_)]).alias("all")).collect():
+        assert r["one"] == r["all"]
+
+
+def test_views_read_a_bag_in_one_pass(spark, sf_dir):
+    for view in (views.gen_ai_spans, views.mcp_spans):
+        assert "__a_text" in plan(view(catalog.spans(spark, sf_dir)).select("gen_ai_system"))
+    assert "__d_text" in plan(trajectory.declared_spans(catalog.genai(spark, sf_dir)).select("declared"))
+
+
+def test_tree_levels_meet_by_shuffles(spark, sf_dir):
+    assert "Broadcast" not in plan(trajectory.trajectory(catalog.genai(spark, sf_dir)))
