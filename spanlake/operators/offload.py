@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import pyarrow as pa
@@ -16,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from ..functions.anyvalue import BrokenLimit, Redaction, bytes_of, keyed, listed, text_of
+from ..functions.anyvalue import BrokenLimit, Redaction, bytes_of, keyed, listed, pieces, text_of
 
 MIN_BYTES, MAX_BYTES = 256 << 10, 64 << 20
 
@@ -128,13 +129,14 @@ def records_without_large(rows: DataFrame, signal: str, store: Store, day: Colum
     folder = F.concat_ws("/", F.lit(store.prefix.rstrip("/")), F.lit(signal), F.date_format(day, "yyyy-MM-dd"))
 
     @arrow_udf(f"struct<{', '.join(f'{c}:string' for c in _PARTS)}, payloads:array<{PAYLOAD}>>")
-    def walk(column: pa.Array) -> pa.Array:
+    def walk(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
         payload = pa.struct([("path", pa.string()), ("mime", pa.string()), ("uri", pa.string()), ("sha256", pa.string()), ("byte_size", pa.int64()), ("content", pa.binary())])
-        out = []
-        for row in column.to_pylist():
-            texts, found = without_large([row[c] for c in _PARTS], store, row["folder"], redaction)
-            out.append(dict(zip(_PARTS, texts)) | {"payloads": found})
-        return pa.array(out, pa.struct([*((c, pa.string()) for c in _PARTS), ("payloads", pa.list_(payload))]))
+        for column in pieces(columns):
+            out = []
+            for row in column.to_pylist():
+                texts, found = without_large([row[c] for c in _PARTS], store, row["folder"], redaction)
+                out.append(dict(zip(_PARTS, texts)) | {"payloads": found})
+            yield pa.array(out, pa.struct([*((c, pa.string()) for c in _PARTS), ("payloads", pa.list_(payload))]))
 
     rows = rows.withColumn("__light", walk(F.struct(*_PARTS, folder.alias("folder"))))
     return rows.select(*rows.columns[:-1], *[F.col(f"__light.{c}").alias(f"light_{c}") for c in _PARTS], F.col("__light.payloads").alias("payloads"))

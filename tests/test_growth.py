@@ -2,9 +2,11 @@
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from spanlake import catalog
+from spanlake.functions.anyvalue import pieces
 from spanlake.functions.jsonx import json_value, lax_int64, with_bags
 from spanlake.operators import quality
 from spanlake.plans import trajectory, views
@@ -58,3 +60,14 @@ def test_views_read_a_bag_in_one_pass(spark, sf_dir):
 
 def test_tree_levels_meet_by_shuffles(spark, sf_dir):
     assert "Broadcast" not in plan(trajectory.trajectory(catalog.genai(spark, sf_dir)))
+
+
+def test_workers_hold_few_records_of_a_batch_as_values(spark, sf_dir):
+    texts = ["x" * n for n in (10, 900, 0, 40, 5_000, *[100] * 50)]
+    column = pa.StructArray.from_arrays([pa.array(texts), pa.array([[t] for t in texts])], ["a", "b"])[1:]
+    found = list(pieces(iter([column, column[:0]]), 2_000))
+    assert [row for p in found for row in p.to_pylist()] == column.to_pylist()
+    assert len(found) > 6 and all(p.nbytes <= 2_000 or len(p) == 1 for p in found)
+    # functions over a stream of batches (251) give back what they have read piece by piece
+    kinds = re.findall(r"ArrowEvalPython \[.*\], (\d+)\n", plan(catalog.t1_span_rows(spark, sf_dir)))
+    assert kinds == ["251"]
