@@ -71,3 +71,20 @@ def test_workers_hold_few_records_of_a_batch_as_values(spark, sf_dir):
     # functions over a stream of batches (251) give back what they have read piece by piece
     kinds = re.findall(r"ArrowEvalPython \[.*\], (\d+)\n", plan(catalog.t1_span_rows(spark, sf_dir)))
     assert kinds == ["251"]
+
+
+def test_sessions_sort_whole_spans_and_their_columns_in_tasks_of_their_own(spark, sf_dir):
+    for query in (catalog.a2_sessions, catalog.a1_model_costs):
+        text = plan(query(spark, sf_dir))
+        # between the window of the leaves and that of the duplicates a shuffle
+        assert "REPARTITION_BY_COL" in text[text.index("Window [max(__mark") : text.index("end_time_unix_nano")]
+    assert "Expand" not in plan(catalog.a2_sessions(spark, sf_dir))
+
+
+def test_turns_of_a_session_are_its_traces(spark, sf_dir):
+    g = catalog.genai(spark, sf_dir).where("gen_ai_conversation_id IS NOT NULL")
+    # a trace may be unknown, and a span's id come twice in one
+    g = g.withColumns({"trace_id": F.expr("CASE WHEN span_id % 5 = 0 THEN NULL WHEN span_id % 2 = 0 THEN 'even' ELSE trace_id END"), "span_id": F.expr("CASE WHEN span_id % 2 = 0 THEN '0' ELSE span_id END")})
+    found = {tuple(r) for r in views.sessions(g).select(*views.SESSION_KEYS, "turn_count").collect()}
+    s = g.withColumns({"session_start_date": F.to_date("start_time"), "session_id": F.coalesce("adk_session_id", "gen_ai_conversation_id")})
+    assert found == {tuple(r) for r in s.groupBy(*views.SESSION_KEYS).agg(F.count_distinct("trace_id")).collect()}
