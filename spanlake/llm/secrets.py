@@ -78,11 +78,15 @@ def shape(token: str) -> str:
     return f"{kinds[:1]}{kinds[-1:]}{''.join(sorted(set(kinds)))}{changes.bit_length()}"
 
 
+_C_LOG_C = [0.0, 0.0, *(c * math.log2(c) for c in range(2, 64))]
+
+
 def _entropy(token: str) -> float:
     """Bits of a character, from how often each occurs."""
-    n = len(token)
-    counts = [token.count(c) for c in set(token)] if n < 64 else Counter(token).values()
-    return math.log2(n) - sum(c * math.log2(c) for c in counts if c > 1) / n if n else 0.0
+    n, distinct = len(token), set(token)
+    if n < 64:
+        return (math.log2(n) - sum([_C_LOG_C[token.count(c)] for c in distinct]) / n if len(distinct) < n else math.log2(n)) if n else 0.0
+    return math.log2(n) - sum(c * math.log2(c) for c in Counter(token).values() if c > 1) / n
 
 
 def can_begin(token: str) -> bool:
@@ -128,15 +132,66 @@ def _ids(features: list[str]) -> list[int]:
     return [1 + zlib.crc32(f.encode("utf-8", "surrogatepass")) % (FEATURES - 1) for f in features]
 
 
+def _id(feature: str) -> int:
+    return _ids([feature])[0]
+
+
+def _keyed(t: str, low: str) -> bool:
+    """Whether a token names a key; the pattern is only asked where one of its words stands."""
+    return len(low) > 2 and any([k in low for k in _KEYS_LOW]) and bool(_KEY.search(t))
+
+
+# ids of features of few values, and what a checksum is behind a feature's name
+_BIAS, _NOT_YES = _id("bias"), (False, True)
+_LENGTHS, _DIGITS, _ENTROPIES = [_id(f"length={k}") for k in range(13)], [_id(f"digits={k}") for k in range(5)], [_id(f"entropy={k}") for k in range(64)]
+_DOTS, _MIXED, _HEXED, _ISKEY = ([_id(f"{name}={k}") for k in _NOT_YES] for name in ("dots", "mixed", "hex", "iskey"))
+_HEAD, *_AROUND = (zlib.crc32(name) for name in (b"head=", b"before=", b"before2=", b"after="))
+_SHAPES: dict[str, int] = {}
+
+
+def fast_ids(t: str) -> tuple[list[int], list[int], bool]:
+    """The ids of ``own_features``, those of a token as a neighbour (before, second before, behind), and whether it names a key."""
+    low, n = t.lower(), max(1, len(t))
+    wide = low.encode("utf-8", "surrogatepass")
+    head = wide[:3] if len(wide) == len(low) else low[:3].encode("utf-8", "surrogatepass")
+    key = _keyed(t, low)
+    plain = low == t and t.isascii() and t.isalpha()
+    form = "xxx0" if plain else shape(t)
+    shaped = _SHAPES.get(form)
+    if shaped is None:
+        shaped = _id(f"shape={form}")
+        if len(_SHAPES) < 4_096:
+            _SHAPES[form] = shaped
+    bits = round(2 * _entropy(t))
+    own = [
+        _BIAS, shaped, _LENGTHS[min(n // 4, 12)], _ENTROPIES[bits] if bits < 64 else _id(f"entropy={bits}"), _DIGITS[0 if plain else round(4 * len(_DIGIT.findall(t)) / n)], _DOTS["." in t],
+        _MIXED[not plain and t != low and t != t.upper()], _HEXED[n >= 16 and bool(_HEX_ONLY.fullmatch(t))], 1 + zlib.crc32(head, _HEAD) % (FEATURES - 1), _ISKEY[key],
+    ]
+    return own, [1 + zlib.crc32(wide, c) % (FEATURES - 1) for c in _AROUND], key
+
+
+class _Known(dict):
+    """Numbers of tokens in the order in which they are met first; ``new`` lists those since it was emptied."""
+
+    def __init__(self):
+        self.new: list[str] = []
+
+    def __missing__(self, token: str) -> int:
+        self.new.append(token)
+        self[token] = n = len(self)
+        return n
+
+
 class Field:
     """A linear-chain conditional random field over hashed features; tags begin, inside, outside."""
 
     def __init__(self, weights: np.ndarray, moves: np.ndarray):
         self.weights, self.moves = weights, moves
+        self.of_file: dict[tuple[str, ...], tuple[np.ndarray, np.ndarray]] = {}
         self._forget()
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known = _Known()
         self.chars = 0
         # of each distinct token: what it adds itself, as the one before, as the second before, as the one behind
         self.parts, self.flags = np.zeros((4, 1024, 3)), np.zeros((4, 1024), bool)
@@ -144,29 +199,41 @@ class Field:
     def _sum(self, features: list[str]) -> np.ndarray:
         return self.weights[_ids(features)].sum(axis=0)
 
+    def _numbers(self, tokens: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+
     def _rows(self, tokens: list[str]) -> np.ndarray:
-        new = set(tokens).difference(self.known)
-        if len(self.known) + len(new) > MEMO_TOKENS or self.chars > MEMO_CHARS:
+        rows = self._numbers(tokens)
+        if len(self.known) > MEMO_TOKENS or self.chars > MEMO_CHARS:
             self._forget()
-            new = set(tokens)
-        while len(self.known) + len(new) > self.parts.shape[1]:
+            rows = self._numbers(tokens)
+        added, self.known.new = self.known.new, []
+        while len(self.known) > self.parts.shape[1]:
             self.parts, self.flags = np.concatenate([self.parts, np.zeros_like(self.parts)], axis=1), np.concatenate([self.flags, np.zeros_like(self.flags)], axis=1)
-        added = list(new)
+        first = len(self.known) - len(added)
         for i in range(0, len(added), 4_096):
             part = added[i : i + 4_096]
-            at = slice(len(self.known), len(self.known) + len(part))
+            at = slice(first + i, first + i + len(part))
             own, around, flags = [], [], []
             for t in part:
-                low = t.lower()
-                own.append(_ids(own_features(t)))
-                around.append(_ids([f"before={low}", f"before2={low}", f"after={low}"]))
-                flags.append((can_begin(t), t.isascii(), bool(_KEY.search(t)), t in ("=", ":")))
+                mine, near, key = fast_ids(t)
+                own.append(mine)
+                around.append(near)
+                flags.append((can_begin(t), t.isascii(), key, t in ("=", ":")))
                 self.chars += len(t)
             self.parts[0, at] = self.weights[np.array(own)].sum(axis=1)
             self.parts[1:, at] = self.weights[np.array(around)].swapaxes(0, 1)
             self.flags[:, at] = np.array(flags).T
-            self.known.update(zip(part, range(at.start, at.stop)))
-        return np.fromiter(map(self.known.__getitem__, tokens), np.int64, len(tokens))
+        return rows
+
+    def _of_file(self, file: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """What a key nearby and a sign before add in a file; files' features have few values."""
+        found = self.of_file.get(tuple(file))
+        if found is None:
+            found = np.stack([self._sum([f"key={k}", *[f"{f}&key={k}" for f in file]]) for k in (False, True)]), np.stack([self._sum([f"sign={k}"]) for k in (False, True)])
+            if len(self.of_file) < 1_000:
+                self.of_file[tuple(file)] = found
+        return found
 
     def scores(self, tokens: list[str], file: list[str], before: Sequence[str] = (), after: str = "") -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The score of each tag of each token, and which tokens can begin and continue a secret."""
@@ -174,12 +241,17 @@ class Field:
         rows = self._rows([*[*[""] * NEAR, *before][-NEAR:], *tokens, after])
         begins, inside, key, sign = self.flags
         own, first, second, behind = self.parts
-        near = key[rows[0:n]] | key[rows[1 : n + 1]] | key[rows[2 : n + 2]] | key[rows[3 : n + 3]]
-        signed = sign[rows[at - 1 : at - 1 + n]] | sign[rows[at - 2 : at - 2 + n]]
-        of_key = np.stack([self._sum([f"key={k}", *[f"{f}&key={k}" for f in file]]) for k in (False, True)])
-        of_sign = np.stack([self._sum([f"sign={k}"]) for k in (False, True)])
+        keyed, signs = key.take(rows), sign.take(rows)
+        near = keyed[0:n] | keyed[1 : n + 1] | keyed[2 : n + 2] | keyed[3 : n + 3]
+        signed = signs[at - 1 : at - 1 + n] | signs[at - 2 : at - 2 + n]
+        of_key, of_sign = self._of_file(file)
         here = rows[at : at + n]
-        e = own[here] + first[rows[at - 1 : at - 1 + n]] + second[rows[at - 2 : at - 2 + n]] + behind[rows[at + 1 : at + 1 + n]] + of_key[near.astype(int)] + of_sign[signed.astype(int)]
+        e = own.take(here, axis=0)
+        e += first.take(rows[at - 1 : at - 1 + n], axis=0)
+        e += second.take(rows[at - 2 : at - 2 + n], axis=0)
+        e += behind.take(rows[at + 1 : at + 1 + n], axis=0)
+        e += of_key.take(near, axis=0)
+        e += of_sign.take(signed, axis=0)
         return e, begins[here], inside[here]
 
     def path(self, e: np.ndarray, begins: np.ndarray, inside: np.ndarray) -> list[int]:

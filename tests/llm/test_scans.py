@@ -291,3 +291,24 @@ def test_licenses_of_repeated_rows_and_null_identifiers(spark):
     rows = spark.createDataFrame([(1, "GPL v2"), (1, "GPL v2"), (None, "MIT licensed"), (None, None)], "doc_id long, text string")
     found = [(r.doc_id, r.labels) for r in licenses.scan_licenses(rows).collect()]
     assert sorted(found, key=str) == sorted([(1, "gpl-2"), (1, "gpl-2"), (None, "mit"), (None, "")], key=str)
+
+
+def test_token_ids_without_names_are_those_of_the_features():
+    words = ["", "a", "plain", "API_KEY", "acceſskey", "İpassword", "x" * 70, "0123456789abcdef", "é.b", "\ud800ab", "Tok3n/+=", "ACCESS-KEY", "eyJ.a.b", "Key", "12345678901234567"]
+    for t in words:
+        low = t.lower()
+        own, around, key = secrets.fast_ids(t)
+        assert own == secrets._ids(secrets.own_features(t))
+        assert around == secrets._ids([f"{p}={low}" for p in ("before", "before2", "after")])
+        assert key == bool(secrets._KEY.search(t))
+
+
+def test_a_forgotten_memo_changes_no_score(monkeypatch):
+    field = secrets.train(secrets.templates(), rounds=2)
+    lines = [["password", "is", f"Ab{k}cd{k * 7}ef", "x", f"w{k % 3}"] for k in range(30)]
+    want = [field.scores(t, ["eq=0"])[0].tolist() for t in lines]
+    monkeypatch.setattr(secrets, "MEMO_TOKENS", 7)
+    again = secrets.Field(field.weights, field.moves)
+    assert [again.scores(t, ["eq=0"])[0].tolist() for t in lines] == want
+    # each token's features are made once, and those of a file once for all its lines
+    assert len(again.known) <= 13 and len(again.of_file) == 1
