@@ -178,6 +178,13 @@ def first_problem(*checks: tuple[Column, str, str]) -> Column:
     return out
 
 
+def _judged(rows: DataFrame, problem: Column) -> DataFrame:
+    """Rows with their ``problem``. It comes from a generator of one row: a filter on a plain column would be moved below the encoding of bags,
+    with all that it reads in place of names, and so parse a record again for each check and encode it twice. Generators don't compile
+    what they are given, so the checks stand before it."""
+    return rows.withColumn("found", problem).select("*", F.explode(F.array("found")).alias("problem")).drop("found")
+
+
 _SCOPE = f"name string, version string, {_BAG}"
 _OPEN = {"record": "o", "resource_text": "res", "scope_text": "sc"}
 
@@ -285,7 +292,7 @@ def spans(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction | No
     counts = first_problem((F.size("o.events") > limits.events, "event_count", "events"), (F.size("o.links") > limits.links, "link_count", "links"))
     code, kind = _enum("o.status.code", [f"STATUS_CODE_{n}" for n in _STATUS]), _enum("o.kind", [f"SPAN_KIND_{n}" for n in _SPAN_KINDS])
     unread = _malformed(["o.flags", "o.droppedAttributesCount", "o.droppedEventsCount", "o.droppedLinksCount", "res.droppedAttributesCount", "sc.droppedAttributesCount"], [kind, code])
-    rows = rows.withColumn("problem", F.coalesce(unread, contract, e.problem(), counts, e.problem(lists=True)))
+    rows = _judged(rows, F.coalesce(unread, contract, e.problem(), counts, e.problem(lists=True)))
     bag = lambda k, i: [c.alias(n) for c, n in zip(e.member(k, i), ("attributes", "attributes_schema"))]
     events = F.transform("o.events", lambda x, i: F.struct(
         F.when(_nano(x["timeUnixNano"]) > 0, _time(_nano(x["timeUnixNano"]))).alias("time"), _long(_nano(x["timeUnixNano"])).alias("time_unix_nano"), x["name"].alias("name"), *bag(0, i), _zero(x["droppedAttributesCount"]).alias("dropped_attributes_count")))
@@ -335,7 +342,7 @@ def logs(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction | Non
     contract = first_problem((~_fits(event), "timestamp_overflow", "time_unix_nano"), (~_fits(seen), "timestamp_overflow", "observed_time_unix_nano"))
     severity = _enum("o.severityNumber", SEVERITIES)
     unread = _malformed(["o.flags", "o.droppedAttributesCount", "res.droppedAttributesCount", "sc.droppedAttributesCount"], [severity])
-    rows = rows.withColumn("problem", F.coalesce(unread, contract, e.problem()))
+    rows = _judged(rows, F.coalesce(unread, contract, e.problem()))
     received = F.timestamp_micros(F.call_function("div", F.lit(receive_nano).cast("bigint"), F.lit(1000).cast("bigint"))) if receive_nano is not None else F.current_timestamp()
     named = lambda keys: _string_attribute(whole.plain(_OWN_BAG), whole.types(_OWN_BAG), keys)
     service = F.get_json_object(whole.plain(_RESOURCE_BAG), "$['service.name']")
@@ -357,7 +364,7 @@ def metrics(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction |
     """Every data point as a row of ``otel_metrics``; fingerprints are set by ``operators.fingerprint``."""
     rows = _opened(records(lines, "metrics"), _METRIC)
     kinds = F.array(*[F.struct(F.lit(v).alias("type"), F.lit(k).alias("key"), F.col(f"o.{k}").alias("data")) for k, v in KINDS.items()])
-    rows = rows.select("*", F.explode(F.filter(kinds, lambda k: k["data"].isNotNull())).alias("kind"))
+    rows = rows.select("*", F.explode(kinds).alias("kind")).where("kind.data IS NOT NULL")
     rows = rows.select("*", F.posexplode("kind.data.dataPoints").alias("m", "point")).withColumns({"place": F.struct("place.i", "place.j", "place.k", "m"), "p": F.from_json("point", f"{_POINT}, {_BROKEN} string", _STRICT)})
     bags = [(F.col("res.attributes"), "resource.attributes"), (F.col("sc.attributes"), "instrumentation_scope.attributes"), (F.col("o.metadata"), "metric_metadata"), (F.col("p.attributes"), "attributes")]
     lists = [(F.col("p.exemplars.filteredAttributes"), "exemplars.filtered_attributes")]
@@ -374,7 +381,7 @@ def metrics(lines: DataFrame, limits: Limits = Limits(), redaction: Redaction |
     reals = [(F.col(f"p.{c}").isNotNull() & F.col(f"p.{c}").try_cast("double").isNull(), "malformed", _snake(c)) for c in ("asDouble", "sum", "min", "max")]
     buckets = [(F.exists(F.coalesce(F.col(c), F.array().cast("array<string>")), lambda x: _whole(x).isNull()), "malformed", "bucket_counts") for c in ("p.bucketCounts", "p.positive.bucketCounts", "p.negative.bucketCounts")]
     unread = F.coalesce(_malformed(wholes, [temporality], ("o", "res", "sc", "p")), first_problem(*reals, *buckets))
-    rows = rows.withColumn("problem", F.coalesce(unread, contract, e.problem(), count, e.problem(lists=True)))
+    rows = _judged(rows, F.coalesce(unread, contract, e.problem(), count, e.problem(lists=True)))
     recorded = _zero("p.flags").bitwiseAND(1) == 0
     kept = lambda c: F.when(recorded, c)
     exemplars = F.transform("p.exemplars", lambda x, i: F.struct(

@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 from spanlake import catalog
 from spanlake.functions.anyvalue import pieces
 from spanlake.functions.jsonx import json_value, lax_int64, with_bags
-from spanlake.operators import quality
+from spanlake.operators import quality, stage
 from spanlake.plans import trajectory, views
+from spanlake.tools import backfill
 
 
 def plan(df):
@@ -33,6 +34,24 @@ def test_a_replay_sends_no_payloads_to_the_driver(spark):
     assert len(rows) == 40 and rows == sorted(rows) and len({r[:3] for r in rows}) == 40
 
 
+def test_what_rejects_a_record_is_read_once(spark):
+    """Rejected and stored records are filtered by what was found, not by finding it again."""
+    for signal in backfill.TABLES:
+        rows = backfill.transformed(spark.range(1).select(F.lit("{}").alias("value")), signal, receive_nano=0)
+        for part in (quality.quarantine(rows, signal), quality.accepted(rows)):
+            text = plan(part)
+            assert len(re.findall(r"ArrowEvalPython \[", text)) == 1
+            assert not [line for line in text.splitlines() if re.match(r"[ :+*()0-9-]*Filter ", line) and "from_json" in line]
+
+
+def test_orders_are_dealt_before_they_are_read_as_requests(spark, sf_dir, monkeypatch):
+    """A small file isn't one task's work."""
+    parts = []
+    monkeypatch.setattr(catalog, "staged", lambda df, tag: parts.append(df.rdd.getNumPartitions()) or stage.staged(df, tag))
+    catalog.t14_metric_replay(spark, sf_dir)
+    assert parts == [int(spark.conf.get("spark.sql.shuffle.partitions"))] and parts[0] > 1
+
+
 def test_exemplars_meet_their_spans_by_shuffles(spark, sf_dir):
     for query in (catalog.j2_metric_exemplars, catalog.q14_metric_exemplars, catalog.q5_tvf_metric_exemplars):
         assert "Broadcast" not in plan(query(spark, sf_dir))
