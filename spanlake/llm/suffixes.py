@@ -15,8 +15,9 @@ other are arrays, one for each bucket of anchors:
 4. groups go back to the blocks, which know all occurrences of their stretches. Repeats that are longer than a
    stretch come as overlapping groups, whose union is the repeat.
 
-Buckets are so many that each holds about as many anchors or bytes as ``Sizes`` says, whatever the size of
-the input. An anchor of more than ``common`` blocks would make one too large: its stretches are sent as single strings of
+Buckets are so many that each holds about as many anchors or bytes as ``Sizes`` says. Every block has something for nearly
+every bucket, so with blocks and buckets of fixed sizes what is sent would be a number of arrays that grows with the square of the input; blocks and buckets
+of stretches therefore grow with its root, and a bucket is sorted part by part. An anchor of more than ``common`` blocks would make one too large: its stretches are sent as single strings of
 ``min_bytes``, each its own anchor, and so spread over the buckets.
 
 Defined cases: a null text is empty; texts below ``min_bytes`` have no repeats; a null identifier comes before all
@@ -27,7 +28,10 @@ equal in identifier and text are edited alike; empty tables give an empty result
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
+from functools import lru_cache
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -48,12 +52,21 @@ PIECE = 1 << 16
 
 
 class Sizes(NamedTuple):
-    """Bytes of texts in a block (one text at least), anchors and bytes of stretches in a bucket, and blocks of a common anchor."""
+    """Bytes of texts in a block (one text at least), anchors in a bucket, bytes of stretches that are sorted at once, and blocks of a common anchor;
+    bytes of all texts up to which this holds, how much blocks grow beyond at most, and parts of a bucket of stretches."""
 
     block: int = 1_000_000
     anchors: int = 2_000_000
     bytes: int = 3_000_000
     common: int = 20_000
+    whole: int = 400_000_000
+    most: int = 8
+    parts: int = 1
+
+    def of(self, total: int) -> Sizes:
+        """For ``total`` bytes of texts: with blocks and parts both times the root of the growth, the arrays that are sent grow with the input."""
+        times = min(max(total / self.whole, 1.0) ** 0.5, self.most)
+        return self._replace(block=int(self.block * times), parts=self.parts * math.ceil(times))
 
 
 SIZES = Sizes()
@@ -194,12 +207,22 @@ class Block(NamedTuple):
     own: np.ndarray
 
 
+@lru_cache
+def _compressor(level: int) -> zstandard.ZstdCompressor:
+    return zstandard.ZstdCompressor(level=level)
+
+
+@lru_cache
+def _decompressor() -> zstandard.ZstdDecompressor:
+    return zstandard.ZstdDecompressor()
+
+
 def _packed(raw: bytes, level: int = 3) -> bytes:
-    return zstandard.ZstdCompressor(level=level).compress(raw)
+    return _compressor(level).compress(raw)
 
 
 def _unpacked(packed: bytes | pa.Buffer) -> bytes:
-    return zstandard.ZstdDecompressor().decompress(packed)
+    return _decompressor().decompress(packed)
 
 
 def _read_block(docs: bytes, sizes: bytes, text: bytes, min_bytes: int) -> Block:
@@ -365,99 +388,159 @@ def _wanted(x: Block, answers: list[dict], buckets: int, sort_buckets: int, min_
     return Sent(anchors[order], [texts[k] for k in order.tolist()], low[order], high[order], times[order], np.searchsorted(bucket[order], np.arange(sort_buckets + 1)), moved[place] if len(place) else place, first, own)
 
 
-#: What a block learns of the members of groups, as arrays of 64-bit numbers, and the digests of what repeats (16 bytes each).
-_MEMBERS = ["place", "start", "size", "first_doc"]
-_GROUPED = "block long, bucket int, " + ", ".join(f"{c} binary" for c in _MEMBERS) + ", digest binary"
+#: What a block learns of the members of groups: places, starts, sizes and first documents, one array of 64-bit numbers
+#: behind the other, and the digests of what repeats (16 bytes each).
+_GROUPED = "block long, bucket int, members binary, digest binary"
+
+
+def _outermost(own: np.ndarray, start: np.ndarray, size: np.ndarray, first_doc: np.ndarray) -> np.ndarray:
+    """Members, by their stretch, without those that lie within another one of the same stretch and first document: these remove nothing more."""
+    order = np.lexsort((-size, start, first_doc, own))
+    own, first_doc, start, end = own[order], first_doc[order], start[order], (start + size)[order]
+    new = np.concatenate([[True], (own[1:] != own[:-1]) | (first_doc[1:] != first_doc[:-1])]) if len(own) else np.empty(0, bool)
+    run = np.cumsum(new) * (int(end.max(initial=0)) + 1)
+    reach = np.maximum.accumulate(end + run) - run
+    return order[new | (end > np.concatenate([[0], reach[:-1]]))] if len(own) else order
 
 
-def _grouped(held: DataFrame, buckets: int, sort_buckets: int, min_bytes: int, across: bool, digests: bool) -> DataFrame:
+def _grouped(held: DataFrame, buckets: int, sort_buckets: int, parts: int, min_bytes: int, across: bool, digests: bool) -> DataFrame:
     """Of each block and bucket: the maximal repeats that its stretches hold, by the place of the stretch in what was sent. ``held``: blocks with their answers.
-    Without ``digests`` only those whose first document is before one of the block's that has the stretch."""
+    Without ``digests`` only those that remove something: whose first document is before one of the block's that has the stretch, and the outermost of these.
+    A bucket comes in ``parts``, by anchors, which are sorted one after the other."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for number, docs, sizes, text, answers in _one_by_one(batches):
-            s = _wanted(_read_block(docs, sizes, text, min_bytes), answers or [], buckets, sort_buckets, min_bytes)
-            parts = _parts(s.begin)
-            numbers = (np.array([len(t) for t in s.texts], np.int64), s.low, s.high, s.times)
-            payloads = [_packed(b"".join([*(c[i:j].tobytes() for c in numbers), *s.texts[i:j]])) for _, i, j in parts]
-            columns = [pa.array(c, t) for c, t in zip(([k for k, _, _ in parts], [number] * len(parts), [j - i for _, i, j in parts], payloads), (pa.int32(), pa.int64(), pa.int32(), pa.binary()))]
+            s = _wanted(_read_block(docs, sizes, text, min_bytes), answers or [], buckets, sort_buckets * parts, min_bytes)
+            begins = s.begin[::parts]
+            lengths = np.array([len(t) for t in s.texts], np.int64)
+            ends = np.concatenate([[0], np.cumsum(lengths)]).tolist()
+            numbers, raw, split = np.stack([lengths, s.low, s.high, s.times]), b"".join(s.texts), np.diff(s.begin)
+            has = _parts(begins)
+            payloads = [_packed(b"".join((numbers[:, i:j].tobytes(), raw[ends[i] : ends[j]]))) for _, i, j in has]
+            of_parts = [split[k * parts : (k + 1) * parts].tobytes() for k, _, _ in has]
+            columns = [pa.array(c, t) for c, t in zip(([k for k, _, _ in has], [number] * len(has), of_parts, payloads), (pa.int32(), pa.int64(), pa.binary(), pa.binary()))]
             yield pa.RecordBatch.from_arrays(columns, names=["bucket", "block", "n", "sent"])
 
+    def repeats(texts: list[bytes], which: np.ndarray, low: np.ndarray, high: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, ...]:
+        """The repeats of one part of a bucket, by their stretch: stretch, start, size, first document."""
+        least, most, total = np.full(len(texts), (1 << 63) - 1), np.full(len(texts), _NO_ID), np.zeros(len(texts), np.int64)
+        np.minimum.at(least, which, low)
+        np.maximum.at(most, which, high)
+        np.add.at(total, which, times)
+        _, own, start, size, lo, hi = repeats_of(texts, least.tolist(), most.tolist(), min_bytes)
+        # a stretch that stands in several places is a repeat itself
+        leaf = np.flatnonzero(least < most if across else total > 1)
+        own, start, size = np.concatenate([own, leaf]), np.concatenate([start, 0 * leaf]), np.concatenate([size, np.array([len(texts[k]) for k in leaf.tolist()], np.int64)])
+        lo, hi = np.concatenate([lo, least[leaf]]), np.concatenate([hi, most[leaf]])
+        keep = np.flatnonzero(lo < hi) if across else np.arange(len(lo))
+        found = own[keep], start[keep], size[keep], lo[keep]
+        order = np.argsort(found[0], kind="stable") if digests else _outermost(*found)
+        return tuple(c[order] for c in found)
+
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows in _by_bucket(batches):
-            numbers: dict[bytes, int] = {}
+            split = np.array([np.frombuffer(r["n"], np.int64) for r in rows])
+            bounds = np.concatenate([[0], np.cumsum(split.sum(axis=1))])
+            numbers: list[dict[bytes, int]] = [{} for _ in range(parts)]
             which, sent = [], []
-            for r in rows:
-                raw = _unpacked(r["sent"])
-                sent.append(np.frombuffer(raw, np.int64, 4 * r["n"]).reshape(4, -1))
-                ends = (np.cumsum(sent[-1][0]) + 32 * r["n"]).tolist()
-                which += [numbers.setdefault(raw[i:j], len(numbers)) for i, j in zip([32 * r["n"], *ends], ends)]
-            texts, which = list(numbers), np.array(which, np.int64)
-            _, low, high, times = np.concatenate(sent, axis=1)
-            least, most, total = np.full(len(texts), (1 << 63) - 1), np.full(len(texts), _NO_ID), np.zeros(len(texts), np.int64)
-            np.minimum.at(least, which, low)
-            np.maximum.at(most, which, high)
-            np.add.at(total, which, times)
-            _, own, start, size, lo, hi = repeats_of(texts, least.tolist(), most.tolist(), min_bytes)
-            # a stretch that stands in several places is a repeat itself
-            leaf = np.flatnonzero(least < most if across else total > 1)
-            own, start, size = np.concatenate([own, leaf]), np.concatenate([start, 0 * leaf]), np.concatenate([size, np.array([len(texts[k]) for k in leaf.tolist()], np.int64)])
-            lo, hi = np.concatenate([lo, least[leaf]]), np.concatenate([hi, most[leaf]])
-            keep = np.flatnonzero(lo < hi) if across else np.arange(len(lo))
-            order = keep[np.argsort(own[keep], kind="stable")]
-            own, start, size, lo = own[order], start[order], size[order], lo[order]
-            digest = np.array([hashlib.blake2b(texts[k][i : i + n], digest_size=16).digest() if digests else b"" for k, i, n in zip(own.tolist(), start.tolist(), size.tolist())], object)
-            begin, n = np.searchsorted(own, np.arange(len(texts))), np.bincount(own, minlength=len(texts))
-            at = 0
-            for r, x in zip(rows, sent):
-                mine = which[at : at + r["n"]]
-                at += r["n"]
-                members = n[mine]
-                place = np.repeat(np.arange(len(mine)), members)
-                if not len(place):
+            for r, ns in zip(rows, split.tolist()):
+                raw, n = _unpacked(r.pop("sent")), sum(ns)
+                sent.append(np.frombuffer(raw, np.int64, 4 * n).reshape(4, -1).copy())
+                ends = (np.cumsum(sent[-1][0]) + 32 * n).tolist()
+                spans = zip([32 * n, *ends], ends)
+                for known, m in zip(numbers, ns):
+                    which += [known.setdefault(raw[i:j], len(known)) for i, j in islice(spans, m)]
+            which, sent = np.array(which, np.int64), np.concatenate(sent, axis=1)
+            part = np.repeat(np.tile(np.arange(parts), len(rows)), split.ravel())
+            first, members = np.zeros(len(which), np.int64), np.zeros(len(which), np.int64)  # of each stretch's members in all that was found
+            found, digest, total = [], [], 0
+            for k in range(parts):
+                mine = np.flatnonzero(part == k)
+                texts, numbers[k] = list(numbers[k]), {}
+                if not len(mine):
+                    continue
+                own, start, size, lo = repeats(texts, which[mine], *sent[1:, mine])
+                if digests:
+                    digest += [hashlib.blake2b(texts[i][at : at + n], digest_size=16).digest() for i, at, n in zip(own.tolist(), start.tolist(), size.tolist())]
+                first[mine] = np.searchsorted(own, which[mine]) + total
+                members[mine] = np.bincount(own, minlength=len(texts))[which[mine]]
+                found.append((start, size, lo))
+                total += len(own)
+            if not total:
+                continue
+            start, size, lo = (np.concatenate(c) for c in zip(*found))
+            digest = np.array(digest, object)
+            done = []
+            for r, i, j in zip(rows, bounds.tolist(), bounds[1:].tolist()):
+                mine = members[i:j]
+                n = int(mine.sum())
+                if not n:
                     continue
-                k = np.repeat(begin[mine] - np.cumsum(members) + members, members) + np.arange(len(place))
+                place = np.repeat(np.arange(j - i), mine)
+                k = np.repeat(first[i:j] - np.cumsum(mine) + mine, mine) + np.arange(n)
                 if not digests:
-                    later = lo[k] < x[2][place]
+                    later = lo[k] < sent[2, i:j][place]
                     place, k = place[later], k[later]
-                columns = [pa.array([r["block"]], pa.int64()), pa.array([r["bucket"]], pa.int32()), *(pa.array([_packed(c.tobytes())], pa.binary()) for c in (place, start[k], size[k], lo[k])), pa.array([b"".join(digest[k].tolist())], pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["block", "bucket", *_MEMBERS, "digest"])
+                if len(k):
+                    done.append((r["block"], r["bucket"], _packed(np.concatenate([place, start[k], size[k], lo[k]]).tobytes()), b"".join(digest[k].tolist()) if digests else b""))
+            for at in range(0, len(done), 1000):
+                columns = [pa.array(c, t) for c, t in zip(zip(*done[at : at + 1000]), (pa.int64(), pa.int32(), pa.binary(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays(columns, names=["block", "bucket", "members", "digest"])
 
-    sent = held.select("block", "docs", "sizes", "text", "answers").mapInArrow(send, "bucket int, block long, n int, sent binary")
+    sent = held.select("block", "docs", "sizes", "text", "answers").mapInArrow(send, "bucket int, block long, n binary, sent binary")
     return sent.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(scan, _GROUPED)
 
 
-def _found(docs: DataFrame, min_bytes: int, across: bool, sizes: Sizes, digests: bool) -> tuple[DataFrame, tuple[int, int]]:
-    """Blocks with their answers and groups, and how many buckets of anchors and of stretches there were."""
+class Buckets(NamedTuple):
+    """How many there are of anchors and of stretches, and parts of the latter."""
+
+    anchors: int
+    stretches: int
+    parts: int
+
+
+def _found(docs: DataFrame, min_bytes: int, across: bool, sizes: Sizes, digests: bool) -> tuple[DataFrame, Buckets]:
+    """Blocks with their answers and groups, and how many buckets there were."""
+    total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    sizes = sizes.of(total)
     held = blocks(docs, sizes.block)
-    total = held.agg(F.sum("n_bytes")).first()[0] or 0
     buckets = int(total * 2 / (min_bytes - GRAM + 2)) // sizes.anchors + 1  # of the strings about so many are the first of a stretch
     answers = _answers(held, buckets, min_bytes, across, sizes.common)
     wanted = answers.agg(F.sum("n"), F.sum(F.when(F.col("common").isNotNull(), F.col("n")))).first()
-    sort_buckets = int((wanted[0] or 0) * (min_bytes + min_bytes // 4) + (wanted[1] or 0) * min_bytes * min_bytes // 2) // sizes.bytes + 1
+    sort_buckets = int((wanted[0] or 0) * (min_bytes + min_bytes // 4) + (wanted[1] or 0) * min_bytes * min_bytes // 2) // (sizes.bytes * sizes.parts) + 1
     own = answers.groupBy("block").agg(F.collect_list(F.struct("bucket", "wanted", "common")).alias("answers"))  # of one block
     with_answers = held.hint("merge").join(own.hint("merge"), "block", "left")
-    groups = _grouped(with_answers, buckets, sort_buckets, min_bytes, across, digests)
+    groups = _grouped(with_answers, buckets, sort_buckets, sizes.parts, min_bytes, across, digests)
     groups = staged(groups if digests else groups.drop("digest"), "groups")
-    mine = groups.groupBy("block").agg(F.collect_list(F.struct("bucket", *_MEMBERS, *(["digest"] if digests else []))).alias("groups"))
-    return with_answers.hint("merge").join(mine.hint("merge"), "block", "left"), (buckets, sort_buckets)
+    mine = groups.groupBy("block").agg(F.collect_list(F.struct("bucket", "members", *(["digest"] if digests else []))).alias("groups"))
+    return with_answers.hint("merge").join(mine.hint("merge"), "block", "left"), Buckets(buckets, sort_buckets, sizes.parts)
+
+
+#: Members that a block works on at once.
+_AT_ONCE = 100_000
 
 
-def _occurrences(x: Block, answers: list[dict] | None, groups: list[dict] | None, buckets: tuple[int, int], min_bytes: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Number of the text, place in the block, length, first document, and which member of the group it is, bucket by bucket."""
+def _occurrences(x: Block, answers: list[dict] | None, groups: list[dict] | None, buckets: Buckets, min_bytes: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Number of the text, place in the block, length, first document, and which member it is of those of all groups, some buckets at a time."""
     if not groups:
         return
-    s = _wanted(x, answers or [], *buckets, min_bytes)
+    s = _wanted(x, answers or [], buckets.anchors, buckets.stretches * buckets.parts, min_bytes)
     order = np.argsort(s.which, kind="stable")
-    sorted_which = s.which[order]
-    for g in groups:
-        place, start, size, doc = (np.frombuffer(_unpacked(g[c]), np.int64) for c in _MEMBERS)
-        sent = place + s.begin[g["bucket"]]
-        i, j = np.searchsorted(sorted_which, sent), np.searchsorted(sorted_which, sent, side="right")
-        n = j - i
-        at = order[np.repeat(i - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
-        member = np.repeat(np.arange(len(place)), n)
-        yield s.own[at], s.first[at] + start[member], size[member], doc[member], member
+    begin = np.concatenate([[0], np.cumsum(np.bincount(s.which, minlength=len(s.texts)))])
+    before, held, n_held = 0, [], 0
+    for number, g in enumerate(groups, 1):
+        mine = np.frombuffer(_unpacked(g["members"]), np.int64).reshape(4, -1).copy()
+        mine[0] += s.begin[g["bucket"] * buckets.parts]
+        held.append(mine)
+        n_held += mine.shape[1]
+        if n_held < _AT_ONCE and number < len(groups):
+            continue
+        sent, start, size, doc = np.concatenate(held, axis=1)
+        n = begin[sent + 1] - begin[sent]
+        at = order[np.repeat(begin[sent] - np.cumsum(n) + n, n) + np.arange(int(n.sum()))]
+        member = np.repeat(np.arange(len(sent)), n)
+        yield s.own[at], s.first[at] + start[member], size[member], doc[member], member + before
+        before, held, n_held = before + n_held, [], 0
 
 
 def repeat_groups(docs: DataFrame, min_bytes: int = MIN_BYTES, across: bool = True, sizes: Sizes = SIZES) -> DataFrame:
@@ -469,8 +552,9 @@ def repeat_groups(docs: DataFrame, min_bytes: int = MIN_BYTES, across: bool = Tr
         for ids, h1, h2, lengths, text, answers, groups in _one_by_one(batches):
             x = _read_block(ids, lengths, text, min_bytes)
             keys = [np.frombuffer(h, np.int64) for h in (h1, h2)]
-            for g, (own, at, size, doc, member) in zip(groups or (), _occurrences(x, answers, groups, buckets, min_bytes)):
-                digest = [g["digest"][16 * k : 16 * k + 16] for k in member.tolist()]
+            digests = b"".join(g["digest"] for g in groups or ())
+            for own, at, size, doc, member in _occurrences(x, answers, groups, buckets, min_bytes):
+                digest = [digests[16 * k : 16 * k + 16] for k in member.tolist()]
                 columns = [pa.array(digest, pa.binary()), *(pa.array(c) for c in (size, x.docs[own], keys[0][own], keys[1][own], at - x.bounds[own], doc))]
                 yield pa.RecordBatch.from_arrays(columns, names=["digest", "size", "doc_id", "k1", "k2", "start", "first_doc"])
 

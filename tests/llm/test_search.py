@@ -13,6 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from spanlake.llm import importance, search, suffixes
+from spanlake.llm.common import staged
 
 TERM = re.compile(rb"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
@@ -105,6 +106,45 @@ def test_repeats_of_odd_texts(spark):
     assert sorted((r.doc_id, bytes(r._kept), r.n_removed, r.n_spans) for r in found.collect()) == want
 
 
+def test_what_blocks_and_buckets_send_grows_with_the_input(spark, monkeypatch):
+    """Not with the number of blocks times that of buckets, however sizes stand to the texts; results stay."""
+    sent = []
+    monkeypatch.setattr(suffixes, "staged", lambda df, tag: sent.append((tag, out := staged(df, tag))) or out)
+    sizes, rng = suffixes.Sizes(4_000, 10_000, 6_000, 20_000, 80_000), random.Random(7)
+    arrays = []
+    for n in (40, 360):
+        texts = ["".join(rng.choice("abcdefgh") for _ in range(1_000)) for _ in range(n)]
+        rows = [(k, texts[(k * 7 + k // n) % n] + str(k)) for k in range(2 * n)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+        got = sorted((r.doc_id, bytes(r.kept), r.n_removed, r.n_spans) for r in suffixes.edited(docs, sizes=sizes).collect())
+        assert got == sorted(slow_kept([(d, t.encode()) for d, t in rows], 50)) and sum(g[2] for g in got) > 900 * n
+        arrays.append(sent[-1][1].count())
+    assert sent[-1][0] == "groups" and arrays[0] > 20 and arrays[1] < 13 * arrays[0]
+    for tag, df in sent:
+        if tag == "groups":
+            assert not df.where("members IS NULL").count()
+
+
+def test_repeats_by_parts_of_buckets(spark, docs):
+    rows = [(r.doc_id if r.doc_id is not None else -1, (r.text or "").encode()) for r in docs.collect()]
+    for common in (1, 20_000):
+        sizes = suffixes.Sizes(3_000, 100, 1_000, common, 9_000)
+        assert sizes.of(sum(len(t) for _, t in rows)).parts > 1
+        got = sorted((r.doc_id if r.doc_id is not None else -1, bytes(r.kept), r.n_removed, r.n_spans) for r in suffixes.edited(docs, sizes=sizes).collect())
+        assert got == sorted(slow_kept(rows, 50))
+
+
+def test_members_within_others_are_left_out():
+    """Of the members of a stretch and first document those that lie in none of the others."""
+    rng = np.random.default_rng(3)
+    own, start, size, first_doc = (rng.integers(low, high, 400) for low, high in ((0, 8), (0, 20), (1, 12), (0, 4)))
+    rows = list(zip(own.tolist(), first_doc.tolist(), start.tolist(), (start + size).tolist()))
+    kept = [rows[k] for k in suffixes._outermost(own, start, size, first_doc).tolist()]
+    inner = {r for r in rows if any(r[:2] == q[:2] and q[2] <= r[2] and r[3] <= q[3] and q != r for q in rows)}
+    assert sorted(kept) == sorted(set(rows) - inner) and [r[0] for r in kept] == sorted(r[0] for r in kept)
+    assert not len(suffixes._outermost(*[own[:0]] * 4))
+
+
 def test_texts_are_read_in_pieces(monkeypatch):
     """Every string of 50 bytes that lies in one text is in one stretch, whose anchor follows from the string alone."""
     rng = random.Random(1)
