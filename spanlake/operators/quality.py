@@ -88,7 +88,7 @@ def canonical(q: DataFrame) -> DataFrame:
     collide, so keys and counts of a group are few however often a row repeats."""
     key = F.to_json(F.struct("signal", "error_code", "error_message", "service_name", "trace_id", "span_id", "raw_payload"), {"ignoreNullFields": "false"})
     q = q.withColumn("row_key", key).withColumn("row_fp", F.conv(F.substring(F.sha2("row_key", 256), 1, 15), 16, 10).cast("bigint"))
-    group = ["ingest_time", "row_fp"]
+    group = ["row_fp", "ingest_time"]  # a sort compares the first key's bits, and times recur
     counts = q.groupBy(*group, "row_key").agg(F.count("*").alias("n"))
     framed = F.concat(F.octet_length("row_key").cast("string"), F.lit(":"), "row_key", F.lit(":"), F.col("n").cast("string"), F.lit(";"))
     w = Window.partitionBy(*group).orderBy("row_key")

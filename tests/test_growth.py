@@ -10,6 +10,7 @@ from spanlake.functions.anyvalue import pieces
 from spanlake.functions.jsonx import json_value, lax_int64, with_bags
 from spanlake.operators import quality, stage
 from spanlake.plans import trajectory, views
+from spanlake.sources import otlp
 from spanlake.tools import backfill
 
 
@@ -47,9 +48,18 @@ def test_what_rejects_a_record_is_read_once(spark):
 def test_orders_are_dealt_before_they_are_read_as_requests(spark, sf_dir, monkeypatch):
     """A small file isn't one task's work."""
     parts = []
-    monkeypatch.setattr(catalog, "staged", lambda df, tag: parts.append(df.rdd.getNumPartitions()) or stage.staged(df, tag))
+    monkeypatch.setattr(backfill, "staged", lambda df, tag: parts.append((tag, df.rdd.getNumPartitions())) or stage.staged(df, tag))
     catalog.t14_metric_replay(spark, sf_dir)
-    assert parts == [int(spark.conf.get("spark.sql.shuffle.partitions"))] and parts[0] > 1
+    # the rejected records are written once
+    assert [tag for tag, _ in parts] == ["quarantined", "replayed"]
+    assert parts[0][1] == int(spark.conf.get("spark.sql.shuffle.partitions")) > 1
+
+
+def test_no_list_is_null_on_its_way_to_the_encoder(spark):
+    """One that is would make the time for a batch grow with the square of its rows."""
+    points = otlp.metrics(spark.range(1).select(F.lit("{}").alias("value")))
+    (given,) = re.findall(r"encode\(struct\(bags, .*?, list0, (.*?)\)\)#", plan(points.select("attributes")))
+    assert given.startswith("coalesce(")
 
 
 def test_exemplars_meet_their_spans_by_shuffles(spark, sf_dir):
