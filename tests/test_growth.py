@@ -1,12 +1,13 @@
 """What the driver and single tasks hold doesn't grow with the tables."""
 
+import json
 import re
 
 import pyarrow as pa
 from pyspark.sql import functions as F
 
 from spanlake import catalog
-from spanlake.functions.anyvalue import pieces
+from spanlake.functions.anyvalue import encode_value, listed_texts, pieces
 from spanlake.functions.jsonx import json_value, lax_int64, with_bags
 from spanlake.operators import quality, stage
 from spanlake.plans import trajectory, views
@@ -102,6 +103,18 @@ def test_workers_hold_few_records_of_a_batch_as_values(spark, sf_dir):
     assert kinds == ["251"]
 
 
+def test_lists_of_texts_are_turned_at_once():
+    rows = [["a", None], [], None, ["é\u2028"], ["x", "y", "z"], []]
+    lists = pa.array([["before"], *rows, ["behind"]], pa.list_(pa.string()))[1:-1]
+    assert listed_texts(lists) == [r or [] for r in rows] and listed_texts(lists[:0]) == []
+
+
+def test_plain_texts_are_quoted_as_others_are():
+    for s in ["", "plain", 'q"\\/', "".join(map(chr, range(128))), "é", "\u2028", "\ud800"]:
+        assert json.loads(encode_value(json.dumps({"stringValue": s}))["plain"]) == s.replace("\ud800", "\ufffd")
+        assert encode_value(json.dumps({"stringValue": s + "é"}))["plain"] == encode_value(json.dumps({"stringValue": s}))["plain"][:-1] + 'é"'
+
+
 def test_sessions_sort_whole_spans_and_their_columns_in_tasks_of_their_own(spark, sf_dir):
     for query in (catalog.a2_sessions, catalog.a1_model_costs):
         text = plan(query(spark, sf_dir))
